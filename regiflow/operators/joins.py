@@ -1,0 +1,21 @@
+"""Join helpers: size-checked broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Lookup/code tables above this many rows are joined by shuffle instead.
+BROADCAST_MAX_ROWS = 100_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast hint only when ``df`` is proven to hold at most ``max_rows``.
+
+    The check reads at most ``max_rows + 1`` rows of a small side; beyond the
+    bound the plain DataFrame is returned and Catalyst/AQE pick a shuffle join
+    (AQE still converts it at run time if the real size is small).
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
