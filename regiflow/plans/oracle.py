@@ -228,7 +228,7 @@ FROM orders
 
 KNOWN_CONTROL = f"""
 SELECT * FROM ({CONTROL}) c
-WHERE (year_month <> 'BASE' AND year_month < '{KNOWN_BEFORE}') OR (year_month = 'BASE' AND file_id % 106 <> 0)
+WHERE (year_month <> 'BASE' AND year_month < '{KNOWN_BEFORE}' AND file_id % 41 <> 0) OR (year_month = 'BASE' AND file_id % 106 <> 0)
 """
 
 STORE = f"""

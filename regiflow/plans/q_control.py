@@ -1 +1,153 @@
-"""Queries registered by this module."""
+"""Queries: control table state, planners, discovery, dashboard, progress."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from regiflow.functions.text import file_base
+from regiflow.operators import control as C
+from regiflow.plans import oracle as O
+from regiflow.plans import standins as S
+from regiflow.plans.catalog import register
+from regiflow.schema import DOWNLOADED_OR_LATER, STATUSES
+
+_CTL = f"({O.CONTROL}) c"
+_TRACKED = O.in_list(DOWNLOADED_OR_LATER)
+
+
+@register("latest_state", f"""
+SELECT file_name, status, event_time, seq, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY file_name ORDER BY event_time DESC, seq DESC) AS rn
+  FROM ({O.CONTROL_EVENTS}) e) t WHERE rn = 1""", "WIN2 event log latest state")
+def latest_state(spark, sf):
+    return C.latest_state(S.control_events(spark, sf), keys=["file_name"])
+
+
+@register("first_of_type", f"""
+SELECT year_month, {O.file_type('file_name')} AS file_type, min(file_name) AS file_name
+FROM {_CTL} WHERE status IN ({_TRACKED}) GROUP BY 1, 2""", "WIN1 transform first_only")
+def first_of_type(spark, sf):
+    files = S.control(spark, sf).where(F.col("status").isin(DOWNLOADED_OR_LATER))
+    return C.first_of_type(files)
+
+
+@register("first_pending_of_type", f"""
+SELECT year_month, regexp_replace(file_name, '(?i)\\d*\\.zip|\\d*\\.tar\\.gz', '', 'g') AS file_type,
+  min(file_name) AS file_name
+FROM {_CTL} WHERE status = 'pending' GROUP BY 1, 2""", "WIN1 sync first_only CTL2")
+def first_pending_of_type(spark, sf):
+    files = C.plan_downloads(S.control(spark, sf))
+    return C.first_of_type(files, type_col=file_base("file_name"))
+
+
+@register("plan_downloads", f"""
+SELECT year_month, file_name, file_size_bytes, status FROM {_CTL} WHERE status IN ('pending', 'error')""",
+          "CTL2 FLT3 download plan with retry of errors")
+def plan_downloads(spark, sf):
+    return C.plan_downloads(S.control(spark, sf), retry_errors=True) \
+        .select("year_month", "file_name", "file_size_bytes", "status")
+
+
+@register("plan_files", f"""
+SELECT s.key, s.year_month, s.file_name FROM (
+  SELECT key, split_part(key, '/', 2) AS year_month, split_part(key, '/', 3) AS file_name
+  FROM ({O.STORE}) st WHERE starts_with(key, 'raw/')) s
+WHERE EXISTS (SELECT 1 FROM {_CTL} WHERE c.status IN ({_TRACKED})
+              AND c.year_month = s.year_month AND c.file_name = s.file_name)""", "JN8 FLT3 transform plan")
+def plan_files(spark, sf):
+    st = S.store_inventory(spark, sf).where(F.col("key").startswith("raw/"))
+    parts = F.split("key", "/")
+    raw = st.select("key", parts.getItem(1).alias("year_month"), parts.getItem(2).alias("file_name"))
+    return C.plan_transform(raw, S.control(spark, sf))
+
+
+@register("register_new_months", f"""
+SELECT year_month, file_name, size AS file_size_bytes, etag, 'pending' AS status
+FROM ({O.REMOTE_LISTING}) r
+WHERE regexp_matches(year_month, '^\\d{{4}}-\\d{{2}}$')
+  AND year_month NOT IN (SELECT DISTINCT year_month FROM ({O.KNOWN_CONTROL}) k)""", "CTL1 JN6 FLT6 SET4")
+def register_new_months(spark, sf):
+    return C.register_new_months(S.remote_listing(spark, sf), S.known_control(spark, sf))
+
+
+@register("register_new_files", f"""
+SELECT year_month, file_name, size AS file_size_bytes, etag, 'pending' AS status
+FROM ({O.REMOTE_LISTING}) r
+WHERE regexp_matches(year_month, '^\\d{{4}}-\\d{{2}}$')
+  AND NOT EXISTS (SELECT 1 FROM ({O.KNOWN_CONTROL}) k WHERE k.year_month = r.year_month AND k.file_name = r.file_name)""",
+          "CTL1 file grain (D16 option)")
+def register_new_files(spark, sf):
+    return C.register_new_months(S.remote_listing(spark, sf), S.known_control(spark, sf), file_grain=True)
+
+
+@register("register_root_files", f"""
+SELECT year_month, file_name, size AS file_size_bytes, etag, 'pending' AS status
+FROM ({O.REMOTE_LISTING}) r
+WHERE year_month = 'BASE' AND (lower(file_name) LIKE '%.zip' OR lower(file_name) LIKE '%.tar.gz')
+  AND NOT EXISTS (SELECT 1 FROM ({O.KNOWN_CONTROL}) k WHERE k.year_month = 'BASE' AND k.file_name = r.file_name)""",
+          "CTL1 JN7 FLT7")
+def register_root_files(spark, sf):
+    return C.register_root_files(S.remote_listing(spark, sf), S.known_control(spark, sf))
+
+
+@register("dashboard_month_status", f"""
+SELECT year_month, status, count(*) AS count, CAST(sum(file_size_bytes) AS BIGINT) AS total_size_bytes
+FROM {_CTL} GROUP BY 1, 2""", "AGG1 SRT2 CTL8")
+def dashboard_month_status(spark, sf):
+    return C.dashboard_month_status(S.control(spark, sf))
+
+
+_PER_STATUS = ", ".join(f"count(*) FILTER (WHERE status = '{s}') AS n_{s}" for s in STATUSES)
+
+
+@register("dashboard_month", f"""
+SELECT year_month, count(*) AS total_files, CAST(coalesce(sum(file_size_bytes), 0) AS BIGINT) AS total_size_bytes,
+  {_PER_STATUS}, round(CAST(coalesce(sum(file_size_bytes), 0) AS DOUBLE) / 1073741824.0, 2) AS total_size_gb
+FROM {_CTL} GROUP BY 1""", "AGG2 MTH1 CTL8")
+def dashboard_month(spark, sf):
+    return C.dashboard_month(S.control(spark, sf))
+
+
+_SUMMARY_SQL = """
+SELECT count(*) AS total_months, CAST(coalesce(sum(total_files), 0) AS BIGINT) AS total_files,
+  CAST(coalesce(sum(total_size_bytes), 0) AS BIGINT) AS total_size_bytes,
+  CAST(coalesce(sum(n_pending), 0) AS BIGINT) AS total_pending,
+  CAST(coalesce(sum(n_loaded), 0) AS BIGINT) AS total_loaded,
+  round(CAST(coalesce(sum(total_size_bytes), 0) AS DOUBLE) / 1073741824.0, 2) AS total_size_gb
+FROM (SELECT year_month, count(*) AS total_files, coalesce(sum(file_size_bytes), 0) AS total_size_bytes,
+        count(*) FILTER (WHERE status = 'pending') AS n_pending,
+        count(*) FILTER (WHERE status = 'loaded') AS n_loaded
+      FROM {src} GROUP BY 1) m"""
+
+
+@register("dashboard_summary", _SUMMARY_SQL.format(src=_CTL), "AGG3 CTL8")
+def dashboard_summary(spark, sf):
+    return C.dashboard_summary(S.control(spark, sf))
+
+
+@register("month_detail", f"""
+SELECT year_month, file_name, file_size_bytes, local_size_bytes, local_hash, etag, status, download_progress,
+  discovered_at, synced_at, error_message FROM {_CTL}""", "CTL6 SRT1")
+def month_detail(spark, sf):
+    return C.month_detail(S.control(spark, sf))
+
+
+_CLASS = (f"CASE WHEN status = 'downloading' THEN 'downloading' WHEN status IN ({_TRACKED}) THEN 'completed' "
+          "WHEN status = 'error' THEN 'errored' ELSE 'pending' END")
+
+
+@register("progress_classes", f"""
+SELECT year_month, file_name, status, {_CLASS} AS progress_class, download_progress AS progress,
+  file_size_bytes AS remote_size_bytes, local_size_bytes,
+  CASE WHEN status = 'error' THEN error_message END AS error_message
+FROM {_CTL}""", "CTL7")
+def progress_classes(spark, sf):
+    return C.progress(S.control(spark, sf))
+
+
+@register("progress_summary", f"""
+SELECT year_month, {", ".join(f"count(*) FILTER (WHERE {_CLASS} = '{c}') AS {c}"
+                              for c in ("downloading", "completed", "pending", "errored"))}
+FROM {_CTL} GROUP BY 1""", "CTL7 summary AGG5")
+def progress_summary(spark, sf):
+    return C.progress_summary(S.control(spark, sf))

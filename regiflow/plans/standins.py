@@ -213,7 +213,7 @@ def remote_listing(spark: SparkSession, sf: str) -> DataFrame:
 def known_control(spark: SparkSession, sf: str) -> DataFrame:
     """Control rows already registered before a discovery run."""
     c = control(spark, sf)
-    old_month = (c.year_month != "BASE") & (c.year_month < KNOWN_BEFORE)
+    old_month = (c.year_month != "BASE") & (c.year_month < KNOWN_BEFORE) & (c.file_id % 41 != 0)
     old_root = (c.year_month == "BASE") & (c.file_id % 106 != 0)
     return c.where(old_month | old_root)
 
