@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from regiflow.functions.text import WHITESPACE_CLASS
 from regiflow.plans.standins import (
-    FILE_PREFIXES, KNOWN_BEFORE, SITUATION_BY_STATUS, SIZE_BY_SEGMENT, STATUS_BY_MOD,
+    FILE_PREFIXES, KNOWN_BEFORE, STORE_MISSING_MONTH, SITUATION_BY_STATUS, SIZE_BY_SEGMENT, STATUS_BY_MOD,
 )
 from regiflow.schema import DATE_NULL_TOKENS, NA_TOKENS
 
@@ -238,10 +238,12 @@ SELECT 'raw/' || year_month || '/' || file_name AS key,
   md5(CAST(file_id AS VARCHAR)) AS etag,
   CASE WHEN file_id % 29 = 0 THEN sha256(CAST(file_id + 1 AS VARCHAR)) ELSE sha256(CAST(file_id AS VARCHAR)) END AS content_hash
 FROM ({CONTROL}) c WHERE status NOT IN ('pending', 'downloading') AND file_id % 11 <> 0
+  AND year_month <> '{STORE_MISSING_MONTH}'
 UNION ALL
 SELECT 'processed/' || year_month || '/' || replace(file_name, '.zip', '.parquet'),
   coalesce(file_size_bytes, 0) // 4, discovered_at + INTERVAL 3 DAY, md5(CAST(file_id + 7 AS VARCHAR)), NULL
 FROM ({CONTROL}) c WHERE status IN ('transformed', 'loaded') AND file_id % 5 <> 0
+  AND year_month <> '{STORE_MISSING_MONTH}'
 UNION ALL
 SELECT 'raw/' || strftime(CAST(o_orderdate AS DATE) + INTERVAL 120 MONTH, '%Y-%m') || '/orphan' || CAST(o_orderkey AS VARCHAR) || '.zip',
   o_orderkey * 10, o_orderdate, md5(CAST(o_orderkey AS VARCHAR)), NULL
@@ -249,7 +251,7 @@ FROM orders WHERE o_orderkey % 97 = 0
 UNION ALL
 SELECT strftime(o_orderdate, '%Y-%m') || '/' || {file_name_sql('o_orderkey')},
   o_orderkey * 3, o_orderdate, md5(CAST(o_orderkey AS VARCHAR)), NULL
-FROM orders WHERE o_orderkey % 89 = 0
+FROM orders WHERE o_orderkey % 89 = 0 AND strftime(o_orderdate, '%Y-%m') <> '{STORE_MISSING_MONTH}'
 UNION ALL
 SELECT 'readme' || CAST(o_orderkey AS VARCHAR) || '.txt', o_orderkey, o_orderdate, md5(CAST(o_orderkey AS VARCHAR)), NULL
 FROM orders WHERE o_orderkey % 251 = 0

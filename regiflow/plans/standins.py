@@ -40,6 +40,8 @@ RAW_COLUMNS = {
                          "data_inicio_atividade", "cnae_fiscal_principal", "cnae_fiscal_secundaria",
                          "uf", "municipio", "data_situacao_especial"],
 }
+# A control month with no object in the store (gap analysis).
+STORE_MISSING_MONTH = "1995-02"
 # Months at or after this one are "new" for discovery.
 KNOWN_BEFORE = "2000-06"
 
@@ -220,7 +222,7 @@ def known_control(spark: SparkSession, sf: str) -> DataFrame:
 
 def store_inventory(spark: SparkSession, sf: str) -> DataFrame:
     """Object-store listing: (key, size_bytes, last_modified, etag, content_hash)."""
-    c = control(spark, sf)
+    c = control(spark, sf).where(F.col("year_month") != STORE_MISSING_MONTH)
     k = F.col("file_id")
     raw = c.where(~F.col("status").isin("pending", "downloading") & (k % 11 != 0)).select(
         F.concat(F.lit("raw/"), F.col("year_month"), F.lit("/"), F.col("file_name")).alias("key"),
@@ -241,7 +243,7 @@ def store_inventory(spark: SparkSession, sf: str) -> DataFrame:
                  _s(ok), F.lit(".zip")).alias("key"),
         (ok * 10).alias("size_bytes"), od.alias("last_modified"), F.md5(_s(ok)).alias("etag"),
         F.lit(None).cast("string").alias("content_hash"))
-    flat = o.where(ok % 89 == 0).select(
+    flat = o.where((ok % 89 == 0) & (F.date_format(od, "yyyy-MM") != STORE_MISSING_MONTH)).select(
         F.concat(F.date_format(od, "yyyy-MM"), F.lit("/"), _file_name(ok)).alias("key"),
         (ok * 3).alias("size_bytes"), od.alias("last_modified"), F.md5(_s(ok)).alias("etag"),
         F.lit(None).cast("string").alias("content_hash"))
