@@ -51,5 +51,5 @@ def eta_text(c) -> Column:
 def percent_text(value, total) -> Column:
     """``'12.5%'`` with one decimal, ``'N/A'`` when the total is 0."""
     v, t = _c(value).cast("double"), _c(total).cast("double")
-    return F.when(t == 0, F.lit("N/A")).otherwise(
+    return F.when(v.isNull() | t.isNull(), F.lit(None).cast("string")).when(t == 0, F.lit("N/A")).otherwise(
         F.format_string("%.1f%%", F.round(F.lit(100.0) * v / t, 1)))

@@ -7,7 +7,7 @@ from regiflow.operators import integrity as I
 from regiflow.plans import oracle as O
 from regiflow.plans import standins as S
 from regiflow.plans.catalog import register
-from regiflow.schema import DOWNLOADED_OR_LATER, TRANSFORMED_OR_LATER
+from regiflow.schema import DOWNLOADED_OR_LATER, LAYOUTS, TRANSFORMED_OR_LATER
 
 _CTL = f"({O.CONTROL})"
 _STORE = f"({O.STORE})"
@@ -207,15 +207,13 @@ def list_objects(spark, sf):
 
 _TSTATUS = f"""
 SELECT c.year_month, c.file_name, {O.file_type('c.file_name')} AS file_type,
-  {O.file_type('c.file_name')} IN ({O.in_list(['Empresas', 'Estabelecimentos', 'Socios', 'Simples', 'Paises',
-                                                 'Municipios', 'Qualificacoes', 'Naturezas', 'Cnaes', 'Motivos'])}) AS mapped,
+  {O.file_type('c.file_name')} IN ({O.in_list(list(LAYOUTS))}) AS mapped,
   CASE WHEN c.local_size_bytes IS NOT NULL AND c.local_size_bytes <> 0
        THEN round(CAST(c.local_size_bytes AS DOUBLE) / 1048576.0, 1) END AS zip_size_mb,
   p.parquet_file IS NOT NULL AS parquet_exists_local,
   round(CAST(p.size_bytes AS DOUBLE) / 1048576.0, 1) AS parquet_size_mb_local,
   p.size_bytes AS parquet_size_bytes, p.row_count,
-  CASE WHEN NOT ({O.file_type('c.file_name')} IN ({O.in_list(['Empresas', 'Estabelecimentos', 'Socios', 'Simples',
-      'Paises', 'Municipios', 'Qualificacoes', 'Naturezas', 'Cnaes', 'Motivos'])})) THEN 'not_mapped'
+  CASE WHEN NOT ({O.file_type('c.file_name')} IN ({O.in_list(list(LAYOUTS))})) THEN 'not_mapped'
        ELSE c.status END AS status
 FROM {_CTL} c LEFT JOIN {_STATS} p ON p.parquet_file = replace(c.file_name, '.zip', '.parquet')
 WHERE c.status IN ({_TRACKED})"""
