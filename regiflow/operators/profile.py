@@ -38,8 +38,10 @@ def profile_columns(df: DataFrame, columns: list[str] | None = None, samples: in
         F.sum("n").cast("bigint").alias("row_count"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("null_count"),
         F.count_if(F.col("value").isNotNull()).alias("unique_count"))
-    w = Window.partitionBy("column_name").orderBy("value")
-    top = (vc.where(F.col("value").isNotNull()).withColumn("rk", F.row_number().over(w))
+    # Nulls sort last and collect_list drops them, so both branches read the
+    # same grouped set (no pushed filter) and share one shuffle.
+    w = Window.partitionBy("column_name").orderBy(F.col("value").asc_nulls_last())
+    top = (vc.withColumn("rk", F.row_number().over(w))
            .where(F.col("rk") <= samples)
            .groupBy("column_name")
            .agg(F.array_join(F.array_sort(F.collect_list("value")), " | ").alias("sample_values")))
