@@ -104,7 +104,7 @@ def forest(label: str, features: str = "features", max_bins: int = 32) -> Random
                                   maxBins=max_bins)
 
 
-def simples_pipeline(max_bins: int) -> Pipeline:
+def simples_model_spec(max_bins: int) -> Pipeline:
     return Pipeline(stages=[
         label_encoder("natureza_juridica"), label_encoder("porte_empresa"),
         VectorAssembler(inputCols=["natureza_juridica_idx", "capital_social", "porte_empresa_idx"],
@@ -112,7 +112,7 @@ def simples_pipeline(max_bins: int) -> Pipeline:
         forest("target", max_bins=max_bins)])
 
 
-def size_pipeline(dummy_cols: list[str], max_bins: int = 32) -> Pipeline:
+def size_model_spec(dummy_cols: list[str], max_bins: int = 32) -> Pipeline:
     return Pipeline(stages=[
         StringIndexer(inputCol="porte_empresa", outputCol="label", stringOrderType="alphabetAsc"),
         VectorAssembler(inputCols=["capital_social", *dummy_cols], outputCol="features"),
@@ -152,7 +152,7 @@ def multiclass_metrics(pred: DataFrame, label: str = "label", prediction: str =
 
 def train_simples(train: DataFrame) -> PipelineModel:
     bins = max(32, len(category_values(train, "natureza_juridica")) + 1)
-    return simples_pipeline(bins).fit(train)
+    return simples_model_spec(bins).fit(train)
 
 
 def save_model(model: PipelineModel, base_dir: str, name: str) -> str:
