@@ -19,7 +19,7 @@ from regiflow.schema import TYPED
 from regiflow.sources.tables import table
 
 # Fixed query parameters of the registered registry queries.
-SEARCH_TERM = "er#000001"
+SEARCH_TERM = "er#0000000"
 PAGE_LIMIT, PAGE_OFFSET = 20, 40
 LOOKUP_KEY = "00000042"
 PARTS = 10
