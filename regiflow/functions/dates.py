@@ -29,3 +29,16 @@ def to_date_typed(c, fmt: str = "yyyy-MM-dd") -> Column:
 def year_month(c) -> Column:
     """Timestamp/date -> ``yyyy-MM`` text."""
     return F.date_format(_c(c), "yyyy-MM")
+
+
+def iso_text(c) -> Column:
+    """Timestamp -> ISO-8601 text (``2025-06-01T12:00:00``, microseconds when present)."""
+    ts = _c(c)
+    frac = F.date_format(ts, "SSSSSS")
+    base = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
+    return F.when(frac == "000000", base).otherwise(F.concat(base, F.lit("."), frac))
+
+
+def now_utc() -> Column:
+    """Current timestamp of the query (session time zone is UTC)."""
+    return F.current_timestamp()

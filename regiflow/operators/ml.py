@@ -100,8 +100,29 @@ def one_hot(df: DataFrame, col: str, values: list[str] | None = None, drop_first
 # --- models -------------------------------------------------------------------
 
 def forest(label: str, features: str = "features", max_bins: int = 32) -> RandomForestClassifier:
+    """100 trees of depth 10, seed 42 (reference parameters).
+
+    ``maxMemoryInMB`` lets each pass over the data grow more nodes at once
+    (fewer passes per tree level) and ``cacheNodeIds`` avoids re-walking the
+    trees for every row at deep levels; neither changes the model family.
+    """
     return RandomForestClassifier(labelCol=label, featuresCol=features, numTrees=100, maxDepth=10, seed=SEED,
-                                  maxBins=max_bins)
+                                  maxBins=max_bins, maxMemoryInMB=1024, cacheNodeIds=True)
+
+
+def fit_persisted(spec: Pipeline, train: DataFrame) -> PipelineModel:
+    """Fit with the training rows persisted for the duration of the fit.
+
+    The encoders and every tree level read the input again; persisting keeps
+    the joins that build it from being recomputed each time (lost blocks are
+    recomputed from lineage, so executor loss is survivable).
+    """
+    from pyspark import StorageLevel
+    cached = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return spec.fit(cached)
+    finally:
+        cached.unpersist()
 
 
 def simples_model_spec(max_bins: int) -> Pipeline:
@@ -152,7 +173,7 @@ def multiclass_metrics(pred: DataFrame, label: str = "label", prediction: str =
 
 def train_simples(train: DataFrame) -> PipelineModel:
     bins = max(32, len(category_values(train, "natureza_juridica")) + 1)
-    return simples_model_spec(bins).fit(train)
+    return fit_persisted(simples_model_spec(bins), train)
 
 
 def save_model(model: PipelineModel, base_dir: str, name: str) -> str:

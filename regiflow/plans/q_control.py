@@ -151,3 +151,94 @@ SELECT year_month, {", ".join(f"count(*) FILTER (WHERE {_CLASS} = '{c}') AS {c}"
 FROM {_CTL} GROUP BY 1""", "CTL7 summary AGG5")
 def progress_summary(spark, sf):
     return C.progress_summary(S.control(spark, sf))
+
+
+# --- state transitions (event generation from result logs) ----------------------
+
+_STORE = f"({O.STORE}) s"
+
+
+@register("download_events", f"""
+SELECT c.year_month, c.file_name,
+  CASE WHEN s.key IS NOT NULL THEN 'downloaded' ELSE 'error' END AS status,
+  s.size_bytes AS local_size_bytes, s.content_hash AS local_hash,
+  CASE WHEN s.key IS NOT NULL THEN 100.0::DOUBLE ELSE 0.0::DOUBLE END AS download_progress,
+  CASE WHEN s.key IS NULL THEN 'download failed: ' || c.file_name END AS error_message
+FROM {_CTL} LEFT JOIN {_STORE} ON s.key = 'raw/' || c.year_month || '/' || c.file_name
+WHERE c.status IN ('pending', 'downloading')""", "CTL3 transitions after download")
+def download_events(spark, sf):
+    from regiflow.functions.text import object_key
+    cur = S.control(spark, sf).where(F.col("status").isin("pending", "downloading"))
+    st = S.store_inventory(spark, sf).select(F.col("key").alias("s_key"), "size_bytes", "content_hash")
+    j = cur.join(st, object_key("raw", F.col("year_month"), F.col("file_name")) == F.col("s_key"), "left")
+    ok = F.col("s_key").isNotNull()
+    return j.select("year_month", "file_name", F.when(ok, "downloaded").otherwise("error").alias("status"),
+                    F.col("size_bytes").alias("local_size_bytes"), F.col("content_hash").alias("local_hash"),
+                    F.when(ok, F.lit(100.0)).otherwise(F.lit(0.0)).alias("download_progress"),
+                    F.when(~ok, F.concat(F.lit("download failed: "), F.col("file_name"))).alias("error_message"))
+
+
+_MAPPED_SQL = f"{O.file_type('c.file_name')} IN ({O.in_list(list(__import__('regiflow.schema', fromlist=['LAYOUTS']).LAYOUTS))})"
+
+
+@register("transform_events", f"""
+SELECT c.year_month, c.file_name,
+  CASE WHEN NOT ({_MAPPED_SQL}) THEN 'skipped' WHEN p.parquet_file IS NOT NULL THEN 'transformed' ELSE 'error' END
+    AS status,
+  CASE WHEN NOT ({_MAPPED_SQL}) THEN 'not_mapped' WHEN p.parquet_file IS NULL THEN 'no output written' END AS reason,
+  p.row_count
+FROM {_CTL} LEFT JOIN ({O.PROCESSED_STATS}) p ON p.parquet_file = replace(c.file_name, '.zip', '.parquet')
+WHERE c.status = 'downloaded'""", "CTL4 ENT7 transitions after transform")
+def transform_events(spark, sf):
+    from regiflow.functions.text import is_mapped, parquet_name
+    cur = S.control(spark, sf).where(F.col("status") == "downloaded")
+    j = cur.join(S.processed_stats(spark, sf), parquet_name(F.col("file_name")) == F.col("parquet_file"), "left")
+    mapped = is_mapped(F.col("file_name"))
+    return j.select("year_month", "file_name",
+                    F.when(~mapped, "skipped").when(F.col("parquet_file").isNotNull(), "transformed")
+                    .otherwise("error").alias("status"),
+                    F.when(~mapped, "not_mapped").when(F.col("parquet_file").isNull(), "no output written")
+                    .alias("reason"), "row_count")
+
+
+@register("load_events", f"""
+SELECT c.year_month, c.file_name, 'loaded' AS status, p.row_count
+FROM {_CTL} JOIN ({O.PROCESSED_STATS}) p ON p.parquet_file = replace(c.file_name, '.zip', '.parquet')
+WHERE c.status = 'transformed' AND {_MAPPED_SQL}""", "CTL5 only files that loaded (D7)")
+def load_events(spark, sf):
+    from regiflow.functions.text import is_mapped, parquet_name
+    cur = S.control(spark, sf).where((F.col("status") == "transformed") & is_mapped(F.col("file_name")))
+    j = cur.join(S.processed_stats(spark, sf), parquet_name(F.col("file_name")) == F.col("parquet_file"), "inner")
+    return j.select("year_month", "file_name", F.lit("loaded").alias("status"), "row_count")
+
+
+@register("resolve_sources", f"""
+SELECT file_name, location, size_bytes, origin FROM (
+  SELECT *, row_number() OVER (PARTITION BY file_name ORDER BY priority) AS rn FROM (
+    SELECT file_name, 'local:raw/' || year_month || '/' || file_name AS location, local_size_bytes AS size_bytes,
+      0 AS priority, 'local' AS origin
+    FROM {_CTL} WHERE status IN ({_TRACKED}) AND file_id % 3 <> 0
+    UNION ALL
+    SELECT split_part(key, '/', 3), 'store:' || key, size_bytes, 1, 'store'
+    FROM {_STORE} WHERE starts_with(key, 'raw/')) b) r
+WHERE rn = 1""", "SRC12 local-first fallback to store")
+def resolve_sources(spark, sf):
+    from regiflow.sources.resolve import resolve_sources as rs
+    c = S.control(spark, sf).where(F.col("status").isin(DOWNLOADED_OR_LATER) & (F.col("file_id") % 3 != 0))
+    local = c.select("file_name", F.concat(F.lit("local:raw/"), F.col("year_month"), F.lit("/"),
+                                           F.col("file_name")).alias("location"),
+                     F.col("local_size_bytes").alias("size_bytes"))
+    st = S.store_inventory(spark, sf).where(F.col("key").startswith("raw/"))
+    store = st.select(F.split("key", "/").getItem(2).alias("file_name"),
+                      F.concat(F.lit("store:"), F.col("key")).alias("location"), "size_bytes")
+    return rs(local, store)
+
+
+@register("iso_timestamps", f"""
+SELECT file_name, strftime(discovered_at, '%Y-%m-%dT%H:%M:%S') AS discovered_at_iso,
+  strftime(synced_at, '%Y-%m-%dT%H:%M:%S') AS synced_at_iso FROM {_CTL}""", "DAT2 ISO text")
+def iso_timestamps(spark, sf):
+    from regiflow.functions.dates import iso_text
+    c = S.control(spark, sf)
+    return c.select("file_name", iso_text(F.col("discovered_at")).alias("discovered_at_iso"),
+                    iso_text(F.col("synced_at")).alias("synced_at_iso"))

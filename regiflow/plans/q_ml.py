@@ -100,7 +100,7 @@ def rf_size(spark, sf):
                **M.one_hot_columns("opcao_pelo_simples", M.category_values(data, "opcao_pelo_simples"))}
     data = data.withColumns(dummies)
     train, test = M.split(data)
-    model = M.size_model_spec(list(dummies)).fit(train)
+    model = M.fit_persisted(M.size_model_spec(list(dummies)), train)
     return M.multiclass_metrics(model.transform(test))
 
 
