@@ -89,6 +89,10 @@ class _ZipReader(DataSourceReader):
         self.multi_line = options.get("multiLine", "false").lower() == "true"
 
     def partitions(self):
+        if self.options.get("paths"):
+            # Explicit archive list (e.g. the parts of one entity from an inventory).
+            paths = [p for p in self.options["paths"].split("\n") if p]
+            return [_ArchivePartition(p[5:] if p.startswith("file:") else p) for p in paths]
         pattern = self.options["path"]
         paths = sorted(_glob.glob(pattern)) if any(ch in pattern for ch in "*?[") else (
             sorted(os.path.join(pattern, f) for f in os.listdir(pattern)) if os.path.isdir(pattern) else [pattern])
@@ -137,6 +141,15 @@ def read_zip(spark: SparkSession, path: str, entity: str, multi_line: bool = Fal
             .option("multiLine", str(multi_line).lower()).load(path))
 
 
+def read_zip_paths(spark: SparkSession, paths: list[str], entity: str, multi_line: bool = False) -> DataFrame:
+    """The given archives (one input partition each) as raw entity text."""
+    if entity not in LAYOUTS:
+        raise ValueError(f"unknown entity {entity!r}")
+    register(spark)
+    return (spark.read.format("registry_zip").option("entity", entity).option("paths", "\n".join(paths))
+            .option("multiLine", str(multi_line).lower()).load())
+
+
 def read_zip_binary(spark: SparkSession, path: str, entity: str, multi_line: bool = False) -> DataFrame:
     """Same output as :func:`read_zip` for archives on any Hadoop file system."""
     schema = _schema_ddl(entity)
