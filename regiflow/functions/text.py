@@ -6,6 +6,8 @@ Every function takes and returns ``Column`` objects built from
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -69,6 +71,23 @@ def file_base(c) -> Column:
     return F.regexp_replace(_c(c), r"(?i)\d*\.zip|\d*\.tar\.gz", "")
 
 
+def _first_prefix(lower_base: Column, keys: list[str]) -> Column:
+    """The first of ``keys`` (in order) that prefixes ``lower_base``, else ''.
+
+    One anchored alternation replaces a chain of ``startswith`` tests, so the
+    base name is derived once per row instead of once per branch.
+    """
+    alts = "|".join(re.escape(k) for k in keys)
+    return F.regexp_extract(lower_base, f"^({alts})", 1)
+
+
+def _map_equal(c: Column, mapping: dict[str, str]) -> Column:
+    out = None
+    for k, v in mapping.items():
+        out = F.when(c == k, F.lit(v)) if out is None else out.when(c == k, F.lit(v))
+    return out
+
+
 def file_type(c) -> Column:
     """Entity type of a raw archive name (``Empresas3.zip`` -> ``Empresas``).
 
@@ -76,12 +95,8 @@ def file_type(c) -> Column:
     base is returned as is (and is then "not mapped").
     """
     base = file_base(c)
-    lower = F.lower(base)
-    out = None
-    for entity in LAYOUTS:
-        cond = lower.startswith(entity.lower())
-        out = F.when(cond, F.lit(entity)) if out is None else out.when(cond, F.lit(entity))
-    return out.otherwise(base)
+    hit = _first_prefix(F.lower(base), [e.lower() for e in LAYOUTS])
+    return F.when(hit != "", _map_equal(hit, {e.lower(): e for e in LAYOUTS})).otherwise(base)
 
 
 def is_mapped(c) -> Column:
@@ -96,11 +111,8 @@ def parquet_name(c) -> Column:
 def table_name(c) -> Column:
     """Warehouse table of a processed file name (``Empresas0.parquet`` -> ``cnpj_empresas``)."""
     base = F.lower(F.regexp_replace(_c(c), r"(?i)\d*\.parquet", ""))
-    out = None
-    for key, table in TABLES.items():
-        cond = base.startswith(key)
-        out = F.when(cond, F.lit(table)) if out is None else out.when(cond, F.lit(table))
-    return out.otherwise(F.concat(F.lit("cnpj_"), base))
+    hit = _first_prefix(base, list(TABLES))
+    return F.when(hit != "", _map_equal(hit, TABLES)).otherwise(F.concat(F.lit("cnpj_"), base))
 
 
 def object_key(layer, year_month, file_name) -> Column:

@@ -171,8 +171,13 @@ def transform_summary(status: DataFrame) -> DataFrame:
 def table_counts(current: DataFrame, stats: DataFrame) -> DataFrame:
     """Rows per warehouse table from the files recorded as loaded."""
     loaded = current.where(F.col("status") == "loaded").select(parquet_name(F.col("file_name")).alias("parquet_file"))
+    # The inner join already makes parquet_file non-null; saying so with a
+    # coalesce makes the key non-nullable, so the ``isnotnull(table_name)``
+    # that a later join on it would infer is folded away instead of being
+    # pushed through both aggregates into the scan of the statistics' source.
+    key = F.coalesce(table_name(F.col("parquet_file")), F.lit(""))
     return (stats.join(loaded, "parquet_file")
-            .groupBy(table_name(F.col("parquet_file")).alias("table_name"))
+            .groupBy(key.alias("table_name"))
             .agg(F.sum("row_count").cast("bigint").alias("db_rows")))
 
 
