@@ -27,7 +27,7 @@ def human_bytes_q(spark, sf):
                     human_bytes(F.col("file_id")).alias("id_human"))
 
 
-_SECS = "((file_id % 90000) - 1000) * 1.5"
+_SECS = "((file_id % 90000) - 1000) * CAST(1.5 AS DOUBLE)"
 _W = f"CAST(floor({_SECS}) AS BIGINT)"
 
 
