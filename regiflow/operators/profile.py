@@ -50,6 +50,29 @@ def profile_columns(df: DataFrame, columns: list[str] | None = None, samples: in
             .withColumn("all_null", (F.col("null_count") == F.col("row_count")) & (F.col("row_count") > 0)))
 
 
+def profile_columns_approx(df: DataFrame, columns: list[str] | None = None, rsd: float = 0.01) -> DataFrame:
+    """One-pass profile without a data shuffle: HyperLogLog distinct counts.
+
+    Every statistic is a partial aggregate (one row per task is shuffled), so
+    the cost is one scan regardless of column cardinality; ``sample_values``
+    holds the smallest value only.  Use when the exact profile's pair shuffle
+    (rows x columns) is too heavy.
+    """
+    cols = columns or df.columns
+    aggs = [F.count(F.lit(1)).alias("__rows")]
+    for i, c in enumerate(cols):
+        v = F.col(c).cast("string")
+        aggs += [F.count_if(v.isNull()).alias(f"__n{i}"), F.approx_count_distinct(v, rsd).alias(f"__u{i}"),
+                 F.min(v).alias(f"__s{i}")]
+    row = df.agg(*aggs)
+    items = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col("__rows").alias("row_count"),
+                               F.col(f"__n{i}").alias("null_count"), F.col(f"__u{i}").alias("unique_count"),
+                               F.col(f"__s{i}").alias("sample_values")) for i, c in enumerate(cols)])
+    return (row.select(F.explode(items).alias("p")).select("p.*")
+            .withColumn("null_pct", percent_text(F.col("null_count"), F.col("row_count")))
+            .withColumn("all_null", (F.col("null_count") == F.col("row_count")) & (F.col("row_count") > 0)))
+
+
 def profile_number(df: DataFrame, column: str = "capital_social") -> DataFrame:
     """min / max / zeros / negatives of a decimal-comma text column (per-row parse)."""
     v = decimal_comma(F.col(column))

@@ -81,3 +81,37 @@ def test_quality_rules_pass_and_fail(spark):
     with pytest.raises(AssertionError):
         Q.assert_checkpoint(r_bad)
     assert {r["suite"]: r["success"] for r in Q.checkpoint(r_bad).collect()} == {"empresas": False, "simples": False}
+
+
+def test_approx_profile_matches_exact_on_small_data(spark):
+    from regiflow.operators import profile as P
+    from regiflow.plans import silver
+    from tests.conftest import SF_SMALL
+    df = silver.companies_text(spark, SF_SMALL)
+    exact = {r["column_name"]: r for r in P.profile_columns(df).collect()}
+    approx = {r["column_name"]: r for r in P.profile_columns_approx(df).collect()}
+    assert exact.keys() == approx.keys()
+    for c in exact:
+        assert exact[c]["null_count"] == approx[c]["null_count"]
+        assert exact[c]["row_count"] == approx[c]["row_count"]
+        assert abs(exact[c]["unique_count"] - approx[c]["unique_count"]) <= max(2, 0.05 * exact[c]["unique_count"])
+        if exact[c]["sample_values"]:
+            assert exact[c]["sample_values"].split(" | ")[0] == approx[c]["sample_values"]
+
+
+def test_model_save_load_and_run_log(spark, tmp_path):
+    from regiflow.operators import ml as M
+    from regiflow.plans import silver
+    from tests.conftest import SF_SMALL
+    data = M.training_set_simples(silver.companies(spark, SF_SMALL), silver.simples(spark, SF_SMALL))
+    train, test = M.split(data)
+    assert train.count() + test.count() == data.count()
+    model = M.train_simples(train)
+    path = M.save_model(model, str(tmp_path), "rf")
+    scored = M.score(M.load_model(path), test)
+    assert scored.count() == test.count()
+    metrics = M.binary_metrics(M.load_model(path).transform(test))
+    M.log_run(metrics, {"numTrees": 100, "maxDepth": 10}, str(tmp_path / "runs"))
+    M.log_run(metrics, {"numTrees": 100, "maxDepth": 10}, str(tmp_path / "runs"))
+    runs = spark.read.parquet(str(tmp_path / "runs"))
+    assert runs.count() == 2 and {"accuracy", "f1", "numTrees", "run_at"} <= set(runs.columns)
