@@ -9,7 +9,7 @@ from regiflow.operators import control as C
 from regiflow.plans import oracle as O
 from regiflow.plans import standins as S
 from regiflow.plans.catalog import register
-from regiflow.schema import DOWNLOADED_OR_LATER, STATUSES
+from regiflow.schema import DOWNLOADED_OR_LATER, LAYOUTS, STATUSES
 
 _CTL = f"({O.CONTROL}) c"
 _TRACKED = O.in_list(DOWNLOADED_OR_LATER)
@@ -178,7 +178,7 @@ def download_events(spark, sf):
                     F.when(~ok, F.concat(F.lit("download failed: "), F.col("file_name"))).alias("error_message"))
 
 
-_MAPPED_SQL = f"{O.file_type('c.file_name')} IN ({O.in_list(list(__import__('regiflow.schema', fromlist=['LAYOUTS']).LAYOUTS))})"
+_MAPPED_SQL = f"{O.file_type('c.file_name')} IN ({O.in_list(list(LAYOUTS))})"
 
 
 @register("transform_events", f"""

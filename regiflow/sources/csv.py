@@ -64,13 +64,19 @@ def split_quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def read_by_type(spark: SparkSession, root: str, entity: str, multi_line: bool = False) -> DataFrame:
-    """Every ``*.csv`` under ``root`` whose name maps to ``entity`` (multi-part union).
+    """Every file under ``root`` whose name routes to ``entity`` (multi-part union).
 
-    The file filter is a glob on the entity prefix, so part files of other
-    entities are never opened.
+    Names are routed with the same rule as archives (case-insensitive prefix,
+    e.g. ``estabelecimentos3.csv``); only the matching part files are opened,
+    in one scan.  The list passed to the reader is file metadata of one folder.
     """
-    df = read_entity(spark, f"{root.rstrip('/')}/{entity}*", entity, multi_line)
-    return df.where(file_type(F.col("source_file")) == entity)
+    from regiflow.sources.listing import inventory
+    files = (inventory(spark, root).select("path", last_component(F.col("key")).alias("name"))
+             .where(file_type(F.col("name")) == entity))
+    paths = [r["path"] for r in files.collect()]
+    if not paths:
+        raise FileNotFoundError(f"no {entity} files under {root}")
+    return read_entity(spark, paths, entity, multi_line)
 
 
 def sample_per_file(df: DataFrame, n: int) -> DataFrame:

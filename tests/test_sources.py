@@ -115,3 +115,13 @@ def test_parquet_row_counts(spark, tmp_path):
     spark.range(100).repartition(3).write.parquet(out)
     c = listing.parquet_row_counts(spark, out)
     assert c.agg(F.sum("row_count")).first()[0] == 100 and c.count() == 3
+
+
+def test_read_by_type_routes_mixed_case_names(spark, tmp_path):
+    lines = csv_lines(spark, SF_SMALL)
+    write_csv(str(tmp_path / "Empresas0.csv"), lines[:10])
+    write_csv(str(tmp_path / "empresas1.CSV"), lines[10:15])
+    write_csv(str(tmp_path / "Socios0.csv"), ["1;2;X;123;10;20230101;;;;;1"])
+    df = read_by_type(spark, str(tmp_path), "Empresas")
+    assert df.count() == 15
+    assert {r[0] for r in df.select("source_file").distinct().collect()} == {"Empresas0.csv", "empresas1.CSV"}
