@@ -172,3 +172,33 @@ def multi_part_union(spark, sf):
 def content_hash(spark, sf):
     d = table(spark, sf, "documents")
     return d.select("doc_id", F.sha2(F.col("text"), 256).alias("content_sha256"), "n_chars")
+
+
+WILDCARD_TERM = "er#0000000_"
+AFTER_KEY = "00000500"
+
+
+@register("search_wildcard", f"""
+SELECT {_LIST_SQL} FROM ({O.companies_sql()}) c
+WHERE razao_social ILIKE '%{WILDCARD_TERM}%' ORDER BY cnpj_basico NULLS LAST LIMIT {PAGE_LIMIT}""",
+          "QRY2 FLT2 '_' in the term is a wildcard (D22 default)")
+def search_wildcard(spark, sf):
+    return registry.search_name(silver.companies(spark, sf), WILDCARD_TERM, PAGE_LIMIT)
+
+
+@register("list_page_keyset", f"""
+SELECT {_LIST_SQL} FROM ({O.companies_sql()}) c WHERE cnpj_basico > '{AFTER_KEY}'
+ORDER BY cnpj_basico NULLS LAST LIMIT {PAGE_LIMIT}""", "QRY1 SRT3 keyset paging")
+def list_page_keyset(spark, sf):
+    return registry.list_page(silver.companies(spark, sf), PAGE_LIMIT, after_key=AFTER_KEY)
+
+
+@register("lookup_batch", f"""
+SELECT cnpj_basico, razao_social, natureza_juridica, qualificacao_responsavel, capital_social,
+  porte_empresa, ente_federativo_responsavel
+FROM ({O.companies_sql()}) c
+WHERE cnpj_basico IN (SELECT cnpj_basico FROM ({O.simples_sql()}) s WHERE opcao_pelo_simples = 'S')""",
+          "QRY3 batch lookup (semi join) FLT8")
+def lookup_batch(spark, sf):
+    keys = silver.simples(spark, sf).where(F.col("opcao_pelo_simples") == "S").select("cnpj_basico")
+    return registry.lookup_keys(silver.companies(spark, sf), keys)

@@ -49,3 +49,20 @@ def test_typed_and_rejects(spark):
                                                               ("data_opcao_simples", "invalid_date")]
     # silver rows = typed rows (rejects only explain the nulls)
     assert to_typed(df, "Simples").count() == df.count()
+
+
+def test_search_escape_and_bounds(spark):
+    import pytest
+    from regiflow.operators import registry
+    from regiflow.plans import silver
+    from tests.conftest import SF_SMALL
+    c = silver.companies(spark, SF_SMALL)
+    assert registry.search_name(c, "er#0000000_").count() > 0          # '_' is a wildcard by default
+    assert registry.search_name(c, "er#0000000_", escape=True).count() == 0
+    with pytest.raises(ValueError):
+        registry.search_name(c, "ab")
+    with pytest.raises(ValueError):
+        registry.list_page(c, limit=101)
+    with pytest.raises(ValueError):
+        registry.list_page(c, offset=-1)
+    assert registry.lookup_key(c, "99999999").count() == 0             # not found
