@@ -50,9 +50,15 @@ def current_state(spark: SparkSession, log_path: str) -> DataFrame:
 
 
 def run_month(spark: SparkSession, raw_root: str, work_root: str, year_month: str,
-              load_mode: str = "append", first_only: bool = False) -> DataFrame:
-    """Ingest the archives of ``raw_root/year_month``; returns one outcome row per file."""
-    log = f"{work_root}/control_log"
+              load_mode: str = "append", first_only: bool = False, log: str | None = None) -> DataFrame:
+    """Ingest the archives of ``raw_root/year_month``; returns one outcome row per file.
+
+    Silver and warehouse tables are partitioned by ``(year_month,
+    source_file)`` and written with dynamic partition overwrite, so a file
+    processed again (e.g. after a crash between the data write and its state
+    event) replaces its own rows instead of duplicating them.
+    """
+    log = log or f"{work_root}/control_log"
     files = (inventory(spark, f"{raw_root}/{year_month}", glob="*.[zZ][iI][pP]")
              .select(F.lit(year_month).alias("year_month"), F.element_at(F.split("key", "/"), -1).alias("file_name"),
                      "path", "size_bytes")
@@ -87,8 +93,11 @@ def run_month(spark: SparkSession, raw_root: str, work_root: str, year_month: st
         good, bad = split_quarantine(raw)
         silver = normalize(good, entity).withColumn("year_month", F.lit(year_month))
         table = f"{work_root}/processed/{entity.lower()}"
-        silver.write.mode("append").partitionBy("year_month").parquet(table)
-        bad.write.mode("append").parquet(f"{work_root}/quarantine/{entity.lower()}")
+        (silver.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("year_month", "source_file").parquet(table))
+        (bad.withColumn("year_month", F.lit(year_month)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("year_month", "source_file")
+         .parquet(f"{work_root}/quarantine/{entity.lower()}"))
         names = [os.path.basename(p) for p in paths]
         written = (spark.read.parquet(table)
                    .where((F.col("year_month") == year_month) & F.col("source_file").isin(names)))
@@ -98,7 +107,8 @@ def run_month(spark: SparkSession, raw_root: str, work_root: str, year_month: st
         transformed = part_files.join(counts, "file_name", "left")
         _events(transformed, "transformed", 2).write.mode("append").partitionBy("year_month").parquet(log)
         gold = f"{work_root}/warehouse/{entity.lower()}"
-        result = load_table(spark, written.drop("source_file"), gold, load_mode, partition_by=("year_month",))
+        result = load_table(spark, written, gold, load_mode, partition_by=("year_month", "source_file"),
+                            idempotent=True)
         status = "loaded" if result["action"] != "skipped" else "transformed"
         if status == "loaded":
             _events(part_files, "loaded", 3).write.mode("append").partitionBy("year_month").parquet(log)

@@ -51,17 +51,24 @@ def table_has_rows(spark: SparkSession, path: str) -> bool:
 
 
 def load_table(spark: SparkSession, df: DataFrame, path: str, mode: str = "append",
-               partition_by: tuple[str, ...] = ()) -> dict:
+               partition_by: tuple[str, ...] = (), idempotent: bool = False) -> dict:
     """Load one table (all its part files already unioned in ``df``).
 
+    With ``idempotent=True`` an append replaces exactly the partitions present
+    in ``df`` (dynamic partition overwrite on ``partition_by``), so loading
+    the same source files again after a failure cannot duplicate rows.
     Returns the outcome ``{"table": path, "mode": mode, "action": ...}``.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
+    if idempotent and not partition_by:
+        raise ValueError("idempotent loads need partition columns")
     if mode == "skip" and table_has_rows(spark, path):
         return {"table": path, "mode": mode, "action": "skipped"}
-    write_mode = "overwrite" if mode == "replace" else "append"
+    write_mode = "overwrite" if (mode == "replace" or idempotent) else "append"
     w = df.write.mode(write_mode).option("compression", "snappy")
+    if idempotent and mode != "replace":
+        w = w.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

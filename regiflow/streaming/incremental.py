@@ -31,13 +31,43 @@ def raw_stream(spark: SparkSession, folder: str, entity: str, max_files_per_trig
     return reader.csv(folder).withColumn("source_file", F.col("_metadata.file_name"))
 
 
+def write_micro_batch(batch: DataFrame, batch_id: int, out_path: str, events_path: str | None = None,
+                      year_month: str | None = None) -> int:
+    """Write one micro-batch idempotently; returns the number of good rows.
+
+    ``foreachBatch`` is at-least-once: after a failure the same ``batch_id``
+    can run again.  Every output of a batch goes to its own ``batch=<id>``
+    folder written with overwrite, so a re-run replaces that batch's files
+    instead of appending duplicates.
+    """
+    from pyspark import StorageLevel
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        good, bad = split_quarantine(batch)
+        parts = ["year_month"] if "year_month" in good.columns else []
+        w = good.write.mode("overwrite").option("compression", "snappy")
+        (w.partitionBy(*parts) if parts else w).parquet(f"{out_path.rstrip('/')}/batch={batch_id}")
+        bad.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}_quarantine/batch={batch_id}")
+        if events_path is not None:
+            ev = (batch.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))
+                  .select(F.lit(year_month or "").alias("year_month"), F.col("source_file").alias("file_name"),
+                          F.lit("transformed").alias("status"), "rows",
+                          F.current_timestamp().alias("event_time"), F.lit(batch_id).cast("long").alias("seq")))
+            ev.write.mode("overwrite").parquet(f"{events_path.rstrip('/')}/batch={batch_id}")
+        return good.count()
+    finally:
+        batch.unpersist()
+
+
 def ingest(spark: SparkSession, folder: str, entity: str, out_path: str, checkpoint: str,
            events_path: str | None = None, year_month: str | None = None) -> int:
     """Process new files of ``folder`` once (availableNow); returns rows written.
 
     ``checkpoint`` must be on the shared file system (e.g. below
     ``spark.checkpoint.dir``): it is what makes re-runs skip finished files
-    and lets a restarted run resume after executor or driver loss.
+    and lets a restarted run resume after executor or driver loss.  Outputs
+    are read back with ``spark.read.parquet(out_path)`` (``batch`` appears as
+    a partition column).
     """
     silver = normalize(raw_stream(spark, folder, entity), entity)
     if year_month is not None:
@@ -45,22 +75,7 @@ def ingest(spark: SparkSession, folder: str, entity: str, out_path: str, checkpo
     written = [0]
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # The micro-batch feeds three writes; persist it so the files are
-        # parsed once (a lost block is recomputed from the source files).
-        batch = batch.persist()
-        good, bad = split_quarantine(batch)
-        parts = ["year_month"] if "year_month" in good.columns else []
-        w = good.write.mode("append").option("compression", "snappy")
-        (w.partitionBy(*parts) if parts else w).parquet(out_path)
-        bad.write.mode("append").parquet(out_path.rstrip("/") + "_quarantine")
-        if events_path is not None:
-            ev = (batch.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))
-                  .select(F.lit(year_month or "").alias("year_month"), F.col("source_file").alias("file_name"),
-                          F.lit("transformed").alias("status"), "rows",
-                          F.current_timestamp().alias("event_time"), F.lit(batch_id).cast("long").alias("seq")))
-            ev.write.mode("append").parquet(events_path)
-        written[0] += good.count()
-        batch.unpersist()
+        written[0] += write_micro_batch(batch, batch_id, out_path, events_path, year_month)
 
     q = (silver.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

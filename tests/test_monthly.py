@@ -39,3 +39,16 @@ def test_run_month(spark, tmp_path):
     again = run_month(spark, raw, work, "2025-06")
     assert again.where(F.col("outcome") == "loaded").count() == 0
     assert spark.read.parquet(f"{work}/warehouse/empresas").count() == gold.count()
+
+
+def test_run_month_reprocessing_does_not_duplicate(spark, tmp_path):
+    raw, work = str(tmp_path / "raw"), str(tmp_path / "work")
+    comp = csv_lines(spark, SF_SMALL)
+    write_zip(f"{raw}/2025-06/Empresas0.zip", {"a.csv": comp[:70]})
+    write_zip(f"{raw}/2025-06/Empresas1.zip", {"b.csv": comp[70:]})
+    run_month(spark, raw, work, "2025-06")
+    n = spark.read.parquet(f"{work}/warehouse/empresas").count()
+    # state events lost (crash after the data writes): everything is processed again
+    run_month(spark, raw, work, "2025-06", log=str(tmp_path / "fresh_log"))
+    assert spark.read.parquet(f"{work}/warehouse/empresas").count() == n == len(comp)
+    assert spark.read.parquet(f"{work}/processed/empresas").count() == n

@@ -66,3 +66,18 @@ def test_incremental_ingest_reruns_add_nothing(spark, tmp_path):
     assert ingest(spark, str(raw), "Empresas", out, ckpt, events_path=ev, year_month="2025-06") == 5
     events = spark.read.parquet(ev)
     assert sorted(r["file_name"] for r in events.collect()) == ["Empresas0.csv", "Empresas1.csv", "Empresas2.csv"]
+
+
+def test_micro_batch_rerun_is_idempotent(spark, tmp_path):
+    from regiflow.operators.rules import normalize
+    from regiflow.sources.csv import read_entity
+    from regiflow.streaming.incremental import write_micro_batch
+    lines = csv_lines(spark, SF_SMALL)
+    write_csv(str(tmp_path / "raw" / "Empresas0.csv"), lines[:40] + DIRTY_LINES)
+    batch = normalize(read_entity(spark, str(tmp_path / "raw"), "Empresas"), "Empresas")
+    out, ev = str(tmp_path / "silver"), str(tmp_path / "events")
+    n1 = write_micro_batch(batch, 7, out, ev, "2025-06")
+    n2 = write_micro_batch(batch, 7, out, ev, "2025-06")   # the same batch re-executed
+    assert n1 == n2 == 40 + len(DIRTY_LINES) - 2
+    assert spark.read.parquet(out).count() == n1
+    assert spark.read.parquet(ev).count() == 1
