@@ -74,3 +74,33 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably (survives executor loss) and drop its lineage."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
+               target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized for a cluster run (pass to ``spark-submit --conf``).
+
+    * Shuffle partitions: enough that each holds about ``target_partition_bytes``
+      of the largest shuffle (bounded below by twice the core count); AQE then
+      coalesces small ones, so over-provisioning is cheap and spills are not.
+    * Scan splits of 512 MB keep per-task input well inside executor memory while
+      cutting task count (100 TB -> ~200k tasks).
+    * Skew: a partition 5x the median and above 512 MB is split (a month or key
+      holding a third of the rows lands in many tasks, not one).
+    * Broadcast only below 64 MB of estimated size; AQE may still convert at run time.
+    """
+    cores = executors * cores_per_executor
+    shuffle = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+        "spark.sql.files.maxPartitionBytes": str(512 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.session.timeZone": "UTC",
+    }

@@ -46,3 +46,23 @@ def test_profile_samples_use_partial_group_limit(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert p.count("WindowGroupLimit") >= 2
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"rf_simples", "rf_size", "batch_score"}))
+def test_windows_are_group_limited(spark, name):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = plan(QUERIES[name](spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    windows = p.count("Window [") + p.count("Window(")
+    if windows:
+        # every ranked window keeps at most n rows per group before its shuffle
+        assert p.count("WindowGroupLimit") >= 2 * windows, p
+
+
+def test_scale_conf_sizes_partitions():
+    from regiflow.session import scale_conf
+    c = scale_conf(100 << 40, 1000, 8)
+    assert int(c["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert scale_conf(1 << 20, 10, 4)["spark.sql.shuffle.partitions"] == "80"
