@@ -115,10 +115,14 @@ def fit_persisted(spec: Pipeline, train: DataFrame) -> PipelineModel:
 
     The encoders and every tree level read the input again; persisting keeps
     the joins that build it from being recomputed each time (lost blocks are
-    recomputed from lineage, so executor loss is survivable).
+    recomputed from lineage, so executor loss is survivable).  Each pass runs
+    one task per partition, and AQE coalesces a small join's output down to a
+    few partitions, so the narrow feature rows are first spread to one
+    partition per core.
     """
     from pyspark import StorageLevel
-    cached = train.persist(StorageLevel.MEMORY_AND_DISK)
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    cached = train.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return spec.fit(cached)
     finally:

@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +21,7 @@ from regiflow.operators.control import latest_state
 from regiflow.operators.rules import normalize
 from regiflow.schema import CONTROL_EVENT_SCHEMA, LAYOUTS
 from regiflow.sinks.tables import load_table
-from regiflow.sources.archives import read_zip_paths
+from regiflow.sources.archives import read_zip_paths, spread_archive_rows
 from regiflow.sources.csv import split_quarantine
 from regiflow.sources.listing import inventory
 
@@ -89,7 +90,9 @@ def run_month(spark: SparkSession, raw_root: str, work_root: str, year_month: st
         if r["file_type"] in LAYOUTS:
             by_entity.setdefault(r["file_type"], []).append(r["path"])
     for entity, paths in sorted(by_entity.items()):
-        raw = read_zip_paths(spark, sorted(paths), entity).drop("member")
+        # archives are decompressed once: the spread text feeds both writes
+        raw = (spread_archive_rows(read_zip_paths(spark, sorted(paths), entity).drop("member"), len(paths))
+               .persist(StorageLevel.MEMORY_AND_DISK))
         good, bad = split_quarantine(raw)
         silver = normalize(good, entity).withColumn("year_month", F.lit(year_month))
         table = f"{work_root}/processed/{entity.lower()}"
@@ -98,6 +101,7 @@ def run_month(spark: SparkSession, raw_root: str, work_root: str, year_month: st
         (bad.withColumn("year_month", F.lit(year_month)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("year_month", "source_file")
          .parquet(f"{work_root}/quarantine/{entity.lower()}"))
+        raw.unpersist()
         names = [os.path.basename(p) for p in paths]
         written = (spark.read.parquet(table)
                    .where((F.col("year_month") == year_month) & F.col("source_file").isin(names)))

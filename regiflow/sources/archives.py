@@ -20,6 +20,7 @@ import os
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from regiflow.schema import LAYOUTS
@@ -150,6 +151,26 @@ def read_zip_paths(spark: SparkSession, paths: list[str], entity: str, multi_lin
             .option("multiLine", str(multi_line).lower()).load())
 
 
+def spread_archive_rows(df: DataFrame, archives: int, cores: int | None = None) -> DataFrame:
+    """Redistribute archive rows over the cluster's cores.
+
+    An archive is one input partition, so the regex cleaning and the Parquet
+    write after the read would run with as many tasks as archives (ten parts
+    of an entity -> ten tasks on a thousand executors).  Rows are hashed into
+    ``cores // archives`` buckets per archive and shuffled on
+    ``(source_file, bucket)``: every core gets work, and each write task still
+    holds rows of about one archive, so a ``source_file`` partition folder gets
+    about as many files as buckets.  The bucket is a hash of the row's text,
+    so a recomputed task sends every row to the same place.
+    """
+    cores = cores or df.sparkSession.sparkContext.defaultParallelism
+    per_archive = max(1, cores // max(1, archives))
+    if archives * per_archive <= 1:
+        return df
+    bucket = F.pmod(F.xxhash64(*df.columns), F.lit(per_archive))
+    return df.repartition(archives * per_archive, F.col("source_file"), bucket)
+
+
 def read_zip_binary(spark: SparkSession, path: str, entity: str, multi_line: bool = False) -> DataFrame:
     """Same output as :func:`read_zip` for archives on any Hadoop file system."""
     schema = _schema_ddl(entity)

@@ -125,3 +125,23 @@ def test_read_by_type_routes_mixed_case_names(spark, tmp_path):
     df = read_by_type(spark, str(tmp_path), "Empresas")
     assert df.count() == 15
     assert {r[0] for r in df.select("source_file").distinct().collect()} == {"Empresas0.csv", "empresas1.CSV"}
+
+
+def test_spread_archive_rows(spark, tmp_path):
+    lines = csv_lines(spark, SF_SMALL)
+    d = tmp_path / "zips"
+    write_zip(str(d / "Empresas0.zip"), {"a.csv": lines[:90]})
+    write_zip(str(d / "Empresas1.zip"), {"b.csv": lines[90:]})
+    paths = [str(d / "Empresas0.zip"), str(d / "Empresas1.zip")]
+    raw = archives.read_zip_paths(spark, paths, "Empresas").drop("member")
+    assert raw.rdd.getNumPartitions() == 2                       # one task per archive
+    spread = archives.spread_archive_rows(raw, len(paths), cores=8)
+    placed = spread.select("source_file", "cnpj_basico", "razao_social", F.spark_partition_id().alias("p"))
+    first = sorted(map(tuple, placed.collect()), key=str)
+    assert len(first) == len(lines)                              # nothing lost or doubled
+    assert {r[0] for r in first} == {"Empresas0.zip", "Empresas1.zip"}
+    assert len({r[3] for r in first}) > 2                        # more tasks than archives
+    # a recomputed partition sends every row to the same place
+    assert sorted(map(tuple, placed.collect()), key=str) == first
+    # one archive on one core: nothing to spread, no shuffle
+    assert archives.spread_archive_rows(raw, 1, cores=1) is raw
