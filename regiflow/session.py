@@ -23,6 +23,9 @@ BASE_CONF: dict[str, str] = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.aggregatePushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Python call sites are not captured for every column function (several
+    # JVM round trips each while a plan is built); errors still name the query.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

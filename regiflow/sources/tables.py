@@ -10,6 +10,26 @@ TABLE_NAMES = [
 ]
 
 
+# (application id, path) -> resolved relation
+_RESOLVED: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One parquet table; column pruning and filters reach the scan."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One parquet table; column pruning and filters reach the scan.
+
+    Like a catalog table, the relation (file listing, footer schema) is
+    resolved once per application and shared by every query built on it;
+    each query still plans its own pruned, filtered scan.  ``refresh_tables``
+    re-lists after the files change.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    df = _RESOLVED.get(key)
+    if df is None:
+        df = _RESOLVED[key] = spark.read.parquet(path)
+    return df
+
+
+def refresh_tables() -> None:
+    """Forget resolved relations (the next ``table`` call lists the files again)."""
+    _RESOLVED.clear()
