@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiflow.functions.text import parquet_name
-from regiflow.sources.tables import table
+from regiflow.sources.tables import spread_narrow_scan, table
 
 NBSP, TAB = "\u00a0", "\t"
 
@@ -94,7 +94,7 @@ def raw_companies(spark: SparkSession, sf: str) -> DataFrame:
 
 def raw_establishments(spark: SparkSession, sf: str) -> DataFrame:
     """Raw Estabelecimentos text from ``orders``; head office = first order of a customer."""
-    o = table(spark, sf, "orders")
+    o = spread_narrow_scan(spark, sf, "orders")
     first = o.groupBy("o_custkey").agg(F.min("o_orderkey").alias("first_orderkey"))
     k = F.col("o_orderkey")
     d = F.col("o_orderdate")
@@ -121,7 +121,7 @@ def raw_establishments(spark: SparkSession, sf: str) -> DataFrame:
 def raw_partners(spark: SparkSession, sf: str) -> DataFrame:
     """Raw Socios text from ``lineitem``."""
     n = F.col("l_linenumber")
-    return table(spark, sf, "lineitem").select(
+    return spread_narrow_scan(spark, sf, "lineitem").select(
         _s(F.col("l_suppkey")).alias("cnpj_basico"),
         _s(n % 3 + 1).alias("identificador_socio"),
         F.concat(F.lit("  Socio "), _s(F.col("l_partkey"))).alias("nome_socio_razao_social"),
@@ -181,7 +181,7 @@ def control(spark: SparkSession, sf: str) -> DataFrame:
     """Current state of every known file (one row per order)."""
     k, d = F.col("o_orderkey"), F.col("o_orderdate")
     status = _pick(k, STATUS_BY_MOD)
-    base = table(spark, sf, "orders").select(
+    base = spread_narrow_scan(spark, sf, "orders").select(
         k.alias("file_id"), _year_month(k, d).alias("year_month"), _file_name(k).alias("file_name"),
         F.when(k % 19 == 0, F.lit(None).cast("bigint")).otherwise(_size(F.col("o_totalprice"))).alias("file_size_bytes"),
         F.md5(_s(F.col("o_custkey"))).alias("etag"), status.alias("status"), d.alias("discovered_at"))
@@ -207,7 +207,7 @@ def remote_listing(spark: SparkSession, sf: str) -> DataFrame:
     """What discovery lists remotely: every file, etag changed for some."""
     k, d = F.col("o_orderkey"), F.col("o_orderdate")
     etag = F.when(k % 31 == 0, F.md5(_s(F.col("o_custkey") + 1))).otherwise(F.md5(_s(F.col("o_custkey"))))
-    return table(spark, sf, "orders").select(
+    return spread_narrow_scan(spark, sf, "orders").select(
         _year_month(k, d).alias("year_month"), _file_name(k).alias("file_name"),
         _size(F.col("o_totalprice")).alias("size"), etag.alias("etag"))
 

@@ -10,8 +10,9 @@ TABLE_NAMES = [
 ]
 
 
-# (application id, path) -> resolved relation
+# (application id, path) -> resolved relation / planned scan tasks
 _RESOLVED: dict[tuple[str, str], DataFrame] = {}
+_SCAN_TASKS: dict[tuple[str, str], int] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,3 +34,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def refresh_tables() -> None:
     """Forget resolved relations (the next ``table`` call lists the files again)."""
     _RESOLVED.clear()
+    _SCAN_TASKS.clear()
+
+
+def spread_narrow_scan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """``table`` with at least one partition per core for row-heavy work.
+
+    A parquet file is split by row group, so a small table written as one row
+    group scans as one task.  When the planned scan has fewer tasks than the
+    application has cores, rows are spread round-robin before per-row work
+    (regex cleaning, casting).  Large tables plan thousands of scan tasks and
+    are returned unchanged: no shuffle is added at scale.
+    """
+    df = table(spark, sf_dir, name)
+    key = (spark.sparkContext.applicationId, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    tasks = _SCAN_TASKS.get(key)
+    if tasks is None:
+        tasks = _SCAN_TASKS[key] = df.rdd.getNumPartitions()
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if tasks < cores else df
