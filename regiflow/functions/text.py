@@ -26,9 +26,23 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _sql_text(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+_NA_TOKENS_SQL = ", ".join(_sql_text(t) for t in NA_TOKENS)
+
+
 def null_na_tokens(c) -> Column:
-    """Raw CSV text -> null when it is one of the NA tokens (exact match)."""
-    c = _c(c)
+    """Raw CSV text -> null when it is one of the NA tokens (exact match).
+
+    Given a column name, the test is parsed from one SQL expression (the same
+    ``InSet`` Catalyst builds from ``isin``, in one JVM call instead of one per
+    token); this runs for every string column of every raw frame.
+    """
+    if isinstance(c, str):
+        q = "`" + c.replace("`", "``") + "`"
+        return F.expr(f"CASE WHEN {q} IN ({_NA_TOKENS_SQL}) THEN NULL ELSE {q} END")
     return F.when(c.isin(NA_TOKENS), F.lit(None).cast("string")).otherwise(c)
 
 

@@ -48,7 +48,7 @@ RULES: dict[str, dict[str, Callable[[str], Column]]] = {
 def clean_na(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Turn NA tokens into nulls for every string column (CSV read semantics)."""
     cols = columns or [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
-    return df.withColumns({c: null_na_tokens(F.col(c)) for c in cols})
+    return df.withColumns({c: null_na_tokens(c) for c in cols})
 
 
 def apply_rules(df: DataFrame, entity: str) -> DataFrame:

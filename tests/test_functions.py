@@ -36,6 +36,15 @@ def test_na_tokens(spark):
     assert one_col(spark, vals, TX.null_na_tokens) == [None] * 7 + [" ", "x"]
 
 
+def test_na_tokens_by_name_matches_column_form(spark):
+    from regiflow.schema import NA_TOKENS
+    vals = [*NA_TOKENS, " ", "x", "na", "'", None]
+    df = spark.createDataFrame([(v,) for v in vals], "`odd name``` string")
+    by_name = [r[0] for r in df.select(TX.null_na_tokens("odd name`")).collect()]
+    by_col = [r[0] for r in df.select(TX.null_na_tokens(F.col("`odd name```"))).collect()]
+    assert by_name == by_col == [None] * len(NA_TOKENS) + [" ", "x", "na", "'", None]
+
+
 def test_decimal_comma(spark):
     vals = ["1000,50", "250000,00", "-5,00", " 12,3 ", "1.000,50", "abc", None, "NaN"]
     got = one_col(spark, vals, N.decimal_comma)
