@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regiflow.llm import substring
+from regiflow.llm import ngram_join, substring
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -15,9 +15,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_groups(read(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(substring.dedup_substrings(read(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op2_substring_dedup,)}
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_substring_dedup)}
 ORACLES: dict[str, str] = {}
