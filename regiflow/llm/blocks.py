@@ -108,9 +108,9 @@ def received(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def reply_rows(table: pa.Table, replies: list[bytes | None]) -> pa.Table:
     """Replies in the rows' order; None: no row."""
-    ok = [i for i, r in enumerate(replies) if r is not None]
+    ok = pa.array([i for i, r in enumerate(replies) if r is not None], pa.int64())
     return pa.table({"block": table["block"].take(ok).cast(pa.int64()), "range": table["range"].take(ok).cast(pa.int32()),
-                     "reply": pa.array([replies[i] for i in ok], pa.binary())})
+                     "reply": pa.array([r for r in replies if r is not None], pa.binary())})
 
 
 def repeated_across(table: pa.Table) -> pa.Table:

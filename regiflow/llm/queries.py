@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regiflow.llm import ngram_join, substring
+from regiflow.llm import ngram_join, substring, suffix_dedup
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -23,5 +23,9 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(substring.dedup_substrings(read(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_substring_dedup)}
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.dedup_bytes(read(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_substring_dedup, op8_suffix_array_dedup)}
 ORACLES: dict[str, str] = {}
