@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regiflow.llm import ngram_join, substring, suffix_dedup
+from regiflow.llm import bpe, ngram_join, packing, substring, suffix_dedup
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -27,5 +27,19 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.dedup_bytes(read(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_substring_dedup, op8_suffix_array_dedup)}
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op9_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(read(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+
+
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_substring_dedup, op8_suffix_array_dedup, op9_bpe_encode_decode,
+                                             op10_best_fit_packing)}
 ORACLES: dict[str, str] = {}
