@@ -52,6 +52,19 @@ def blocks(docs: DataFrame, n: int, text: str = "text") -> DataFrame:
     return docs.select(row.alias(ROW), F.col(f"`{text}`").alias(TEXT), F.pmod(F.xxhash64(*hashed), F.lit(n)).alias(BLOCK))
 
 
+def nullable(column):
+    """An Arrow column with all fields nullable, as result schemas have them."""
+    def of(t):
+        if pa.types.is_struct(t):
+            return pa.struct([pa.field(f.name, of(f.type)) for f in t])
+        if pa.types.is_list(t):
+            return pa.list_(pa.field(t.value_field.name, of(t.value_type)))
+        if pa.types.is_map(t):
+            return pa.map_(t.key_type, of(t.item_type))
+        return t
+    return column.cast(of(column.type))
+
+
 def unpacked(out: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
     """``_row`` back as columns; a new column replaces an input column of its name."""
     new = {c.lower() for c in out.columns if c != ROW}

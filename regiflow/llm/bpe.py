@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from regiflow.llm.blocks import nullable
+
 REMEMBERED = 300_000       # encoded pieces kept in a worker
 _OTHER_SPACE = "\x1c\x1d\x1e\x1f"     # split() cuts at these, the splitting rule does not
 
@@ -211,7 +213,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", decoded: bool = False
         for batch in batches:
             for part in parts_of(batch, "_text"):
                 ids, at = e.encode(part.column("_text").to_pylist())
-                cols = [part.column("_row"), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids.view(np.int32)))]
+                cols = [nullable(part.column("_row")), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids.view(np.int32)))]
                 if decoded:
                     cols.append(pa.array([e.decode(ids[a:b]) for a, b in zip(at, at[1:])], pa.string()))
                 yield pa.RecordBatch.from_arrays(cols, ["_row", *new])
@@ -230,7 +232,7 @@ def decode(coded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
         e = encoder(path)
         for batch in batches:
             text = [e.decode(np.array(x or [], np.int64)) for x in batch.column("_ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(text, pa.string())], ["_row", "decoded"])
+            yield pa.RecordBatch.from_arrays([nullable(batch.column("_row")), pa.array(text, pa.string())], ["_row", "decoded"])
 
     out = source.mapInArrow(run, f"_row {source.schema['_row'].dataType.simpleString()}, decoded string")
     return out.select(*[F.col("_row")[c].alias(c) for c in keep], "decoded")

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from regiflow.llm.blocks import nullable
 from regiflow.llm.bpe import Encoder, parts_of
 from regiflow.llm.graph import saved_table
 
@@ -76,7 +77,7 @@ def tokenise(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = EN
                         which.append(i)
                         for c, v in zip(cols, (k, s, len(cut), zlib.crc32(cut.tobytes()), cut.view(np.int32))):
                             c.append(v)
-                arrays = [part.column("_row").take(pa.array(which, pa.int64())), pa.array(cols[0], pa.int32()),
+                arrays = [nullable(part.column("_row")).take(pa.array(which, pa.int64())), pa.array(cols[0], pa.int32()),
                           *[pa.array(c, pa.int64()) for c in cols[1:4]]]
                 if ids:
                     arrays.append(pa.array(cols[4], pa.list_(pa.int32())))
@@ -187,7 +188,7 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, t
         p = plan.value
         for b in batches:
             seq, offset = p.place(b.column("length").to_numpy().astype(np.int64), b.column("_rank").to_numpy().astype(np.int64))
-            yield pa.RecordBatch.from_arrays([b.column("_row"), pa.array(seq, pa.int64()), pa.array(offset, pa.int64())],
+            yield pa.RecordBatch.from_arrays([nullable(b.column("_row")), pa.array(seq, pa.int64()), pa.array(offset, pa.int64())],
                                              ["_row", "sequence_id", "offset"])
 
     out = ranked.mapInArrow(locate, f"_row {ranked.schema['_row'].dataType.simpleString()}, sequence_id long, offset long")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regiflow.llm import bpe, ngram_join, packing, quality, substring, suffix_dedup
+from regiflow.llm import bpe, lm, ngram_join, packing, quality, substring, suffix_dedup
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(substring.dedup_substrings(read(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(lm.score(read(spark, sf_dir, "documents").select("doc_id", "text"), lm.held_out()))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(quality.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")))
 
@@ -44,6 +48,6 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_substring_dedup, op4_quality_rules, op8_suffix_array_dedup,
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_substring_dedup, op3_lm_scoring, op4_quality_rules, op8_suffix_array_dedup,
                                              op9_bpe_encode_decode, op10_best_fit_packing)}
 ORACLES: dict[str, str] = {"op4_quality_rules": quality.oracle()}

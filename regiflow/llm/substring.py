@@ -71,7 +71,7 @@ def dedup_substrings(docs: DataFrame, text: str = "text", width: int = WIDTH) ->
             cut.append([{"start": a, "end": b} for a, b in gone])
             n_cut.append(int(flags.sum()))
         return pa.table({
-            B.ROW: left[B.ROW], "kept_text": pa.array(kept, pa.string()),
+            B.ROW: B.nullable(left[B.ROW]), "kept_text": pa.array(kept, pa.string()),
             "removed": pa.array(cut, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
             "n_words": pa.array(np.diff(first), pa.int64()), "n_removed": pa.array(n_cut, pa.int64())})
 
