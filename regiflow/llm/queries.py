@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regiflow.llm import bpe, lm, ngram_join, packing, quality, substring, suffix_dedup
+from regiflow.llm import bpe, lm, neardup, ngram_join, packing, pii, quality, substring, suffix_dedup
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,14 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(quality.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")))
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(read(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.dedup_bytes(read(spark, sf_dir, "documents").select("doc_id", "text")))
 
@@ -48,6 +56,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_substring_dedup, op3_lm_scoring, op4_quality_rules, op8_suffix_array_dedup,
-                                             op9_bpe_encode_decode, op10_best_fit_packing)}
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
+    op1_ngram_jaccard_join, op2_substring_dedup, op3_lm_scoring, op4_quality_rules, op5_embedding_near_dedup,
+    op7_pii, op8_suffix_array_dedup, op9_bpe_encode_decode, op10_best_fit_packing)}
 ORACLES: dict[str, str] = {"op4_quality_rules": quality.oracle()}
