@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regiflow.llm import bpe, lm, neardup, ngram_join, packing, pii, quality, substring, suffix_dedup
+from regiflow.llm import bpe, language_id, lm, neardup, ngram_join, packing, pii, quality, substring, suffix_dedup
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,10 @@ def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_vectors(read(spark, sf_dir, "embeddings"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read(spark, sf_dir, "pages"), read(spark, sf_dir, "documents"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(read(spark, sf_dir, "documents").select("doc_id", "text")))
 
@@ -58,5 +62,5 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_substring_dedup, op3_lm_scoring, op4_quality_rules, op5_embedding_near_dedup,
-    op7_pii, op8_suffix_array_dedup, op9_bpe_encode_decode, op10_best_fit_packing)}
+    op6_language_id, op7_pii, op8_suffix_array_dedup, op9_bpe_encode_decode, op10_best_fit_packing)}
 ORACLES: dict[str, str] = {"op4_quality_rules": quality.oracle()}
