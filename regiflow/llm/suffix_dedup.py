@@ -35,7 +35,7 @@ from regiflow.llm import blocks as B
 
 LENGTH = 400
 GRAM = 32              # bytes hashed to choose anchors
-BATCH = 4096           # entries of a level-0 suffix array
+BATCH = 1024           # entries of a level-0 suffix array
 _U = np.uint64
 
 
@@ -103,128 +103,128 @@ def _distinct(a: Anchors):
 
 # ---------------------------------------------------------------- suffix arrays
 
-class Level:
-    """A sparse suffix array: entries in the order of (anchor, bytes to the right)."""
+class Entries:
+    """Anchored stretches of one key range: the bytes right and left of each anchor, padded with zeros."""
+
+    def __init__(self, n: int, length: int, gram: int):
+        self.length, self.most, self.n = length, length - gram, 0
+        self.key, self.lo, self.hi = np.empty(n, _U), np.empty(n, np.int64), np.empty(n, np.int64)
+        self.right, self.left = np.empty((n, length), np.uint8), np.empty((n, self.most), np.uint8)
+        self.flags = np.zeros((n, self.most + 1), bool)     # window that begins x bytes before the anchor
+
+    def add(self, table: pa.Table) -> np.ndarray:
+        """The rows' entries; returns their numbers."""
+        get = lambda c, t: np.frombuffer(b"".join(table[c].to_pylist()), t)
+        lo, hi = get("lo", np.int16).astype(np.int64), get("hi", np.int16).astype(np.int64)
+        data = np.concatenate((np.zeros(self.most, np.uint8), get("bytes", np.uint8), np.zeros(self.length, np.uint8)))
+        size = hi + self.length - lo                        # from the first window's start to the last one's end
+        end = np.cumsum(size) + self.most
+        place = end - size + hi
+        ids = np.arange(self.n, self.n + len(lo))
+        self.n += len(lo)
+        self.key[ids], self.lo[ids], self.hi[ids] = get("keys", _U), lo, hi
+        for i in range(0, len(ids), 4096):
+            s = slice(i, i + 4096)
+            right = np.lib.stride_tricks.sliding_window_view(data, self.length)[place[s]]
+            right[np.arange(self.length)[None, :] >= (end - place)[s, None]] = 0
+            left = np.lib.stride_tricks.sliding_window_view(data, self.most)[place[s] - self.most][:, ::-1].copy()
+            left[np.arange(self.most)[None, :] >= hi[s, None]] = 0
+            self.right[ids[s]], self.left[ids[s]] = right, left
+        return ids
 
-    def __init__(self, key, right, left, lo, hi, ids):
-        self.key, self.right, self.left, self.lo, self.hi, self.ids = key, right, left, lo, hi, ids
-
-    @classmethod
-    def joined(cls, a: "Level", b: "Level") -> tuple["Level", np.ndarray]:
-        side = np.concatenate((np.zeros(len(a.ids), np.int8), np.ones(len(b.ids), np.int8)))
-        both = cls(*(np.concatenate((getattr(a, f), getattr(b, f))) for f in ("key", "right", "left", "lo", "hi", "ids")))
-        return both, side[both.sort()]
-
-    def sort(self) -> np.ndarray:
-        """Order the entries (two sorted runs are merged); returns the order."""
-        wide = np.concatenate((self.key.astype(">u8").view(np.uint8).reshape(-1, 8), self.right), axis=1)
-        order = np.argsort(np.ascontiguousarray(wide).view(f"S{wide.shape[1]}").ravel(), kind="stable")
-        for f in ("key", "right", "left", "lo", "hi", "ids"):
-            setattr(self, f, getattr(self, f)[order])
-        return order
+    @staticmethod
+    def order(number: np.ndarray, kind: str, text: np.ndarray) -> np.ndarray:
+        """Stable order by a number, then by text (runs already in order are merged)."""
+        width = np.dtype(kind).itemsize
+        wide = np.concatenate((number.astype(kind).view(np.uint8).reshape(-1, width), text), axis=1)
+        return np.argsort(wide.view(f"S{wide.shape[1]}").ravel(), kind="stable")
 
 
-def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Length of the common prefix of each pair of rows."""
+def _common(text: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Length of the common prefix of rows a and b, pair by pair."""
     out = np.empty(len(a), np.int64)
-    for i in range(0, len(a), 8192):
-        differ = a[i:i + 8192] != b[i:i + 8192]
+    for i in range(0, len(a), 4096):
+        differ = text[a[i:i + 4096]] != text[b[i:i + 4096]]
         n = differ.argmax(axis=1)
-        out[i:i + 8192] = np.where(differ[np.arange(len(n)), n], n, a.shape[1])
+        out[i:i + 4096] = np.where(differ[np.arange(len(n)), n], n, text.shape[1])
     return out
 
 
 class LevelFamily:
-    """Suffix arrays of geometrically growing size over the entries of one key range."""
+    """Sparse suffix arrays of geometrically growing size: each level holds entry numbers in the
+    order of (anchor, bytes to the right)."""
 
-    def __init__(self, length: int, batch: int = BATCH):
-        self.length, self.batch, self.levels, self.flags, self.n = length, batch, [], [], 0
+    def __init__(self, entries: Entries):
+        self.entries, self.levels = entries, []
 
-    def add(self, key, right, left, lo, hi) -> None:
+    def add(self, ids: np.ndarray) -> None:
         """A new batch: sorted, scanned in itself, then merge-scanned with levels up to its size."""
-        n = len(key)
-        self.flags.append(np.zeros((n, self.width(left)), bool))
-        level = Level(key, right, left, lo, hi, np.arange(self.n, self.n + n))
-        self.n += n
-        level.sort()
+        level = ids[Entries.order(self.entries.key[ids], ">u8", self.entries.right[ids])]
         self._scan(level, None)
-        while self.levels and len(self.levels[-1].ids) <= 2 * len(level.ids):
+        while self.levels and len(self.levels[-1]) <= 2 * len(level):
             level = self._merge(self.levels.pop(), level)
         self.levels.append(level)
 
     def finish(self) -> np.ndarray:
-        """Merge-scan what levels are left; bit x of an entry: its window that begins x bytes before the anchor."""
+        """Merge-scan what levels are left; the entries' flags."""
         while len(self.levels) > 1:
             b, a = self.levels.pop(), self.levels.pop()
             self.levels.append(self._merge(a, b))
-        return np.concatenate(self.flags) if self.flags else np.zeros((0, 1), bool)
-
-    @staticmethod
-    def width(left) -> int:
-        return left.shape[1] + 1
+        return self.entries.flags
 
-    def _merge(self, a: Level, b: Level) -> Level:
-        both, side = Level.joined(a, b)
-        self._scan(both, side)
-        return both
+    def _merge(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        both = np.concatenate((a, b))
+        order = Entries.order(self.entries.key[both], ">u8", self.entries.right[both])
+        self._scan(both[order], (order >= len(a)).astype(np.int8))
+        return both[order]
 
-    def _mark(self, ids: np.ndarray, x: np.ndarray) -> None:
-        if len(self.flags) > 1:
-            self.flags = [np.concatenate(self.flags)]
-        self.flags[0][ids, x] = True
-
-    def _scan(self, level: Level, side: np.ndarray | None) -> None:
+    def _scan(self, ids: np.ndarray, side: np.ndarray | None) -> None:
         """Mark windows that two entries of the level share (of different sides, where sides are given)."""
-        n = len(level.ids)
-        if n < 2:
+        e = self.entries
+        if len(ids) < 2:
             return
-        same = level.key[1:] == level.key[:-1]
-        group = np.concatenate(([0], np.cumsum(~same)))
+        key = e.key[ids]
+        group = np.concatenate(([0], np.cumsum(key[1:] != key[:-1])))
         size = np.bincount(group)
         wanted = size > 1
         if side is not None:       # only groups that both sides have
             wanted &= (np.bincount(group, side) > 0) & (np.bincount(group, 1 - side) > 0)
         two = np.flatnonzero(wanted & (size == 2))
-        begin = np.concatenate(([0], np.cumsum(size)))[:-1]
         if len(two):
-            i = begin[two]
-            r, l = _common(level.right[i], level.right[i + 1]), _common(level.left[i], level.left[i + 1])
-            lo = np.maximum(np.maximum(level.lo[i], level.lo[i + 1]), self.length - r)
-            hi = np.minimum(np.minimum(level.hi[i], level.hi[i + 1]), l)
+            i = (np.cumsum(size) - size)[two]
+            a, b = ids[i], ids[i + 1]
+            lo = np.maximum(np.maximum(e.lo[a], e.lo[b]), e.length - _common(e.right, a, b))
+            hi = np.minimum(np.minimum(e.hi[a], e.hi[b]), _common(e.left, a, b))
             count = np.maximum(0, hi - lo + 1)
             x = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(lo, count)
-            self._mark(np.repeat(level.ids[i], count), x)
-            self._mark(np.repeat(level.ids[i + 1], count), x)
+            e.flags[np.repeat(a, count), x] = True
+            e.flags[np.repeat(b, count), x] = True
         pick = np.flatnonzero((wanted & (size > 2))[group])
         if len(pick):
-            self._scan_groups(level, pick, group[pick])
-
-    def _scan_groups(self, level: Level, pick: np.ndarray, group: np.ndarray) -> None:
-        right, left, lo, hi, ids = (getattr(level, f)[pick] for f in ("right", "left", "lo", "hi", "ids"))
-        r = np.full(len(pick), -1)
-        r[1:] = np.where(group[1:] == group[:-1], _common(right[1:], right[:-1]), -1)
-        wide = np.concatenate((group.astype(">u4").view(np.uint8).reshape(-1, 4), left), axis=1)
-        by_left = np.argsort(np.ascontiguousarray(wide).view(f"S{wide.shape[1]}").ravel(), kind="stable")
-        lg, ll = group[by_left], left[by_left]
-        l = np.full(len(pick), -1)
-        l[1:] = np.where(lg[1:] == lg[:-1], _common(ll[1:], ll[:-1]), -1)
-        left_run = np.empty(len(pick), np.int64)
+            self._scan_groups(ids[pick], group[pick])
+
+    def _scan_groups(self, ids: np.ndarray, group: np.ndarray) -> None:
+        e, n = self.entries, len(ids)
+        lo, hi = e.lo[ids], e.hi[ids]
+        r, l = np.full(n, -1), np.full(n, -1)
+        r[1:] = np.where(group[1:] == group[:-1], _common(e.right, ids[1:], ids[:-1]), -1)
+        by_left = Entries.order(group, ">u4", e.left[ids])
+        lg, li = group[by_left], ids[by_left]
+        l[1:] = np.where(lg[1:] == lg[:-1], _common(e.left, li[1:], li[:-1]), -1)
+        left_run = np.empty(n, np.int64)
         for x in range(int(lo.min()), int(hi.max()) + 1):
             live = np.flatnonzero((lo <= x) & (hi >= x))
             if len(live) < 2:
                 continue
             # entries that agree on the length - x bytes to the right, and on the x bytes to the left
-            right_run = np.cumsum(r < self.length - x)
             left_run[by_left] = np.cumsum(l < x)
-            key = right_run[live] * (len(pick) + 1) + left_run[live]
+            key = np.cumsum(r < e.length - x)[live] * (n + 1) + left_run[live]
             order = np.argsort(key)
             s = key[order]
             again = np.zeros(len(s), bool)
             again[1:] = s[1:] == s[:-1]
             again[:-1] |= again[1:]
-            hit = live[order[again]]
-            if len(hit):
-                self._mark(ids[hit], np.full(len(hit), x))
+            e.flags[ids[live[order[again]]], x] = True
 
 
 # ---------------------------------------------------------------- the job
@@ -232,23 +232,6 @@ class LevelFamily:
 STRETCH = "range int, block long, keys binary, digests binary, lo binary, hi binary, bytes binary"
 
 
-def _entries(table: pa.Table, length: int, gram: int):
-    """Arrays of all rows' entries; ``right`` and ``left`` are padded with zeros."""
-    get = lambda c, t: np.frombuffer(b"".join(table[c].to_pylist()), t)
-    key, lo, hi, data = get("keys", _U), get("lo", np.int16).astype(np.int64), get("hi", np.int16).astype(np.int64), get("bytes", np.uint8)
-    size = hi + length - lo                   # from the first window's start to the last one's end
-    end = np.cumsum(size)
-    place = end - size + hi                   # the anchor
-    most = length - gram
-    data = np.concatenate((np.zeros(most, np.uint8), data, np.zeros(length, np.uint8)))
-    place, end = place + most, end + most
-    right = data[place[:, None] + np.arange(length)]
-    right[np.arange(length)[None, :] >= (end - place)[:, None]] = 0
-    left = data[place[:, None] - 1 - np.arange(most)]
-    left[np.arange(most)[None, :] >= hi[:, None]] = 0
-    return key, right, left, lo, hi
-
-
 def dedup_bytes(docs: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """Every document with ``kept`` (remaining bytes), ``removed`` (byte spans, end exclusive),
     ``n_bytes``, ``n_removed`` and ``n_spans``."""
@@ -265,7 +248,7 @@ def dedup_bytes(docs: DataFrame, text: str = "text", length: int = LENGTH, gram:
         at, _, _ = _distinct(a)
         at = at[again[at]]
         at = at[np.argsort(a.key[at], kind="stable")]
-        edge = B.cuts(a.key[at], n_ranges)
+        edge = B.cuts(a.key[at], 2 * n_ranges)
         rows = []
         for r in np.flatnonzero(np.diff(edge)):
             i = at[edge[r]:edge[r + 1]]
@@ -276,13 +259,14 @@ def dedup_bytes(docs: DataFrame, text: str = "text", length: int = LENGTH, gram:
                         names=["range", "block", "keys", "digests", "lo", "hi", "bytes"])
 
     def index(table):
-        family, counts = LevelFamily(length), [len(x) // 8 for x in table["digests"].to_pylist()]
-        i = 0
+        counts = [len(x) // 8 for x in table["digests"].to_pylist()]
+        entries = Entries(sum(counts), length, gram)
+        family, i = LevelFamily(entries), 0
         while i < len(counts):            # rows of several blocks make one batch
             j, n = i, 0
             while j < len(counts) and n < BATCH:
                 n, j = n + counts[j], j + 1
-            family.add(*_entries(table.slice(i, j - i), length, gram))
+            family.add(entries.add(table.slice(i, j - i)))
             i = j
         flags, at, replies = family.finish(), np.concatenate(([0], np.cumsum(counts))), []
         for k, digests in enumerate(table["digests"].to_pylist()):
@@ -319,7 +303,7 @@ def dedup_bytes(docs: DataFrame, text: str = "text", length: int = LENGTH, gram:
             kept.append(a.data[s:e][~f].tobytes() if gone else a.data[s:e].tobytes())
             cut.append([{"start": p, "end": q} for p, q in gone])
             n_cut.append(sum(q - p for p, q in gone))
-        return pa.table({B.ROW: left[B.ROW], "kept": pa.array(kept, pa.binary()),
+        return pa.table({B.ROW: B.nullable(left[B.ROW]), "kept": pa.array(kept, pa.binary()),
                          "removed": pa.array(cut, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
                          "n_bytes": pa.array(np.diff(a.at), pa.int64()), "n_removed": pa.array(n_cut, pa.int64())})
 
@@ -331,6 +315,15 @@ def dedup_bytes(docs: DataFrame, text: str = "text", length: int = LENGTH, gram:
     return B.unpacked(out, docs, text)
 
 
+def rest_as_text(found: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with the remaining bytes as text (a character cut in two is dropped); documents of
+    which no word remains are dropped, unless they had none."""
+    rest = F.col("kept").cast("string")
+    rest = F.when(F.is_valid_utf8(rest), rest).otherwise(F.regexp_replace(F.make_valid_utf8(rest), "\ufffd", ""))
+    left = found.withColumn(text, rest).where((F.col("n_removed") == 0) | F.col(text).rlike(r"[^\x20\x09-\x0D]"))
+    return left.select(docs.columns)
+
+
 def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
     if not flags.any():
         return []
