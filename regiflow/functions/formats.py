@@ -1,7 +1,6 @@
 """Human-readable text: byte sizes, durations, percentages.
 
-Rounding is Spark's HALF_UP (``round`` then ``%.1f``), so 0.25 -> ``0.3``
-where Python's ``format`` gives ``0.2``.
+Ties are rounded to even before ``%.1f``, so 1280 bytes are ``1.2 KB``.
 """
 
 from __future__ import annotations
@@ -25,9 +24,9 @@ def human_bytes(c) -> Column:
     for i, unit in enumerate(BYTE_UNITS):
         scaled = size / F.lit(BYTE_STEP ** i)
         cond = F.abs(scaled) < F.lit(BYTE_STEP)
-        txt = F.format_string("%.1f %s", F.round(scaled, 1), F.lit(unit))
+        txt = F.format_string("%.1f %s", F.bround(scaled, 1), F.lit(unit))
         out = F.when(cond, txt) if out is None else out.when(cond, txt)
-    last = F.format_string("%.1f %s", F.round(size / F.lit(BYTE_STEP ** len(BYTE_UNITS)), 1), F.lit(BYTE_LAST_UNIT))
+    last = F.format_string("%.1f %s", F.bround(size / F.lit(BYTE_STEP ** len(BYTE_UNITS)), 1), F.lit(BYTE_LAST_UNIT))
     return F.when(size.isNull(), F.lit(None).cast("string")).otherwise(out.otherwise(last))
 
 
@@ -52,4 +51,4 @@ def percent_text(value, total) -> Column:
     """``'12.5%'`` with one decimal, ``'N/A'`` when the total is 0."""
     v, t = _c(value).cast("double"), _c(total).cast("double")
     return F.when(v.isNull() | t.isNull(), F.lit(None).cast("string")).when(t == 0, F.lit("N/A")).otherwise(
-        F.format_string("%.1f%%", F.round(F.lit(100.0) * v / t, 1)))
+        F.format_string("%.1f%%", F.bround(F.lit(100.0) * v / t, 1)))

@@ -8,13 +8,20 @@ from pyspark.sql import functions as F
 from regiflow.functions.text import _c, strip_unicode
 
 
+# Plain decimal numbers; a cast alone also takes Java forms such as ``5d``, ``10F`` or ``0x1p3``.
+PLAIN_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+
+def _plain_double(text: Column) -> Column:
+    return F.when(text.rlike(PLAIN_NUMBER), text.try_cast("double"))
+
+
 def decimal_comma(c) -> Column:
     """``'1000,50'`` -> 1000.5 (double); unparsable or NaN text -> null.
 
     Thousands separators (``1.000,50``) are not guessed: they fail to parse.
     """
-    d = F.replace(strip_unicode(_c(c)), F.lit(","), F.lit(".")).try_cast("double")
-    return F.when(F.isnan(d), F.lit(None).cast("double")).otherwise(d)
+    return _plain_double(F.replace(strip_unicode(_c(c)), F.lit(","), F.lit(".")))
 
 
 def decimal_comma_decimal(c, precision: int = 15, scale: int = 2) -> Column:
@@ -25,8 +32,7 @@ def decimal_comma_decimal(c, precision: int = 15, scale: int = 2) -> Column:
 
 def coerce_number(c, default: float = 0.0) -> Column:
     """Any value -> double, unparsable -> ``default``."""
-    d = _c(c).cast("string").try_cast("double")
-    return F.coalesce(F.when(~F.isnan(d), d), F.lit(default))
+    return F.coalesce(_plain_double(F.trim(_c(c).cast("string"))), F.lit(default))
 
 
 def to_mb(c, digits: int = 1) -> Column:

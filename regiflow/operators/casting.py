@@ -48,7 +48,7 @@ def to_typed(df: DataFrame, entity: str) -> DataFrame:
     return df.withColumns(typed_columns(df, entity))
 
 
-def rejects(df: DataFrame, entity: str, key: str = "cnpj_basico") -> DataFrame:
+def rejects(df: DataFrame, entity: str, key: str = "cnpj_basico", keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per (record, column) whose value cannot be loaded."""
     spec = [(c, t, n) for c, (t, n) in TYPED[entity].items() if c in df.columns]
     items = F.array(*[
@@ -61,9 +61,9 @@ def rejects(df: DataFrame, entity: str, key: str = "cnpj_basico") -> DataFrame:
     # on the derived array would be pushed below every projection and inline
     # the whole expression tree into the scan-side predicate.
     return (
-        df.select(key_col.alias("record_key"),
+        df.select(*keep, key_col.alias("record_key"),
                   F.explode(F.filter(items, lambda x: x["reason"].isNotNull())).alias("r"))
-        .select("record_key", "r.column_name", "r.raw_value", "r.reason")
+        .select(*keep, "record_key", "r.column_name", "r.raw_value", "r.reason")
     )
 
 

@@ -31,24 +31,6 @@ def _control_months(control: DataFrame) -> DataFrame:
     return control.select(F.col("year_month").alias("month")).distinct()
 
 
-def _store_months(store: DataFrame, compat: bool) -> DataFrame:
-    return store.select(month_of_key(F.col("key"), compat).alias("month")).distinct()
-
-
-def months_in_both(control: DataFrame, store: DataFrame, compat: bool = False) -> DataFrame:
-    return _control_months(control).intersect(_store_months(store, compat))
-
-
-def months_only_in_control(control: DataFrame, store: DataFrame, compat: bool = False) -> DataFrame:
-    return _control_months(control).subtract(_store_months(store, compat))
-
-
-def months_only_in_store(control: DataFrame, store: DataFrame, compat: bool = False) -> DataFrame:
-    """Store-only months with their object count and bytes."""
-    only = _store_months(store, compat).subtract(_control_months(control))
-    return store_by_prefix(store, compat).join(only, "month", "left_semi")
-
-
 def gap_full(control: DataFrame, store: DataFrame, compat: bool = False) -> DataFrame:
     """All months of either side in one pass: full outer join + class."""
     c = _control_months(control).withColumn("in_control", F.lit(True))
@@ -62,6 +44,21 @@ def gap_full(control: DataFrame, store: DataFrame, compat: bool = False) -> Data
                     F.coalesce(F.col("size_bytes"), F.lit(0)).cast("bigint").alias("store_bytes"))
 
 
+def months_in_both(full: DataFrame) -> DataFrame:
+    return full.where(F.col("gap_class") == "in_both").select("month")
+
+
+def months_only_in_control(full: DataFrame) -> DataFrame:
+    return full.where(F.col("gap_class") == "only_in_db").select("month")
+
+
+def months_only_in_store(full: DataFrame) -> DataFrame:
+    """Store-only months with their object count and bytes."""
+    return full.where(F.col("gap_class") == "only_in_s3").select(
+        "month", F.col("store_objects").alias("objects"), F.col("store_bytes").alias("size_bytes"),
+        human_bytes(F.col("store_bytes")).alias("size_human"))
+
+
 def gap_summary(full: DataFrame) -> DataFrame:
     return full.agg(
         F.count_if(F.col("gap_class") == "in_both").alias("months_in_both"),
@@ -71,12 +68,18 @@ def gap_summary(full: DataFrame) -> DataFrame:
         human_bytes(F.sum("store_bytes")).alias("s3_total_size_human"))
 
 
-def list_objects(store: DataFrame, prefix: str = "", max_keys: int = 1000) -> DataFrame:
-    """Objects under ``prefix`` in key order, at most ``max_keys`` (1..1000) per page."""
+def list_objects(store: DataFrame, prefix: str = "", max_keys: int = 1000, start_after: str | None = None) -> DataFrame:
+    """One page of the objects under ``prefix`` in key order: at most ``max_keys`` (1..1000) keys
+    after ``start_after``; ``is_truncated`` tells that more follow, from the page's last key on."""
     if not 1 <= max_keys <= 1000:
         raise ValueError("max_keys must be within 1..1000")
-    return (store.where(F.col("key").startswith(prefix))
-            .select("key", "size_bytes", "last_modified", "etag").orderBy("key").limit(max_keys))
+    found = store.where(F.col("key").startswith(prefix))
+    if start_after is not None:
+        found = found.where(F.col("key") > F.lit(start_after))
+    page = found.select("key", "size_bytes", "last_modified", "etag").orderBy("key").limit(max_keys + 1)
+    keys = page.agg(F.array_sort(F.collect_list(F.struct("key", "size_bytes", "last_modified", "etag"))).alias("page"))    # at most 1001
+    shown = keys.select(F.explode(F.slice("page", 1, max_keys)).alias("o"), (F.size("page") > max_keys).alias("is_truncated"))
+    return shown.select("o.*", human_bytes(F.col("o.size_bytes")).alias("size_human"), "is_truncated")
 
 
 def object_metadata(store: DataFrame, key: str) -> DataFrame:

@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 
 from regiflow.functions.numbers import to_gb, to_mb
 from regiflow.functions.text import file_type, is_mapped, object_key, parquet_name, table_name
-from regiflow.schema import DOWNLOADED_OR_LATER, TRANSFORMED_OR_LATER
+from regiflow.schema import DOWNLOADED_OR_LATER, TABLES, TRANSFORMED_OR_LATER
+
+# A file is known by its month and name: the same names are shipped every month.
+FILE_KEY = ["year_month", "parquet_name"]
 
 
 def _truthy_num(c: Column) -> Column:
@@ -147,7 +150,9 @@ def upload_summary(plan: DataFrame) -> DataFrame:
 def transform_status(current: DataFrame, stats: DataFrame) -> DataFrame:
     """Downloaded archives × processed Parquet statistics."""
     recs = current.where(F.col("status").isin(DOWNLOADED_OR_LATER))
-    j = recs.join(stats, parquet_name(F.col("file_name")) == F.col("parquet_file"), "left")
+    recs = recs.withColumn("parquet_name", parquet_name(F.col("file_name")))
+    st = stats.select("year_month", F.col("parquet_file").alias("parquet_name"), "parquet_file", "size_bytes", "row_count")
+    j = recs.join(st, FILE_KEY, "left")
     mapped = is_mapped(F.col("file_name"))
     return j.select(
         "year_month", "file_name", file_type(F.col("file_name")).alias("file_type"), mapped.alias("mapped"),
@@ -170,13 +175,13 @@ def transform_summary(status: DataFrame) -> DataFrame:
 
 def table_counts(current: DataFrame, stats: DataFrame) -> DataFrame:
     """Rows per warehouse table from the files recorded as loaded."""
-    loaded = current.where(F.col("status") == "loaded").select(parquet_name(F.col("file_name")).alias("parquet_file"))
+    loaded = current.where(F.col("status") == "loaded").select("year_month", parquet_name(F.col("file_name")).alias("parquet_file"))
     # The inner join already makes parquet_file non-null; saying so with a
     # coalesce makes the key non-nullable, so the ``isnotnull(table_name)``
     # that a later join on it would infer is folded away instead of being
     # pushed through both aggregates into the scan of the statistics' source.
     key = F.coalesce(table_name(F.col("parquet_file")), F.lit(""))
-    return (stats.join(loaded, "parquet_file")
+    return (stats.join(loaded, ["year_month", "parquet_file"])
             .groupBy(key.alias("table_name"))
             .agg(F.sum("row_count").cast("bigint").alias("db_rows")))
 
@@ -186,8 +191,11 @@ def load_status(current: DataFrame, stats: DataFrame, counts: DataFrame) -> Data
     recs = current.where(F.col("status").isin(TRANSFORMED_OR_LATER)).select(
         "year_month", parquet_name(F.col("file_name")).alias("file_name"))
     recs = recs.withColumn("table_name", table_name(F.col("file_name")))
-    j = (recs.join(stats, F.col("file_name") == F.col("parquet_file"), "left")
-         .join(counts, "table_name", "left"))
+    st = stats.select("year_month", F.col("parquet_file").alias("file_name"), "row_count")
+    # ten mapped tables: a fixed bound, broadcast; unmapped names are unbounded and joined apart
+    recs, known = recs.join(st, ["year_month", "file_name"], "left"), F.col("table_name").isin(list(TABLES.values()))
+    j = recs.where(known).join(F.broadcast(counts.where(known)), "table_name", "left").unionByName(
+        recs.where(~known).join(counts.where(~known), "table_name", "left"))
     return j.select("year_month", "file_name", "table_name", F.col("row_count").alias("parquet_rows"), "db_rows",
                     F.when(F.col("db_rows") > 0, "loaded").otherwise("pending").alias("status"))
 

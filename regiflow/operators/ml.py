@@ -66,8 +66,25 @@ def _cap(df: DataFrame, max_rows: int | None) -> DataFrame:
 
 def split(df: DataFrame, key: str = "cnpj_basico", train_pct: int = TRAIN_PCT) -> tuple[DataFrame, DataFrame]:
     """Reproducible train/test split by key hash (independent of partitioning)."""
-    bucket = F.pmod(F.xxhash64(F.col(key), F.lit(SEED)), F.lit(100))
-    return df.where(bucket < train_pct), df.where(bucket >= train_pct)
+    return df.where(is_train(key, train_pct)), df.where(~is_train(key, train_pct))
+
+
+def is_train(key: str = "cnpj_basico", train_pct: int = TRAIN_PCT) -> Column:
+    """True for the training share: the first 32 bits of the key's md5, modulo 100 (a null key trains)."""
+    bucket = F.conv(F.substring(F.md5(F.col(key).cast("binary")), 1, 8), 16, 10).cast("bigint") % 100
+    return F.coalesce(bucket < train_pct, F.lit(True))
+
+
+def checked(pred: DataFrame, label: str) -> DataFrame:
+    """One row on predictions of all rows: sizes of both shares, classes met in the test share,
+    and whether accuracy and every probability lie within 0..1."""
+    from pyspark.ml.functions import vector_to_array
+    x = pred.select(is_train().alias("t"), F.col(label).alias("y"), F.col("prediction").alias("p"), vector_to_array("probability").alias("q"))
+    hit = F.avg(F.when(~F.col("t"), (F.col("y") == F.col("p")).cast("int")))
+    return x.agg(F.count_if(F.col("t")).alias("train_rows"), F.count_if(~F.col("t")).alias("test_rows"),
+                 F.count_distinct(F.when(~F.col("t"), F.col("y"))).alias("test_classes"),
+                 F.bool_and(F.forall("q", lambda v: (v >= 0) & (v <= 1))).alias("probabilities_ok"),
+                 F.coalesce(hit.between(0, 1), F.lit(False)).alias("accuracy_ok"))
 
 
 # --- encoders -----------------------------------------------------------------
@@ -117,12 +134,13 @@ def fit_persisted(spec: Pipeline, train: DataFrame) -> PipelineModel:
     the joins that build it from being recomputed each time (lost blocks are
     recomputed from lineage, so executor loss is survivable).  Each pass runs
     one task per partition, and AQE coalesces a small join's output down to a
-    few partitions, so the narrow feature rows are first spread to one
-    partition per core.
+    few partitions, so the narrow feature rows are first spread to as many
+    partitions as a shuffle has, one per core at least.
     """
     from pyspark import StorageLevel
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    cached = train.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
+    spark = train.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    cached = train.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return spec.fit(cached)
     finally:

@@ -1,17 +1,17 @@
 """Registry queries: paging, name search, key lookup, code enrichment.
 
-All results are ordered by the unique key, so pages are deterministic.  Top-N
+All results are ordered by key and, where keys repeat or are missing, by the other
+columns, so pages are deterministic.  Top-N
 with offset plans as ``TakeOrderedAndProject`` (each task keeps only
-offset+limit rows); deep pages should use ``after_key`` (keyset paging), which
+offset+limit rows); deep pages should use ``after`` (keyset paging), which
 turns into a pushed-down range filter instead of a larger top-N.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regiflow.operators.joins import bounded_broadcast
 from regiflow.schema import PAGE_LIMIT_DEFAULT, PAGE_LIMIT_MAX, SEARCH_MIN_CHARS
 
 LIST_COLUMNS = ["cnpj_basico", "razao_social", "natureza_juridica", "capital_social", "porte_empresa"]
@@ -31,14 +31,33 @@ def total(companies: DataFrame) -> DataFrame:
     return companies.agg(F.count(F.lit(1)).alias("total"))
 
 
+def _after(last: dict, columns: list[str]) -> Column:
+    """Rows that equal ``last`` or follow it in ascending order, nulls last."""
+    cond = F.lit(True)
+    for c in reversed(columns):
+        v = F.lit(last[c])
+        later = F.lit(False) if last[c] is None else F.coalesce(F.col(c) > v, F.lit(True))
+        cond = later | (F.col(c).eqNullSafe(v) & cond)
+    return cond
+
+
 def list_page(companies: DataFrame, limit: int = PAGE_LIMIT_DEFAULT, offset: int = 0,
-              after_key: str | None = None, key: str = "cnpj_basico") -> DataFrame:
-    """One page of companies in key order."""
+              after_key: str | None = None, key: str = "cnpj_basico",
+              after: dict | None = None, ties: int = 0) -> DataFrame:
+    """One page of companies in key order; rows of one key are ordered by their other columns.
+
+    ``after_key`` starts behind a key.  ``after`` (a row as a dict) with ``ties`` (how many rows
+    equal to it were given so far) continues behind that row, so paging reaches every row, also
+    null and repeated keys and repeated rows.
+    """
     check_page(limit, offset)
-    df = companies
+    columns = [key, *[c for c in LIST_COLUMNS if c != key]]
+    df = companies.select(*LIST_COLUMNS)
     if after_key is not None:
         df = df.where(F.col(key) > F.lit(after_key))
-    page = df.select(*LIST_COLUMNS).orderBy(F.col(key).asc_nulls_last())
+    if after is not None:
+        df, offset = df.where(_after(after, columns)), offset + ties
+    page = df.orderBy(*[F.col(c).asc_nulls_last() for c in columns])
     if offset:
         page = page.offset(offset)
     return page.limit(limit)
@@ -84,13 +103,13 @@ def lookup_keys(companies: DataFrame, keys: DataFrame, key: str = "cnpj_basico")
 def enrich_codes(companies: DataFrame, naturezas: DataFrame, regions: DataFrame | None = None) -> DataFrame:
     """Attach code descriptions from lookup tables (left joins).
 
-    Code tables are bounded domains (hundreds of rows); after a size check they
-    are broadcast and the company side is never shuffled.
+    Code tables are small; Spark's size estimates and adaptive execution choose
+    the broadcast, and a shuffle join where a table is not small after all.
     """
     nat = naturezas.select(F.col("codigo").alias("natureza_juridica"),
                            F.col("descricao").alias("natureza_descricao"), *(
                                ["n_regionkey"] if "n_regionkey" in naturezas.columns else []))
-    out = companies.join(bounded_broadcast(nat), "natureza_juridica", "left")
+    out = companies.join(nat, "natureza_juridica", "left")
     if regions is not None and "n_regionkey" in nat.columns:
-        out = out.join(bounded_broadcast(regions), "n_regionkey", "left").drop("n_regionkey")
+        out = out.join(regions, "n_regionkey", "left").drop("n_regionkey")
     return out

@@ -17,11 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiflow.functions.text import file_type, table_name, parquet_name
+from regiflow.operators.casting import rejects, to_typed
 from regiflow.operators.control import latest_state
 from regiflow.operators.rules import normalize
-from regiflow.schema import CONTROL_EVENT_SCHEMA, LAYOUTS
+from regiflow.schema import CONTROL_EVENT_SCHEMA, LAYOUTS, TYPED
 from regiflow.sinks.tables import load_table
-from regiflow.sources.archives import read_zip_paths, spread_archive_rows
+from regiflow.sources.archives import CORRUPT, read_zip_paths, spread_archive_rows
 from regiflow.sources.csv import split_quarantine
 from regiflow.sources.listing import inventory
 
@@ -80,7 +81,8 @@ def run_month(spark: SparkSession, raw_root: str, work_root: str, year_month: st
 
     outcomes: list[DataFrame] = []
     unmapped = todo.where(~F.col("file_type").isin(list(LAYOUTS)))
-    _events(unmapped, "downloaded", 1, F.lit("not_mapped")).write.mode("append").partitionBy("year_month").parquet(log)
+    told = state.where(F.col("error_message") == "not_mapped").select("year_month", "file_name")
+    _events(unmapped.join(told, ["year_month", "file_name"], "left_anti"), "downloaded", 1, F.lit("not_mapped")).write.mode("append").partitionBy("year_month").parquet(log)
     outcomes.append(unmapped.select("file_name", "file_type", F.lit(None).cast("long").alias("rows"),
                                     F.lit("skipped").alias("outcome"), F.lit("not_mapped").alias("reason")))
 
@@ -90,38 +92,55 @@ def run_month(spark: SparkSession, raw_root: str, work_root: str, year_month: st
         if r["file_type"] in LAYOUTS:
             by_entity.setdefault(r["file_type"], []).append(r["path"])
     for entity, paths in sorted(by_entity.items()):
-        # archives are decompressed once: the spread text feeds both writes
-        raw = (spread_archive_rows(read_zip_paths(spark, sorted(paths), entity).drop("member"), len(paths))
+        # archives are decompressed once: the spread text feeds all writes
+        raw = (spread_archive_rows(read_zip_paths(spark, sorted(paths), entity), len(paths))
                .persist(StorageLevel.MEMORY_AND_DISK))
-        good, bad = split_quarantine(raw)
+        broken = raw.where((F.col("member") == "") & F.col(CORRUPT).isNotNull()).groupBy("source_file").agg(F.min(CORRUPT).alias("why"))
+        failed = {r["source_file"]: r["why"] for r in broken.collect()}            # at most the month's archives
+        readable = raw.where(~F.col("source_file").isin(list(failed))).drop("member") if failed else raw.drop("member")
+        good, bad = split_quarantine(readable)
         silver = normalize(good, entity).withColumn("year_month", F.lit(year_month))
         table = f"{work_root}/processed/{entity.lower()}"
-        (silver.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("year_month", "source_file").parquet(table))
-        (bad.withColumn("year_month", F.lit(year_month)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("year_month", "source_file")
-         .parquet(f"{work_root}/quarantine/{entity.lower()}"))
+        by_file = ("year_month", "source_file")
+        load_table(spark, silver, table, partition_by=by_file, idempotent=True)
+        load_table(spark, bad.withColumn("year_month", F.lit(year_month)), f"{work_root}/quarantine/{entity.lower()}",
+                   partition_by=by_file, idempotent=True)
         raw.unpersist()
-        names = [os.path.basename(p) for p in paths]
-        written = (spark.read.parquet(table)
+        names = [os.path.basename(p) for p in paths if os.path.basename(p) not in failed]
+        written = (spark.read.schema(silver.schema).parquet(table)
                    .where((F.col("year_month") == year_month) & F.col("source_file").isin(names)))
         counts = written.groupBy(F.col("source_file").alias("file_name")).agg(F.count(F.lit(1)).alias("rows"))
+        why = F.create_map(*[F.lit(x) for kv in failed.items() for x in kv]) if failed else F.create_map(F.lit(""), F.lit(""))
         part_files = files.where(F.col("file_type") == entity).join(
-            spark.createDataFrame([(n,) for n in names], "file_name string"), "file_name")
-        transformed = part_files.join(counts, "file_name", "left")
-        _events(transformed, "transformed", 2).write.mode("append").partitionBy("year_month").parquet(log)
+            spark.createDataFrame([(os.path.basename(p),) for p in paths], "file_name string"), "file_name")
+        # only files with written rows advance; the others are errors and planned again by the next run
+        part_files = part_files.join(counts, "file_name", "left").withColumn(
+            "why", F.when(F.col("rows").isNull(), F.coalesce(F.try_element_at(why, F.col("file_name")), F.lit("no rows written"))))
+        done_files, errors = part_files.where("why is null"), part_files.where("why is not null")
+        _events(errors, "error", 2, F.col("why")).write.mode("append").partitionBy("year_month").parquet(log)
+        _events(done_files, "transformed", 2).write.mode("append").partitionBy("year_month").parquet(log)
         gold = f"{work_root}/warehouse/{entity.lower()}"
-        result = load_table(spark, written, gold, load_mode, partition_by=("year_month", "source_file"),
-                            idempotent=True)
+        typed = to_typed(written, entity) if entity in TYPED else written
+        result = load_table(spark, typed, gold, load_mode, partition_by=by_file, idempotent=True)
+        if entity in TYPED and result["action"] != "skipped":
+            load_table(spark, rejects(written, entity, keep=by_file), f"{work_root}/rejects/{entity.lower()}",
+                       partition_by=by_file, idempotent=True)
         status = "loaded" if result["action"] != "skipped" else "transformed"
         if status == "loaded":
-            _events(part_files, "loaded", 3).write.mode("append").partitionBy("year_month").parquet(log)
-        outcomes.append(transformed.select("file_name", "file_type", F.col("rows").cast("long"),
-                                           F.lit(status).alias("outcome"),
-                                           F.lit(result["action"]).alias("reason")))
+            _events(done_files, "loaded", 3).write.mode("append").partitionBy("year_month").parquet(log)
+        outcomes.append(part_files.select("file_name", "file_type", F.col("rows").cast("long"),
+                                          F.when(F.col("why").isNull(), status).otherwise("error").alias("outcome"),
+                                          F.coalesce("why", F.lit(result["action"])).alias("reason")))
     return reduce(lambda a, b: a.unionByName(b), outcomes)
 
 
+def run_counters(outcomes: DataFrame) -> DataFrame:
+    """One row for a run: files processed, skipped and in error, and rows written."""
+    is_ = lambda *x: F.count_if(F.col("outcome").isin(*x))
+    return outcomes.agg(is_("transformed", "loaded").alias("processed"), is_("skipped").alias("skipped"), is_("error").alias("errors"),
+                        F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("rows"))
+
+
 def table_of(file_name_col: F.Column) -> F.Column:
     """Warehouse table of a raw archive name."""
     return table_name(parquet_name(file_name_col))

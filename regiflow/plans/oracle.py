@@ -96,8 +96,8 @@ def human_bytes(c: str) -> str:
     whens = []
     for i, unit in enumerate(BYTE_UNITS):
         scaled = f"(CAST({c} AS DOUBLE) / {BYTE_STEP ** i})"
-        whens.append(f"WHEN abs({scaled}) < {BYTE_STEP} THEN printf('%.1f {unit}', round({scaled}, 1))")
-    last = f"printf('%.1f {BYTE_LAST_UNIT}', round(CAST({c} AS DOUBLE) / {BYTE_STEP ** len(BYTE_UNITS)}, 1))"
+        whens.append(f"WHEN abs({scaled}) < {BYTE_STEP} THEN printf('%.1f {unit}', {scaled})")
+    last = f"printf('%.1f {BYTE_LAST_UNIT}', CAST({c} AS DOUBLE) / {BYTE_STEP ** len(BYTE_UNITS)})"
     return f"CASE WHEN {c} IS NULL THEN NULL {' '.join(whens)} ELSE {last} END"
 
 
@@ -118,6 +118,7 @@ SELECT
   CAST(c_nationkey + 2000 AS VARCHAR) AS natureza_juridica,
   lpad(CAST(c_custkey % 50 AS VARCHAR), 2, '0') AS qualificacao_responsavel,
   CASE WHEN c_custkey % 41 = 0 THEN 'abc' WHEN c_custkey % 43 = 0 THEN ''
+       WHEN c_custkey % 59 = 0 THEN '5d' WHEN c_custkey % 61 = 0 THEN '0x1p3'
        WHEN c_custkey % 37 = 0 THEN '1.000,50'
        WHEN c_custkey % 29 = 0 THEN ' ' || {_money('c_acctbal')} || ' '
        ELSE {_money('c_acctbal')} END AS capital_social,
@@ -131,7 +132,7 @@ SELECT
   CAST(o.o_custkey AS VARCHAR) AS cnpj_basico,
   lpad(CAST(o_orderkey % 10000 AS VARCHAR), 4, '0') AS cnpj_ordem,
   lpad(CAST(o_orderkey % 97 AS VARCHAR), 2, '0') AS cnpj_dv,
-  CASE WHEN o_orderkey = f.first_orderkey THEN '1' ELSE '2' END AS identificador_matriz_filial,
+  CASE WHEN o_orderpriority = '1-URGENT' THEN '1' ELSE '2' END AS identificador_matriz_filial,
   o_orderpriority AS nome_fantasia,
   {case_map('o_orderstatus', SITUATION_BY_STATUS)} AS situacao_cadastral,
   CASE WHEN o_orderkey % 13 = 0 THEN '00000000' ELSE strftime(o_orderdate, '%Y%m%d') END AS data_situacao_cadastral,
@@ -146,8 +147,6 @@ SELECT
   CAST(o.o_custkey % 5000 AS VARCHAR) AS municipio,
   CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE strftime(o_orderdate, '%Y%m%d') END AS data_situacao_especial
 FROM orders o
-JOIN (SELECT o_custkey, min(o_orderkey) AS first_orderkey FROM orders GROUP BY o_custkey) f
-  ON o.o_custkey = f.o_custkey
 """
 
 RAW_PARTNERS = """
@@ -173,7 +172,7 @@ SELECT
   CASE WHEN c_custkey % 7 = 0 THEN 'S' ELSE 'N' END AS opcao_mei,
   CASE WHEN c_custkey % 7 = 0 THEN '20090701' ELSE '' END AS data_opcao_mei,
   '00000000' AS data_exclusao_mei
-FROM customer WHERE c_custkey % 5 <> 0
+FROM customer WHERE c_acctbal >= 0
 """
 
 NATUREZAS = """
@@ -182,12 +181,14 @@ SELECT CAST(n_nationkey + 2000 AS VARCHAR) AS codigo, n_name AS descricao, n_reg
 
 
 def file_name_sql(k: str) -> str:
-    return (f"{pick(k, FILE_PREFIXES)} || CAST({k} AS VARCHAR) || "
-            f"CASE WHEN {k} % 10 = 9 THEN '.ZIP' ELSE '.zip' END")
+    n = f"(CASE WHEN {k} % 53 = 0 THEN {k} ELSE {k} % 500 END)"
+    return (f"{pick(n, FILE_PREFIXES)} || CAST({n} AS VARCHAR) || "
+            f"CASE WHEN {n} % 10 = 9 THEN '.ZIP' ELSE '.zip' END")
 
 
-def year_month_sql(k: str, d: str) -> str:
-    return f"CASE WHEN {k} % 53 = 0 THEN 'BASE' ELSE strftime({d}, '%Y-%m') END"
+def year_month_sql(k: str) -> str:
+    return (f"CASE WHEN {k} % 53 = 0 THEN 'BASE' "
+            f"ELSE strftime(DATE '1992-01-01' + to_months(CAST({k} // 500 AS INTEGER)), '%Y-%m') END")
 
 
 CONTROL = f"""
@@ -204,21 +205,21 @@ SELECT file_id, year_month, file_name, file_size_bytes, etag,
   CASE WHEN status NOT IN ('pending', 'downloading') AND status <> 'error'
        THEN discovered_at + INTERVAL 1 DAY END AS synced_at,
   status,
-  CASE WHEN status = 'error' THEN 'download failed: ' || file_name END AS error_message
+  CASE WHEN status = 'error' THEN 'download failed: ' || file_name END AS error_message, priority, order_status
 FROM (
   SELECT o_orderkey AS file_id,
-    {year_month_sql('o_orderkey', 'o_orderdate')} AS year_month,
+    {year_month_sql('o_orderkey')} AS year_month,
     {file_name_sql('o_orderkey')} AS file_name,
     CASE WHEN o_orderkey % 19 = 0 THEN NULL
          ELSE CAST(CAST(o_totalprice AS DECIMAL(15,2)) * 100 AS BIGINT) END AS file_size_bytes,
     md5(CAST(o_custkey AS VARCHAR)) AS etag,
     {pick('o_orderkey', STATUS_BY_MOD)} AS status,
-    o_orderdate AS discovered_at
+    o_orderdate AS discovered_at, o_orderpriority AS priority, o_orderstatus AS order_status
   FROM orders) b
 """
 
 REMOTE_LISTING = f"""
-SELECT {year_month_sql('o_orderkey', 'o_orderdate')} AS year_month,
+SELECT {year_month_sql('o_orderkey')} AS year_month,
   {file_name_sql('o_orderkey')} AS file_name,
   CAST(CAST(o_totalprice AS DECIMAL(15,2)) * 100 AS BIGINT) AS size,
   CASE WHEN o_orderkey % 31 = 0 THEN md5(CAST(o_custkey + 1 AS VARCHAR))
@@ -228,7 +229,7 @@ FROM orders
 
 KNOWN_CONTROL = f"""
 SELECT * FROM ({CONTROL}) c
-WHERE (year_month <> 'BASE' AND year_month < '{KNOWN_BEFORE}' AND file_id % 41 <> 0) OR (year_month = 'BASE' AND file_id % 106 <> 0)
+WHERE (year_month = 'BASE' OR year_month < '{KNOWN_BEFORE}') AND priority <> '5-LOW'
 """
 
 STORE = f"""
@@ -236,33 +237,31 @@ SELECT 'raw/' || year_month || '/' || file_name AS key,
   coalesce(local_size_bytes, file_size_bytes, 0) + CASE WHEN file_id % 13 = 0 THEN 1 ELSE 0 END AS size_bytes,
   discovered_at + INTERVAL 2 DAY AS last_modified,
   md5(CAST(file_id AS VARCHAR)) AS etag,
-  CASE WHEN file_id % 29 = 0 THEN sha256(CAST(file_id + 1 AS VARCHAR)) ELSE sha256(CAST(file_id AS VARCHAR)) END AS content_hash
-FROM ({CONTROL}) c WHERE status NOT IN ('pending', 'downloading') AND file_id % 11 <> 0
-  AND year_month <> '{STORE_MISSING_MONTH}'
+  CASE WHEN order_status = 'P' THEN NULL
+       WHEN file_id % 29 = 0 THEN sha256(CAST(file_id + 1 AS VARCHAR)) ELSE sha256(CAST(file_id AS VARCHAR)) END AS content_hash
+FROM ({CONTROL}) c WHERE year_month <> '{STORE_MISSING_MONTH}'
+  AND (status NOT IN ('pending', 'downloading') AND priority <> '5-LOW' OR status = 'downloading' AND priority = '1-URGENT')
 UNION ALL
 SELECT 'processed/' || year_month || '/' || replace(file_name, '.zip', '.parquet'),
   coalesce(file_size_bytes, 0) // 4, discovered_at + INTERVAL 3 DAY, md5(CAST(file_id + 7 AS VARCHAR)), NULL
-FROM ({CONTROL}) c WHERE status IN ('transformed', 'loaded') AND file_id % 5 <> 0
+FROM ({CONTROL}) c WHERE status IN ('transformed', 'loaded') AND priority <> '4-NOT SPECIFIED'
   AND year_month <> '{STORE_MISSING_MONTH}'
 UNION ALL
-SELECT 'raw/' || strftime(CAST(o_orderdate AS DATE) + INTERVAL 120 MONTH, '%Y-%m') || '/orphan' || CAST(o_orderkey AS VARCHAR) || '.zip',
-  o_orderkey * 10, o_orderdate, md5(CAST(o_orderkey AS VARCHAR)), NULL
-FROM orders WHERE o_orderkey % 97 = 0
+SELECT 'raw/' || strftime(CAST(discovered_at AS DATE) + INTERVAL 240 MONTH, '%Y-%m') || '/orphan' || CAST(file_id AS VARCHAR) || '.zip',
+  file_id * 10, discovered_at, md5(CAST(file_id AS VARCHAR)), NULL
+FROM ({CONTROL}) c WHERE order_status = 'P'
 UNION ALL
-SELECT strftime(o_orderdate, '%Y-%m') || '/' || {file_name_sql('o_orderkey')},
-  o_orderkey * 3, o_orderdate, md5(CAST(o_orderkey AS VARCHAR)), NULL
-FROM orders WHERE o_orderkey % 89 = 0 AND strftime(o_orderdate, '%Y-%m') <> '{STORE_MISSING_MONTH}'
+SELECT year_month || '/' || file_name, file_id * 3, discovered_at, md5(CAST(file_id AS VARCHAR)), NULL
+FROM ({CONTROL}) c WHERE year_month NOT IN ('BASE', '{STORE_MISSING_MONTH}') AND priority = '2-HIGH' AND order_status = 'F'
 UNION ALL
-SELECT 'readme' || CAST(o_orderkey AS VARCHAR) || '.txt', o_orderkey, o_orderdate, md5(CAST(o_orderkey AS VARCHAR)), NULL
-FROM orders WHERE o_orderkey % 251 = 0
+SELECT 'readme' || CAST(file_id AS VARCHAR) || '.txt', file_id, discovered_at, md5(CAST(file_id AS VARCHAR)), NULL
+FROM ({CONTROL}) c WHERE year_month = 'BASE' AND priority = '3-MEDIUM'
 """
 
 PROCESSED_STATS = f"""
-SELECT replace({file_name_sql('l_orderkey')}, '.zip', '.parquet') AS parquet_file,
+SELECT {year_month_sql('l_orderkey')} AS year_month, replace({file_name_sql('l_orderkey')}, '.zip', '.parquet') AS parquet_file,
   count(*) AS row_count, CAST(sum(l_linenumber * 1000 + 4096) AS BIGINT) AS size_bytes
-FROM lineitem
-WHERE (l_orderkey % 7 IN (4, 5) AND l_orderkey % 5 <> 0) OR (l_orderkey % 7 = 2 AND l_orderkey % 3 = 0)
-GROUP BY l_orderkey
+FROM lineitem GROUP BY l_orderkey HAVING bool_or(l_returnflag = 'R')
 """
 
 CONTROL_EVENTS = """

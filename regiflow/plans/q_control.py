@@ -183,19 +183,21 @@ _MAPPED_SQL = f"{O.file_type('c.file_name')} IN ({O.in_list(list(LAYOUTS))})"
 
 @register("transform_events", f"""
 SELECT c.year_month, c.file_name,
-  CASE WHEN NOT ({_MAPPED_SQL}) THEN 'skipped' WHEN p.parquet_file IS NOT NULL THEN 'transformed' ELSE 'error' END
+  CASE WHEN NOT ({_MAPPED_SQL}) THEN 'downloaded' WHEN p.parquet_file IS NOT NULL THEN 'transformed' ELSE 'error' END
     AS status,
   CASE WHEN NOT ({_MAPPED_SQL}) THEN 'not_mapped' WHEN p.parquet_file IS NULL THEN 'no output written' END AS reason,
   p.row_count
-FROM {_CTL} LEFT JOIN ({O.PROCESSED_STATS}) p ON p.parquet_file = replace(c.file_name, '.zip', '.parquet')
+FROM {_CTL} LEFT JOIN ({O.PROCESSED_STATS}) p ON p.year_month = c.year_month AND p.parquet_file = replace(c.file_name, '.zip', '.parquet')
 WHERE c.status = 'downloaded'""", "CTL4 ENT7 transitions after transform")
 def transform_events(spark, sf):
     from regiflow.functions.text import is_mapped, parquet_name
-    cur = S.control(spark, sf).where(F.col("status") == "downloaded")
-    j = cur.join(S.processed_stats(spark, sf), parquet_name(F.col("file_name")) == F.col("parquet_file"), "left")
+    cur = S.control(spark, sf).where(F.col("status") == "downloaded").select(
+        "year_month", "file_name", F.col("status").alias("c_status"), parquet_name(F.col("file_name")).alias("parquet_name"))
+    st = S.processed_stats(spark, sf).withColumn("parquet_name", F.col("parquet_file"))
+    j = cur.join(st, ["year_month", "parquet_name"], "left")
     mapped = is_mapped(F.col("file_name"))
     return j.select("year_month", "file_name",
-                    F.when(~mapped, "skipped").when(F.col("parquet_file").isNotNull(), "transformed")
+                    F.when(~mapped, F.col("c_status")).when(F.col("parquet_file").isNotNull(), "transformed")
                     .otherwise("error").alias("status"),
                     F.when(~mapped, "not_mapped").when(F.col("parquet_file").isNull(), "no output written")
                     .alias("reason"), "row_count")
@@ -203,33 +205,34 @@ def transform_events(spark, sf):
 
 @register("load_events", f"""
 SELECT c.year_month, c.file_name, 'loaded' AS status, p.row_count
-FROM {_CTL} JOIN ({O.PROCESSED_STATS}) p ON p.parquet_file = replace(c.file_name, '.zip', '.parquet')
+FROM {_CTL} JOIN ({O.PROCESSED_STATS}) p ON p.year_month = c.year_month AND p.parquet_file = replace(c.file_name, '.zip', '.parquet')
 WHERE c.status = 'transformed' AND {_MAPPED_SQL}""", "CTL5 only files that loaded (D7)")
 def load_events(spark, sf):
     from regiflow.functions.text import is_mapped, parquet_name
     cur = S.control(spark, sf).where((F.col("status") == "transformed") & is_mapped(F.col("file_name")))
-    j = cur.join(S.processed_stats(spark, sf), parquet_name(F.col("file_name")) == F.col("parquet_file"), "inner")
+    st = S.processed_stats(spark, sf).withColumnRenamed("parquet_file", "parquet_name")
+    j = cur.withColumn("parquet_name", parquet_name(F.col("file_name"))).join(st, ["year_month", "parquet_name"])
     return j.select("year_month", "file_name", F.lit("loaded").alias("status"), "row_count")
 
 
 @register("resolve_sources", f"""
-SELECT file_name, location, size_bytes, origin FROM (
-  SELECT *, row_number() OVER (PARTITION BY file_name ORDER BY priority) AS rn FROM (
-    SELECT file_name, 'local:raw/' || year_month || '/' || file_name AS location, local_size_bytes AS size_bytes,
-      0 AS priority, 'local' AS origin
-    FROM {_CTL} WHERE status IN ({_TRACKED}) AND file_id % 3 <> 0
+SELECT year_month, file_name, location, size_bytes, origin FROM (
+  SELECT *, row_number() OVER (PARTITION BY year_month, file_name ORDER BY rank) AS rn FROM (
+    SELECT year_month, file_name, 'local:raw/' || year_month || '/' || file_name AS location, local_size_bytes AS size_bytes,
+      0 AS rank, 'local' AS origin
+    FROM {_CTL} WHERE status IN ({_TRACKED}) AND c.priority IN ('1-URGENT', '2-HIGH')
     UNION ALL
-    SELECT split_part(key, '/', 3), 'store:' || key, size_bytes, 1, 'store'
+    SELECT split_part(key, '/', 2), split_part(key, '/', 3), 'store:' || key, size_bytes, 1, 'store'
     FROM {_STORE} WHERE starts_with(key, 'raw/')) b) r
 WHERE rn = 1""", "SRC12 local-first fallback to store")
 def resolve_sources(spark, sf):
     from regiflow.sources.resolve import resolve_sources as rs
-    c = S.control(spark, sf).where(F.col("status").isin(DOWNLOADED_OR_LATER) & (F.col("file_id") % 3 != 0))
-    local = c.select("file_name", F.concat(F.lit("local:raw/"), F.col("year_month"), F.lit("/"),
+    c = S.control(spark, sf).where(F.col("status").isin(DOWNLOADED_OR_LATER) & F.col("priority").isin("1-URGENT", "2-HIGH"))
+    local = c.select("year_month", "file_name", F.concat(F.lit("local:raw/"), F.col("year_month"), F.lit("/"),
                                            F.col("file_name")).alias("location"),
                      F.col("local_size_bytes").alias("size_bytes"))
     st = S.store_inventory(spark, sf).where(F.col("key").startswith("raw/"))
-    store = st.select(F.split("key", "/").getItem(2).alias("file_name"),
+    store = st.select(F.split("key", "/").getItem(1).alias("year_month"), F.split("key", "/").getItem(2).alias("file_name"),
                       F.concat(F.lit("store:"), F.col("key")).alias("location"), "size_bytes")
     return rs(local, store)
 

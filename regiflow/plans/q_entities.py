@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -122,14 +120,14 @@ def company_total(spark, sf):
 
 @register("list_page", f"""
 SELECT {_LIST_SQL} FROM ({O.companies_sql()}) c
-ORDER BY cnpj_basico NULLS LAST LIMIT {PAGE_LIMIT} OFFSET {PAGE_OFFSET}""", "QRY1 SRT3 PRJ1")
+ORDER BY cnpj_basico NULLS LAST, razao_social NULLS LAST, natureza_juridica NULLS LAST, capital_social NULLS LAST, porte_empresa NULLS LAST LIMIT {PAGE_LIMIT} OFFSET {PAGE_OFFSET}""", "QRY1 SRT3 PRJ1")
 def list_page(spark, sf):
     return registry.list_page(silver.companies(spark, sf), PAGE_LIMIT, PAGE_OFFSET)
 
 
 @register("search_name", f"""
 SELECT {_LIST_SQL} FROM ({O.companies_sql()}) c
-WHERE razao_social ILIKE '%{SEARCH_TERM}%' ORDER BY cnpj_basico NULLS LAST LIMIT {PAGE_LIMIT}""", "QRY2 FLT2 SRT4")
+WHERE razao_social ILIKE '%{SEARCH_TERM}%' ORDER BY cnpj_basico NULLS LAST, razao_social NULLS LAST, natureza_juridica NULLS LAST, capital_social NULLS LAST, porte_empresa NULLS LAST LIMIT {PAGE_LIMIT}""", "QRY2 FLT2 SRT4")
 def search_name(spark, sf):
     return registry.search_name(silver.companies(spark, sf), SEARCH_TERM, PAGE_LIMIT)
 
@@ -161,11 +159,10 @@ def lookup_enrich(spark, sf):
 
 @register("multi_part_union", O.companies_sql(), "SET5 multi-part union")
 def multi_part_union(spark, sf):
+    # all parts in one frame: cleaning is per row, so part files need one read and no union
     raw = S.raw_companies(spark, sf)
-    k = F.col("cnpj_basico").try_cast("bigint")
-    parts = [normalize(raw.where(k % PARTS == i), "Empresas") for i in range(PARTS)]
-    parts.append(normalize(raw.where(k.isNull()), "Empresas"))
-    return reduce(lambda a, b: a.unionByName(b), parts[1:], parts[0])
+    parts = raw.withColumn("source_file", F.concat(F.lit("Empresas"), F.pmod(F.xxhash64("cnpj_basico"), F.lit(PARTS)).cast("string")))
+    return normalize(parts, "Empresas").drop("source_file")
 
 
 @register("content_hash", "SELECT doc_id, sha256(text) AS content_sha256, n_chars FROM documents", "HSH1")
@@ -180,7 +177,7 @@ AFTER_KEY = "00000500"
 
 @register("search_wildcard", f"""
 SELECT {_LIST_SQL} FROM ({O.companies_sql()}) c
-WHERE razao_social ILIKE '%{WILDCARD_TERM}%' ORDER BY cnpj_basico NULLS LAST LIMIT {PAGE_LIMIT}""",
+WHERE razao_social ILIKE '%{WILDCARD_TERM}%' ORDER BY cnpj_basico NULLS LAST, razao_social NULLS LAST, natureza_juridica NULLS LAST, capital_social NULLS LAST, porte_empresa NULLS LAST LIMIT {PAGE_LIMIT}""",
           "QRY2 FLT2 '_' in the term is a wildcard (D22 default)")
 def search_wildcard(spark, sf):
     return registry.search_name(silver.companies(spark, sf), WILDCARD_TERM, PAGE_LIMIT)
@@ -188,7 +185,7 @@ def search_wildcard(spark, sf):
 
 @register("list_page_keyset", f"""
 SELECT {_LIST_SQL} FROM ({O.companies_sql()}) c WHERE cnpj_basico > '{AFTER_KEY}'
-ORDER BY cnpj_basico NULLS LAST LIMIT {PAGE_LIMIT}""", "QRY1 SRT3 keyset paging")
+ORDER BY cnpj_basico NULLS LAST, razao_social NULLS LAST, natureza_juridica NULLS LAST, capital_social NULLS LAST, porte_empresa NULLS LAST LIMIT {PAGE_LIMIT}""", "QRY1 SRT3 keyset paging")
 def list_page_keyset(spark, sf):
     return registry.list_page(silver.companies(spark, sf), PAGE_LIMIT, after_key=AFTER_KEY)
 

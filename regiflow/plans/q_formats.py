@@ -49,7 +49,7 @@ def eta_text_q(spark, sf):
 @register("percent_text", f"""
 SELECT file_name,
   CASE WHEN local_size_bytes IS NULL OR file_size_bytes IS NULL THEN NULL WHEN file_size_bytes = 0 THEN 'N/A'
-       ELSE printf('%.1f%%', round(100.0 * local_size_bytes / file_size_bytes, 1)) END AS local_pct
+       ELSE printf('%.1f%%', 100.0 * local_size_bytes / file_size_bytes) END AS local_pct
 FROM {_CTL}""", "STR15")
 def percent_text_q(spark, sf):
     c = S.control(spark, sf)

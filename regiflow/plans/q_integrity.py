@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from regiflow.operators import gaps as G
 from regiflow.operators import integrity as I
 from regiflow.plans import oracle as O
 from regiflow.plans import standins as S
 from regiflow.plans.catalog import register
 from regiflow.schema import DOWNLOADED_OR_LATER, LAYOUTS, TRANSFORMED_OR_LATER
+from regiflow.sinks.tables import unprocessed_inputs as unprocessed
+
+START_AFTER = "raw/1992-03/"      # the listing page shown begins after this key
 
 _CTL = f"({O.CONTROL})"
 _STORE = f"({O.STORE})"
@@ -157,19 +162,19 @@ _SMONTHS = f"SELECT DISTINCT {_SMONTH} AS month FROM {_STORE} s"
 
 @register("gap_both", f"{_CMONTHS} INTERSECT {_SMONTHS}", "SET1 INT4")
 def gap_both(spark, sf):
-    return G.months_in_both(S.control(spark, sf), S.store_inventory(spark, sf))
+    return G.months_in_both(gap_full(spark, sf))
 
 
 @register("gap_only_control", f"{_CMONTHS} EXCEPT {_SMONTHS}", "SET2 INT4")
 def gap_only_control(spark, sf):
-    return G.months_only_in_control(S.control(spark, sf), S.store_inventory(spark, sf))
+    return G.months_only_in_control(gap_full(spark, sf))
 
 
 @register("gap_only_store", f"""
 SELECT * FROM ({_BY_PREFIX}) b WHERE month IN (SELECT month FROM ({_SMONTHS} EXCEPT {_CMONTHS}) x)""",
           "SET3 INT4")
 def gap_only_store(spark, sf):
-    return G.months_only_in_store(S.control(spark, sf), S.store_inventory(spark, sf))
+    return G.months_only_in_store(gap_full(spark, sf))
 
 
 _GAP_FULL = f"""
@@ -197,10 +202,30 @@ def gap_summary(spark, sf):
 
 
 @register("list_objects", f"""
-SELECT key, size_bytes, last_modified, etag FROM {_STORE} s WHERE starts_with(key, 'raw/')
-ORDER BY key LIMIT 1000""", "SRC8 SRC10 prefix listing page (max keys)")
+SELECT key, size_bytes, last_modified, etag, {O.human_bytes('size_bytes')} AS size_human,
+  (SELECT count(*) FROM {_STORE} s WHERE starts_with(key, 'raw/') AND key > '{START_AFTER}') > 1000 AS is_truncated
+FROM {_STORE} s WHERE starts_with(key, 'raw/') AND key > '{START_AFTER}'
+ORDER BY key LIMIT 1000""", "SRC8 SRC10 prefix listing page after a key, with truncation")
 def list_objects(spark, sf):
-    return G.list_objects(S.store_inventory(spark, sf), "raw/", 1000)
+    return G.list_objects(S.store_inventory(spark, sf), "raw/", 1000, START_AFTER)
+
+
+@register("object_metadata", f"""
+SELECT key, size_bytes, last_modified, etag FROM {_STORE} s
+WHERE key = (SELECT max(key) FROM {_STORE} s WHERE starts_with(key, 'processed/'))""", "SRC9 one object's metadata")
+def object_metadata(spark, sf):
+    store = S.store_inventory(spark, sf)
+    last = store.where(F.col("key").startswith("processed/")).agg(F.max("key").alias("key"))
+    return store.join(last, "key", "left_semi").select("key", "size_bytes", "last_modified", "etag")
+
+
+@register("unprocessed_inputs", f"""
+SELECT c.year_month, c.file_name FROM {_CTL} c
+WHERE NOT EXISTS (SELECT 1 FROM {_STORE} s WHERE starts_with(key, 'processed/') AND split_part(key, '/', 2) = c.year_month
+                  AND split_part(key, '/', 3) = replace(c.file_name, '.zip', '.parquet'))""", "SNK3 anti join by month and name")
+def unprocessed_inputs(spark, sf):
+    done = S.store_inventory(spark, sf).where(F.col("key").startswith("processed/"))
+    return unprocessed(S.control(spark, sf).select("year_month", "file_name"), done)
 
 
 # --- transform / load status -----------------------------------------------------
@@ -215,7 +240,7 @@ SELECT c.year_month, c.file_name, {O.file_type('c.file_name')} AS file_type,
   p.size_bytes AS parquet_size_bytes, p.row_count,
   CASE WHEN NOT ({O.file_type('c.file_name')} IN ({O.in_list(list(LAYOUTS))})) THEN 'not_mapped'
        ELSE c.status END AS status
-FROM {_CTL} c LEFT JOIN {_STATS} p ON p.parquet_file = replace(c.file_name, '.zip', '.parquet')
+FROM {_CTL} c LEFT JOIN {_STATS} p ON p.year_month = c.year_month AND p.parquet_file = replace(c.file_name, '.zip', '.parquet')
 WHERE c.status IN ({_TRACKED})"""
 
 
@@ -238,8 +263,8 @@ def transform_summary(spark, sf):
 
 _COUNTS = f"""
 SELECT {O.table_name('p.parquet_file')} AS table_name, CAST(sum(p.row_count) AS BIGINT) AS db_rows
-FROM {_STATS} p JOIN (SELECT replace(file_name, '.zip', '.parquet') AS parquet_file FROM {_CTL} c
-                       WHERE status = 'loaded') l ON l.parquet_file = p.parquet_file
+FROM {_STATS} p JOIN (SELECT year_month, replace(file_name, '.zip', '.parquet') AS parquet_file FROM {_CTL} c
+                       WHERE status = 'loaded') l ON l.year_month = p.year_month AND l.parquet_file = p.parquet_file
 GROUP BY 1"""
 
 _LSTATUS = f"""
@@ -248,7 +273,7 @@ SELECT r.year_month, r.file_name, r.table_name, p.row_count AS parquet_rows, t.d
 FROM (SELECT year_month, file_name, {O.table_name('file_name')} AS table_name
       FROM (SELECT year_month, replace(file_name, '.zip', '.parquet') AS file_name FROM {_CTL} c
             WHERE status IN ({_DONE})) x) r
-LEFT JOIN {_STATS} p ON p.parquet_file = r.file_name
+LEFT JOIN {_STATS} p ON p.year_month = r.year_month AND p.parquet_file = r.file_name
 LEFT JOIN ({_COUNTS}) t ON t.table_name = r.table_name"""
 
 

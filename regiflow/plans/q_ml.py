@@ -30,15 +30,17 @@ def train_set_simples(spark, sf):
     return M.training_set_simples(silver.companies(spark, sf), silver.simples(spark, sf))
 
 
-@register("train_set_size", f"""
+_TRAIN_B = f"""
 SELECT c.cnpj_basico, coalesce(c.capital_social, 0.0) AS capital_social, c.natureza_juridica, c.porte_empresa,
   coalesce(s.opcao_pelo_simples, 'N') AS opcao_pelo_simples, e.cnae_fiscal_principal
 FROM {_COMP} c
 LEFT JOIN {_SIMP} s ON c.cnpj_basico = s.cnpj_basico
 JOIN (SELECT cnpj_basico, cnae_fiscal_principal FROM {_EST} x
       WHERE TRY_CAST(identificador_matriz_filial AS INTEGER) = 1) e ON c.cnpj_basico = e.cnpj_basico
-WHERE c.porte_empresa IS NOT NULL AND c.porte_empresa <> '' AND c.porte_empresa IN ('01', '03', '05')""",
-          "ML3 ML4 JN2 FLT5 NUL1 STR5")
+WHERE c.porte_empresa IS NOT NULL AND c.porte_empresa <> '' AND c.porte_empresa IN ('01', '03', '05')"""
+
+
+@register("train_set_size", _TRAIN_B, "ML3 ML4 JN2 FLT5 NUL1 STR5")
 def train_set_size(spark, sf):
     return M.training_set_size(silver.companies(spark, sf), silver.simples(spark, sf),
                                silver.establishments(spark, sf))
@@ -84,32 +86,44 @@ def classifier_metrics(spark, sf):
     return M.binary_metrics(pred)
 
 
-@register("rf_simples", None, "ML6 ML7 ML8 random forest (rows-only check)")
+def _checked_sql(src: str, label: str) -> str:
+    train = "coalesce(('0x' || substr(md5(cnpj_basico), 1, 8))::BIGINT % 100 < 80, true)"
+    return f"""
+SELECT count(*) FILTER (WHERE {train}) AS train_rows, count(*) FILTER (WHERE NOT {train}) AS test_rows,
+  count(DISTINCT {label}) FILTER (WHERE NOT {train}) AS test_classes, true AS probabilities_ok, true AS accuracy_ok
+FROM ({src}) t"""
+
+
+@register("rf_simples", _checked_sql(_TRAIN_A, "target"), "ML6 ML7 ML8 random forest: shares, classes, ranges")
 def rf_simples(spark, sf):
     data = M.training_set_simples(silver.companies(spark, sf), silver.simples(spark, sf))
-    train, test = M.split(data)
-    model = M.train_simples(train)
-    return M.binary_metrics(model.transform(test))
+    train, _ = M.split(data)
+    return M.checked(M.train_simples(train).transform(data), "target")
 
 
-@register("rf_size", None, "ML3-ML7 multi-class forest (rows-only check)")
+@register("rf_size", _checked_sql(_TRAIN_B, "porte_empresa"), "ML3-ML7 multi-class forest: shares, classes, ranges")
 def rf_size(spark, sf):
     data = M.training_set_size(silver.companies(spark, sf), silver.simples(spark, sf),
                                silver.establishments(spark, sf))
     dummies = {**M.one_hot_columns("natureza_juridica", M.category_values(data, "natureza_juridica")),
                **M.one_hot_columns("opcao_pelo_simples", M.category_values(data, "opcao_pelo_simples"))}
     data = data.withColumns(dummies)
-    train, test = M.split(data)
+    train, _ = M.split(data)
     model = M.fit_persisted(M.size_model_spec(list(dummies)), train)
-    return M.multiclass_metrics(model.transform(test))
+    return M.checked(model.transform(data), "label")
 
 
-@register("batch_score", None, "ML9 ML10 saved pipeline, batch scoring (rows-only check)")
+@register("batch_score", f"""
+SELECT cnpj_basico, true AS scored FROM {_COMP} c
+WHERE NOT coalesce(('0x' || substr(md5(cnpj_basico), 1, 8))::BIGINT % 100 < 80, true)
+  AND natureza_juridica IS NOT NULL AND capital_social IS NOT NULL AND porte_empresa IS NOT NULL""",
+          "ML9 ML10 saved pipeline scores the held-out companies")
 def batch_score(spark, sf):
     companies = silver.companies(spark, sf)
     data = M.training_set_simples(companies, silver.simples(spark, sf))
-    model = M.train_simples(data)
-    path = M.save_model(model, checkpoint_dir(spark), "rf_simples")
-    scoring = companies.where(F.col("natureza_juridica").isNotNull() & F.col("capital_social").isNotNull()
-                              & F.col("porte_empresa").isNotNull())
-    return M.score(M.load_model(path), scoring)
+    train, _ = M.split(data)
+    path = M.save_model(M.train_simples(train), checkpoint_dir(spark), "rf_simples")
+    _, held = M.split(companies.where(F.col("natureza_juridica").isNotNull() & F.col("capital_social").isNotNull()
+                                      & F.col("porte_empresa").isNotNull()))
+    scored = M.score(M.load_model(path), held)
+    return scored.select("cnpj_basico", (F.col("prediction").isin(0, 1) & F.col("probability_1").between(0, 1)).alias("scored"))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiflow.functions.text import parquet_name
-from regiflow.sources.tables import spread_narrow_scan, table
+from regiflow.sources.tables import table
 
 NBSP, TAB = "\u00a0", "\t"
 
@@ -41,9 +41,11 @@ RAW_COLUMNS = {
                          "uf", "municipio", "data_situacao_especial"],
 }
 # A control month with no object in the store (gap analysis).
-STORE_MISSING_MONTH = "1995-02"
+STORE_MISSING_MONTH = "1993-02"
 # Months at or after this one are "new" for discovery.
-KNOWN_BEFORE = "2000-06"
+KNOWN_BEFORE = "1994-01"
+# File keys come in months of so many; names repeat in every month.
+FIRST_MONTH, FILES_PER_MONTH = "1992-01-01", 500
 
 
 def _case(c: Column, mapping: dict, default=None) -> Column:
@@ -83,7 +85,7 @@ def raw_companies(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(F.concat(F.lit("  "), F.col("c_name"), F.lit(" "))).alias("razao_social"),
         _s(F.col("c_nationkey") + 2000).alias("natureza_juridica"),
         F.lpad(_s(k % 50), 2, "0").alias("qualificacao_responsavel"),
-        F.when(k % 41 == 0, F.lit("abc")).when(k % 43 == 0, F.lit(""))
+        F.when(k % 41 == 0, F.lit("abc")).when(k % 43 == 0, F.lit("")).when(k % 59 == 0, F.lit("5d")).when(k % 61 == 0, F.lit("0x1p3"))
         .when(k % 37 == 0, F.lit("1.000,50"))
         .when(k % 29 == 0, F.concat(F.lit(" "), money, F.lit(" ")))
         .otherwise(money).alias("capital_social"),
@@ -93,16 +95,14 @@ def raw_companies(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_establishments(spark: SparkSession, sf: str) -> DataFrame:
-    """Raw Estabelecimentos text from ``orders``; head office = first order of a customer."""
-    o = spread_narrow_scan(spark, sf, "orders")
-    first = o.groupBy("o_custkey").agg(F.min("o_orderkey").alias("first_orderkey"))
+    """Raw Estabelecimentos text from ``orders``; urgent orders are head offices."""
     k = F.col("o_orderkey")
     d = F.col("o_orderdate")
-    return o.join(first, "o_custkey").select(
+    return table(spark, sf, "orders").select(
         _s(F.col("o_custkey")).alias("cnpj_basico"),
         F.lpad(_s(k % 10000), 4, "0").alias("cnpj_ordem"),
         F.lpad(_s(k % 97), 2, "0").alias("cnpj_dv"),
-        F.when(k == F.col("first_orderkey"), F.lit("1")).otherwise(F.lit("2")).alias("identificador_matriz_filial"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("1")).otherwise(F.lit("2")).alias("identificador_matriz_filial"),
         F.col("o_orderpriority").alias("nome_fantasia"),
         _case(F.col("o_orderstatus"), SITUATION_BY_STATUS).alias("situacao_cadastral"),
         F.when(k % 13 == 0, F.lit("00000000")).otherwise(_ymd(d)).alias("data_situacao_cadastral"),
@@ -133,9 +133,9 @@ def raw_partners(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_simples(spark: SparkSession, sf: str) -> DataFrame:
-    """Raw Simples text: customers whose key is not a multiple of 5."""
+    """Raw Simples text: customers without debt have an option on file."""
     k = F.col("c_custkey")
-    return table(spark, sf, "customer").where(k % 5 != 0).select(
+    return table(spark, sf, "customer").where(F.col("c_acctbal") >= 0).select(
         _s(k).alias("cnpj_basico"),
         F.when(k % 47 == 0, F.lit("X")).when(k % 23 == 0, F.lit(" ")).when(k % 2 == 0, F.lit("S"))
         .otherwise(F.lit("N")).alias("opcao_pelo_simples"),
@@ -164,13 +164,20 @@ def lookup_regions(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
+def _is_root(k: Column) -> Column:
+    return k % 53 == 0
+
+
 def _file_name(k: Column) -> Column:
-    ext = F.when(k % 10 == 9, F.lit(".ZIP")).otherwise(F.lit(".zip"))
-    return F.concat(_pick(k, FILE_PREFIXES), _s(k), ext)
+    """The registry ships the same names every month; only root files are named apart."""
+    n = F.when(_is_root(k), k).otherwise(k % FILES_PER_MONTH)
+    ext = F.when(n % 10 == 9, F.lit(".ZIP")).otherwise(F.lit(".zip"))
+    return F.concat(_pick(n, FILE_PREFIXES), _s(n), ext)
 
 
-def _year_month(k: Column, d: Column) -> Column:
-    return F.when(k % 53 == 0, F.lit("BASE")).otherwise(F.date_format(d, "yyyy-MM"))
+def _year_month(k: Column) -> Column:
+    month = F.add_months(F.lit(FIRST_MONTH).cast("date"), F.floor(k / FILES_PER_MONTH).cast("int"))
+    return F.when(_is_root(k), F.lit("BASE")).otherwise(F.date_format(month, "yyyy-MM"))
 
 
 def _size(price: Column) -> Column:
@@ -182,9 +189,10 @@ def control(spark: SparkSession, sf: str) -> DataFrame:
     k, d = F.col("o_orderkey"), F.col("o_orderdate")
     status = _pick(k, STATUS_BY_MOD)
     base = table(spark, sf, "orders").select(
-        k.alias("file_id"), _year_month(k, d).alias("year_month"), _file_name(k).alias("file_name"),
+        k.alias("file_id"), _year_month(k).alias("year_month"), _file_name(k).alias("file_name"),
         F.when(k % 19 == 0, F.lit(None).cast("bigint")).otherwise(_size(F.col("o_totalprice"))).alias("file_size_bytes"),
-        F.md5(_s(F.col("o_custkey"))).alias("etag"), status.alias("status"), d.alias("discovered_at"))
+        F.md5(_s(F.col("o_custkey"))).alias("etag"), status.alias("status"), d.alias("discovered_at"),
+        F.col("o_orderpriority").alias("priority"), F.col("o_orderstatus").alias("order_status"))
     st, size = F.col("status"), F.col("file_size_bytes")
     fetched = ~st.isin("pending", "downloading")
     return base.select(
@@ -200,69 +208,63 @@ def control(spark: SparkSession, sf: str) -> DataFrame:
         F.when(fetched & (st != "error"), F.col("discovered_at") + F.expr("INTERVAL 1 DAY")).alias("synced_at"),
         "status",
         F.when(st == "error", F.concat(F.lit("download failed: "), F.col("file_name"))).alias("error_message"),
+        "priority", "order_status",
     )
 
 
 def remote_listing(spark: SparkSession, sf: str) -> DataFrame:
     """What discovery lists remotely: every file, etag changed for some."""
-    k, d = F.col("o_orderkey"), F.col("o_orderdate")
+    k = F.col("o_orderkey")
     etag = F.when(k % 31 == 0, F.md5(_s(F.col("o_custkey") + 1))).otherwise(F.md5(_s(F.col("o_custkey"))))
-    return spread_narrow_scan(spark, sf, "orders").select(
-        _year_month(k, d).alias("year_month"), _file_name(k).alias("file_name"),
+    return table(spark, sf, "orders").select(
+        _year_month(k).alias("year_month"), _file_name(k).alias("file_name"),
         _size(F.col("o_totalprice")).alias("size"), etag.alias("etag"))
 
 
 def known_control(spark: SparkSession, sf: str) -> DataFrame:
     """Control rows already registered before a discovery run."""
     c = control(spark, sf)
-    old_month = (c.year_month != "BASE") & (c.year_month < KNOWN_BEFORE) & (c.file_id % 41 != 0)
-    old_root = (c.year_month == "BASE") & (c.file_id % 106 != 0)
-    return c.where(old_month | old_root)
+    old = (c.year_month == "BASE") | (c.year_month < KNOWN_BEFORE)
+    return c.where(old & (c.priority != "5-LOW"))
 
 
 def store_inventory(spark: SparkSession, sf: str) -> DataFrame:
     """Object-store listing: (key, size_bytes, last_modified, etag, content_hash)."""
-    c = control(spark, sf).where(F.col("year_month") != STORE_MISSING_MONTH)
-    k = F.col("file_id")
-    raw = c.where(~F.col("status").isin("pending", "downloading") & (k % 11 != 0)).select(
-        F.concat(F.lit("raw/"), F.col("year_month"), F.lit("/"), F.col("file_name")).alias("key"),
-        (F.coalesce(F.col("local_size_bytes"), F.col("file_size_bytes"), F.lit(0))
-         + F.when(k % 13 == 0, F.lit(1)).otherwise(F.lit(0))).alias("size_bytes"),
-        (F.col("discovered_at") + F.expr("INTERVAL 2 DAYS")).alias("last_modified"),
-        F.md5(_s(k)).alias("etag"),
-        F.when(k % 29 == 0, F.sha2(_s(k + 1), 256)).otherwise(F.sha2(_s(k), 256)).alias("content_hash"))
-    processed = c.where(F.col("status").isin("transformed", "loaded") & (k % 5 != 0)).select(
-        F.concat(F.lit("processed/"), F.col("year_month"), F.lit("/"), parquet_name(F.col("file_name"))).alias("key"),
-        F.floor(F.coalesce(F.col("file_size_bytes"), F.lit(0)) / 4).cast("bigint").alias("size_bytes"),
-        (F.col("discovered_at") + F.expr("INTERVAL 3 DAYS")).alias("last_modified"),
-        F.md5(_s(k + 7)).alias("etag"), F.lit(None).cast("string").alias("content_hash"))
-    o = table(spark, sf, "orders")
-    ok, od = F.col("o_orderkey"), F.col("o_orderdate")
-    orphan = o.where(ok % 97 == 0).select(
-        F.concat(F.lit("raw/"), F.date_format(F.add_months(F.to_date(od), 120), "yyyy-MM"), F.lit("/orphan"),
-                 _s(ok), F.lit(".zip")).alias("key"),
-        (ok * 10).alias("size_bytes"), od.alias("last_modified"), F.md5(_s(ok)).alias("etag"),
-        F.lit(None).cast("string").alias("content_hash"))
-    flat = o.where((ok % 89 == 0) & (F.date_format(od, "yyyy-MM") != STORE_MISSING_MONTH)).select(
-        F.concat(F.date_format(od, "yyyy-MM"), F.lit("/"), _file_name(ok)).alias("key"),
-        (ok * 3).alias("size_bytes"), od.alias("last_modified"), F.md5(_s(ok)).alias("etag"),
-        F.lit(None).cast("string").alias("content_hash"))
-    root = o.where(ok % 251 == 0).select(
-        F.concat(F.lit("readme"), _s(ok), F.lit(".txt")).alias("key"),
-        ok.alias("size_bytes"), od.alias("last_modified"), F.md5(_s(ok)).alias("etag"),
-        F.lit(None).cast("string").alias("content_hash"))
-    return raw.unionByName(processed).unionByName(orphan).unionByName(flat).unionByName(root)
+    c = control(spark, sf)
+    k, st, pr, os = F.col("file_id"), F.col("status"), F.col("priority"), F.col("order_status")
+    ym, name, at = F.col("year_month"), F.col("file_name"), F.col("discovered_at")
+    here = ym != STORE_MISSING_MONTH
+    none = F.lit(None).cast("string")
+
+    def obj(when, key, size, moment, etag, digest=none):
+        return F.when(when, F.struct(key.alias("key"), size.cast("bigint").alias("size_bytes"), moment.alias("last_modified"),
+                                     etag.alias("etag"), digest.alias("content_hash")))
+
+    recorded = F.coalesce(F.col("local_size_bytes"), F.col("file_size_bytes"), F.lit(0))
+    fetched = ~st.isin("pending", "downloading") & (pr != "5-LOW") | (st == "downloading") & (pr == "1-URGENT")
+    digest = F.when(os != "P", F.when(k % 29 == 0, F.sha2(_s(k + 1), 256)).otherwise(F.sha2(_s(k), 256)))
+    objects = F.array(
+        obj(here & fetched, F.concat(F.lit("raw/"), ym, F.lit("/"), name), recorded + F.when(k % 13 == 0, 1).otherwise(0),
+            at + F.expr("INTERVAL 2 DAYS"), F.md5(_s(k)), digest),
+        obj(here & st.isin("transformed", "loaded") & (pr != "4-NOT SPECIFIED"), F.concat(F.lit("processed/"), ym, F.lit("/"), parquet_name(name)),
+            F.floor(F.coalesce(F.col("file_size_bytes"), F.lit(0)) / 4), at + F.expr("INTERVAL 3 DAYS"), F.md5(_s(k + 7))),
+        obj(os == "P", F.concat(F.lit("raw/"), F.date_format(F.add_months(F.to_date(at), 240), "yyyy-MM"), F.lit("/orphan"), _s(k), F.lit(".zip")),
+            k * 10, at, F.md5(_s(k))),
+        obj(here & (ym != "BASE") & (pr == "2-HIGH") & (os == "F"), F.concat(ym, F.lit("/"), name), k * 3, at, F.md5(_s(k))),
+        obj((ym == "BASE") & (pr == "3-MEDIUM"), F.concat(F.lit("readme"), _s(k), F.lit(".txt")), k, at, F.md5(_s(k))))
+    # one scan: every file's possible objects, exploded
+    return c.select(F.explode(F.filter(objects, lambda x: x.isNotNull())).alias("o")).select("o.*")
 
 
 def processed_stats(spark: SparkSession, sf: str) -> DataFrame:
     """Per processed Parquet file: rows and bytes (footer statistics stand-in)."""
     k = F.col("l_orderkey")
-    keep = ((k % 7).isin(4, 5) & (k % 5 != 0)) | ((k % 7 == 2) & (k % 3 == 0))
     return (
-        table(spark, sf, "lineitem").where(keep)
-        .groupBy("l_orderkey")
-        .agg(F.count(F.lit(1)).alias("row_count"), F.sum(F.col("l_linenumber") * 1000 + 4096).alias("size_bytes"))
-        .select(parquet_name(_file_name(k)).alias("parquet_file"), "row_count", "size_bytes")
+        table(spark, sf, "lineitem").groupBy("l_orderkey")
+        .agg(F.count(F.lit(1)).alias("row_count"), F.sum(F.col("l_linenumber") * 1000 + 4096).alias("size_bytes"),
+             F.bool_or(F.col("l_returnflag") == "R").alias("returned"))
+        .where("returned")
+        .select(_year_month(k).alias("year_month"), parquet_name(_file_name(k)).alias("parquet_file"), "row_count", "size_bytes")
     )
 
 

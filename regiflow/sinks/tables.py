@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from regiflow.functions.text import last_component, parquet_name
+from regiflow.functions.text import last_component, month_of_key, parquet_name
 
 MODES = ("append", "replace", "skip")
 
@@ -67,8 +67,8 @@ def load_table(spark: SparkSession, df: DataFrame, path: str, mode: str = "appen
         return {"table": path, "mode": mode, "action": "skipped"}
     write_mode = "overwrite" if (mode == "replace" or idempotent) else "append"
     w = df.write.mode(write_mode).option("compression", "snappy")
-    if idempotent and mode != "replace":
-        w = w.option("partitionOverwriteMode", "dynamic")
+    # replace drops every old partition, whatever the session says; idempotent only those it brings
+    w = w.option("partitionOverwriteMode", "dynamic" if idempotent and mode != "replace" else "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -91,6 +91,6 @@ def create_table_if_missing(spark: SparkSession, name: str, schema: T.StructType
 
 
 def unprocessed_inputs(inputs: DataFrame, processed: DataFrame, name_col: str = "file_name") -> DataFrame:
-    """Raw inputs whose processed Parquet does not exist yet (anti join; idempotent re-runs)."""
-    done = processed.select(last_component(F.col("key")).alias("__done"))
-    return inputs.join(done, parquet_name(F.col(name_col)) == F.col("__done"), "left_anti")
+    """Raw inputs (year_month, file name) whose processed Parquet of that month does not exist yet."""
+    done = processed.select(month_of_key(F.col("key")).alias("__month"), last_component(F.col("key")).alias("__done"))
+    return inputs.join(done, (F.col("year_month") == F.col("__month")) & (parquet_name(F.col(name_col)) == F.col("__done")), "left_anti")

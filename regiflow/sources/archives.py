@@ -18,6 +18,7 @@ import glob as _glob
 import io
 import os
 import zipfile
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from regiflow.schema import LAYOUTS
 
 CORRUPT = "_corrupt_record"
+UNREADABLE = "not a readable archive"
 BLOCK_BYTES = 1 << 20
 
 
@@ -69,6 +71,24 @@ def iter_batches(fh, entity: str, source: str, member: str, multi_line: bool = F
         yield _bad_batch(bad, names, source, member)
 
 
+def read_archive(source, entity: str, name: str, multi_line: bool = False):
+    """Batches of an archive's first member (``source``: path or open file).
+
+    Whatever makes it unreadable (no archive, damaged member, a record beyond the block size)
+    becomes one row with the reason in ``_corrupt_record`` and an empty ``member``, so the other
+    archives of the job go on.  An empty archive or member yields nothing.
+    """
+    import pyarrow as pa
+    try:
+        with zipfile.ZipFile(source) as zf:
+            members = zf.infolist()
+            if members and members[0].file_size:
+                with zf.open(members[0]) as fh:
+                    yield from iter_batches(fh, entity, name, members[0].filename, multi_line)
+    except (zipfile.BadZipFile, zlib.error, EOFError, OSError, NotImplementedError, RuntimeError, pa.ArrowInvalid) as e:
+        yield _bad_batch([f"{UNREADABLE}: {name}: {e}"], LAYOUTS[entity], name, "")
+
+
 def _bad_batch(rows: list[str], names: list[str], source: str, member: str):
     import pyarrow as pa
     n = len(rows)
@@ -100,19 +120,7 @@ class _ZipReader(DataSourceReader):
         return [_ArchivePartition(p) for p in paths if p.lower().endswith(".zip")]
 
     def read(self, partition):
-        path = partition.path
-        try:
-            zf = zipfile.ZipFile(path)
-        except zipfile.BadZipFile:
-            yield _bad_batch([f"not a zip archive: {os.path.basename(path)}"], LAYOUTS[self.entity],
-                             os.path.basename(path), "")
-            return
-        with zf:
-            members = zf.namelist()
-            if not members:
-                return
-            with zf.open(members[0]) as fh:
-                yield from iter_batches(fh, self.entity, os.path.basename(path), members[0], self.multi_line)
+        yield from read_archive(partition.path, self.entity, os.path.basename(partition.path), self.multi_line)
 
 
 class ZipCsvDataSource(DataSource):
@@ -179,17 +187,7 @@ def read_zip_binary(spark: SparkSession, path: str, entity: str, multi_line: boo
         for b in batches:
             for p, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
                 name = p.rsplit("/", 1)[-1]
-                try:
-                    zf = zipfile.ZipFile(io.BytesIO(content))
-                except zipfile.BadZipFile:
-                    yield _bad_batch([f"not a zip archive: {name}"], LAYOUTS[entity], name, "")
-                    continue
-                with zf:
-                    members = zf.namelist()
-                    if not members:
-                        continue
-                    with zf.open(members[0]) as fh:
-                        yield from iter_batches(fh, entity, name, members[0], multi_line)
+                yield from read_archive(io.BytesIO(content), entity, name, multi_line)
 
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.[zZ][iI][pP]").load(path)
              .select("path", "content"))

@@ -38,10 +38,43 @@ def test_write_silver_partitioned(spark, tmp_path):
 
 
 def test_unprocessed_inputs(spark):
-    inputs = spark.createDataFrame([("Empresas0.zip",), ("Empresas1.zip",), ("Socios0.zip",)], "file_name string")
+    names = ["Empresas0.zip", "Empresas1.zip", "Socios0.zip"]
+    inputs = spark.createDataFrame([(m, n) for m in ("2025-05", "2025-06") for n in names], "year_month string, file_name string")
     processed = spark.createDataFrame([("processed/2025-06/Empresas1.parquet",)], "key string")
-    got = sorted(r[0] for r in unprocessed_inputs(inputs, processed).collect())
-    assert got == ["Empresas0.zip", "Socios0.zip"]
+    got = sorted(tuple(r) for r in unprocessed_inputs(inputs, processed).collect())
+    assert got == [("2025-05", n) for n in names] + [("2025-06", "Empresas0.zip"), ("2025-06", "Socios0.zip")]
+
+
+def test_replace_drops_old_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    may = spark.createDataFrame([("1", "2025-05"), ("2", "2025-06")], "cnpj_basico string, year_month string")
+    june = spark.createDataFrame([("3", "2025-06")], may.schema)
+    load_table(spark, may, path, "append", partition_by=("year_month",))
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")     # whatever the session says
+    try:
+        load_table(spark, june, path, "append", partition_by=("year_month",), idempotent=True)
+        assert {tuple(r) for r in spark.read.parquet(path).select("cnpj_basico", "year_month").collect()} == {("1", "2025-05"), ("3", "2025-06")}
+        load_table(spark, june, path, "replace", partition_by=("year_month",))
+        assert [tuple(r) for r in spark.read.parquet(path).select("cnpj_basico").collect()] == [("3",)]
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_names_repeat_every_month(spark):
+    """Joins of control and processed files go by month and name."""
+    from regiflow.operators import integrity as I
+    from regiflow.sources.resolve import resolve_sources
+    months = ["2025-05", "2025-06"]
+    control = spark.createDataFrame([(m, "Empresas0.zip", "loaded", 10) for m in months],
+                                    "year_month string, file_name string, status string, local_size_bytes long")
+    stats = spark.createDataFrame([("2025-05", "Empresas0.parquet", 7, 70), ("2025-06", "Empresas0.parquet", 8, 80)],
+                                  "year_month string, parquet_file string, row_count long, size_bytes long")
+    got = {r.year_month: r.row_count for r in I.transform_status(control, stats).collect()}
+    assert got == {"2025-05": 7, "2025-06": 8}
+    status = I.load_status(control, stats, I.table_counts(control, stats)).collect()
+    assert {(r.year_month, r.parquet_rows, r.db_rows) for r in status} == {("2025-05", 7, 15), ("2025-06", 8, 15)} and len(status) == 2
+    local = spark.createDataFrame([(m, "Empresas0.zip", f"local:{m}", 1) for m in months], "year_month string, file_name string, location string, size_bytes long")
+    assert {r.location for r in resolve_sources(local, local.limit(0)).collect()} == {"local:2025-05", "local:2025-06"}
 
 
 def test_create_table_if_missing(spark, tmp_path):

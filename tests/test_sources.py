@@ -145,17 +145,3 @@ def test_spread_archive_rows(spark, tmp_path):
     assert sorted(map(tuple, placed.collect()), key=str) == first
     # one archive on one core: nothing to spread, no shuffle
     assert archives.spread_archive_rows(raw, 1, cores=1) is raw
-
-
-def test_spread_narrow_scan(spark):
-    from regiflow.sources.tables import spread_narrow_scan, table
-    base = table(spark, SF_SMALL, "lineitem")
-    assert table(spark, SF_SMALL, "lineitem") is base             # resolved once per application
-    cores = spark.sparkContext.defaultParallelism
-    out = spread_narrow_scan(spark, SF_SMALL, "lineitem")
-    if base.rdd.getNumPartitions() < cores:                        # one row group -> one scan task
-        assert out.rdd.getNumPartitions() == cores
-        assert "RoundRobinPartitioning" in out._jdf.queryExecution().executedPlan().toString()
-    else:
-        assert out is base
-    assert out.count() == base.count()
