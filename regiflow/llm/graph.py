@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame
@@ -59,4 +60,6 @@ def saved_table(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()      # the cleaner drops shuffle files of finished steps when they are collected
     return spark.read.schema(df.schema).parquet(path)

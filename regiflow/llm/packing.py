@@ -171,18 +171,18 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, t
     """The rows of ``tokenise`` with ``sequence_id`` and ``offset`` (gapless from 0 in each sequence)."""
     spark = docs.sparkSession
     pieces = saved_table(tokenise(docs, path, capacity, end, text))
-    named = [c for c, t in pieces.dtypes if t in ("bigint", "string") and c not in ("start", "length", "ids_crc32")]
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("ids_crc32", *named), F.lit(SALTS)))
+    rest = pieces.columns
+    order = [c for c, t in pieces.dtypes if t in ("bigint", "string")]        # any total order of different pieces
+    salted = pieces.select(F.struct(*rest).alias("_row"), "length", F.struct("start", "ids_crc32", *order).alias("_order")).withColumn(
+        "_salt", F.pmod(F.xxhash64("_order"), F.lit(SALTS)))
     counts = salted.groupBy("length", "_salt").agg(F.count("*").alias("n"))
     lengths = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}   # at most `capacity` rows
     plan = spark.sparkContext.broadcast(Plan(lengths, capacity))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("_salt")) - F.col("n")
     base = counts.select(F.col("length"), F.col("_salt"), before.alias("_base"))
-    own = F.row_number().over(Window.partitionBy("length", "_salt").orderBy("start", "ids_crc32", *named))
-    ranked = (salted.withColumn("_own", own).join(base, ["length", "_salt"])
-              .withColumn("_rank", (F.col("_base") + F.col("_own") - 1).cast("long")))
-    rest = [c for c in pieces.columns]
-    ranked = ranked.select(F.struct(*rest).alias("_row"), "length", "_rank")
+    own = F.row_number().over(Window.partitionBy("length", "_salt").orderBy("_order"))
+    ranked = salted.withColumn("_own", own).join(base, ["length", "_salt"]).select(
+        "_row", "length", (F.col("_base") + F.col("_own") - 1).cast("long").alias("_rank"))
 
     def locate(batches):
         p = plan.value

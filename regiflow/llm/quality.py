@@ -47,7 +47,7 @@ _REPEATED = """transform(array(_w), w -> aggregate(
 
 def features(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the base columns, ``base_failed`` and the rules' rates."""
-    new = {*BASE, *RULES, "base_failed", "_t", "_w", "_l"}
+    new = {*BASE, *RULES, "base_failed", "_t", "_w", "_l", "_lines", "_capitals", "_marks"}
     keep = [f"`{c}`" for c in docs.columns if c.lower() not in new or c == text]
     x = docs.select(*keep, F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_t"))
     x = x.withColumn("_w", F.expr(f"filter(split(_t, '{_SPACE}+'), w -> w <> '')"))
