@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,6 +72,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's sources to the executors, once per application, so that Python
+    functions in tasks can import it wherever the driver found it."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="regiflow-ship-"), "regiflow_sources.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("regiflow", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably (survives executor loss) and drop its lineage."""
     checkpoint_dir(df.sparkSession)

@@ -86,7 +86,8 @@ def read_archive(source, entity: str, name: str, multi_line: bool = False):
                 with zf.open(members[0]) as fh:
                     yield from iter_batches(fh, entity, name, members[0].filename, multi_line)
     except (zipfile.BadZipFile, zlib.error, EOFError, OSError, NotImplementedError, RuntimeError, pa.ArrowInvalid) as e:
-        yield _bad_batch([f"{UNREADABLE}: {name}: {e}"], LAYOUTS[entity], name, "")
+        why = f"{UNREADABLE}: {name}: {e}" if zipfile.is_zipfile(source) else f"not a zip archive: {name}"
+        yield _bad_batch([why], LAYOUTS[entity], name, "")
 
 
 def _bad_batch(rows: list[str], names: list[str], source: str, member: str):

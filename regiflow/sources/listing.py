@@ -87,22 +87,39 @@ def hash_files_streaming(files: DataFrame, path_col: str = "path") -> DataFrame:
     return files.select(path_col).mapInArrow(run, f"{path_col} string, content_hash string")
 
 
+# Elements of a multistatus reply, whatever prefix the server binds to the DAV namespace.
+_RESPONSE = r"(?s)<(?:[\w.-]+:)?response\b[^>]*>(.*?)</(?:[\w.-]+:)?response>"
+
+
+def _element(text, name: str):
+    return F.regexp_extract(text, rf"(?s)<(?:[\w.-]+:)?{name}\b[^>]*>\s*(.*?)\s*</(?:[\w.-]+:)?{name}>", 1)
+
+
+def _unescaped(text):
+    for code, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
+        text = F.replace(text, F.lit(code), F.lit(char))
+    return text
+
+
 def webdav_listing(spark: SparkSession, path: str, base_href: str | None = None) -> DataFrame:
-    """(name, is_dir, size, etag) from saved WebDAV multistatus XML; the folder's own entry is dropped."""
-    x = spark.read.format("xml").option("rowTag", "d:response").load(path)
-    prop = F.col("`d:propstat`.`d:prop`")
-    href = F.col("`d:href`")
-    fields = set(x.schema["d:propstat"].dataType["d:prop"].dataType.fieldNames())
-    size = prop["d:getcontentlength"].cast("long") if "d:getcontentlength" in fields else F.lit(None).cast("long")
-    etag = strip_quotes(prop["d:getetag"]) if "d:getetag" in fields else F.lit(None).cast("string")
-    is_dir = prop["d:resourcetype"]["d:collection"].isNotNull() if "d:resourcetype" in fields else F.lit(False)
-    name = last_component(F.regexp_replace(href, "/+$", ""))
-    out = x.select(href.alias("href"), name.alias("name"), is_dir.alias("is_dir"), size.alias("size"), etag.alias("etag"))
+    """(href, name, is_dir, size, etag) from saved WebDAV multistatus XML; each listing's own folder is dropped.
+
+    Without ``base_href`` a listing's own folder is the entry that all its other entries lie below.
+    Listings of files only, of folders only and empty ones have the same columns.
+    """
+    one = spark.read.text(path, wholetext=True).select(F.regexp_extract_all("value", F.lit(_RESPONSE), 1).alias("all"))
+    entries = F.transform("all", lambda r: F.struct(
+        F.regexp_replace(_unescaped(_element(r, "href")), "/+$", "").alias("href"), r.rlike(r"<(?:[\w.-]+:)?collection\b").alias("is_dir"),
+        _element(r, "getcontentlength").try_cast("long").alias("size"), _unescaped(_element(r, "getetag")).alias("etag")))
+    one = one.select(entries.alias("e"))
     if base_href is not None:
-        return out.where(F.regexp_replace(F.col("href"), "/+$", "") != base_href.rstrip("/"))
-    # Without a base, the shortest href of the listing is the folder itself.
-    shortest = out.agg(F.min(F.length("href")))
-    return out.where(F.length("href") > shortest.scalar())
+        kept = F.filter("e", lambda x: x["href"] != base_href.rstrip("/"))
+    else:
+        kept = F.filter("e", lambda x: ~(x["is_dir"] & F.forall("e", lambda y: (y["href"] == x["href"]) | y["href"].startswith(
+            F.concat(x["href"], F.lit("/"))))))
+    out = one.select(F.explode(kept).alias("x")).select("x.*")
+    return out.select("href", last_component(F.col("href")).alias("name"), "is_dir", "size",
+                      F.when(F.col("etag") != "", strip_quotes(F.col("etag"))).alias("etag"))
 
 
 def month_folders(listing: DataFrame) -> DataFrame:
@@ -118,7 +135,12 @@ def archive_files(listing: DataFrame) -> DataFrame:
 
 
 def parquet_row_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows per Parquet file of ``folder`` (counted per file, pushed to footers when possible)."""
-    df = spark.read.parquet(folder)
-    return (df.select(F.col("_metadata.file_name").alias("parquet_file"), F.col("_metadata.file_size").alias("size_bytes"))
-            .groupBy("parquet_file", "size_bytes").agg(F.count(F.lit(1)).alias("row_count")))
+    """Rows per Parquet file of ``folder`` and its month folders: (year_month, parquet_file, size_bytes, row_count).
+
+    The month is the file's folder, ``2025-06`` or ``year_month=2025-06``; null outside one.
+    """
+    df = spark.read.option("recursiveFileLookup", "true").parquet(folder)
+    month = F.regexp_extract("_metadata.file_path", r"/(?:year_month=)?([0-9]{4}-[0-9]{2}|BASE)/", 1)
+    return (df.select(F.when(month != "", month).alias("year_month"), F.col("_metadata.file_name").alias("parquet_file"),
+                      F.col("_metadata.file_size").alias("size_bytes"))
+            .groupBy("year_month", "parquet_file", "size_bytes").agg(F.count(F.lit(1)).alias("row_count")))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regiflow.operators.rules import normalize
-from regiflow.schema import LAYOUTS, raw_schema
+from regiflow.schema import CONTROL_EVENT_SCHEMA, LAYOUTS, raw_schema
 from regiflow.sources.csv import CORRUPT, csv_options, split_quarantine
 
 
@@ -49,10 +49,12 @@ def write_micro_batch(batch: DataFrame, batch_id: int, out_path: str, events_pat
         (w.partitionBy(*parts) if parts else w).parquet(f"{out_path.rstrip('/')}/batch={batch_id}")
         bad.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}_quarantine/batch={batch_id}")
         if events_path is not None:
-            ev = (batch.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))
-                  .select(F.lit(year_month or "").alias("year_month"), F.col("source_file").alias("file_name"),
-                          F.lit("transformed").alias("status"), "rows",
-                          F.current_timestamp().alias("event_time"), F.lit(batch_id).cast("long").alias("seq")))
+            ev = batch.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows")).select(
+                F.lit(year_month or "").alias("year_month"), F.col("source_file").alias("file_name"), F.lit("transformed").alias("status"),
+                F.current_timestamp().alias("event_time"), F.lit(batch_id).alias("seq"), "rows")
+            # the control log's columns, so that the events can be appended to it, and the rows written
+            ev = ev.select(*[(F.col(f.name) if f.name in ev.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                             for f in CONTROL_EVENT_SCHEMA.fields], "rows")
             ev.write.mode("overwrite").parquet(f"{events_path.rstrip('/')}/batch={batch_id}")
         return good.count()
     finally:

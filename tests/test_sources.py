@@ -95,6 +95,22 @@ def test_webdav_listing(spark, tmp_path):
     assert sorted(r["name"] for r in listing.archive_files(lst).collect()) == ["x.tar.gz", "x.zip"]
 
 
+def test_webdav_listings_of_one_kind_and_other_prefixes(spark, tmp_path):
+    dav = DAV.replace("<d:", "<D0:").replace("</d:", "</D0:").replace("xmlns:d=", "xmlns:D0=")
+    (tmp_path / "other.xml").write_text(dav)
+    assert listing.webdav_listing(spark, str(tmp_path / "other.xml")).count() == 5
+    one = ("<?xml version='1.0'?><multistatus xmlns='DAV:'><response><href>/dav/2025-06/</href><propstat><prop><resourcetype><collection/>"
+           "</resourcetype></prop></propstat></response>{}</multistatus>")
+    file = "<response><href>/dav/2025-06/a&amp;b.zip</href><propstat><prop><getcontentlength>7</getcontentlength><resourcetype/></prop></propstat></response>"
+    (tmp_path / "files.xml").write_text(one.format(file))
+    (tmp_path / "none.xml").write_text(one.format(""))
+    got = [tuple(r) for r in listing.webdav_listing(spark, str(tmp_path / "files.xml")).collect()]
+    assert got == [("/dav/2025-06/a&b.zip", "a&b.zip", False, 7, None)]
+    assert listing.webdav_listing(spark, str(tmp_path / "none.xml")).collect() == []
+    # several listings at once: each drops its own folder only
+    assert listing.webdav_listing(spark, str(tmp_path / "*.xml")).count() == 6
+
+
 def test_inventory_and_hash(spark, tmp_path):
     import hashlib
     root = tmp_path / "store"
