@@ -33,16 +33,17 @@ RISK, ERROR = 0.01, 0.05
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _SPACE = r"[ \\t\\n\\x0B\\f\\r]"
 
-# Words in three-word windows that occur twice.  Windows as (hash, place) in hash order, so that
-# equal ones are neighbours; then the union of [p, p + 3) over their places from left to right.
-# Arrays are bound with transform(array(..), x -> ..)[0], so that no rewrite of the plan can
-# evaluate them once per element.
-_REPEATED = """transform(array(_w), w -> aggregate(
-    transform(array(case when size(w) < 3 then cast(array() as array<struct<h: bigint, i: int>>) else
-        sort_array(transform(sequence(0, size(w) - 3), i -> struct(xxhash64(w[i], w[i + 1], w[i + 2]) as h, i as i))) end),
-      s -> sort_array(transform(filter(s, (x, k) -> coalesce(x.h = get(s, k - 1).h, false) or coalesce(x.h = get(s, k + 1).h, false)),
-                                x -> x.i)))[0],
-    struct(0L as n, 0 as e), (a, p) -> struct(a.n + p + 3 - greatest(p, a.e) as n, p + 3 as e), a -> a.n))[0]"""
+# Words in three-word windows that occur twice.  Window hashes are compared as a set first; only
+# texts with a repetition sort them as (hash, place), so that equal ones are neighbours, and then
+# unite [p, p + 3) over their places from left to right.  Arrays are bound with
+# transform(array(..), x -> ..)[0], so that no rewrite of the plan can evaluate them per element.
+_REPEATED = """transform(array(_w), w -> case when size(w) < 4 then 0L else transform(
+    array(transform(sequence(0, size(w) - 3), i -> xxhash64(w[i], w[i + 1], w[i + 2]))),
+    hashes -> case when size(array_distinct(hashes)) = size(hashes) then 0L else aggregate(
+        transform(array(sort_array(transform(hashes, (h, i) -> struct(h as h, i as i)))),
+          s -> sort_array(transform(filter(s, (x, k) -> coalesce(x.h = get(s, k - 1).h, false) or coalesce(x.h = get(s, k + 1).h, false)),
+                                    x -> x.i)))[0],
+        struct(0L as n, 0 as e), (a, p) -> struct(a.n + p + 3 - greatest(p, a.e) as n, p + 3 as e), a -> a.n) end)[0] end)[0]"""
 
 
 def features(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -50,7 +51,7 @@ def features(docs: DataFrame, text: str = "text") -> DataFrame:
     new = {*BASE, *RULES, "base_failed", "_t", "_w", "_l", "_lines", "_capitals", "_marks"}
     keep = [f"`{c}`" for c in docs.columns if c.lower() not in new or c == text]
     x = docs.select(*keep, F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_t"))
-    x = x.withColumn("_w", F.expr(f"filter(split(_t, '{_SPACE}+'), w -> w <> '')"))
+    x = x.withColumn("_w", F.expr(f"array_remove(split(_t, '{_SPACE}+'), '')"))
     x = x.withColumn("_l", F.expr(f"filter(split(_t, '\\n'), l -> l rlike '[^ \\\\t\\\\n\\\\x0B\\\\f\\\\r]')"))
     x = x.select(
         *keep, F.expr("cast(size(_w) as bigint)").alias("n_words"),
