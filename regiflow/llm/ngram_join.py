@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from regiflow.llm import blocks as B
 from regiflow.llm.graph import components, saved, saved_table
 
-UNIT_SETS, UNIT_GRAMS = 256, 200_000     # members of one trie
+UNIT_SETS, UNIT_GRAMS = 256, 100_000     # members of one trie
 SIG = "decimal(38,0)"
 
 
@@ -86,11 +86,9 @@ class Node:
         self.ends, self.below = [], []
 
 
-def build_trie(sets: list[np.ndarray], labels: list) -> Node | None:
+def build_trie(sets: list[np.ndarray], labels: list) -> Node:
     """Path-compressed trie of sorted sets; a node's label is its sets' only label, or None."""
-    if not sets:
-        return None
-    keys = [s.astype(">u8").tobytes() for s in sets]
+    keys = [s.astype(">u4").tobytes() for s in sets]
     order = sorted(range(len(sets)), key=keys.__getitem__)
     root, work = None, [(0, len(order), 0, None)]
     while work:
@@ -119,25 +117,45 @@ def build_trie(sets: list[np.ndarray], labels: list) -> Node | None:
     return root
 
 
-def similar(root: Node, query: np.ndarray, percent: int, label=None) -> list[int]:
-    """Sets of the trie that are similar enough to the query, outside the query's own label."""
-    found, work, n = [], [(root, 0, 0, 0)], len(query)
+def trie_join(sets: list[np.ndarray], queries: list[int], percent: int, labels: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """(query, set) of every two similar sets, outside the query's own label.
+
+    All queries walk the trie together: a node adds its part's overlap to the partial
+    overlap that each query brings along, and only the queries that can still reach
+    the overlap needed below go on.
+    """
+    labels = np.arange(len(sets)) if labels is None else labels
+    grams, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    size = np.array([len(x) for x in sets], np.int64)
+    begin = np.concatenate(([0], np.cumsum(size)))
+    own = [ids[a:b] for a, b in zip(begin, begin[1:])]
+    has = np.zeros((len(queries), len(grams)), bool)          # at most UNIT_SETS x UNIT_GRAMS
+    for r, q in enumerate(queries):
+        has[r, own[q]] = True
+    qs = np.array(queries, np.int64)
+    n, label = size[qs], labels[qs]
+    keys = np.concatenate([own[q] + r * len(grams) for r, q in enumerate(queries)])
+    key_begin = np.concatenate(([0], np.cumsum(n)))[:-1]
+    found, every = [], np.arange(len(queries))
+    work = [(build_trie(own, labels.tolist()), every, np.zeros(len(queries), np.int64), np.zeros(len(queries), np.int64), 0)]
     while work:
-        node, at, depth, overlap = work.pop()
-        if label is not None and node.label == label:
+        node, live, at, overlap, depth = work.pop()
+        if node.label is not None:
+            other = label[live] != node.label
+            live, at, overlap = live[other], at[other], overlap[other]
+        if len(node.part) and len(live):
+            overlap = overlap + has[live[:, None], node.part[None, :]].sum(axis=1)
+            at = np.searchsorted(keys, live * len(grams) + node.part[-1], side="right") - key_begin[live]
+        depth += len(node.part)
+        # what can still be shared below, against what the shortest set below needs
+        able = overlap + np.minimum(n[live] - at, node.long - depth) >= least_overlap(n[live], max(node.short, depth), percent)
+        live, at, overlap = live[able], at[able], overlap[able]
+        if not len(live):
             continue
-        if len(node.part):
-            place = np.searchsorted(query[at:], node.part) + at
-            inside = place < n
-            overlap += int(np.count_nonzero(query[place[inside]] == node.part[inside]))
-            at = int(np.searchsorted(query, node.part[-1], side="right"))
-            depth += len(node.part)
-        # sizes from the shortest set below on; a longer one needs more overlap
-        if overlap + min(n - at, node.long - depth) < least_overlap(n, max(node.short, depth), percent):
-            continue
-        if node.ends and overlap >= least_overlap(n, depth, percent):
-            found += node.ends
-        work += [(x, at, depth, overlap) for x in node.below]
+        if node.ends:
+            for r in live[overlap >= least_overlap(n[live], depth, percent)].tolist():
+                found += [(queries[r], e) for e in node.ends if labels[e] != label[r]]
+        work += [(x, live, at, overlap, depth) for x in node.below]
     return found
 
 
@@ -169,12 +187,8 @@ def _star_links(pairs: DataFrame, bodies: DataFrame, words: int, percent: int) -
     hubs = members.select(F.col("hub").alias("sig"), "hub", "unit", F.lit(True).alias("is_hub")).distinct()
 
     def join(key, table):
-        sets = _sets(table, words)
         hub = table["is_hub"].to_pylist().index(True)
-        others = [i for i in range(len(sets)) if i != hub]
-        root = build_trie([sets[i] for i in others], [0] * len(others))
-        hits = similar(root, sets[hub], percent) if root else []
-        return _linked(table["sig"], [(hub, others[i]) for i in hits])
+        return _linked(table["sig"], trie_join(_sets(table, words), [hub], percent))
 
     return _with_bodies(members.union(hubs), bodies).groupBy("hub", "unit").applyInArrow(join, LINKS)
 
@@ -199,11 +213,12 @@ def _full_links(members: DataFrame, bodies: DataFrame, words: int, percent: int)
                " transform(sequence(0L, main_parts - 1), i -> struct(own as u, rest_parts + i as v)))"))).alias("unit"))
 
     def join(key, table):
-        sets, comp = _sets(table, words), table["comp"].to_pylist()
-        root, pairs = build_trie(sets, comp), []
-        for i, s in enumerate(sets):
-            pairs += [(i, j) for j in similar(root, s, percent, comp[i]) if j > i and comp[i] != comp[j]]
-        return _linked(table["sig"], pairs)
+        _, comp = np.unique(np.array(table["comp"].to_pylist(), object), return_inverse=True)
+        if comp.max() == 0:
+            return _linked(table["sig"], [])
+        main = np.bincount(comp).argmax()      # two members of it need no comparison, so the others ask
+        asking = np.flatnonzero(comp != main).tolist()
+        return _linked(table["sig"], trie_join(_sets(table, words), asking, percent, comp))
 
     return (_with_bodies(x, bodies).select("sig", "comp", "body", "g", "unit.u", "unit.v")
             .groupBy("g", "u", "v").applyInArrow(join, LINKS))
@@ -247,7 +262,7 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str
                     mine = g[order].view(np.int64) if len(order) else None
             tokens.append(mine)
         body = pa.array([x if t is not None else None for x, t in zip(left[B.TEXT].to_pylist(), tokens)], pa.string())
-        return pa.table({B.ROW: left[B.ROW], "sig": sig, "n": pa.array(n, pa.int64()),
+        return pa.table({B.ROW: B.nullable(left[B.ROW]), "sig": sig, "n": pa.array(n, pa.int64()),
                          "tokens": pa.array(tokens, pa.list_(pa.int64())), "body": body})
 
     row = blocked.schema[B.ROW].dataType.simpleString()
@@ -277,3 +292,16 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str
     own = found.select(F.col(B.ROW)["doc_id"].alias("doc_id"), "sig", F.col("n").alias("n_shingles"))
     return own.where("sig is not null").join(classes, "sig").select("doc_id", "n_shingles", "component_id").union(
         own.where("sig is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+
+
+def one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that represent their group: those whose id is the component's id.
+
+    Rows that share an id stay if one of them represents its group, those of equal text once;
+    rows without an id cannot be told apart and stay.
+    """
+    least = groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_rows"))
+    kept = docs.where("doc_id is not null").join(least, "doc_id")
+    return (kept.where("_rows = 1").select(docs.columns)
+            .union(kept.where("_rows > 1").select(docs.columns).dropDuplicates(["doc_id", "text"]))
+            .union(docs.where("doc_id is null")))
