@@ -21,15 +21,19 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regiflow.llm.blocks import nullable
 
-REMEMBERED = 300_000       # encoded pieces kept in a worker
+REMEMBERED = 400_000       # encoded pieces, and merged words, of a generation kept in a worker
+NONE, GONE = 65_535, 65_536    # no token; taken up by a merge
 _OTHER_SPACE = "\x1c\x1d\x1e\x1f"     # split() cuts at these, the splitting rule does not
 
 
@@ -57,114 +61,153 @@ class Vocabulary:
         self.split = rules.pre_tokenizer.pre_tokenize_str
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.strings = {i: s for s, i in self.ids.items()} | {i: s for s, i in self.special.items()}
-        self.rank: dict[tuple[int, int], tuple[int, int]] = {}
-        made: dict[int, int] = {}
+        self.rank: dict[int, int] = {}          # pair (left id * 2**16 + right id) -> rank
+        self.made: list[int] = []               # rank -> product
+        by: dict[int, int] = {}
         for r, pair in enumerate(model["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             a, b, c = self.ids[a], self.ids[b], self.ids[a + b]
-            if max(made.get(a, -1), made.get(b, -1)) >= r or c in made:
+            if max(by.get(a, -1), by.get(b, -1)) >= r or c in by:
                 raise ValueError("merge ranks must follow the ranks that make their parts")
-            self.rank[a, b], made[c] = (r, c), r
-
-    def pieces(self, text: str) -> list:
-        """Units in order: special ids, or words as lists of first symbols."""
-        import re
-        out = []
-        cut = re.split("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")", text) if self.special else [text]
-        for part in cut:
-            if part in self.special:
-                out.append(self.special[part])
-            elif part:
-                for word, _ in self.split(self.normalise(part)):
-                    out.append([self.ids[c] for c in word[:-1]] + [self.ids[word[-1] + self.end]])
+            self.rank[a << 16 | b], by[c] = r, r
+            self.made.append(c)
+        if max(self.strings) >= NONE:
+            raise ValueError("ids must stay below 65535")
+        self.pairs = np.array(sorted(self.rank), np.int64)
+        self.pair_ranks = np.array([self.rank[k] for k in self.pairs.tolist()], np.int64)
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+
+    def words(self, pieces: list[str]) -> list[list]:
+        """For each piece its units in order: special ids, or words of the splitting rule."""
+        out: list[list] = [[] for _ in pieces]
+        odd = [i for i, p in enumerate(pieces) if any(s in p for s in self.special) or len(p.split()) != 1 or any(c in p for c in _OTHER_SPACE)]
+        rest = set(odd)
+        plain = [i for i in range(len(pieces)) if i not in rest]
+        text = self.normalise(" ".join([pieces[i] for i in plain]))
+        parts = text.split(" ")
+        if len(parts) != len(plain):             # a rule that makes or drops spaces
+            odd, plain, text, parts = range(len(pieces)), [], "", []
+        ends = np.cumsum([len(p) + 1 for p in parts])
+        found = self.split(text) if text else []
+        for at, (word, _) in zip(np.searchsorted(ends, [o[0] for _, o in found], side="right").tolist(), found):
+            out[plain[at]].append(word)
+        for i in odd:
+            for part in self.cut.split(pieces[i]) if self.cut else [pieces[i]]:
+                if part in self.special:
+                    out[i].append(self.special[part])
+                elif part:
+                    out[i] += [word for word, _ in self.split(self.normalise(part))]
         return out
 
+    def symbols(self, word: str) -> list[int]:
+        return [self.ids[c] for c in word[:-1]] + [self.ids[word[-1] + self.end]]
+
 
 class PairIndex:
     """Merges all words of a batch at once."""
 
     def __init__(self, vocabulary: Vocabulary, words: list[list[int]]):
-        self.v = vocabulary
-        self.token: list[int] = []
+        self.v, flat = vocabulary, []
         for w in words:
-            self.token += w
-            self.token.append(-1)          # no pair crosses a word's end
-        n = len(self.token)
-        self.next, self.prev = list(range(1, n + 1)), list(range(-1, n - 1))
-        self.where: dict[int, list[int]] = {}       # rank -> positions of its pair
-        self.pair: dict[int, tuple[int, int]] = {}
-        self.active: list[int] = []
-        for i in range(n - 1):
-            self._add(i, i + 1)
-
-    def _add(self, i: int, j: int) -> None:
-        found = self.v.rank.get((self.token[i], self.token[j]))
-        if found is None:
-            return
-        rank = found[0]
-        places = self.where.get(rank)
-        if places is None:
-            self.where[rank] = [i]
-            self.pair[rank] = (self.token[i], self.token[j], found[1])
-            heapq.heappush(self.active, rank)
-        else:
-            places.append(i)
+            flat += w
+            flat.append(NONE)                   # no pair crosses a word's end
+        self.token = flat
+        self.next, self.prev = list(range(1, len(flat) + 1)), list(range(-1, len(flat) - 1))
+        token = np.array(flat, np.int64)
+        pair = token[:-1] << 16 | token[1:]
+        at = np.minimum(np.searchsorted(vocabulary.pairs, pair), len(vocabulary.pairs) - 1)
+        place = np.flatnonzero(vocabulary.pairs[at] == pair)
+        rank = vocabulary.pair_ranks[at[place]]
+        order = np.argsort(rank, kind="stable")
+        active, begin = np.unique(rank[order], return_index=True)
+        every, cuts = place[order].tolist(), [*begin.tolist(), len(place)]
+        self.active: list[int] = active.tolist()          # ascending, so a heap
+        self.where = {r: every[a:b] for r, a, b in zip(self.active, cuts, cuts[1:])}     # rank -> positions of its pair
 
     def run(self) -> list[int]:
-        """Token ids of all words, with -1 after each."""
-        token, nxt, prev = self.token, self.next, self.prev
-        while self.active:
-            rank = heapq.heappop(self.active)
-            left, right, made = self.pair.pop(rank)
-            for i in sorted(self.where.pop(rank)):
+        """Token ids of all words, with NONE after each."""
+        token, nxt, prev, where, active = self.token, self.next, self.prev, self.where, self.active
+        rank_of, products, end = self.v.rank.get, self.v.made, len(self.token)
+        pair_of = {r: k for k, r in zip(self.v.pairs.tolist(), self.v.pair_ranks.tolist())} if active else {}
+        while active:
+            rank = heapq.heappop(active)
+            left, right, made = pair_of[rank] >> 16, pair_of[rank] & 0xFFFF, products[rank]
+            for i in sorted(where.pop(rank)):
                 j = nxt[i]
-                if token[i] != left or j >= len(token) or token[j] != right:
+                if token[i] != left or j >= end or token[j] != right:
                     continue                # an earlier merge has taken one of them
-                token[i], token[j] = made, -2
+                token[i], token[j] = made, GONE
                 k = nxt[i] = nxt[j]
-                if k < len(token):
+                if k < end:
                     prev[k] = i
-                    self._add(i, k)
-                if prev[i] >= 0:
-                    self._add(prev[i], i)
-        return [t for t in token if t != -2]
+                h = prev[i]
+                for at, new in ((i, made << 16 | token[k] if k < end else -1), (h, token[h] << 16 | made if h >= 0 else -1)):
+                    r = rank_of(new)
+                    if r is not None:
+                        if r in where:
+                            where[r].append(at)
+                        else:
+                            where[r] = [at]
+                            heapq.heappush(active, r)
+        return [t for t in token if t != GONE]
+
+
+class Memory(dict):
+    """What was made lately: two generations of at most ``size`` entries each; what is used
+    again moves to the younger one, and the older one is forgotten when that is full."""
+
+    def __init__(self, size: int):
+        super().__init__()
+        self.size, self.old = size, {}
+
+    def missing(self, keys) -> list:
+        """The keys not known; the known ones become young."""
+        out = []
+        for k in keys:
+            if k not in self:
+                if k in self.old:
+                    self[k] = self.old.pop(k)
+                else:
+                    out.append(k)
+        return out
+
+    def age(self) -> None:
+        if len(self) > self.size:
+            self.old = dict(self)
+            self.clear()
 
 
 class Encoder:
     """Texts to ids through the distinct white-space pieces of a batch."""
 
     def __init__(self, path: str):
-        self.v, self.known = Vocabulary(path), {}
+        self.v, self.known, self.merged = Vocabulary(path), Memory(REMEMBERED), Memory(REMEMBERED)
 
     def encode_pieces(self, pieces: list[str]) -> list[np.ndarray]:
-        units = [self.v.pieces(p) for p in pieces]
-        words: dict[tuple, int] = {}
-        for u in units:
-            for w in u:
-                if not isinstance(w, int):
-                    words.setdefault(tuple(w), len(words))
-        merged = np.array(PairIndex(self.v, [list(w) for w in words]).run(), np.int64)
-        ends = np.flatnonzero(merged == -1)
-        starts = np.concatenate(([0], ends[:-1] + 1)) if len(ends) else ends
-        spans = [merged[a:b].astype(np.uint32) for a, b in zip(starts.tolist(), ends.tolist())]
-        single = lambda w: np.array([w], np.uint32) if isinstance(w, int) else spans[words[tuple(w)]]
+        units = self.v.words(pieces)
+        self.merged.age()
+        new = self.merged.missing({w for u in units for w in u if isinstance(w, str)})
+        flat = np.array(PairIndex(self.v, [self.v.symbols(w) for w in new]).run(), np.uint32)
+        ends = np.flatnonzero(flat == NONE).tolist()
+        for word, a, b in zip(new, [0, *[e + 1 for e in ends]], ends):
+            self.merged[word] = flat[a:b].copy()
+        one = lambda w: np.array([w], np.uint32) if isinstance(w, int) else self.merged[w]
         none = np.zeros(0, np.uint32)
-        return [single(u[0]) if len(u) == 1 else np.concatenate([single(w) for w in u]) if u else none for u in units]
+        return [one(u[0]) if len(u) == 1 else np.concatenate([one(w) for w in u]) if u else none for u in units]
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, where each text's begin)."""
-        if len(self.known) > REMEMBERED:
-            self.known = {}
+        self.known.age()
         cut = [[] if not t else t.split() if not any(c in t for c in _OTHER_SPACE) else [t] for t in texts]
         index: dict[str, int] = {}
         number = [[index.setdefault(p, len(index)) for p in pieces] for pieces in cut]
-        new = [p for p in index if p not in self.known]
+        new = self.known.missing(index)
         self.known.update(zip(new, self.encode_pieces(new)))
         table = [self.known[p] for p in index]
         size = np.array([len(x) for x in table] or [0], np.int64)
         flat = np.concatenate(table) if table else np.zeros(0, np.uint32)
         begin = np.concatenate(([0], np.cumsum(size)[:-1]))
-        seq = np.array([i for x in number for i in x], np.int64)
+        seq = np.fromiter(chain.from_iterable(number), np.int64, sum(map(len, number)))
         n = size[seq] if len(seq) else seq
         ends = np.cumsum(n)
         total = int(ends[-1]) if len(ends) else 0
@@ -189,8 +232,7 @@ def encoder(path: str) -> Encoder:
 
 def parts_of(batch: pa.RecordBatch, column: str, size: int = 2 << 20):
     """Slices of a batch of about ``size`` bytes of text."""
-    a = batch.column(column)
-    lengths = np.array([len(x) if x else 0 for x in a.to_pylist()], np.int64)
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     at, i = np.concatenate(([0], np.cumsum(lengths))), 0
     while i < len(lengths):
         j = max(i + 1, int(np.searchsorted(at, at[i] + size, side="right")) - 1)
