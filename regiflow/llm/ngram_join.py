@@ -24,6 +24,8 @@ has an id).
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -165,7 +167,8 @@ LINKS = f"a {SIG}, b {SIG}"
 
 
 def _sets(table: pa.Table, words: int) -> list[np.ndarray]:
-    grams, at = shingles(table["body"], words)
+    texts = pa.array([zlib.decompress(b) for b in table["body"].to_pylist()], pa.binary())
+    grams, at = shingles(pa.chunked_array([texts]), words)
     return [grams[a:b] for a, b in zip(at, at[1:])]
 
 
@@ -261,13 +264,14 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str
                     order = order[f[order] > 1]
                     mine = g[order].view(np.int64) if len(order) else None
             tokens.append(mine)
-        body = pa.array([x if t is not None else None for x, t in zip(left[B.TEXT].to_pylist(), tokens)], pa.string())
+        # texts that may have to be compared travel compressed
+        body = pa.array([zlib.compress(x.encode(), 1) if t is not None else None for x, t in zip(left[B.TEXT].to_pylist(), tokens)], pa.binary())
         return pa.table({B.ROW: B.nullable(left[B.ROW]), "sig": sig, "n": pa.array(n, pa.int64()),
                          "tokens": pa.array(tokens, pa.list_(pa.int64())), "body": body})
 
     row = blocked.schema[B.ROW].dataType.simpleString()
     found = saved_table(B.with_answers(blocked, B.per_range(B.per_block(blocked, emit), frequency), prefixes,
-                                       f"{B.ROW} {row}, sig {SIG}, n long, tokens array<long>, body string"))
+                                       f"{B.ROW} {row}, sig {SIG}, n long, tokens array<long>, body binary"))
     bodies = found.where("body is not null").select("sig", "body")
 
     # groups of classes that meet at an n-gram; the same group met at several n-grams counts once
