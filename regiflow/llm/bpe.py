@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from regiflow.llm.blocks import nullable
 
-REMEMBERED = 400_000       # encoded pieces, and merged words, of a generation kept in a worker
+REMEMBERED = 800_000       # encoded pieces, and merged words, of a generation kept in a worker
 NONE, GONE = 65_535, 65_536    # no token; taken up by a merge
 _OTHER_SPACE = "\x1c\x1d\x1e\x1f"     # split() cuts at these, the splitting rule does not
 
@@ -183,17 +183,16 @@ class Encoder:
     def __init__(self, path: str):
         self.v, self.known, self.merged = Vocabulary(path), Memory(REMEMBERED), Memory(REMEMBERED)
 
-    def encode_pieces(self, pieces: list[str]) -> list[np.ndarray]:
+    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece as little-endian 32-bit integers."""
         units = self.v.words(pieces)
         self.merged.age()
         new = self.merged.missing({w for u in units for w in u if isinstance(w, str)})
-        flat = np.array(PairIndex(self.v, [self.v.symbols(w) for w in new]).run(), np.uint32)
-        ends = np.flatnonzero(flat == NONE).tolist()
+        flat = np.array(PairIndex(self.v, [self.v.symbols(w) for w in new]).run(), "<u4")
+        ends, data = np.flatnonzero(flat == NONE).tolist(), flat.tobytes()
         for word, a, b in zip(new, [0, *[e + 1 for e in ends]], ends):
-            self.merged[word] = flat[a:b].copy()
-        one = lambda w: np.array([w], np.uint32) if isinstance(w, int) else self.merged[w]
-        none = np.zeros(0, np.uint32)
-        return [one(u[0]) if len(u) == 1 else np.concatenate([one(w) for w in u]) if u else none for u in units]
+            self.merged[word] = data[4 * a:4 * b]
+        return [b"".join([w.to_bytes(4, "little") if isinstance(w, int) else self.merged[w] for w in u]) for u in units]
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, where each text's begin)."""
@@ -204,9 +203,9 @@ class Encoder:
         new = self.known.missing(index)
         self.known.update(zip(new, self.encode_pieces(new)))
         table = [self.known[p] for p in index]
-        size = np.array([len(x) for x in table] or [0], np.int64)
-        flat = np.concatenate(table) if table else np.zeros(0, np.uint32)
-        begin = np.concatenate(([0], np.cumsum(size)[:-1]))
+        size = np.fromiter(map(len, table), np.int64, len(table)) // 4
+        flat = np.frombuffer(b"".join(table), "<u4")
+        begin = np.cumsum(size) - size
         seq = np.fromiter(chain.from_iterable(number), np.int64, sum(map(len, number)))
         n = size[seq] if len(seq) else seq
         ends = np.cumsum(n)
