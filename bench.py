@@ -41,7 +41,7 @@ def run(spark, fn, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "1"))
     spark = get_session(f"local[{cpus}]", app="regiflow-bench", shuffle_partitions=2 * cpus)
     qs = catalog.queries()
     names = list(qs) if os.environ.get("BENCH_ALL", "1") == "1" else [n for n in HEADLINE if n in qs]
