@@ -63,4 +63,4 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_substring_dedup, op3_lm_scoring, op4_quality_rules, op5_embedding_near_dedup,
     op6_language_id, op7_pii, op8_suffix_array_dedup, op9_bpe_encode_decode, op10_best_fit_packing)}
-ORACLES: dict[str, str] = {"op4_quality_rules": quality.oracle()}
+ORACLES: dict[str, str] = {"op2_substring_dedup": substring.ORACLE, "op4_quality_rules": quality.oracle()}

@@ -84,3 +84,16 @@ def dedup_substrings(docs: DataFrame, text: str = "text", width: int = WIDTH) ->
 
 def digest(found: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+# The same digest in DuckDB SQL, window by window.
+ORACLE = r"""
+with w as (select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+win as (select r, unnest(range(1, len(w) - 33)) as i,
+        unnest(list_transform(range(1, len(w) - 33), lambda i: md5(array_to_string(w[i:i + 34], ' ')))) as g from w where len(w) >= 35),
+rep as (select r, i from (select r, i, count(*) over (partition by g) as c from win) where c > 1),
+gone as (select distinct r, i + d as p from rep, range(35) x(d)),
+one as (select r, unnest(range(1, len(w) + 1)) as p, unnest(w) as word from w),
+kept as (select r, count(*) as n, string_agg(word, ' ' order by p) as k from one anti join gone using (r, p) group by r)
+select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(k, '')) as kept_sha256
+from w left join kept using (r)"""
