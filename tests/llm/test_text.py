@@ -71,6 +71,19 @@ def test_model_beats_its_base_on_held_out_documents(spark):
     assert s[0] > s[1]
 
 
+def test_probabilities_of_a_frequent_context():
+    """70,000 successors, most met once, of a context with more than 10**6 occurrences; one with two."""
+    counts = np.ones(70_000, np.int64)
+    counts[:2] = 900_000, 200_000
+    keys = np.concatenate(((np.uint64(5) << np.uint64(lm.WORD_BITS)) + np.arange(70_000, dtype=np.uint64),
+                           (np.uint64(9) << np.uint64(lm.WORD_BITS)) + np.arange(2, dtype=np.uint64)))
+    alpha, gamma = lm.TrieLevel(keys, np.append(counts, [3_000_000, 1])).query(keys)
+    total = counts.sum() + 70_000
+    assert np.allclose(lm.VALUE[alpha], np.append(counts / total, [3_000_000 / 3_000_003, 1 / 3_000_003]), rtol=3e-4, atol=0)
+    assert np.allclose(lm.VALUE[gamma], np.repeat([70_000 / total, 2 / 3_000_003], [70_000, 2]), rtol=3e-4, atol=0)
+    assert lm.VALUE[alpha[:70_000]].sum() + lm.VALUE[gamma[0]] == pytest.approx(1, rel=3e-4)
+
+
 def test_lm_without_rows(spark):
     assert lm.score(frame(spark, []), lm.held_out()).collect() == []
 
