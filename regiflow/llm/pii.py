@@ -1,20 +1,21 @@
 """Operator 7: personal data, and the terms that give it away.
 
 Base spans are email addresses, IP addresses, card and telephone numbers found by
-fixed patterns.  Their values are the protected entities.  A term that stands
-within ``WINDOW`` words of an entity may reveal it; how strongly is measured over
-the whole corpus:
+fixed patterns.  Their values are the protected entities.  A term that shares a
+document with an entity may reveal it; how strongly is measured over the whole
+corpus:
 
     disclosure(t, e) = log2(P(e | t) / P(e)) / log2(1 / P(e))
 
 with P from document counts: 1 if the term occurs only with the entity, 0 if it
 says nothing.  A term of at least ``SUPPORT`` common documents is *removed* from
-``REMOVE`` on and *generalised* from ``GENERALISE`` on, wherever it occurs in a
-document that holds it next to an entity.
+``REMOVE`` on and *generalised* from ``GENERALISE`` on, wherever it occurs in any
+document: also far from the entity and where the entity is not named.
 
-One pass over the texts finds entities and neighbouring terms and counts the
-documents of every term; counts are added up per key range, and only the few
-candidate terms are looked up in them.  No text is shuffled.
+Blocks of documents (``blocks``) send their terms and entities with document counts
+to key ranges and learn the totals.  With these each block counts its (term, entity)
+pairs, except those whose totals alone keep them below ``GENERALISE``; the ranges add
+the pairs up and tell every block which of its terms disclose.
 
 Defined cases: null and empty texts have no spans; matches that fail their check
 (range of parts, number of digits, Luhn) are dropped without a retry; copies
@@ -24,7 +25,6 @@ count as documents; extra columns are kept, result columns replace their names.
 from __future__ import annotations
 
 import re
-import uuid
 from bisect import bisect_left, bisect_right
 
 import numpy as np
@@ -33,10 +33,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regiflow.llm import blocks as B
-from regiflow.llm.graph import saved_table
 
 KINDS = ("email", "ip", "card", "phone", "term")
-WINDOW, SUPPORT = 5, 2
+SUPPORT = 2
 GENERALISE, REMOVE = 0.8, 0.95
 
 # The patterns of the base kinds.
@@ -90,134 +89,168 @@ def base_spans(t: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def _key(text: str) -> int:
+def _key(text: str) -> np.uint64:
     data = np.frombuffer(text.encode(), np.uint8).astype(np.uint64) + np.uint64(1)
-    return int(B.mix(B.Rolling(data, B.BYTE_BASE).spans(np.zeros(1, np.int64), np.array([len(data)])))[0].view(np.int64))
+    return B.mix(B.Rolling(data, B.BYTE_BASE).spans(np.zeros(1, np.int64), np.array([len(data)])))[0]
 
 
-def _neighbours(t: str, hashes: np.ndarray, spans, window: int):
-    """((term, entity) pairs, (term, start, end) occurrences of those terms) of one text."""
+def _words(t: str, spans) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """(words of a text, which of them are terms: those that touch no base span)."""
     words = [m.span() for m in WORD.finditer(t)]
     starts, ends = [w[0] for w in words], [w[1] for w in words]
-    own, near = set(), []
-    for s, kind, e in spans:                     # words that touch a base span are no terms
-        a, b = bisect_right(ends, s), bisect_left(starts, e)
-        own.update(range(a, b))
-        near.append((a, b, _key(f"{kind}:{t[s:e].lower()}")))
-    h = hashes.view(np.int64).tolist()
-    pairs = {(h[i], entity) for a, b, entity in near for i in [*range(max(0, a - window), a), *range(b, min(len(h), b + window))] if i not in own}
-    terms = {p[0] for p in pairs}
-    return sorted(pairs), [(x, *words[i]) for i, x in enumerate(h) if x in terms and i not in own]
-
-
-_PAIR = pa.list_(pa.struct([("t", pa.int64()), ("e", pa.int64())]))
-_TERM = pa.list_(pa.struct([("t", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]))
-_SPAN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-
-
-def _scan(docs: DataFrame, n_ranges: int, text: str, window: int, with_text: bool) -> DataFrame:
-    """One pass: rows of documents, and rows of term counts (``range`` not null) of each batch."""
-    rest = [F.col(f"`{c}`") for c in docs.columns if c != text]
-    source = docs.select(F.struct(*rest, F.lit(0).alias("_none")).alias(B.ROW), F.col(f"`{text}`").alias(B.TEXT))
-
-    def run(batches):
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            data, at = B.text_bytes(table[B.TEXT])
-            h, first = B.word_hashes(data, at, lower=True)
-            doc = np.repeat(np.arange(len(batch)), np.diff(first))
-            order = np.lexsort((doc, h))
-            once = np.ones(len(h), bool)
-            once[1:] = (h[order][1:] != h[order][:-1]) | (doc[order][1:] != doc[order][:-1])
-            terms, count = np.unique(h[order][once], return_counts=True)
-            keys, texts = [], batch.column(B.TEXT).to_pylist()
-            spans, pairs, found = [], [], []
-            for i, t in enumerate(texts):
-                mine = base_spans(t or "")
-                p, o = _neighbours(t, h[first[i]:first[i + 1]], mine, window) if mine else ([], [])
-                spans.append([{"kind": KINDS[k], "start": s, "end": e} for s, k, e in mine])
-                pairs.append([{"t": a, "e": b} for a, b in p])
-                found.append([{"t": a, "start": s, "end": e} for a, s, e in o])
-                keys.append(uuid.uuid4().hex if o else None)
-            n, sent = len(texts), B.sent_rows(0, terms, n_ranges, count.astype(np.int32))
-            cols = {B.ROW: B.nullable(batch.column(B.ROW)), "key": pa.array(keys, pa.string()), "spans": pa.array(spans, _SPAN),
-                    "pairs": pa.array(pairs, _PAIR), "terms": pa.array(found, _TERM), "range": pa.nulls(n, pa.int32()),
-                    "keys": pa.nulls(n, pa.binary()), "extra": pa.nulls(n, pa.binary())}
-            none = {c: pa.nulls(len(sent), x.type) for c, x in cols.items()}
-            if with_text:
-                cols[B.TEXT], none[B.TEXT] = pa.array(texts, pa.string()), pa.nulls(len(sent), pa.string())
-            yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
-            none |= {c: sent[c].combine_chunks() for c in ("range", "keys", "extra")}
-            yield pa.RecordBatch.from_arrays(list(none.values()), list(cols))
-
-    span = "array<struct<kind:string,start:int,end:int>>"
-    return saved_table(source.mapInArrow(run, f"{B.ROW} {source.schema[B.ROW].dataType.simpleString()}, key string, spans {span}, "
-                                         "pairs array<struct<t:bigint,e:bigint>>, terms array<struct<t:bigint,start:int,end:int>>, "
-                                         "range int, keys binary, extra binary" + f", {B.TEXT} string" * with_text))
-
-
-def disclosing(scan: DataFrame, n_ranges: int, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
-    """(t, action): terms that reveal an entity, by their strongest one."""
-    rows = scan.where("range is null")
-    total = rows.count()
-    pairs = rows.where("size(pairs) > 0").select(F.explode("pairs").alias("p")).select("p.t", "p.e")
-    entity = rows.where("size(pairs) > 0").select(F.explode(F.array_distinct("pairs.e")).alias("e")).groupBy("e").agg(F.count("*").alias("n_e"))
-    both = pairs.groupBy("t", "e").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= support)
-
-    # documents of the candidate terms, looked up in the counts of their key range
-    wanted = both.select("t").distinct().mapInArrow(lambda batches: _ranged(batches, n_ranges), "range int, t long")
-
-    def look_up(key, left, right):
-        if not len(right):
-            return pa.table({"t": pa.array([], pa.int64()), "n_t": pa.array([], pa.int64())})
-        keys = np.concatenate([B.unpack(x) for x in right["keys"].to_pylist()])
-        counts = np.frombuffer(b"".join(right["extra"].to_pylist()), np.int32).astype(np.int64)
-        t = left["t"].to_numpy()
-        asked = np.sort(t.view(np.uint64))
-        place = np.minimum(np.searchsorted(asked, keys), max(0, len(asked) - 1))
-        hit = asked[place] == keys if len(asked) else np.zeros(len(keys), bool)
-        n = np.bincount(place[hit], counts[hit], len(asked)).astype(np.int64)
-        return pa.table({"t": pa.array(asked.view(np.int64)), "n_t": pa.array(n)})
-
-    counted = scan.where("range is not null").select("range", "keys", "extra")
-    n_t = wanted.groupBy("range").cogroup(counted.groupBy("range")).applyInArrow(look_up, "t long, n_t long")
-    n = F.lit(float(max(total, 1)))
-    told = both.join(n_t, "t").join(entity, "e").where(F.col("n_e") < n).withColumn(
-        "d", F.log2((F.col("n_te") / F.col("n_t")) / (F.col("n_e") / n)) / F.log2(n / F.col("n_e")))
-    return told.groupBy("t").agg(F.max("d").alias("d")).where(F.col("d") >= generalise).select(
-        "t", F.when(F.col("d") >= remove, "remove").otherwise("generalise").alias("action"))
-
-
-def _ranged(batches, n_ranges: int):
-    for b in batches:
-        t = b.column("t").to_numpy()
-        order = np.argsort(t.view(np.uint64))
-        at = B.cuts(t.view(np.uint64)[order], n_ranges)
-        r = np.repeat(np.arange(n_ranges), np.diff(at))
-        yield pa.RecordBatch.from_arrays([pa.array(r, pa.int32()), pa.array(t[order], pa.int64())], ["range", "t"])
-
-
-def find(docs: DataFrame, text: str = "text", window: int = WINDOW, support: int = SUPPORT, generalise: float = GENERALISE,
+    term = np.ones(len(words), bool)
+    for s, _, e in spans:
+        term[bisect_right(ends, s):bisect_left(starts, e)] = False
+    return words, term
+
+
+class _Block:
+    """The texts of a block with their words' hashes, base spans and entities.
+
+    ``keys``: the distinct words and entities, sorted; ``count``: their documents.
+    """
+
+    def __init__(self, column):
+        self.hashes, self.first = B.word_hashes(*B.text_bytes(column), lower=True)
+        self.texts = [t or "" for t in column.to_pylist()]
+        self.spans = [base_spans(t) for t in self.texts]
+        self.entities = [np.unique(np.array([_key(f"\n{k}:{t[s:e].lower()}") for s, k, e in spans], np.uint64))
+                         for t, spans in zip(self.texts, self.spans)]
+        n = np.arange(len(self.texts))
+        key = np.concatenate((self.hashes, *self.entities))
+        doc = np.concatenate((np.repeat(n, np.diff(self.first)), np.repeat(n, [len(e) for e in self.entities])))
+        order = np.lexsort((doc, key))
+        key, doc = key[order], doc[order]
+        once = np.ones(len(key), bool)
+        once[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
+        self.keys, self.count = np.unique(key[once], return_counts=True)
+
+    def words_of(self, i: int) -> np.ndarray:
+        return self.hashes[self.first[i]:self.first[i + 1]]
+
+    def answered(self, answers: pa.Table, n_ranges: int, kind) -> np.ndarray:
+        """The ranges' values alongside ``keys`` (0 where a range did not answer)."""
+        at, out = B.cuts(self.keys, n_ranges), np.zeros(len(self.keys), kind)
+        for r, x in zip(answers["range"].to_pylist(), answers["reply"].to_pylist()):
+            out[at[r]:at[r + 1]] = np.frombuffer(x, kind)
+        return out
+
+
+_PAIR = np.dtype([("t", "<u8"), ("e", "<u8"), ("n_te", "<i8"), ("n_t", "<i8"), ("n_e", "<i8")])
+_SPAN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("action", pa.string())]))
+ACTIONS = (None, "generalise", "remove")
+
+
+def disclosure(n_te, n_t, n_e, n: int) -> np.ndarray:
+    """How strongly a term reveals an entity, from document counts; 0 for an entity of all documents."""
+    bits = np.log2(n / n_e)
+    return np.where(n_e < n, np.log2(n_te / n_t * (n / n_e)) / np.where(bits > 0, bits, 1), 0)
+
+
+def _totals(table: pa.Table) -> pa.Table:
+    """Answer: for each block, the documents of each of its keys in all blocks."""
+    _, keys, at = B.received(table)
+    distinct, inverse = np.unique(keys, return_inverse=True)
+    count = np.frombuffer(b"".join(table["extra"].to_pylist()), np.int32)
+    total = np.bincount(inverse, count, len(distinct)).astype(np.int64)[inverse]
+    return B.reply_rows(table, [total[a:b].tobytes() for a, b in zip(at, at[1:])])
+
+
+def _pairs(block: _Block, total: np.ndarray, n: int, support: int, generalise: float) -> np.ndarray:
+    """The (term, entity) pairs of a block with their documents in it, in order of term, without
+    those that the totals keep below ``support`` or ``generalise`` (n_te is at most n_t and n_e)."""
+    parts = []
+    of = lambda keys: total[np.searchsorted(block.keys, keys)]
+    for i, entities in enumerate(block.entities):
+        entities = entities[of(entities) >= support]
+        if not len(entities):
+            continue
+        _, term = _words(block.texts[i], block.spans[i])
+        terms = np.unique(block.words_of(i)[term])
+        n_t = of(terms)
+        terms, n_t = terms[n_t >= support], n_t[n_t >= support]
+        for e, n_e in zip(entities, of(entities)):
+            may = disclosure(np.minimum(n_t, n_e), n_t, n_e, n) >= generalise - 1e-9
+            part = np.empty(int(may.sum()), _PAIR)
+            part["t"], part["e"], part["n_te"], part["n_t"], part["n_e"] = terms[may], e, 1, n_t[may], n_e
+            parts.append(part)
+    return _summed(parts)
+
+
+def _summed(parts: list[np.ndarray]) -> np.ndarray:
+    """Equal pairs as one, with the sum of their documents, in order of term."""
+    p = np.concatenate(parts) if parts else np.empty(0, _PAIR)
+    p = p[np.lexsort((p["e"], p["t"]))]
+    new = np.ones(len(p), bool)
+    new[1:] = (p["t"][1:] != p["t"][:-1]) | (p["e"][1:] != p["e"][:-1])
+    out = p[new]
+    if len(p):
+        out["n_te"] = np.add.reduceat(p["n_te"], np.flatnonzero(new))
+    return out
+
+
+def _actions(p: np.ndarray, n: int, support: int, generalise: float, remove: float) -> tuple[np.ndarray, np.ndarray]:
+    """(terms that reveal an entity, sorted, number of their action): each by its strongest entity."""
+    p = p[p["n_te"] >= support]
+    d = disclosure(p["n_te"], p["n_t"], p["n_e"], n)
+    p, d = p[d >= generalise], d[d >= generalise]
+    terms, inverse = np.unique(p["t"], return_inverse=True)
+    action = np.ones(len(terms), np.uint8)
+    action[inverse[d >= remove]] = 2
+    return terms, action
+
+
+def find(docs: DataFrame, text: str = "text", support: int = SUPPORT, generalise: float = GENERALISE,
          remove: float = REMOVE, with_text: bool = False) -> DataFrame:
     """Every document's other columns with ``spans`` (array of kind, start, end, action; code
     points, end exclusive), in order of start, then kind; the text only if asked for."""
-    _, n_ranges = B.sizes(docs, text)
-    scan = _scan(docs, n_ranges, text, window, with_text)
-    rows, told = scan.where("range is null"), disclosing(scan, n_ranges, support, generalise, remove)
-    terms = (rows.where("key is not null").select("key", F.explode("terms").alias("x")).select("key", "x.*").join(told, "t")
-             .groupBy("key").agg(F.collect_list(F.struct(F.lit("term").alias("kind"), "start", "end", "action")).alias("more")))
-    base = F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("action")))
-    number = "array_position(array('email', 'ip', 'card', 'phone', 'term'), s.kind)"
-    in_order = F.expr(f"transform(array_sort(transform(all, s -> struct(s.start as a, {number} as b, s as s))), x -> x.s)")
-    kept = [B.ROW] + [B.TEXT] * with_text
-    plain = rows.where("key is null").select(*kept, base.alias("all"))
-    with_terms = rows.where("key is not null").join(terms, "key", "left").select(
-        *kept, F.concat(base, F.coalesce("more", F.expr("cast(array() as array<struct<kind:string,start:int,end:int,action:string>>)"))).alias("all"))
-    out = plain.union(with_terms).select(*kept, in_order.alias("spans"))
-    if with_text:
-        out = out.withColumnRenamed(B.TEXT, text)
+    n_blocks, n_ranges = B.sizes(docs, text)
+    n = docs.count()
+    blocked = B.blocks(docs, n_blocks, text)
+
+    def emit(key, table):
+        block = _Block(table[B.TEXT])
+        return B.sent_rows(B.key_of(key), block.keys, n_ranges, block.count.astype(np.int32))
+
+    def pair(key, left, right):
+        block = _Block(left[B.TEXT])
+        p = _pairs(block, block.answered(right, n_ranges, np.int64), n, support, generalise)
+        at = B.cuts(p["t"], n_ranges)
+        full = np.flatnonzero(np.diff(at))
+        return pa.table({"range": pa.array(full, pa.int32()), "pairs": pa.array([p[at[r]:at[r + 1]].tobytes() for r in full], pa.binary())})
+
+    def tell(key, left, right):
+        terms, action = _actions(_summed([np.frombuffer(x, _PAIR) for x in right["pairs"].to_pylist()]), n, support, generalise, remove)
+        if not len(terms):
+            return B.reply_rows(left, [None] * len(left))
+        replies = []
+        for keys in map(B.unpack, left["keys"].to_pylist()):
+            place = np.minimum(np.searchsorted(terms, keys), len(terms) - 1)
+            mine = np.where(terms[place] == keys, action[place], 0).astype(np.uint8)
+            replies.append(mine.tobytes() if mine.any() else None)
+        return B.reply_rows(left, replies)
+
+    def apply(key, left, right):
+        block = _Block(left[B.TEXT])
+        action = block.answered(right, n_ranges, np.uint8)
+        spans = []
+        for i, (t, base) in enumerate(zip(block.texts, block.spans)):
+            found = [(s, k, e, KINDS[k]) for s, k, e in base]
+            mine = action[np.searchsorted(block.keys, block.words_of(i))]
+            if mine.any():
+                words, term = _words(t, base)
+                found += [(words[j][0], len(KINDS) - 1, words[j][1], ACTIONS[mine[j]]) for j in np.flatnonzero(term & (mine > 0))]
+            spans.append([{"kind": KINDS[k], "start": s, "end": e, "action": a} for s, k, e, a in sorted(found)])
+        cols = {B.ROW: B.nullable(left[B.ROW]), "spans": pa.array(spans, _SPAN)}
+        return pa.table(cols | ({B.TEXT: left[B.TEXT]} if with_text else {}))
+
+    sent = B.per_block(blocked, emit)
+    pairs = B.with_answers(blocked, B.per_range(sent, _totals), pair, "range int, pairs binary")
+    told = sent.groupBy("range").cogroup(pairs.groupBy("range")).applyInArrow(tell, B.REPLY)
+    out = B.with_answers(blocked, told, apply, f"{B.ROW} {blocked.schema[B.ROW].dataType.simpleString()}, "
+                         "spans array<struct<kind:string,start:int,end:int,action:string>>" + f", {B.TEXT} string" * with_text)
     names = [c for c in docs.columns if c != text and c.lower() != "spans"]
-    return out.select(*[F.col(B.ROW)[c].alias(c) for c in names], *([F.col(f"`{text}`")] * with_text), "spans")
+    return out.select(*[F.col(B.ROW)[c].alias(c) for c in names], *([F.col(B.TEXT).alias(text)] * with_text), "spans")
 
 
 def sanitise(docs: DataFrame, text: str = "text", **options) -> DataFrame:

@@ -208,6 +208,21 @@ def test_revealing_terms(spark):
     assert pii.digest(pii.find(frame(spark, []))).collect() == []
 
 
+def test_revealing_terms_far_away_and_in_all_documents(spark):
+    """A name forty words from the address is counted, and marked where the address is missing."""
+    r = random.Random(9)
+    vocab = ["".join(r.choice("aeioustnr") for _ in range(6)) for _ in range(60)]
+    prose = lambda n: " ".join(r.choice(vocab) for _ in range(n))
+    rows = [(i, f"Xandra {prose(40)} x@example.org") for i in range(12)] + [(i, f"{prose(20)} xandra, Xandra") for i in range(12, 14)]
+    rows += [(i, prose(40)) for i in range(14, 2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {g.doc_id: [(s.start, s.end, s.action) for s in g.spans if s.kind == "term"] for g in pii.find(df).collect()}
+    assert all(got[i] == [(0, 6, "remove")] for i in range(12))                  # d = 0.97
+    assert all([(dict(rows)[i][a:b], x) for a, b, x in got[i]] == [("Xandra", "remove")] for i in range(12, 14))
+    assert not any(got[i] for i in range(14, 2000)) and len(got) == 2000
+    assert sum("Xandra" in x.text for x in pii.sanitise(df).collect()) == 0
+
+
 # ---------------------------------------------------------------- 9, 10
 
 def library():
