@@ -2,7 +2,8 @@
 
 The model is an interpolated Witten-Bell n-gram model of all training tokens,
 cut into key ranges by context.  In each range the n-grams of an order are one
-trie level in a memory-mapped file:
+trie level in a memory-mapped file; that of single words has the sorted words and
+the running sum of their counts, both Elias-Fano coded, the others:
 
 * contexts, sorted, as an Elias-Fano sequence, and Elias-Fano pointers to where
   each one's successors begin;
@@ -16,7 +17,9 @@ of its word relative to that context.  Blocks of documents send their distinct
 n-grams with their training counts once (``blocks``); the same exchange carries
 what is learnt and what is asked.
 
-An n-gram is known by 64 bits, 36 of its context and 28 of its word.  Quantised
+An n-gram is known by 64 bits: of two words 36 of its context and 28 of its word, of
+more words, which have more contexts and fewer successors, 40 and 24 (of 10**9
+contexts about 0.1 % share their bits with another).  Quantised
 values differ from the exact ones by at most 0.03 %; the scale reaches down to
 2**-48, below the share of one n-gram in any context met fewer than 10**14 times.
 
@@ -35,8 +38,8 @@ from pyspark.sql import functions as F
 
 from regiflow.llm import blocks as B
 
-ORDER = 2
-WORD_BITS = 28
+ORDER = 3
+WORD_BITS, LONG_WORD_BITS = 28, 24      # of n-grams of two words, of more words
 _U = np.uint64
 BEGIN, END = _U(0x243F6A8885A308D3), _U(0x13198A2E03707344)
 STEPS, OCTAVES = 65534, 48.0          # quantisation: 65534 steps over 48 octaves
@@ -55,7 +58,7 @@ class EliasFano:
     def encode(cls, values: np.ndarray) -> "EliasFano":
         n = len(values)
         top = int(values[-1]) + 1 if n else 1
-        bits = max(0, (top // max(n, 1)).bit_length() - 1)
+        bits = min(63, max(0, (top // max(n, 1)).bit_length() - 1))
         low = (values[:, None] >> np.arange(bits, dtype=_U)) & _U(1)
         ones = (values >> _U(bits)).astype(np.int64) + np.arange(n)
         high = np.zeros(int(ones[-1]) + 1 if n else 0, np.uint8)
@@ -105,39 +108,63 @@ def quantise(x: np.ndarray) -> np.ndarray:
 VALUE = np.concatenate(([0.0], np.exp2(np.arange(STEPS + 1) * OCTAVES / STEPS - OCTAVES)))
 
 
-class TrieLevel:
-    """One order of the model in one key range."""
+class _Level:
+    """Elias-Fano sequences by name in one file."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray):
-        """``keys``: sorted (context, word) keys with training counts > 0."""
-        context, first = np.unique(keys >> _U(WORD_BITS), return_index=True)
-        distinct = np.diff(np.append(first, len(keys)))
-        total = np.add.reduceat(counts, first) if len(first) else np.zeros(0, np.int64)
-        rank = np.repeat(np.arange(len(context)), distinct)
-        word = (keys & _U((1 << WORD_BITS) - 1)) | (rank.astype(_U) << _U(WORD_BITS))
+    def __init__(self, **sequences: np.ndarray):
         self.file, self.coded = Levels(), {}
-        for name, x in (("context", context), ("pointer", np.append(first, len(keys)).astype(_U)), ("word", word)):
+        for name, x in sequences.items():
             e = EliasFano.encode(x)
             self.coded[name] = (e.n, e.low_bits, self.file.put(e.low), self.file.put(e.high))
-        self.alpha = self.file.put(quantise(counts / (total + distinct)[rank]))
-        self.gamma = self.file.put(quantise(distinct / (total + distinct)))
 
     def _sequence(self, name: str) -> EliasFano:
         n, bits, low, high = self.coded[name]
         return EliasFano(n, bits, self.file.get(low), self.file.get(high))
 
+
+class WordLevel(_Level):
+    """The single words of one key range with their exact counts."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray):
+        """``keys``: sorted words with training counts > 0."""
+        super().__init__(word=keys, below=np.append(0, np.cumsum(counts)).astype(_U))
+
+    def query(self, keys: np.ndarray) -> np.ndarray:
+        """Counts of the words."""
+        word, below = self._sequence("word"), self._sequence("below").values().astype(np.int64)
+        if not word.n:
+            return np.zeros(len(keys), np.int64)
+        place = np.minimum(word.successor(keys), word.n - 1)
+        return np.where(word.values()[place] == keys, below[place + 1] - below[place], 0)
+
+
+class TrieLevel(_Level):
+    """One order of the model above single words in one key range."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, word_bits: int = WORD_BITS):
+        """``keys``: sorted (context, word) keys with training counts > 0."""
+        self.word_bits = word_bits
+        context, first = np.unique(keys >> _U(word_bits), return_index=True)
+        distinct = np.diff(np.append(first, len(keys)))
+        total = np.add.reduceat(counts, first) if len(first) else np.zeros(0, np.int64)
+        rank = np.repeat(np.arange(len(context)), distinct)
+        word = (keys & _U((1 << word_bits) - 1)) | (rank.astype(_U) << _U(word_bits))
+        super().__init__(context=context, pointer=np.append(first, len(keys)).astype(_U), word=word)
+        self.alpha = self.file.put(quantise(counts / (total + distinct)[rank]))
+        self.gamma = self.file.put(quantise(distinct / (total + distinct)))
+
     def query(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes of (discounted probability, weight of the lower order) of the n-grams."""
         context, pointer, word = (self._sequence(x) for x in ("context", "pointer", "word"))
         alpha, gamma = np.zeros(len(keys), np.uint16), np.full(len(keys), 1 + STEPS, np.uint16)     # unseen context: 0 and 1
         if not context.n:
             return alpha, gamma
-        asked = keys >> _U(WORD_BITS)
+        asked = keys >> _U(self.word_bits)
         rank = np.minimum(context.successor(asked), context.n - 1)
         seen = np.flatnonzero(context.values()[rank] == asked)
         rank = rank[seen]
         gamma[seen] = self.file.get(self.gamma)[rank]
-        own = (keys[seen] & _U((1 << WORD_BITS) - 1)) | (rank.astype(_U) << _U(WORD_BITS))
+        own = (keys[seen] & _U((1 << self.word_bits) - 1)) | (rank.astype(_U) << _U(self.word_bits))
         place = word.successor(own)
         ends = pointer.values().astype(np.int64)
         inside = (place >= ends[rank]) & (place < ends[rank + 1])
@@ -162,6 +189,10 @@ def tokens(column) -> tuple[np.ndarray, np.ndarray]:
     return out, begin
 
 
+def word_bits(order: int) -> int:
+    return WORD_BITS if order == 2 else LONG_WORD_BITS
+
+
 def ngram_keys(token: np.ndarray, begin: np.ndarray, order: int) -> np.ndarray:
     """The key of the n-gram that ends at each token (of the token itself for order 1)."""
     if order == 1:
@@ -174,7 +205,8 @@ def ngram_keys(token: np.ndarray, begin: np.ndarray, order: int) -> np.ndarray:
             at = begin[:-1] + b
             before[at[at < begin[1:]]] = BEGIN
         context = B.mix(context * B.WORD_BASE + before)
-    return (context & ~_U((1 << WORD_BITS) - 1)) | (B.mix(token) >> _U(64 - WORD_BITS))
+    bits = word_bits(order)
+    return (context & ~_U((1 << bits) - 1)) | (B.mix(token) >> _U(64 - bits))
 
 
 def _unigrams(table: pa.Table, n_ranges: int, train: str, text: str, block: int) -> pa.Table:
@@ -227,11 +259,12 @@ def score(docs: DataFrame, held_out, order: int = ORDER, text: str = "text") ->
         count = np.frombuffer(b"".join(table["extra"].to_pylist()), np.int32)
         distinct, inverse = np.unique(keys, return_inverse=True)
         total = np.bincount(inverse, count, len(distinct)).astype(np.int64)
-        if table["range"][0].as_py() < n_ranges:
-            mine = total[inverse]
-            return B.reply_rows(table, [B.pack(mine[a:b]) for a, b in zip(at, at[1:])])
         seen = total > 0
-        level = TrieLevel(distinct[seen], total[seen])
+        k = 1 + table["range"][0].as_py() // n_ranges
+        if k == 1:
+            mine = WordLevel(distinct[seen], total[seen]).query(keys)
+            return B.reply_rows(table, [B.pack(mine[a:b]) for a, b in zip(at, at[1:])])
+        level = TrieLevel(distinct[seen], total[seen], word_bits(k))
         alpha, gamma = level.query(keys)
         return B.reply_rows(table, [alpha[a:b].tobytes() + gamma[a:b].tobytes() for a, b in zip(at, at[1:])])
 

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from regiflow.llm import bpe, language_id, lm, packing, pii, quality
-from regiflow.llm.queries import tokenizer_path
+from regiflow.llm.queries import QUERIES, tokenizer_path
 from tests.llm.data import LOWER, frame, words
 
 
@@ -84,6 +84,26 @@ def test_probabilities_of_a_frequent_context():
     assert lm.VALUE[alpha[:70_000]].sum() + lm.VALUE[gamma[0]] == pytest.approx(1, rel=3e-4)
 
 
+def test_word_level_counts_exactly():
+    r = np.random.default_rng(2)
+    keys = np.unique(np.append(r.integers(0, 1 << 64, 3000, np.uint64), np.uint64((1 << 64) - 1)))
+    counts = r.integers(1, 1 << 40, len(keys))
+    for some in (slice(0, 0), slice(len(keys) - 1, None), slice(0, None, 2)):
+        expected = np.zeros(len(keys), np.int64)
+        expected[some] = counts[some]
+        assert (lm.WordLevel(keys[some], counts[some]).query(keys) == expected).all()
+
+
+def test_registered_model_uses_two_words_before(spark, tmp_path):
+    """What follows "b" depends on the word before it."""
+    rows = [(i, "a b c" if i % 2 else "x b d") for i in range(200)] + [(1000 + i, ["a b c", "a b d"][i % 2]) for i in range(200)]
+    df = spark.createDataFrame([(i, t) for i, t in rows if i < 1000 or zlib.crc32(str(i).encode()) % 7 == 2], "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {g.doc_id: g.score for g in QUERIES["op3_lm_scoring"](spark, str(tmp_path)).where("held_out and doc_id >= 1000").collect()}
+    right, wrong = ({round(v, 6) for i, v in got.items() if i % 2 == k} for k in (0, 1))
+    assert len(right) == len(wrong) == 1 and right.pop() > wrong.pop() + 1      # a bigram model gives both the same
+
+
 def test_lm_without_rows(spark):
     assert lm.score(frame(spark, []), lm.held_out()).collect() == []
 
