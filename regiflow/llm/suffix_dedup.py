@@ -15,7 +15,10 @@ have to be compared if their anchors are equal.
    geometrically, and while two levels are merged the merged array is scanned for
    matches between them.  A window is repeated if another entry agrees with it on
    both sides far enough.
-4. Each block turns its repeated windows into maximal removed spans.
+4. An anchor with more than ``HOT`` stretches would make one group too large.  Of such
+   anchors the blocks send the distinct hashes of their windows instead, which
+   spread over all key ranges, and learn which occur more than once.
+5. Each block turns its repeated windows into maximal removed spans.
 
 Windows are judged on the input; every copy is removed, none is spared.
 
@@ -36,6 +39,7 @@ from regiflow.llm import blocks as B
 LENGTH = 400
 GRAM = 32              # bytes hashed to choose anchors
 BATCH = 1024           # entries of a level-0 suffix array
+HOT = 1 << 15          # stretches of an anchor up to which they are compared in one key range (about 1.2 KB each)
 _U = np.uint64
 
 
@@ -95,6 +99,21 @@ class Anchors:
         return h[place], first + base, last + base, place + base, digest
 
 
+    def starts(self, run: np.ndarray) -> np.ndarray:
+        """The windows of the given runs, by their starts."""
+        n = self.last[run] - self.first[run] + 1
+        return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.first[run], n)
+
+    def windows(self, starts: np.ndarray, length: int) -> np.ndarray:
+        """Hashes of the windows that begin at the starts."""
+        out = np.zeros(len(self.data), _U)
+        for i, j in B.groups_of(self.at, B.CHUNK):
+            part = self.data[self.at[i]:self.at[j]]
+            h = B.mix(B.Rolling(part.astype(_U) + _U(1), B.BYTE_BASE).windows(length))
+            out[self.at[i]:self.at[i] + len(h)] = h
+        return out[starts]
+
+
 def _distinct(a: Anchors):
     """(one entry of each distinct stretch, its number of occurrences, entry -> stretch)."""
     _, at, inverse, count = np.unique(a.digest, return_index=True, return_inverse=True, return_counts=True)
@@ -232,21 +251,54 @@ class LevelFamily:
 STRETCH = "range int, block long, keys binary, digests binary, lo binary, hi binary, bytes binary"
 
 
-def dedup_bytes(docs: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def _met(table: pa.Table, hot: int) -> pa.Table:
+    """Answer: for each block, a bit for each of its anchors that other blocks have too, and one
+    for each that has more than ``hot`` stretches."""
+    _, keys, at = B.received(table)
+    _, inverse, blocks = np.unique(keys, return_inverse=True, return_counts=True)
+    n = np.bincount(inverse, np.frombuffer(b"".join(table["extra"].to_pylist()), np.int32), len(blocks))
+    both = np.stack((blocks > 1, n > hot))[:, inverse]
+    parts = [both[:, a:b] for a, b in zip(at, at[1:])]
+    return B.reply_rows(table, [np.packbits(p).tobytes() if p.any() else None for p in parts])
+
+
+def _met_bits(keys: np.ndarray, answers: pa.Table, n: int) -> np.ndarray:
+    """The two bits of ``_met`` alongside a block's distinct sorted anchors."""
+    at, out = B.cuts(keys, n), np.zeros((2, len(keys)), bool)
+    for r, bits in zip(answers["range"].to_pylist(), answers["reply"].to_pylist()):
+        a, b = at[r], at[r + 1]
+        out[:, a:b] = np.unpackbits(np.frombuffer(bits, np.uint8), count=2 * (b - a)).reshape(2, -1)
+    return out
+
+
+def _shared_windows(table: pa.Table) -> pa.Table:
+    """Answer: for each block, the hashes of its windows that occur more than once in all blocks."""
+    keys = [np.frombuffer(x, _U) for x in table["keys"].to_pylist()]
+    _, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+    again = (np.bincount(inverse, np.frombuffer(b"".join(table["bytes"].to_pylist()), np.uint8)) > 1)[inverse]
+    at = np.concatenate(([0], np.cumsum([len(k) for k in keys])))
+    return B.reply_rows(table, [k[again[a:b]].tobytes() if again[a:b].any() else None for k, a, b in zip(keys, at, at[1:])])
+
+
+def dedup_bytes(docs: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """Every document with ``kept`` (remaining bytes), ``removed`` (byte spans, end exclusive),
     ``n_bytes``, ``n_removed`` and ``n_spans``."""
     n_blocks, n_ranges = B.sizes(docs, text)
     blocked = B.blocks(docs, n_blocks, text)
 
     def emit(key, table):
-        return B.sent_rows(B.key_of(key), np.unique(Anchors(table[B.TEXT], length, gram).key), n_ranges)
+        a = Anchors(table[B.TEXT], length, gram)
+        keys, inverse = np.unique(a.key, return_inverse=True)
+        n = np.bincount(inverse[_distinct(a)[0]], minlength=len(keys))
+        return B.sent_rows(B.key_of(key), keys, n_ranges, n.astype(np.int32))
 
     def stretches(key, left, right):
         a = Anchors(left[B.TEXT], length, gram)
         keys, inverse, count = np.unique(a.key, return_inverse=True, return_counts=True)
-        again = (B.repeated_bits(keys, right, n_ranges) | (count > 1))[inverse]
+        met, many = _met_bits(keys, right, n_ranges)
+        again, many = (met | (count > 1))[inverse], many[inverse]
         at, _, _ = _distinct(a)
-        at = at[again[at]]
+        at = at[again[at] & ~many[at]]
         at = at[np.argsort(a.key[at], kind="stable")]
         edge = B.cuts(a.key[at], 2 * n_ranges)
         rows = []
@@ -255,10 +307,18 @@ def dedup_bytes(docs: DataFrame, text: str = "text", length: int = LENGTH, gram:
             data = b"".join(a.data[s:e].tobytes() for s, e in zip(a.first[i], a.last[i] + length))
             rows.append((int(r), B.key_of(key), a.key[i].tobytes(), a.digest[i].tobytes(),
                          (a.place - a.last)[i].astype(np.int16).tobytes(), (a.place - a.first)[i].astype(np.int16).tobytes(), data))
+        if many.any():
+            w, n = np.unique(a.windows(a.starts(np.flatnonzero(many)), length), return_counts=True)
+            edge = B.cuts(w, 2 * n_ranges)
+            for r in np.flatnonzero(np.diff(edge)):
+                i = slice(edge[r], edge[r + 1])
+                rows.append((int(r) + 2 * n_ranges, B.key_of(key), w[i].tobytes(), b"", b"", b"", np.minimum(n[i], 2).astype(np.uint8).tobytes()))
         return pa.table([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 7, [pa.int32(), pa.int64()] + [pa.binary()] * 5)],
                         names=["range", "block", "keys", "digests", "lo", "hi", "bytes"])
 
     def index(table):
+        if table["range"][0].as_py() >= 2 * n_ranges:
+            return _shared_windows(table)
         counts = [len(x) // 8 for x in table["digests"].to_pylist()]
         entries = Entries(sum(counts), length, gram)
         family, i = LevelFamily(entries), 0
@@ -284,7 +344,11 @@ def dedup_bytes(docs: DataFrame, text: str = "text", length: int = LENGTH, gram:
         at, count, inverse = _distinct(a)
         width = length - gram + 1
         flags = np.zeros((len(at), width), bool)
-        for x in right["reply"].to_pylist():
+        shared = [np.zeros(0, _U)]
+        for r, x in zip(right["range"].to_pylist(), right["reply"].to_pylist()):
+            if r >= 2 * n_ranges:
+                shared.append(np.frombuffer(x, _U))
+                continue
             n = int.from_bytes(x[:4], "little")
             bits = np.unpackbits(np.frombuffer(x, np.uint8, offset=4 + 8 * n).reshape(n, -1), axis=1, count=width).astype(bool)
             flags[np.searchsorted(a.digest[at], np.frombuffer(x, _U, n, 4))] |= bits
@@ -292,6 +356,9 @@ def dedup_bytes(docs: DataFrame, text: str = "text", length: int = LENGTH, gram:
         entry, x = np.nonzero(flags[inverse]) if len(at) else (np.zeros(0, np.int64),) * 2
         start = a.place[entry] - x
         start = start[(start >= a.first[entry]) & (start <= a.last[entry])]
+        if len(shared) > 1:
+            every = a.starts(np.arange(len(a.first)))
+            start = np.union1d(start, every[np.isin(a.windows(every, length), np.concatenate(shared))])
         step = np.zeros(len(a.data) + 1, np.int32)
         np.add.at(step, start, 1)
         np.add.at(step, start + length, -1)
@@ -308,7 +375,7 @@ def dedup_bytes(docs: DataFrame, text: str = "text", length: int = LENGTH, gram:
                          "n_bytes": pa.array(np.diff(a.at), pa.int64()), "n_removed": pa.array(n_cut, pa.int64())})
 
     row = blocked.schema[B.ROW].dataType.simpleString()
-    met = B.per_range(B.per_block(blocked, emit), B.repeated_across)
+    met = B.per_range(B.per_block(blocked, emit), lambda table: _met(table, hot))
     found = B.per_range(B.with_answers(blocked, met, stretches, STRETCH), index)
     out = B.with_answers(blocked, found, apply, f"{B.ROW} {row}, kept binary, removed array<struct<start:int,end:int>>, "
                          "n_bytes long, n_removed long").withColumn("n_spans", F.size("removed").cast("long"))

@@ -97,6 +97,25 @@ def test_byte_strings(spark, length, gram):
     assert rest.columns == df.columns and rest.count() < len(rows)
 
 
+@pytest.mark.parametrize("length, gram", [(400, 32), (60, 8)])
+def test_hot_anchors_are_split_by_content(spark, length, gram):
+    """Anchors with many different stretches go by their windows' hashes, with the same result."""
+    r = np.random.default_rng(7)
+    some = lambda n: "".join(r.choice(list("abcdefgh "), n))
+    line, passage = some(40), some(450)
+    rows = [(i, some(300) + (line if i % 3 else passage) + some(300)) for i in range(90)] + [(i, passage * 2) for i in range(90, 94)] + [(94, None), (95, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    plain, split = (Counter(map(tuple, suffix_dedup.digest(suffix_dedup.dedup_bytes(df, length=length, gram=gram, hot=h)).collect())) for h in (1 << 15, 3))
+    where = Counter(t[i:i + length] for _, t in rows for i in range(len(t or "") - length + 1))
+    expected = {}
+    for i, t in rows:
+        drop = np.zeros(len(t or ""), bool)
+        for k in range(len(drop) - length + 1):
+            drop[k:k + length] |= where[t[k:k + length]] > 1
+        expected[i] = int(drop.sum())
+    assert split == plain and {x[0]: x[2] for x in split} == expected and sum(expected.values()) > 90 * 30
+
+
 def test_levels_agree_with_one_batch():
     """Merging many small batches finds what sorting all at once finds."""
     import pyarrow as pa
