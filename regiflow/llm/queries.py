@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regiflow.llm import bpe, language_id, lm, neardup, ngram_join, packing, pii, quality, substring, suffix_dedup
+from regiflow.llm import (bpe, language_id, lexical, lm, mixing, neardup, ngram_join, packing, pii, quality, substring, suffix_dedup,
+                          whitening)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -60,7 +61,21 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
+def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(mixing.mix(read(spark, sf_dir, "documents")))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(lexical.build_index(read(spark, sf_dir, "documents")), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_substring_dedup, op3_lm_scoring, op4_quality_rules, op5_embedding_near_dedup,
-    op6_language_id, op7_pii, op8_suffix_array_dedup, op9_bpe_encode_decode, op10_best_fit_packing)}
-ORACLES: dict[str, str] = {"op2_substring_dedup": substring.ORACLE, "op4_quality_rules": quality.oracle()}
+    op6_language_id, op7_pii, op8_suffix_array_dedup, op9_bpe_encode_decode, op10_best_fit_packing,
+    op11_embedding_whitening, op12_source_mixing, op13_lexical_search)}
+ORACLES: dict[str, str] = {"op2_substring_dedup": substring.ORACLE, "op4_quality_rules": quality.oracle(),
+                           "op12_source_mixing": mixing.ORACLE, "op13_lexical_search": lexical.ORACLE}
