@@ -173,7 +173,7 @@ r as (select *, {CAP} * source_size as most, (select sum(size) from d) as total,
 l as (select coalesce(max((total - below)::double / free::double) filter (where (total - below)::double / free::double * weight <= most), 0) as level from r),
 t as (select source, source_size, least(most::double, weight * level) as target, floor(least(most::double, weight * level) + 0.5)::bigint as words from r, l),
 o as (select c.*, coalesce(sum(size) over (partition by source order by md5(concat_ws('|', '{SEED}', coalesce(doc_id::varchar, ''), size, copy)), doc_id
-      rows between unbounded preceding and 1 preceding), 0) as at from c)
+      rows between unbounded preceding and 1 preceding), 0) as pos from c)
 select doc_id, size, source_size, target, case when source_size = 0 then 0 else
-       (words // source_size) * size + greatest(0, least(at + size, words % source_size) - at) end::bigint as taken, o.source
+       (words // source_size) * size + greatest(0, least(pos + size, words % source_size) - pos) end::bigint as taken, o.source
 from o join t on o.source is not distinct from t.source"""
