@@ -22,8 +22,8 @@ from regiflow.operators.control import latest_state
 from regiflow.operators.rules import normalize
 from regiflow.schema import CONTROL_EVENT_SCHEMA, LAYOUTS, TYPED
 from regiflow.sinks.tables import load_table
-from regiflow.sources.archives import CORRUPT, read_zip_paths, spread_archive_rows
-from regiflow.sources.csv import split_quarantine
+from regiflow.sources.archives import read_zip
+from regiflow.sources.csv import CORRUPT, split_quarantine
 from regiflow.sources.listing import inventory
 
 EVENT_COLUMNS = [f.name for f in CONTROL_EVENT_SCHEMA.fields]
@@ -93,8 +93,7 @@ def run_month(spark: SparkSession, raw_root: str, work_root: str, year_month: st
             by_entity.setdefault(r["file_type"], []).append(r["path"])
     for entity, paths in sorted(by_entity.items()):
         # archives are decompressed once: the spread text feeds all writes
-        raw = (spread_archive_rows(read_zip_paths(spark, sorted(paths), entity), len(paths))
-               .persist(StorageLevel.MEMORY_AND_DISK))
+        raw = read_zip(spark, sorted(paths), entity, cores=spark.sparkContext.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK)
         broken = raw.where((F.col("member") == "") & F.col(CORRUPT).isNotNull()).groupBy("source_file").agg(F.min(CORRUPT).alias("why"))
         failed = {r["source_file"]: r["why"] for r in broken.collect()}            # at most the month's archives
         readable = raw.where(~F.col("source_file").isin(list(failed))).drop("member") if failed else raw.drop("member")

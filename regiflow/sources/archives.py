@@ -1,169 +1,225 @@
-"""ZIP archives of registry text (SRC2).
-
-Spark has no ZIP codec, so archives are read by a Python data source: one
-input partition per archive (archives are not splittable; the registry ships
-numbered parts, so parallelism = number of parts), streaming the first member
-through Arrow's CSV reader in executors and yielding Arrow record batches.
-An empty archive yields nothing; records with a wrong field count are kept
-with their raw text in ``_corrupt_record``.
-
-For archives on a Hadoop file system that Python cannot open, use
-:func:`read_zip_binary` (``binaryFile`` + ``mapInArrow``), which has the same
-output but holds each archive's bytes in one row (below 2 GB per archive).
+"""ZIP archives of registry text (SRC2), read and written on any file system.
+
+Reading: the bytes of an archive come as a stream (``byte_stream``); its first member is
+inflated block by block and cut into records, which go on as raw lines.  The lines are
+parsed by the JVM (``lines.parse_lines``), like text files.  A record may be of any
+length, a record with a wrong field count is quarantined by itself, and whatever makes an
+archive unreadable (no archive, damaged or encrypted member, wrong checksum) becomes one row
+with the reason in ``_corrupt_record`` and an empty ``member``, so the others go on.  An
+archive without members, or whose member is empty, yields nothing.
+
+Archives are not splittable: one task inflates one archive (the registry ships numbered
+parts), but the lines can be spread before they are parsed (``spread_archive_rows``).
+
+Writing (``write_archives``): one archive per ``source_file``, its rows deflated in a task
+and written by Spark's text writer, so to any file system.
 """
 
 from __future__ import annotations
 
-import glob as _glob
-import io
-import os
-import zipfile
+import struct
 import zlib
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from regiflow.schema import LAYOUTS
+from regiflow.sources.byte_stream import SEPARATOR, byte_rows, name_of, per_file
+from regiflow.sources.csv import CORRUPT
+from regiflow.sources.lines import parse_lines
 
-CORRUPT = "_corrupt_record"
 UNREADABLE = "not a readable archive"
+ZIP_GLOB = "*.[zZ][iI][pP]"
 BLOCK_BYTES = 1 << 20
-
-
-def _schema_ddl(entity: str) -> str:
-    cols = LAYOUTS[entity] + [CORRUPT, "source_file", "member"]
-    return ", ".join(f"`{c}` string" for c in cols)
-
-
-def iter_batches(fh, entity: str, source: str, member: str, multi_line: bool = False):
-    """Parse one CSV stream into pyarrow RecordBatches (all columns strings)."""
-    import pyarrow as pa
-    import pyarrow.compute as pc
-    import pyarrow.csv as pacsv
-
-    names = LAYOUTS[entity]
-    bad: list[str] = []
-
-    def on_invalid(row):
-        bad.append(row.text)
-        return "skip"
-
-    reader = pacsv.open_csv(
-        fh,
-        read_options=pacsv.ReadOptions(column_names=names, encoding="latin1", block_size=BLOCK_BYTES),
-        parse_options=pacsv.ParseOptions(delimiter=";", quote_char='"', double_quote=True,
-                                         newlines_in_values=multi_line, invalid_row_handler=on_invalid),
-        convert_options=pacsv.ConvertOptions(column_types={c: pa.string() for c in names},
-                                             strings_can_be_null=False, quoted_strings_can_be_null=False))
-    for batch in reader:
-        n = batch.num_rows
-        cols = [batch.column(i) for i in range(len(names))]
-        # Spark's CSV reader reads an empty field as null; do the same here.
-        cols = [pc.if_else(pc.equal(c, ""), pa.scalar(None, pa.string()), c) for c in cols]
-        yield pa.RecordBatch.from_arrays(
-            cols + [pa.nulls(n, pa.string()), pa.array([source] * n, pa.string()), pa.array([member] * n, pa.string())],
-            names=names + [CORRUPT, "source_file", "member"])
-        if bad:
-            yield _bad_batch(bad, names, source, member)
-            bad = []
-    if bad:
-        yield _bad_batch(bad, names, source, member)
-
-
-def read_archive(source, entity: str, name: str, multi_line: bool = False):
-    """Batches of an archive's first member (``source``: path or open file).
-
-    Whatever makes it unreadable (no archive, damaged member, a record beyond the block size)
-    becomes one row with the reason in ``_corrupt_record`` and an empty ``member``, so the other
-    archives of the job go on.  An empty archive or member yields nothing.
-    """
-    import pyarrow as pa
-    try:
-        with zipfile.ZipFile(source) as zf:
-            members = zf.infolist()
-            if members and members[0].file_size:
-                with zf.open(members[0]) as fh:
-                    yield from iter_batches(fh, entity, name, members[0].filename, multi_line)
-    except (zipfile.BadZipFile, zlib.error, EOFError, OSError, NotImplementedError, RuntimeError, pa.ArrowInvalid) as e:
-        why = f"{UNREADABLE}: {name}: {e}" if zipfile.is_zipfile(source) else f"not a zip archive: {name}"
-        yield _bad_batch([why], LAYOUTS[entity], name, "")
-
-
-def _bad_batch(rows: list[str], names: list[str], source: str, member: str):
-    import pyarrow as pa
-    n = len(rows)
-    arrays = [pa.nulls(n, pa.string()) for _ in names]
-    arrays += [pa.array(rows, pa.string()), pa.array([source] * n, pa.string()), pa.array([member] * n, pa.string())]
-    return pa.RecordBatch.from_arrays(arrays, names=names + [CORRUPT, "source_file", "member"])
-
-
-class _ArchivePartition(InputPartition):
-    def __init__(self, path: str):
-        super().__init__(path)
-        self.path = path
-
-
-class _ZipReader(DataSourceReader):
-    def __init__(self, options: dict):
-        self.options = options
-        self.entity = options["entity"]
-        self.multi_line = options.get("multiLine", "false").lower() == "true"
-
-    def partitions(self):
-        if self.options.get("paths"):
-            # Explicit archive list (e.g. the parts of one entity from an inventory).
-            paths = [p for p in self.options["paths"].split("\n") if p]
-            return [_ArchivePartition(p[5:] if p.startswith("file:") else p) for p in paths]
-        pattern = self.options["path"]
-        paths = sorted(_glob.glob(pattern)) if any(ch in pattern for ch in "*?[") else (
-            sorted(os.path.join(pattern, f) for f in os.listdir(pattern)) if os.path.isdir(pattern) else [pattern])
-        return [_ArchivePartition(p) for p in paths if p.lower().endswith(".zip")]
-
-    def read(self, partition):
-        yield from read_archive(partition.path, self.entity, os.path.basename(partition.path), self.multi_line)
-
-
-class ZipCsvDataSource(DataSource):
-    """``spark.read.format("registry_zip").option("entity", "Empresas").load(glob)``."""
-
-    @classmethod
-    def name(cls):
-        return "registry_zip"
-
-    def schema(self):
-        return _schema_ddl(self.options["entity"])
-
-    def reader(self, schema):
-        return _ZipReader(self.options)
-
-
-def register(spark: SparkSession) -> None:
-    spark.dataSource.register(ZipCsvDataSource)
-
-
-def read_zip(spark: SparkSession, path: str, entity: str, multi_line: bool = False) -> DataFrame:
-    """Archives matching ``path`` (glob, folder or file) as raw entity text."""
+LINES = "source_file string, member string, line string, error string"
+
+# Fixed values of the ZIP format: signatures, sizes of fixed parts, flag bits, methods
+LOCAL, CENTRAL, END, DESCRIPTOR = b"PK\x03\x04", b"PK\x01\x02", b"PK\x05\x06", b"PK\x07\x08"
+LOCAL_BYTES, CENTRAL_BYTES, END_BYTES = 30, 46, 22
+ENCRYPTED, SIZES_FOLLOW, UTF8_NAMES = 0x1, 0x8, 0x800
+STORED, DEFLATED = 0, 8
+
+
+class BadArchive(Exception):
+    pass
+
+
+class FirstMember:
+    """The first member of an archive whose bytes are fed in order; ``feed`` yields its plain bytes."""
+
+    def __init__(self):
+        self.name, self.head, self.done, self.empty = "", b"", False, False
+        self.method = self.flags = self.crc = self.left = None
+        self.inflate, self.sum, self.tail = None, 0, b""
+
+    def feed(self, data: bytes):
+        if self.done or not data:
+            return
+        if self.method is None:
+            self.head += data
+            data = self._header()
+            if self.method is None:
+                return
+        if self.method == DEFLATED:
+            while data and not self.inflate.eof:
+                plain = self.inflate.decompress(data, BLOCK_BYTES)
+                data = self.inflate.unconsumed_tail
+                self.sum = zlib.crc32(plain, self.sum)
+                yield plain
+            if self.inflate.eof:
+                self._after((self.inflate.unused_data if not self.tail else b"") + data)
+        else:
+            plain, data = data[:self.left], data[self.left:]
+            self.left -= len(plain)
+            self.sum = zlib.crc32(plain, self.sum)
+            yield plain
+            if not self.left:
+                self._after(data)
+
+    def _header(self) -> bytes:
+        h = self.head
+        if len(h) < 4:
+            return b""
+        if h[:4] == END:
+            self.done = self.empty = True
+            return b""
+        if h[:4] != LOCAL:
+            raise BadArchive("not a zip archive")
+        if len(h) < LOCAL_BYTES:
+            return b""
+        _, flags, method, _, _, crc, packed, _, n, extra = struct.unpack("<HHHHHIIIHH", h[4:LOCAL_BYTES])
+        if len(h) < LOCAL_BYTES + n + extra:
+            return b""
+        self.name = h[LOCAL_BYTES:LOCAL_BYTES + n].decode("utf-8" if flags & UTF8_NAMES else "cp437", "replace")
+        if flags & ENCRYPTED:
+            raise BadArchive("its first member is encrypted")
+        if method not in (STORED, DEFLATED) or method == STORED and flags & SIZES_FOLLOW and packed == 0:
+            raise BadArchive(f"compression method {method} of its first member is not supported")
+        self.method, self.flags, self.crc, self.left = method, flags, crc, packed
+        self.inflate = zlib.decompressobj(-15) if method == DEFLATED else None
+        self.head = b""
+        rest = h[LOCAL_BYTES + n + extra:]
+        if method == STORED and not packed:
+            self._after(rest)
+            return b""
+        return rest
+
+    def _after(self, data: bytes) -> None:
+        """The checksum is in the header, or in a descriptor behind the member."""
+        if self.flags & SIZES_FOLLOW:
+            self.tail += data
+            if len(self.tail) < 8:
+                return
+            at = 4 if self.tail[:4] == DESCRIPTOR else 0
+            self.crc = struct.unpack("<I", self.tail[at:at + 4])[0]
+        self.done = True
+        if self.sum != self.crc:
+            raise BadArchive("its first member's checksum is wrong")
+
+    def close(self) -> None:
+        if not self.done:
+            raise BadArchive("not a zip archive" if self.method is None else "its first member ends too early")
+
+
+class Records:
+    """Cuts bytes into lines, whatever their length; with ``multi_line`` a quoted line break does not end one."""
+
+    def __init__(self, multi_line: bool = False):
+        self.multi_line, self.parts, self.open = multi_line, [], []
+
+    def feed(self, plain: bytes):
+        *whole, rest = plain.split(b"\n")
+        for part in whole:
+            self.parts.append(part)
+            line, self.parts = b"".join(self.parts), []
+            yield from self._line(line)
+        if rest:
+            self.parts.append(rest)
+
+    def _line(self, line: bytes):
+        if self.multi_line:
+            self.open.append(line)
+            if sum(x.count(b'"') for x in self.open) % 2:
+                return
+            line, self.open = b"\n".join(self.open), []
+        line = line.removesuffix(b"\r")
+        if line.strip():
+            yield line
+
+    def close(self):
+        if self.parts:
+            yield from self._line(b"".join(self.parts))
+        if self.open:
+            yield b"\n".join(self.open)
+
+
+class _Lines:
+    """One archive as rows (source_file, member, line, error)."""
+
+    def __init__(self, path: str, multi_line: bool):
+        self.name, self.zip, self.records, self.failed = name_of(path), FirstMember(), Records(multi_line), False
+
+    def _row(self, line: bytes):
+        return (self.name, self.zip.name, line.decode("latin-1"), None), len(line)
+
+    def _error(self, e: Exception):
+        self.failed = True
+        why = f"{e}: {self.name}" if str(e) == "not a zip archive" else f"{UNREADABLE}: {self.name}: {e}"
+        return (self.name, "", None, why), len(why)
+
+    def feed(self, data: bytes):
+        if self.failed or self.zip.done:
+            return
+        try:
+            for plain in self.zip.feed(data):
+                for line in self.records.feed(plain):
+                    yield self._row(line)
+        except (BadArchive, zlib.error) as e:
+            yield self._error(e)
+
+    def close(self):
+        if self.failed:
+            return
+        try:
+            self.zip.close()
+        except BadArchive as e:
+            yield self._error(e)
+            return
+        for line in self.records.close():
+            yield self._row(line)
+
+
+def _lines_batch(rows: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(4)], ["source_file", "member", "line", "error"])
+
+
+def archive_lines(spark: SparkSession, paths: str | list[str], multi_line: bool = False) -> DataFrame:
+    """(source_file, member, line, error) of the archives' first members, in one task an archive."""
+    return byte_rows(spark, paths, None if isinstance(paths, list) else ZIP_GLOB).mapInArrow(
+        lambda batches: per_file(batches, lambda p: _Lines(p, multi_line), _lines_batch), LINES)
+
+
+def parsed(lines: DataFrame, entity: str) -> DataFrame:
+    """Archive lines as entity columns, ``_corrupt_record``, ``source_file`` and ``member``; errors as corrupt records."""
+    out = parse_lines(lines, entity, keep=("source_file", "member", "error"))
+    return out.withColumn(CORRUPT, F.coalesce("error", CORRUPT)).select(*LAYOUTS[entity], CORRUPT, "source_file", "member")
+
+
+def read_zip(spark: SparkSession, paths: str | list[str], entity: str, multi_line: bool = False, cores: int | None = None) -> DataFrame:
+    """Archives (globs, folders or files) as raw entity text; ``cores``: lines are spread over so many before parsing."""
     if entity not in LAYOUTS:
         raise ValueError(f"unknown entity {entity!r}")
-    register(spark)
-    return (spark.read.format("registry_zip").option("entity", entity)
-            .option("multiLine", str(multi_line).lower()).load(path))
-
-
-def read_zip_paths(spark: SparkSession, paths: list[str], entity: str, multi_line: bool = False) -> DataFrame:
-    """The given archives (one input partition each) as raw entity text."""
-    if entity not in LAYOUTS:
-        raise ValueError(f"unknown entity {entity!r}")
-    register(spark)
-    return (spark.read.format("registry_zip").option("entity", entity).option("paths", "\n".join(paths))
-            .option("multiLine", str(multi_line).lower()).load())
+    lines = archive_lines(spark, paths, multi_line)
+    if cores:
+        lines = spread_archive_rows(lines, len(paths) if isinstance(paths, list) else 1, cores)
+    return parsed(lines, entity)
 
 
 def spread_archive_rows(df: DataFrame, archives: int, cores: int | None = None) -> DataFrame:
     """Redistribute archive rows over the cluster's cores.
 
-    An archive is one input partition, so the regex cleaning and the Parquet
+    An archive is one input partition, so parsing, the regex cleaning and the Parquet
     write after the read would run with as many tasks as archives (ten parts
     of an entity -> ten tasks on a thousand executors).  Rows are hashed into
     ``cores // archives`` buckets per archive and shuffled on
@@ -180,43 +236,119 @@ def spread_archive_rows(df: DataFrame, archives: int, cores: int | None = None)
     return df.repartition(archives * per_archive, F.col("source_file"), bucket)
 
 
-def read_zip_binary(spark: SparkSession, path: str, entity: str, multi_line: bool = False) -> DataFrame:
-    """Same output as :func:`read_zip` for archives on any Hadoop file system."""
-    schema = _schema_ddl(entity)
-
-    def unpack(batches):
-        for b in batches:
-            for p, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
-                name = p.rsplit("/", 1)[-1]
-                yield from read_archive(io.BytesIO(content), entity, name, multi_line)
-
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.[zZ][iI][pP]").load(path)
-             .select("path", "content"))
-    return files.mapInArrow(unpack, schema)
-
-
-def archive_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """Archive health per file: members, first member, empty / corrupt flags (DQ6)."""
-
-    def inspect(batches):
-        import pyarrow as pa
-        for b in batches:
-            out = {"file_name": [], "members": [], "first_member": [], "status": []}
-            for p, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
-                out["file_name"].append(p.rsplit("/", 1)[-1])
-                try:
-                    with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                        names = zf.namelist()
-                    out["members"].append(len(names))
-                    out["first_member"].append(names[0] if names else None)
-                    out["status"].append("empty" if not names else ("multiple_members" if len(names) > 1 else "ok"))
-                except zipfile.BadZipFile:
-                    out["members"].append(None)
-                    out["first_member"].append(None)
-                    out["status"].append("corrupt")
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([
-                ("file_name", pa.string()), ("members", pa.int64()), ("first_member", pa.string()),
-                ("status", pa.string())]))
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[zZ][iI][pP]").load(path).select("path", "content")
-    return files.mapInArrow(inspect, "file_name string, members long, first_member string, status string")
+# ---------------------------------------------------------------- inventory
+
+class _Directory:
+    """Number and first name of an archive's members, from the directory at its end."""
+
+    KEEP = 1 << 20
+
+    def __init__(self, path: str):
+        self.name, self.tail = name_of(path), b""
+
+    def feed(self, data: bytes):
+        self.tail = (self.tail + data)[-self.KEEP:]
+        return iter(())
+
+    def close(self):
+        at = self.tail.rfind(END)
+        if at < 0 or len(self.tail) - at < END_BYTES:
+            yield (self.name, None, None, "corrupt"), 0
+            return
+        n, size = struct.unpack("<HI", self.tail[at + 10:at + 16])
+        begin, first = at - size, None
+        if n and begin >= 0 and self.tail[begin:begin + 4] == CENTRAL:
+            k, = struct.unpack("<H", self.tail[begin + 28:begin + 30])
+            first = self.tail[begin + CENTRAL_BYTES:begin + CENTRAL_BYTES + k].decode("utf-8", "replace")
+        damaged = n and begin >= 0 and first is None
+        yield (self.name, None if damaged else n, first, "corrupt" if damaged else "empty" if not n else "multiple_members" if n > 1 else "ok"), 0
+
+
+def archive_inventory(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Archive health per file: members, first member, empty / corrupt flags (DQ6); a task keeps the last megabyte of a file."""
+    def to_batch(rows):
+        kinds = (pa.string(), pa.int64(), pa.string(), pa.string())
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], ["file_name", "members", "first_member", "status"])
+
+    rows = byte_rows(spark, path, None if isinstance(path, list) else ZIP_GLOB)
+    return rows.mapInArrow(lambda b: per_file(b, _Directory, to_batch), "file_name string, members long, first_member string, status string")
+
+
+# ---------------------------------------------------------------- writing
+
+class _Zip:
+    """The bytes of an archive with one deflated member, fed in pieces.
+
+    Its comment is the separator that the text writer puts behind the last row.
+    """
+
+    def __init__(self, member: str):
+        self.member, self.deflate = member.encode(), zlib.compressobj(6, zlib.DEFLATED, -15)
+        self.sum = self.plain = self.packed = 0
+
+    def start(self) -> bytes:
+        return LOCAL + struct.pack("<HHHHHIIIHH", 20, SIZES_FOLLOW | UTF8_NAMES, DEFLATED, 0, 0x21, 0, 0, 0, len(self.member), 0) + self.member
+
+    def feed(self, plain: bytes) -> bytes:
+        self.sum, self.plain = zlib.crc32(plain, self.sum), self.plain + len(plain)
+        out = self.deflate.compress(plain)
+        self.packed += len(out)
+        return out
+
+    def end(self) -> bytes:
+        last = self.deflate.flush()
+        self.packed += len(last)
+        if max(self.plain, self.packed) >= 0xFFFFFFFF:
+            raise ValueError("a member of 4 GB and more: write more parts")
+        begin = LOCAL_BYTES + len(self.member)
+        sizes = struct.pack("<III", self.sum, self.packed, self.plain)
+        central = CENTRAL + struct.pack("<HHHHHH", 20, 20, SIZES_FOLLOW | UTF8_NAMES, DEFLATED, 0, 0x21) + sizes + struct.pack(
+            "<HHHHHII", len(self.member), 0, 0, 0, 0, 0, 0) + self.member
+        return last + DESCRIPTOR + sizes + central + END + struct.pack("<HHHHIIH", 0, 0, 1, 1, len(central), begin + self.packed + 16, len(SEPARATOR))
+
+
+def _packed(batches):
+    """Sorted (source_file, line) rows -> rows of archive bytes between separators."""
+    name, archive, held, pos = None, None, b"", 0
+    out: list[tuple[str, int, bytes]] = []
+
+    def cut(data: bytes, last: bool):
+        nonlocal held, pos
+        *rows, held = (held + data).split(SEPARATOR.encode())
+        if last:
+            rows, held = [*rows, held], b""
+        elif held.endswith(SEPARATOR[0].encode()):
+            pass                                            # a separator may begin here: kept with the rest
+        for row in rows:
+            out.append((name, pos, row))
+            pos += 1
+
+    def batch():
+        rows, out[:] = list(out), []
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()),
+                                           pa.array([r[2] for r in rows], pa.binary())], ["source_file", "pos", "bytes"])
+
+    for b in batches:
+        for file, line in zip(b.column("source_file").to_pylist(), b.column("line").to_pylist()):
+            if file != name:
+                if archive is not None:
+                    cut(archive.end(), True)
+                name, archive, pos = file, _Zip(file.rsplit(".", 1)[0] + ".CSV"), 0
+                cut(archive.start(), False)
+            cut(archive.feed(line.encode("latin-1", "replace") + b"\n"), False)
+        if out:
+            yield batch()
+    if archive is not None:
+        cut(archive.end(), True)
+        yield batch()
+
+
+def write_archives(lines: DataFrame, folder: str) -> None:
+    """(source_file, line) as ZIP archives ``folder/source_file=<name>/part-*``, readable by any ZIP program.
+
+    A part is one task's work.  Characters beyond ISO-8859-1 become ``?``.
+    """
+    dealt = lines.select("source_file", "line").repartition("source_file").sortWithinPartitions("source_file", "line")
+    rows = dealt.mapInArrow(_packed, "source_file string, pos long, bytes binary").sortWithinPartitions("source_file", "pos")
+    (rows.select("source_file", F.col("bytes").cast("string").alias("value")).write.mode("overwrite")
+     .option("lineSep", SEPARATOR).partitionBy("source_file").text(folder))

@@ -4,8 +4,8 @@
   last_modified)`` from Spark's ``binaryFile`` source with the content column
   pruned, so listing reads no file bytes.
 * ``with_content_hash``: SHA-256 of each file (``sha2`` on the content,
-  files below 2 GB); ``hash_files_streaming`` hashes files of any size in
-  64 KB blocks inside executors.
+  files below 2 GB); ``hash_files_streaming`` hashes files of any size as
+  streams inside executors.
 * ``webdav_listing``: a saved WebDAV multistatus response parsed with the XML
   source into ``(name, is_dir, size, etag)``.
 * ``parquet_row_counts``: rows per Parquet file of a folder.
@@ -21,9 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiflow.functions.text import last_component, strip_quotes
-
-HASH_BLOCK = 64 * 1024
-
+from regiflow.sources.byte_stream import file_hashes
 
 def _key(path_col, root: str):
     root = root.rstrip("/")
@@ -58,33 +56,15 @@ def with_content_hash(spark: SparkSession, root: str, glob: str | None = None) -
 
 
 def hash_files_streaming(files: DataFrame, path_col: str = "path") -> DataFrame:
-    """SHA-256 of files of any size, read in 64 KB blocks in executors.
+    """SHA-256 of files of any size, read as streams from any file system.
 
-    ``files`` holds local or mounted paths (``file:`` URIs are accepted); the
-    work is spread over the DataFrame's partitions, one file at a time per task.
+    The paths, file metadata of one inventory, go to the reader as a list.
     """
-
-    def run(batches):
-        import hashlib
-
-        import pyarrow as pa
-        for b in batches:
-            paths = b.column(path_col).to_pylist()
-            out = []
-            for p in paths:
-                local = p[5:] if p and p.startswith("file:") else p
-                h = hashlib.sha256()
-                try:
-                    with open(local, "rb") as fh:
-                        for block in iter(lambda: fh.read(HASH_BLOCK), b""):
-                            h.update(block)
-                    out.append(h.hexdigest())
-                except OSError:
-                    out.append(None)
-            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(out, pa.string())],
-                                             names=[path_col, "content_hash"])
-
-    return files.select(path_col).mapInArrow(run, f"{path_col} string, content_hash string")
+    paths = [r[0] for r in files.select(path_col).distinct().collect()]
+    spark = files.sparkSession
+    if not paths:
+        return spark.createDataFrame([], f"{path_col} string, content_hash string")
+    return file_hashes(spark, paths).withColumnRenamed("path", path_col)
 
 
 # Elements of a multistatus reply, whatever prefix the server binds to the DAV namespace.

@@ -64,9 +64,8 @@ def test_zip_source(spark, tmp_path):
     assert len(bad) == 3 and "not a zip archive: Empresas3.zip" in bad
     # only the first member is read
     assert good.where(F.col("cnpj_basico") == "999").count() == 0
-    assert df.rdd.getNumPartitions() == 4  # one input partition per archive
-    # same result through binaryFile + mapInArrow
-    alt = archives.read_zip_binary(spark, str(d), "Empresas")
+    # same result for the folder, and with the lines spread before parsing
+    alt = archives.read_zip(spark, str(d), "Empresas", cores=8)
     assert alt.where(F.col("_corrupt_record").isNull()).count() == good.count()
     inv = {r["file_name"]: r["status"] for r in archives.archive_inventory(spark, str(d)).collect()}
     assert inv == {"Empresas0.zip": "ok", "Empresas1.zip": "multiple_members", "Empresas2.zip": "empty",
@@ -149,8 +148,8 @@ def test_spread_archive_rows(spark, tmp_path):
     write_zip(str(d / "Empresas0.zip"), {"a.csv": lines[:90]})
     write_zip(str(d / "Empresas1.zip"), {"b.csv": lines[90:]})
     paths = [str(d / "Empresas0.zip"), str(d / "Empresas1.zip")]
-    raw = archives.read_zip_paths(spark, paths, "Empresas").drop("member")
-    assert raw.rdd.getNumPartitions() == 2                       # one task per archive
+    raw = archives.read_zip(spark, paths, "Empresas").drop("member")
+    assert raw.select("source_file", F.spark_partition_id()).distinct().count() == 2      # an archive is one task's work
     spread = archives.spread_archive_rows(raw, len(paths), cores=8)
     placed = spread.select("source_file", "cnpj_basico", "razao_social", F.spark_partition_id().alias("p"))
     first = sorted(map(tuple, placed.collect()), key=str)
@@ -161,3 +160,69 @@ def test_spread_archive_rows(spark, tmp_path):
     assert sorted(map(tuple, placed.collect()), key=str) == first
     # one archive on one core: nothing to spread, no shuffle
     assert archives.spread_archive_rows(raw, 1, cores=1) is raw
+
+
+def test_records_of_any_length_and_damage(spark, tmp_path):
+    """A record of 3 MB, short and long records, quoted line breaks, stored members, damage."""
+    import zipfile
+    huge = f'9000001;{"PK" * 1_500_000};1;1;1,0;01;'
+    lines = [f"{i};N{i};1;1;1,0;01;" for i in range(2000)]
+    write_zip(str(tmp_path / "Empresas0.zip"), {"a.csv": [*lines[:1000], huge, DIRTY_LINES[-1], *lines[1000:]]})
+    with zipfile.ZipFile(str(tmp_path / "Empresas1.zip"), "w", zipfile.ZIP_STORED) as z:
+        z.writestr("s.csv", "\r\n".join([*lines[:10], '11;"two\nlines";1;1;1,0;01;', "", "  "]))
+    whole = (tmp_path / "Empresas0.zip").read_bytes()
+    (tmp_path / "Empresas2.zip").write_bytes(whole[:len(whole) // 2])
+    broken = bytearray(whole)
+    broken[len(whole) // 3] ^= 0x40
+    (tmp_path / "Empresas3.zip").write_bytes(bytes(broken))
+    df = archives.read_zip(spark, str(tmp_path), "Empresas", multi_line=True)
+    got = df.groupBy("source_file", F.col("_corrupt_record").isNull().alias("ok"), (F.col("member") == "").alias("bad")).count().collect()
+    n = {(r["source_file"], r["ok"], r["bad"]): r["count"] for r in got}
+    assert n[("Empresas0.zip", True, False)] == 2001 and n[("Empresas0.zip", False, False)] == 1
+    assert n[("Empresas1.zip", True, False)] == 11
+    assert n[("Empresas2.zip", False, True)] == 1 and n[("Empresas3.zip", False, True)] == 1
+    long = df.where("source_file = 'Empresas0.zip' and cnpj_basico = '9000001'").select(F.length("razao_social")).first()[0]
+    assert long == 3_000_000
+    assert df.where("source_file = 'Empresas1.zip' and cnpj_basico = '11'").first()["razao_social"] == "two\nlines"
+    # many splits of a file come back in order
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        again = archives.read_zip(spark, str(tmp_path / "Empresas0.zip"), "Empresas")
+        assert again.where(F.col("_corrupt_record").isNull()).count() == 2001
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_archives_through_a_path_that_python_cannot_open(spark, tmp_path):
+    write_zip(str(tmp_path / "in" / "Empresas0.zip"), {"a.csv": csv_lines(spark, SF_SMALL)[:30]})
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.reg.link./in", f"file://{tmp_path}/in")
+    far = archives.read_zip(spark, "viewfs://reg/in", "Empresas")
+    near = archives.read_zip(spark, str(tmp_path / "in"), "Empresas")
+    assert sorted(map(str, far.collect())) == sorted(map(str, near.collect())) and far.count() == 30
+    hashed = listing.hash_files_streaming(listing.inventory(spark, "viewfs://reg/in")).collect()
+    import hashlib
+    assert [r.content_hash for r in hashed] == [hashlib.sha256((tmp_path / "in" / "Empresas0.zip").read_bytes()).hexdigest()]
+
+
+def test_hash_of_awkward_files(spark, tmp_path):
+    import hashlib
+    files = {"a": b"PKPK", "b": b"xPK", "c": b"\xef\xbb\xbfBOM PK", "d": b"P" * 10, "e": b"PK", "f": os.urandom(300_000)}
+    for k, v in files.items():
+        (tmp_path / k).write_bytes(v)
+    got = {r.path[-1]: r.content_hash for r in listing.hash_files_streaming(listing.inventory(spark, str(tmp_path))).collect()}
+    assert got == {k: hashlib.sha256(v).hexdigest() for k, v in files.items()}
+
+
+def test_written_archives_are_archives(spark, tmp_path):
+    import glob
+    import zipfile
+    lines = spark.range(5000).select(F.concat(F.lit("Empresas"), F.col("id") % 3, F.lit(".zip")).alias("source_file"),
+                                     F.concat_ws(";", F.col("id"), F.lit("PKé PK"), F.lit("1;1;1,0;01;")).alias("line"))
+    archives.write_archives(lines, str(tmp_path / "out"))
+    files = glob.glob(f"{tmp_path}/out/source_file=*/part-*")
+    assert len(files) == 3
+    with zipfile.ZipFile(files[0]) as z:
+        assert z.testzip() is None and len(z.read(z.namelist()[0]).splitlines()) in (1666, 1667)
+    back = archives.parsed(archives.archive_lines(spark, files), "Empresas")
+    assert back.where(F.col("_corrupt_record").isNull()).count() == 5000
+    assert back.select("source_file").distinct().count() == 3 and back.first()["razao_social"] == "PKé PK"
