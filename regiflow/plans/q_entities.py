@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 from regiflow.functions import text as TX
 from regiflow.operators import registry
 from regiflow.operators.casting import rejects
-from regiflow.operators.rules import normalize
 from regiflow.plans import oracle as O
 from regiflow.plans import silver
 from regiflow.plans import standins as S
@@ -20,7 +19,6 @@ from regiflow.sources.tables import table
 SEARCH_TERM = "er#0000000"
 PAGE_LIMIT, PAGE_OFFSET = 20, 40
 LOOKUP_KEY = "00000042"
-PARTS = 10
 
 # --- entity rules -----------------------------------------------------------
 
@@ -157,14 +155,6 @@ def lookup_enrich(spark, sf):
                                  S.lookup_regions(spark, sf))
 
 
-@register("multi_part_union", O.companies_sql(), "SET5 multi-part union")
-def multi_part_union(spark, sf):
-    # all parts in one frame: cleaning is per row, so part files need one read and no union
-    raw = S.raw_companies(spark, sf)
-    parts = raw.withColumn("source_file", F.concat(F.lit("Empresas"), F.pmod(F.xxhash64("cnpj_basico"), F.lit(PARTS)).cast("string")))
-    return normalize(parts, "Empresas").drop("source_file")
-
-
 @register("content_hash", "SELECT doc_id, sha256(text) AS content_sha256, n_chars FROM documents", "HSH1")
 def content_hash(spark, sf):
     d = table(spark, sf, "documents")

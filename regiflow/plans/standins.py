@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiflow.functions.text import parquet_name
+from regiflow.schema import LAYOUTS
 from regiflow.sources.tables import table
 
 NBSP, TAB = "\u00a0", "\t"
@@ -33,8 +34,7 @@ SIZE_BY_SEGMENT = {"AUTOMOBILE": "01", "BUILDING": "03", "FURNITURE": "05", "HOU
 SITUATION_BY_STATUS = {"F": "08", "O": "02", "P": "04"}
 # Columns of the raw stand-in frames.
 RAW_COLUMNS = {
-    "Empresas": ["cnpj_basico", "razao_social", "natureza_juridica", "qualificacao_responsavel",
-                 "capital_social", "porte_empresa", "ente_federativo_responsavel"],
+    "Empresas": LAYOUTS["Empresas"],
     "Estabelecimentos": ["cnpj_basico", "cnpj_ordem", "cnpj_dv", "identificador_matriz_filial",
                          "nome_fantasia", "situacao_cadastral", "data_situacao_cadastral",
                          "data_inicio_atividade", "cnae_fiscal_principal", "cnae_fiscal_secundaria",
@@ -72,7 +72,7 @@ def _ymd(ts: Column) -> Column:
 # ---------------------------------------------------------------------------
 
 
-def raw_companies(spark: SparkSession, sf: str) -> DataFrame:
+def raw_companies(spark: SparkSession, sf: str, *extra: Column) -> DataFrame:
     """Raw Empresas text from ``customer``."""
     k = F.col("c_custkey")
     money = F.replace(_s(F.col("c_acctbal").cast("decimal(15,2)")), F.lit("."), F.lit(","))
@@ -91,10 +91,10 @@ def raw_companies(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(money).alias("capital_social"),
         F.when(k % 31 == 0, F.lit("")).otherwise(_case(F.col("c_mktsegment"), SIZE_BY_SEGMENT)).alias("porte_empresa"),
         F.when(k % 97 == 0, F.lit("UNIAO")).otherwise(F.lit("")).alias("ente_federativo_responsavel"),
-    )
+        *extra)
 
 
-def raw_establishments(spark: SparkSession, sf: str) -> DataFrame:
+def raw_establishments(spark: SparkSession, sf: str, *extra: Column) -> DataFrame:
     """Raw Estabelecimentos text from ``orders``; urgent orders are head offices."""
     k = F.col("o_orderkey")
     d = F.col("o_orderdate")
@@ -115,10 +115,10 @@ def raw_establishments(spark: SparkSession, sf: str) -> DataFrame:
         F.when(k % 2 == 0, F.lit("SP")).otherwise(F.lit("RJ")).alias("uf"),
         _s(F.col("o_custkey") % 5000).alias("municipio"),
         F.when(k % 3 == 0, F.lit("")).otherwise(_ymd(d)).alias("data_situacao_especial"),
-    )
+        *extra)
 
 
-def raw_partners(spark: SparkSession, sf: str) -> DataFrame:
+def raw_partners(spark: SparkSession, sf: str, *extra: Column) -> DataFrame:
     """Raw Socios text from ``lineitem``."""
     n = F.col("l_linenumber")
     return table(spark, sf, "lineitem").select(
@@ -129,10 +129,10 @@ def raw_partners(spark: SparkSession, sf: str) -> DataFrame:
         _s(n + 10).alias("qualificacao_socio"),
         F.when(F.col("l_orderkey") % 9 == 0, F.lit("00/00/0000")).otherwise(_ymd(F.col("l_shipdate"))).alias("data_entrada_sociedade"),
         _s(n).alias("faixa_etaria"),
-    )
+        *extra)
 
 
-def raw_simples(spark: SparkSession, sf: str) -> DataFrame:
+def raw_simples(spark: SparkSession, sf: str, *extra: Column) -> DataFrame:
     """Raw Simples text: customers without debt have an option on file."""
     k = F.col("c_custkey")
     return table(spark, sf, "customer").where(F.col("c_acctbal") >= 0).select(
@@ -145,7 +145,7 @@ def raw_simples(spark: SparkSession, sf: str) -> DataFrame:
         F.when(k % 7 == 0, F.lit("S")).otherwise(F.lit("N")).alias("opcao_mei"),
         F.when(k % 7 == 0, F.lit("20090701")).otherwise(F.lit("")).alias("data_opcao_mei"),
         F.lit("00000000").alias("data_exclusao_mei"),
-    )
+        *extra)
 
 
 def lookup_naturezas(spark: SparkSession, sf: str) -> DataFrame:

@@ -42,7 +42,9 @@ def read_entity(spark: SparkSession, paths: str | list[str], entity: str, multi_
         reader = reader.option(k, v)
     df = reader.csv(paths)
     if with_source:
-        df = df.withColumn("source_file", F.col("_metadata.file_name"))
+        # a part that Spark wrote into a ``source_file=`` folder is named by the folder
+        folder = F.regexp_extract("_metadata.file_path", r"/source_file=([^/]+)/[^/]*$", 1)
+        df = df.withColumn("source_file", F.when(folder != "", folder).otherwise(F.col("_metadata.file_name")))
     return df
 
 
