@@ -35,5 +35,5 @@ def parse_lines(lines: DataFrame, entity: str, column: str = "line", keep: tuple
     schema = raw_schema(entity).add(T.StructField(CORRUPT, T.StringType(), True))
     options = {k: v for k, v in csv_options().items() if k not in ("encoding", "header", "multiLine")}
     record = F.from_csv(F.col(column), schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options)
-    out = lines.select(*keep, record.alias("_r"))
-    return out.select(*[F.col("_r")[c].alias(c) for c in LAYOUTS[entity]], F.col("_r")[CORRUPT].alias(CORRUPT), *keep)
+    # generated, not projected: a filter on the parsed fields would otherwise be pushed below and parse once per field
+    return lines.select(*keep, F.inline(F.array(record))).select(*LAYOUTS[entity], CORRUPT, *keep)
