@@ -45,8 +45,8 @@ SHARD = 4 << 20             # bytes of text in a shard, about
 SLICE = 4 << 20             # bytes of text cut into terms at a time
 STRATA = 1 << 20            # rows of the table of strata that are broadcast, at most; beyond, Spark joins as it sees fit
 QUERY_TERMS = 1 << 16       # terms of the queries that one job looks for, at most (but one query is never cut)
-TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 TABLE = bytes((c + 32 if 65 <= c <= 90 else c) if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
+IS_TERM = np.array([c >= 128 or chr(c).isalnum() for c in range(256)])
 ONE = 1_000_000_000
 
 
@@ -129,13 +129,37 @@ def _shard(table: pa.Table) -> pa.Table:
                      **{k: pa.array([np.asarray(a, ARRAYS[k]).tobytes()], pa.binary()) for k, a in arrays.items()}})
 
 
+def term_counts(column) -> np.ndarray:
+    """Number of terms, with repeats, of each text."""
+    data, at = B.text_bytes(column)
+    out = []
+    for i, j in B.groups_of(at, B.CHUNK):
+        part, ends = data[at[i]:at[j]], at[i:j + 1] - at[i]
+        inside = IS_TERM[part]
+        begins = inside.copy()
+        begins[1:] &= ~inside[:-1]
+        first = ends[:-1][ends[:-1] < ends[1:]]                # a text's first byte begins a term, whatever ends the one before
+        begins[first] = inside[first]
+        total = np.concatenate(([0], np.cumsum(begins)))
+        out.append(total[ends[1:]] - total[ends[:-1]])
+    return np.concatenate(out) if out else np.zeros(0, np.int64)
+
+
+def _with_counts(keep: list[str]):
+    def run(batches):
+        for batch in batches:
+            n = pa.array(term_counts(pa.chunked_array([batch.column("text")])), pa.int64())
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], n], [*keep, "n"])
+    return run
+
+
 def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Index:
     """The index of all documents with a term, written below the shared checkpoint folder."""
-    n = F.regexp_count(F.col(f"`{text}`"), F.lit(TERM)).cast("long")
-    rows = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"), n.alias("n")).where("n > 0")
-    lengths = saved_table(rows.groupBy("n").agg(F.count("*").alias("docs"), F.sum(F.octet_length("text").cast("long") + 64).alias("bytes")))
-    n_docs, n_terms = lengths.agg(F.sum("docs"), F.sum(F.col("n") * F.col("docs"))).first()
+    rows = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
+    sizes = rows.select("text", (F.octet_length("text").cast("long") + 64).alias("bytes")).mapInArrow(_with_counts(["bytes"]), "bytes long, n long")
+    lengths = saved_table(sizes.where("n > 0").groupBy("n").agg(F.count("*").alias("docs"), F.sum("bytes").alias("bytes")))
+    n_docs, n_terms = lengths.agg(F.sum("docs"), F.sum(F.col("n") * F.col("docs"))).first()
     schema = f"shard long, ids array<{kind}>, terms array<binary>, counts array<long>, {INDEX}"
     if not n_docs:
         return Index(docs.sparkSession.createDataFrame([], schema), 0, 0)
@@ -146,6 +170,7 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     strata = strata.select("m", "bytes", below.alias("below"))
     place = F.col("below") + F.pmod(F.xxhash64("id", "text"), F.col("bytes"))
     strata = F.broadcast(strata) if lengths.count() <= STRATA else strata
+    rows = rows.mapInArrow(_with_counts(["id", "text"]), f"id {kind}, text string, n long").where("n > 0")
     dealt = rows.withColumn("m", m).join(strata, "m").select("id", "text", "m", (F.floor(place / SHARD)).alias("shard"))
     return Index(saved_table(dealt.groupBy("shard").applyInArrow(_shard, schema)), n_docs, n_terms)
 
