@@ -31,7 +31,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regiflow.llm import blocks as B
@@ -96,7 +96,8 @@ class Anchors:
         first, last, place = starts[head], starts[np.append(head[1:], len(starts)) - 1], own[head]
         whole = roll.spans(first, last + length)
         digest = B.mix(whole + B.mix(((place - first) * 1024 + (last - first)).astype(_U) + _U(1)))
-        return h[place], first + base, last + base, place + base, digest
+        # the least hashes of many are small numbers: mixed again, they spread over the key ranges
+        return B.mix(h[place]), first + base, last + base, place + base, digest
 
 
     def starts(self, run: np.ndarray) -> np.ndarray:
@@ -382,12 +383,15 @@ def dedup_bytes(docs: DataFrame, text: str = "text", length: int = LENGTH, gram:
     return B.unpacked(out, docs, text)
 
 
+def _rest() -> Column:
+    rest = F.col("kept").cast("string")
+    return F.when(F.is_valid_utf8(rest), rest).otherwise(F.regexp_replace(F.make_valid_utf8(rest), "\ufffd", ""))
+
+
 def rest_as_text(found: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the remaining bytes as text (a character cut in two is dropped); documents of
     which no word remains are dropped, unless they had none."""
-    rest = F.col("kept").cast("string")
-    rest = F.when(F.is_valid_utf8(rest), rest).otherwise(F.regexp_replace(F.make_valid_utf8(rest), "\ufffd", ""))
-    left = found.withColumn(text, rest).where((F.col("n_removed") == 0) | F.col(text).rlike(r"[^\x20\x09-\x0D]"))
+    left = found.withColumn(text, _rest()).where((F.col("n_removed") == 0) | F.col(text).rlike(r"[^\x20\x09-\x0D]"))
     return left.select(docs.columns)
 
 
@@ -399,4 +403,5 @@ def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
 
 
 def digest(found: DataFrame) -> DataFrame:
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    """The result's figures; ``text``: what remains, without characters that were cut in two."""
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), _rest().alias("text"))

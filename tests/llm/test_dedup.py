@@ -90,7 +90,7 @@ def test_byte_strings(spark, length, gram):
         gone = np.cumsum(step)[:-1] > 0
         kept = bytes(np.frombuffer(b, np.uint8)[~gone])
         spans = int((np.diff(np.concatenate(([0], gone.astype(int)))) == 1).sum())
-        expected[r.doc_id, len(b), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()] += 1
+        expected[r.doc_id, len(b), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept.decode(errors="ignore")] += 1
     found = suffix_dedup.dedup_bytes(df, length=length, gram=gram)
     assert Counter(map(tuple, suffix_dedup.digest(found).collect())) == expected
     rest = suffix_dedup.rest_as_text(found, df)
@@ -174,3 +174,16 @@ def test_empty_tables(spark):
     assert substring.dedup_substrings(none).collect() == []
     assert suffix_dedup.dedup_bytes(none).collect() == []
     assert neardup.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).collect() == []
+
+
+def test_anchors_spread_over_key_ranges(spark):
+    """Anchors are least hashes; dealt by equal cuts of the key space they must still be even."""
+    import numpy as np
+    from regiflow.llm import blocks as B
+    from regiflow.llm.suffix_dedup import GRAM, LENGTH, Anchors
+    rng = np.random.default_rng(3)
+    import pyarrow as pa
+    column = pa.chunked_array([pa.array([" ".join(map(str, rng.integers(0, 10 ** 6, 3000))) for _ in range(40)])])
+    keys = np.unique(Anchors(column, LENGTH, GRAM).key)
+    share = np.diff(B.cuts(keys, 16)) / len(keys)
+    assert len(keys) > 2000 and share.max() < 3 / 16
