@@ -18,6 +18,8 @@ from regiflow.llm import ngram_join, packing, pii, quality, suffix_dedup
 from regiflow.llm.graph import saved_table
 from regiflow.llm.queries import read, tokenizer_path
 
+PASSAGE_BYTES = 250     # passages of over 50 words have 270 bytes and more; operator 8's own 400 would miss most of them
+
 
 def _counted(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
@@ -34,8 +36,8 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: byte strings that occur more than once go from the texts."""
-    return _counted(suffix_dedup.rest_as_text(suffix_dedup.dedup_bytes(docs), docs))
+    """Operator 8: byte strings of ``PASSAGE_BYTES`` that occur more than once go from the texts."""
+    return _counted(suffix_dedup.rest_as_text(suffix_dedup.dedup_bytes(docs, length=PASSAGE_BYTES), docs))
 
 
 def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
