@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from regiflow.functions.numbers import to_gb, to_mb
 from regiflow.functions.text import file_type, is_mapped, object_key, parquet_name, table_name
-from regiflow.schema import DOWNLOADED_OR_LATER, TABLES, TRANSFORMED_OR_LATER
+from regiflow.schema import DOWNLOADED_OR_LATER, TRANSFORMED_OR_LATER
 
 # A file is known by its month and name: the same names are shipped every month.
 FILE_KEY = ["year_month", "parquet_name"]
@@ -192,10 +192,8 @@ def load_status(current: DataFrame, stats: DataFrame, counts: DataFrame) -> Data
         "year_month", parquet_name(F.col("file_name")).alias("file_name"))
     recs = recs.withColumn("table_name", table_name(F.col("file_name")))
     st = stats.select("year_month", F.col("parquet_file").alias("file_name"), "row_count")
-    # ten mapped tables: a fixed bound, broadcast; unmapped names are unbounded and joined apart
-    recs, known = recs.join(st, ["year_month", "file_name"], "left"), F.col("table_name").isin(list(TABLES.values()))
-    j = recs.where(known).join(F.broadcast(counts.where(known)), "table_name", "left").unionByName(
-        recs.where(~known).join(counts.where(~known), "table_name", "left"))
+    # one join to the counts: they are few, so adaptive execution broadcasts them, and splits a hot table if not
+    j = recs.join(st, ["year_month", "file_name"], "left").join(counts, "table_name", "left")
     return j.select("year_month", "file_name", "table_name", F.col("row_count").alias("parquet_rows"), "db_rows",
                     F.when(F.col("db_rows") > 0, "loaded").otherwise("pending").alias("status"))
 

@@ -22,6 +22,7 @@ from regiflow.operators.control import latest_state
 from regiflow.operators.rules import normalize
 from regiflow.schema import CONTROL_EVENT_SCHEMA, LAYOUTS, TYPED
 from regiflow.sinks.tables import load_table
+from regiflow.sinks.transaction import Run
 from regiflow.sources.archives import read_zip
 from regiflow.sources.csv import CORRUPT, split_quarantine
 from regiflow.sources.listing import inventory
@@ -52,14 +53,31 @@ def current_state(spark: SparkSession, log_path: str) -> DataFrame:
 
 
 def run_month(spark: SparkSession, raw_root: str, work_root: str, year_month: str,
-              load_mode: str = "append", first_only: bool = False, log: str | None = None) -> DataFrame:
+              load_mode: str = "append", first_only: bool = False, log: str | None = None, atomic: bool = False) -> DataFrame:
     """Ingest the archives of ``raw_root/year_month``; returns one outcome row per file.
 
     Silver and warehouse tables are partitioned by ``(year_month,
     source_file)`` and written with dynamic partition overwrite, so a file
     processed again (e.g. after a crash between the data write and its state
     event) replaces its own rows instead of duplicating them.
+
+    With ``atomic`` all tables of the run are staged and published together
+    (``sinks.transaction``): readers of ``transaction.read_table(spark, work_root, name)`` see
+    the whole run or nothing of it.
     """
+    run = Run(spark, work_root) if atomic else None
+    by_file = ("year_month", "source_file")
+
+    def put(df: DataFrame, name: str, mode: str = "append") -> dict:
+        if run is not None:
+            return run.stage(name, df, mode, by_file)
+        return load_table(spark, df, f"{work_root}/{name}", mode, partition_by=by_file, idempotent=True)
+
+    told_later: list[DataFrame] = []
+
+    def tell(events: list[DataFrame]) -> None:
+        while events:
+            events.pop(0).write.mode("append").partitionBy("year_month").parquet(log)
     log = log or f"{work_root}/control_log"
     files = (inventory(spark, f"{raw_root}/{year_month}", glob="*.[zZ][iI][pP]")
              .select(F.lit(year_month).alias("year_month"), F.element_at(F.split("key", "/"), -1).alias("file_name"),
@@ -99,14 +117,13 @@ def run_month(spark: SparkSession, raw_root: str, work_root: str, year_month: st
         readable = raw.where(~F.col("source_file").isin(list(failed))).drop("member") if failed else raw.drop("member")
         good, bad = split_quarantine(readable)
         silver = normalize(good, entity).withColumn("year_month", F.lit(year_month))
-        table = f"{work_root}/processed/{entity.lower()}"
-        by_file = ("year_month", "source_file")
-        load_table(spark, silver, table, partition_by=by_file, idempotent=True)
-        load_table(spark, bad.withColumn("year_month", F.lit(year_month)), f"{work_root}/quarantine/{entity.lower()}",
-                   partition_by=by_file, idempotent=True)
+        table = f"processed/{entity.lower()}"
+        put(silver, table)
+        put(bad.withColumn("year_month", F.lit(year_month)), f"quarantine/{entity.lower()}")
         raw.unpersist()
         names = [os.path.basename(p) for p in paths if os.path.basename(p) not in failed]
-        written = (spark.read.schema(silver.schema).parquet(table)
+        written = run.read_staged(table) if run is not None else spark.read.schema(silver.schema).parquet(f"{work_root}/{table}")
+        written = (written
                    .where((F.col("year_month") == year_month) & F.col("source_file").isin(names)))
         counts = written.groupBy(F.col("source_file").alias("file_name")).agg(F.count(F.lit(1)).alias("rows"))
         why = F.create_map(*[F.lit(x) for kv in failed.items() for x in kv]) if failed else F.create_map(F.lit(""), F.lit(""))
@@ -117,19 +134,22 @@ def run_month(spark: SparkSession, raw_root: str, work_root: str, year_month: st
             "why", F.when(F.col("rows").isNull(), F.coalesce(F.try_element_at(why, F.col("file_name")), F.lit("no rows written"))))
         done_files, errors = part_files.where("why is null"), part_files.where("why is not null")
         _events(errors, "error", 2, F.col("why")).write.mode("append").partitionBy("year_month").parquet(log)
-        _events(done_files, "transformed", 2).write.mode("append").partitionBy("year_month").parquet(log)
-        gold = f"{work_root}/warehouse/{entity.lower()}"
+        told_later.append(_events(done_files, "transformed", 2))
         typed = to_typed(written, entity) if entity in TYPED else written
-        result = load_table(spark, typed, gold, load_mode, partition_by=by_file, idempotent=True)
+        result = put(typed, f"warehouse/{entity.lower()}", load_mode)
         if entity in TYPED and result["action"] != "skipped":
-            load_table(spark, rejects(written, entity, keep=by_file), f"{work_root}/rejects/{entity.lower()}",
-                       partition_by=by_file, idempotent=True)
+            put(rejects(written, entity, keep=by_file), f"rejects/{entity.lower()}")
         status = "loaded" if result["action"] != "skipped" else "transformed"
         if status == "loaded":
-            _events(done_files, "loaded", 3).write.mode("append").partitionBy("year_month").parquet(log)
+            told_later.append(_events(done_files, "loaded", 3))
+        if run is None:
+            tell(told_later)
         outcomes.append(part_files.select("file_name", "file_type", F.col("rows").cast("long"),
                                           F.when(F.col("why").isNull(), status).otherwise("error").alias("outcome"),
                                           F.coalesce("why", F.lit(result["action"])).alias("reason")))
+    if run is not None:
+        run.publish()
+        tell(told_later)          # after the rows can be seen; without these events the files are taken up again, and replaced
     return reduce(lambda a, b: a.unionByName(b), outcomes)
 
 
