@@ -67,6 +67,13 @@ def _escape_like(term: str, esc: str = "\\") -> str:
     return term.replace(esc, esc + esc).replace("%", esc + "%").replace("_", esc + "_")
 
 
+def search_pattern(term: str, escape: bool = False) -> str:
+    """The LIKE pattern of a search; ``escape`` takes ``%`` and ``_`` literally."""
+    if term is None or len(term) < SEARCH_MIN_CHARS:
+        raise ValueError(f"search term needs at least {SEARCH_MIN_CHARS} characters")
+    return f"%{_escape_like(term) if escape else term}%"
+
+
 def search_name(companies: DataFrame, term: str, limit: int = PAGE_LIMIT_DEFAULT,
                 escape: bool = False, key: str = "cnpj_basico") -> DataFrame:
     """Case-insensitive substring search on the company name.
@@ -74,20 +81,15 @@ def search_name(companies: DataFrame, term: str, limit: int = PAGE_LIMIT_DEFAULT
     As in the reference, ``%`` and ``_`` in the term act as wildcards unless
     ``escape=True``.
     """
-    if term is None or len(term) < SEARCH_MIN_CHARS:
-        raise ValueError(f"search term needs at least {SEARCH_MIN_CHARS} characters")
+    pattern = search_pattern(term, escape)
     check_page(limit)
-    pattern = f"%{_escape_like(term) if escape else term}%"
     hits = companies.where(F.col("razao_social").ilike(pattern))
     return hits.select(*LIST_COLUMNS).orderBy(F.col(key).asc_nulls_last()).limit(limit)
 
 
 def search_all(companies: DataFrame, term: str, escape: bool = False) -> DataFrame:
     """Every match of the search (no page cap), for reports and export."""
-    if term is None or len(term) < SEARCH_MIN_CHARS:
-        raise ValueError(f"search term needs at least {SEARCH_MIN_CHARS} characters")
-    pattern = f"%{_escape_like(term) if escape else term}%"
-    return companies.where(F.col("razao_social").ilike(pattern)).select(*LIST_COLUMNS)
+    return companies.where(F.col("razao_social").ilike(search_pattern(term, escape))).select(*LIST_COLUMNS)
 
 
 def lookup_key(companies: DataFrame, cnpj_basico: str, key: str = "cnpj_basico") -> DataFrame:
