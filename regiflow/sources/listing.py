@@ -67,39 +67,35 @@ def hash_files_streaming(files: DataFrame, path_col: str = "path") -> DataFrame:
     return file_hashes(spark, paths).withColumnRenamed("path", path_col)
 
 
-# Elements of a multistatus reply, whatever prefix the server binds to the DAV namespace.
-_RESPONSE = r"(?s)<(?:[\w.-]+:)?response\b[^>]*>(.*?)</(?:[\w.-]+:)?response>"
-
-
-def _element(text, name: str):
-    return F.regexp_extract(text, rf"(?s)<(?:[\w.-]+:)?{name}\b[^>]*>\s*(.*?)\s*</(?:[\w.-]+:)?{name}>", 1)
-
-
-def _unescaped(text):
-    for code, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
-        text = F.replace(text, F.lit(code), F.lit(char))
-    return text
+# What is read of a multistatus reply's entries; a type that holds elements is kept as their text.
+_ENTRY = "href string, propstat array<struct<prop: struct<resourcetype: string, getcontentlength: string, getetag: string>>>"
 
 
 def webdav_listing(spark: SparkSession, path: str, base_href: str | None = None) -> DataFrame:
     """(href, name, is_dir, size, etag) from saved WebDAV multistatus XML; each listing's own folder is dropped.
 
-    Without ``base_href`` a listing's own folder is the entry that all its other entries lie below.
-    Listings of files only, of folders only and empty ones have the same columns.
+    Entries are parsed one by one, whatever prefix the server binds to the DAV namespace; a
+    property is taken from the first status group that has it.  Without ``base_href`` a
+    listing's own folder is the entry that all its other entries lie below.  Listings of
+    files only, of folders only and empty ones have the same columns.
     """
-    one = spark.read.text(path, wholetext=True).select(F.regexp_extract_all("value", F.lit(_RESPONSE), 1).alias("all"))
-    entries = F.transform("all", lambda r: F.struct(
-        F.regexp_replace(_unescaped(_element(r, "href")), "/+$", "").alias("href"), r.rlike(r"<(?:[\w.-]+:)?collection\b").alias("is_dir"),
-        _element(r, "getcontentlength").try_cast("long").alias("size"), _unescaped(_element(r, "getetag")).alias("etag")))
-    one = one.select(entries.alias("e"))
+    read = spark.read.format("xml").option("rowTag", "response").option("ignoreNamespace", "true").schema(_ENTRY).load(path)
+    first = lambda name: F.get(F.filter(F.transform("propstat", lambda p: p["prop"][name]), lambda v: v.isNotNull() & (v != "")), F.lit(0))
+    entries = read.select(
+        F.col("_metadata.file_path").alias("_file"), F.regexp_replace(F.trim("href"), "/+$", "").alias("href"),
+        F.coalesce(F.exists("propstat", lambda p: p["prop"]["resourcetype"].rlike(r"<(?:[\w.-]+:)?collection\b")), F.lit(False)).alias("is_dir"),
+        F.trim(first("getcontentlength")).try_cast("long").alias("size"), F.trim(first("getetag")).alias("etag"))
     if base_href is not None:
-        kept = F.filter("e", lambda x: x["href"] != base_href.rstrip("/"))
+        entries = entries.where(F.col("href") != base_href.rstrip("/"))
     else:
-        kept = F.filter("e", lambda x: ~(x["is_dir"] & F.forall("e", lambda y: (y["href"] == x["href"]) | y["href"].startswith(
-            F.concat(x["href"], F.lit("/"))))))
-    out = one.select(F.explode(kept).alias("x")).select("x.*")
-    return out.select("href", last_component(F.col("href")).alias("name"), "is_dir", "size",
-                      F.when(F.col("etag") != "", strip_quotes(F.col("etag"))).alias("etag"))
+        # a folder that all others lie below comes first by name; it has a row per listing
+        own = entries.groupBy("_file").agg(F.min("href").alias("_own"))
+        inside = (F.col("href") == F.col("_own")) | F.col("href").startswith(F.concat("_own", F.lit("/")))
+        own = entries.join(own, "_file").groupBy("_file", "_own").agg(
+            F.bool_and(inside).alias("_all"), F.bool_or((F.col("href") == F.col("_own")) & F.col("is_dir")).alias("_dir"))
+        entries = entries.join(own.where("_all and _dir").select("_file", F.col("_own").alias("href")), ["_file", "href"], "left_anti")
+    return entries.select("href", last_component(F.col("href")).alias("name"), "is_dir", "size",
+                          F.when(F.col("etag") != "", strip_quotes(F.col("etag"))).alias("etag"))
 
 
 def month_folders(listing: DataFrame) -> DataFrame:
