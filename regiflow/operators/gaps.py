@@ -82,5 +82,12 @@ def list_objects(store: DataFrame, prefix: str = "", max_keys: int = 1000, start
     return shown.select("o.*", human_bytes(F.col("o.size_bytes")).alias("size_human"), "is_truncated")
 
 
+def list_totals(store: DataFrame, prefix: str = "") -> DataFrame:
+    """One row for all objects under ``prefix``: their number and size, as ``list_objects`` pages through them."""
+    found = store.where(F.col("key").startswith(prefix))
+    size = F.coalesce(F.sum("size_bytes"), F.lit(0)).cast("bigint")
+    return found.agg(F.count(F.lit(1)).alias("total_objects"), size.alias("total_size_bytes"), human_bytes(size).alias("total_size_human"))
+
+
 def object_metadata(store: DataFrame, key: str) -> DataFrame:
     return store.where(F.col("key") == key).select("key", "size_bytes", "last_modified", "etag")

@@ -32,17 +32,34 @@ def _store(store: DataFrame, prefix: str = "s_") -> DataFrame:
     return store.select(*[F.col(c).alias(prefix + c) for c in cols])
 
 
+def in_month(df: DataFrame, year_month: str | None) -> DataFrame:
+    """Rows of one month, or all: a filter on the partition column, so other months are not read."""
+    return df if year_month is None else df.where(F.col("year_month") == year_month)
+
+
+def per_month(df: DataFrame, year_month: str | None, *aggs: Column) -> DataFrame:
+    """One row per month; for a given month exactly one, with zeros if it has no files."""
+    if year_month is None:
+        return df.groupBy("year_month").agg(*aggs)
+    return in_month(df, year_month).agg(F.lit(year_month).alias("year_month"), *aggs)
+
+
+def month_objects(store: DataFrame, layer: str, year_month: str | None) -> DataFrame:
+    """Objects of one layer and month, or the whole store."""
+    return store if year_month is None else store.where(F.col("key").startswith(f"{layer}/{year_month}/"))
+
+
 # --- verify (INT1) ------------------------------------------------------------
 
-def verify_integrity(current: DataFrame, store: DataFrame, full_check: bool = False) -> DataFrame:
+def verify_integrity(current: DataFrame, store: DataFrame, full_check: bool = False, year_month: str | None = None) -> DataFrame:
     """Issues of downloaded files: missing -> size mismatch -> hash mismatch / read error.
 
     Only the first issue of a file is reported.  With ``full_check`` the store
     inventory must carry ``content_hash`` (e.g. from ``sources.listing.with_content_hash``).
     """
-    recs = current.where(F.col("status").isin(DOWNLOADED_OR_LATER)).withColumn(
+    recs = in_month(current, year_month).where(F.col("status").isin(DOWNLOADED_OR_LATER)).withColumn(
         "key", object_key("raw", F.col("year_month"), F.col("file_name")))
-    j = recs.join(_store(store), F.col("key") == F.col("s_key"), "left")
+    j = recs.join(_store(month_objects(store, "raw", year_month)), F.col("key") == F.col("s_key"), "left")
     issue = (F.when(F.col("s_key").isNull(), "missing_in_s3")
              .when(_truthy_num(F.col("local_size_bytes")) & (F.col("s_size_bytes") != F.col("local_size_bytes")),
                    "size_mismatch"))
@@ -61,10 +78,10 @@ def verify_integrity(current: DataFrame, store: DataFrame, full_check: bool = Fa
 DIFF_CLASSES = ["never_downloaded", "missing_hash", "file_missing", "size_mismatch", "changed_remote", "synced"]
 
 
-def remote_local_diff(current: DataFrame, store: DataFrame, remote: DataFrame | None = None) -> DataFrame:
+def remote_local_diff(current: DataFrame, store: DataFrame, remote: DataFrame | None = None, year_month: str | None = None) -> DataFrame:
     """Classify every control file in one of six classes (first match wins)."""
-    recs = current.withColumn("key", object_key("raw", F.col("year_month"), F.col("file_name")))
-    j = recs.join(_store(store), F.col("key") == F.col("s_key"), "left")
+    recs = in_month(current, year_month).withColumn("key", object_key("raw", F.col("year_month"), F.col("file_name")))
+    j = recs.join(_store(month_objects(store, "raw", year_month)), F.col("key") == F.col("s_key"), "left")
     changed = F.lit(False)
     if remote is not None:
         r = remote.select(F.col("year_month").alias("r_ym"), F.col("file_name").alias("r_file"),
@@ -83,17 +100,18 @@ def remote_local_diff(current: DataFrame, store: DataFrame, remote: DataFrame |
                     "local_size_bytes", F.col("s_size_bytes").alias("actual_s3_size"), cls.alias("diff_class"))
 
 
-def diff_summary(diff: DataFrame) -> DataFrame:
+def diff_summary(diff: DataFrame, year_month: str | None = None) -> DataFrame:
     """Per month: count of each diff class and the total (classes add up)."""
-    return diff.groupBy("year_month").agg(
-        F.count(F.lit(1)).alias("total_files"),
+    return per_month(
+        diff, year_month, F.count(F.lit(1)).alias("total_files"),
         *[F.count_if(F.col("diff_class") == c).alias(c) for c in DIFF_CLASSES])
 
 
 # --- layer check (INT3) -------------------------------------------------------
 
-def layer_check(current: DataFrame, store: DataFrame, layer: str = "raw") -> DataFrame:
+def layer_check(current: DataFrame, store: DataFrame, layer: str = "raw", year_month: str | None = None) -> DataFrame:
     """Raw layer compares sizes; processed layer checks existence only."""
+    current, store = in_month(current, year_month), month_objects(store, layer, year_month)
     if layer == "raw":
         recs = current.where(F.col("status").isin(DOWNLOADED_OR_LATER)).select(
             "year_month", "file_name", F.col("local_size_bytes").alias("expected_size"))
@@ -113,9 +131,9 @@ def layer_check(current: DataFrame, store: DataFrame, layer: str = "raw") -> Dat
                     F.col("s_size_bytes").alias("s3_size"), match.alias("size_match"), status.alias("status"))
 
 
-def layer_summary(check: DataFrame) -> DataFrame:
-    return check.groupBy("year_month").agg(
-        F.count_if(F.col("status") == "ok").alias("ok"),
+def layer_summary(check: DataFrame, year_month: str | None = None) -> DataFrame:
+    return per_month(
+        check, year_month, F.count_if(F.col("status") == "ok").alias("ok"),
         F.count_if(F.col("status") == "missing_in_s3").alias("missing_in_s3"),
         F.count_if(F.col("status") == "size_mismatch").alias("size_mismatch"),
         F.count(F.lit(1)).alias("total"))
@@ -147,8 +165,9 @@ def upload_summary(plan: DataFrame) -> DataFrame:
 
 # --- transform / load status (INT5, INT6) -------------------------------------
 
-def transform_status(current: DataFrame, stats: DataFrame) -> DataFrame:
+def transform_status(current: DataFrame, stats: DataFrame, year_month: str | None = None) -> DataFrame:
     """Downloaded archives × processed Parquet statistics."""
+    current, stats = in_month(current, year_month), in_month(stats, year_month)
     recs = current.where(F.col("status").isin(DOWNLOADED_OR_LATER))
     recs = recs.withColumn("parquet_name", parquet_name(F.col("file_name")))
     st = stats.select("year_month", F.col("parquet_file").alias("parquet_name"), "parquet_file", "size_bytes", "row_count")
@@ -163,9 +182,9 @@ def transform_status(current: DataFrame, stats: DataFrame) -> DataFrame:
         F.when(~mapped, "not_mapped").otherwise(F.col("status")).alias("status"))
 
 
-def transform_summary(status: DataFrame) -> DataFrame:
-    return status.groupBy("year_month").agg(
-        F.count(F.lit(1)).alias("total_zips"),
+def transform_summary(status: DataFrame, year_month: str | None = None) -> DataFrame:
+    return per_month(
+        status, year_month, F.count(F.lit(1)).alias("total_zips"),
         F.count_if(F.col("status").isin(TRANSFORMED_OR_LATER)).alias("transformed"),
         F.count_if(F.col("status") == "downloaded").alias("pending"),
         F.count_if(F.col("status") == "not_mapped").alias("not_mapped"),
@@ -186,8 +205,9 @@ def table_counts(current: DataFrame, stats: DataFrame) -> DataFrame:
             .agg(F.sum("row_count").cast("bigint").alias("db_rows")))
 
 
-def load_status(current: DataFrame, stats: DataFrame, counts: DataFrame) -> DataFrame:
-    """Processed files × Parquet rows × table rows; loaded when the table has rows."""
+def load_status(current: DataFrame, stats: DataFrame, counts: DataFrame, year_month: str | None = None) -> DataFrame:
+    """Processed files × Parquet rows × table rows (of all months); loaded when the table has rows."""
+    current, stats = in_month(current, year_month), in_month(stats, year_month)
     recs = current.where(F.col("status").isin(TRANSFORMED_OR_LATER)).select(
         "year_month", parquet_name(F.col("file_name")).alias("file_name"))
     recs = recs.withColumn("table_name", table_name(F.col("file_name")))
@@ -198,15 +218,15 @@ def load_status(current: DataFrame, stats: DataFrame, counts: DataFrame) -> Data
                     F.when(F.col("db_rows") > 0, "loaded").otherwise("pending").alias("status"))
 
 
-def load_summary(status: DataFrame) -> DataFrame:
+def load_summary(status: DataFrame, year_month: str | None = None) -> DataFrame:
     """Per month; table rows counted once per table (not once per part file)."""
     per_table = status.groupBy("year_month", "table_name").agg(
         F.count(F.lit(1)).alias("parts"), F.coalesce(F.sum("parquet_rows"), F.lit(0)).alias("parquet_rows"),
         F.coalesce(F.max("db_rows"), F.lit(0)).alias("db_rows"))
-    s = per_table.groupBy("year_month").agg(
-        F.sum("parts").cast("bigint").alias("total_parquets"),
-        F.sum("parquet_rows").cast("bigint").alias("total_parquet_rows"),
-        F.sum("db_rows").cast("bigint").alias("total_db_rows"),
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    s = per_month(
+        per_table, year_month, total("parts").alias("total_parquets"), total("parquet_rows").alias("total_parquet_rows"),
+        total("db_rows").alias("total_db_rows"),
         F.count_if(F.col("db_rows") > 0).alias("tables_with_data"),
         F.count(F.lit(1)).alias("tables_total"))
     return s.withColumn("coverage_pct", F.coalesce(F.round(

@@ -11,7 +11,7 @@ import uuid
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +20,6 @@ from regiflow.schema import SIZE_CLASSES
 
 SEED = 42
 TRAIN_PCT = 80
-MAX_CATEGORIES = 10_000
 
 
 # --- training sets ------------------------------------------------------------
@@ -77,14 +76,18 @@ def is_train(key: str = "cnpj_basico", train_pct: int = TRAIN_PCT) -> Column:
 
 def checked(pred: DataFrame, label: str) -> DataFrame:
     """One row on predictions of all rows: sizes of both shares, classes met in the test share,
-    and whether accuracy and every probability lie within 0..1."""
+    whether every probability lies within 0..1, and whether the model has learned its
+    training share at least as well as the most frequent class would."""
     from pyspark.ml.functions import vector_to_array
-    x = pred.select(is_train().alias("t"), F.col(label).alias("y"), F.col("prediction").alias("p"), vector_to_array("probability").alias("q"))
-    hit = F.avg(F.when(~F.col("t"), (F.col("y") == F.col("p")).cast("int")))
-    return x.agg(F.count_if(F.col("t")).alias("train_rows"), F.count_if(~F.col("t")).alias("test_rows"),
-                 F.count_distinct(F.when(~F.col("t"), F.col("y"))).alias("test_classes"),
-                 F.bool_and(F.forall("q", lambda v: (v >= 0) & (v <= 1))).alias("probabilities_ok"),
-                 F.coalesce(hit.between(0, 1), F.lit(False)).alias("accuracy_ok"))
+    x = pred.select(is_train().alias("t"), F.col(label).alias("y"), (F.col(label) == F.col("prediction")).alias("hit"),
+                    vector_to_array("probability").alias("q"))
+    by = x.groupBy("t", "y").agg(F.count(F.lit(1)).alias("n"), F.count_if("hit").alias("hits"),
+                                 F.bool_and(F.forall("q", lambda v: (v >= 0) & (v <= 1))).alias("q"))
+    of = lambda c, test=False: F.when(~F.col("t") if test else F.col("t"), F.col(c))
+    rows = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    return by.agg(rows(of("n")).alias("train_rows"), rows(of("n", True)).alias("test_rows"),
+                  F.count_distinct(of("y", True)).alias("test_classes"), F.bool_and("q").alias("probabilities_ok"),
+                  F.coalesce(F.sum(of("hits")) >= F.max(of("n")), F.lit(False)).alias("accuracy_ok"))
 
 
 # --- encoders -----------------------------------------------------------------
@@ -95,13 +98,20 @@ def label_encoder(col: str, out: str | None = None) -> StringIndexer:
                          handleInvalid="keep")
 
 
-def category_values(df: DataFrame, col: str, max_categories: int = MAX_CATEGORIES) -> list[str]:
-    """Sorted distinct non-null values of a low-cardinality column (bounded collect)."""
-    vals = (df.where(F.col(col).isNotNull()).select(F.col(col).cast("string").alias("v")).distinct()
-            .orderBy("v").limit(max_categories + 1).collect())
-    if len(vals) > max_categories:
-        raise ValueError(f"{col} has more than {max_categories} categories")
-    return [r["v"] for r in vals]
+def category_values(df: DataFrame, col: str) -> list[str]:
+    """Sorted distinct non-null values: the columns of the wide form, which has one per value.
+
+    For a column of very many values use ``dummy_encoder``, a sparse vector of any length.
+    """
+    vals = df.where(F.col(col).isNotNull()).select(F.col(col).cast("string").alias("v")).distinct().orderBy("v")
+    return [r["v"] for r in vals.collect()]
+
+
+def dummy_encoder(col: str) -> list:
+    """Stages that turn a column into a sparse 0/1 vector ``{col}_dummies`` without its first value."""
+    return [StringIndexer(inputCol=col, outputCol=f"{col}_code", stringOrderType="alphabetDesc", handleInvalid="keep"),
+            # in descending order the first value is the last category but the one for unknown values
+            OneHotEncoder(inputCol=f"{col}_code", outputCol=f"{col}_dummies", dropLast=True)]
 
 
 def one_hot_columns(col: str, values: list[str], drop_first: bool = True) -> dict[str, Column]:
@@ -147,19 +157,21 @@ def fit_persisted(spec: Pipeline, train: DataFrame) -> PipelineModel:
         cached.unpersist()
 
 
-def simples_model_spec(max_bins: int) -> Pipeline:
+def simples_model_spec() -> Pipeline:
+    """Codes are compared as numbers, like label-encoded columns, so there is no limit on their number."""
     return Pipeline(stages=[
         label_encoder("natureza_juridica"), label_encoder("porte_empresa"),
-        VectorAssembler(inputCols=["natureza_juridica_idx", "capital_social", "porte_empresa_idx"],
-                        outputCol="features"),
-        forest("target", max_bins=max_bins)])
+        SQLTransformer(statement="SELECT *, natureza_juridica_idx + 0.0D AS natureza_number, porte_empresa_idx + 0.0D AS porte_number FROM __THIS__"),
+        VectorAssembler(inputCols=["natureza_number", "capital_social", "porte_number"], outputCol="features"),
+        forest("target")])
 
 
-def size_model_spec(dummy_cols: list[str], max_bins: int = 32) -> Pipeline:
+def size_model_spec(categories: tuple[str, ...] = ("natureza_juridica", "opcao_pelo_simples")) -> Pipeline:
     return Pipeline(stages=[
         StringIndexer(inputCol="porte_empresa", outputCol="label", stringOrderType="alphabetAsc"),
-        VectorAssembler(inputCols=["capital_social", *dummy_cols], outputCol="features"),
-        forest("label", max_bins=max_bins)])
+        *[stage for c in categories for stage in dummy_encoder(c)],
+        VectorAssembler(inputCols=["capital_social", *[f"{c}_dummies" for c in categories]], outputCol="features"),
+        forest("label")])
 
 
 def binary_metrics(pred: DataFrame, label: str = "target", prediction: str = "prediction") -> DataFrame:
@@ -194,8 +206,7 @@ def multiclass_metrics(pred: DataFrame, label: str = "label", prediction: str =
 
 
 def train_simples(train: DataFrame) -> PipelineModel:
-    bins = max(32, len(category_values(train, "natureza_juridica")) + 1)
-    return fit_persisted(simples_model_spec(bins), train)
+    return fit_persisted(simples_model_spec(), train)
 
 
 def save_model(model: PipelineModel, base_dir: str, name: str) -> str:

@@ -53,7 +53,8 @@ def current_state(spark: SparkSession, log_path: str) -> DataFrame:
 
 
 def run_month(spark: SparkSession, raw_root: str, work_root: str, year_month: str,
-              load_mode: str = "append", first_only: bool = False, log: str | None = None, atomic: bool = False) -> DataFrame:
+              load_mode: str = "append", first_only: bool = False, log: str | None = None, atomic: bool = False,
+              only: list[str] | None = None, force: bool = False) -> DataFrame:
     """Ingest the archives of ``raw_root/year_month``; returns one outcome row per file.
 
     Silver and warehouse tables are partitioned by ``(year_month,
@@ -61,7 +62,8 @@ def run_month(spark: SparkSession, raw_root: str, work_root: str, year_month: st
     processed again (e.g. after a crash between the data write and its state
     event) replaces its own rows instead of duplicating them.
 
-    With ``atomic`` all tables of the run are staged and published together
+    ``only`` takes the named files alone; ``force`` also those that were taken up before, whose
+    rows are replaced.  With ``atomic`` all tables of the run are staged and published together
     (``sinks.transaction``): readers of ``transaction.read_table(spark, work_root, name)`` see
     the whole run or nothing of it.
     """
@@ -91,7 +93,9 @@ def run_month(spark: SparkSession, raw_root: str, work_root: str, year_month: st
 
     # 2. plan: files not transformed yet, first per type when asked
     done = state.where(F.col("status").isin("transformed", "loaded")).select("year_month", "file_name")
-    todo = files.join(done, ["year_month", "file_name"], "left_anti")
+    todo = files if force else files.join(done, ["year_month", "file_name"], "left_anti")
+    if only is not None:
+        todo = todo.where(F.col("file_name").isin(only))
     if first_only:
         firsts = todo.groupBy("file_type").agg(F.min("file_name").alias("file_name"))
         todo = todo.join(firsts, ["file_type", "file_name"], "left_semi")

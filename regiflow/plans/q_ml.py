@@ -105,11 +105,8 @@ def rf_simples(spark, sf):
 def rf_size(spark, sf):
     data = M.training_set_size(silver.companies(spark, sf), silver.simples(spark, sf),
                                silver.establishments(spark, sf))
-    dummies = {**M.one_hot_columns("natureza_juridica", M.category_values(data, "natureza_juridica")),
-               **M.one_hot_columns("opcao_pelo_simples", M.category_values(data, "opcao_pelo_simples"))}
-    data = data.withColumns(dummies)
     train, _ = M.split(data)
-    model = M.fit_persisted(M.size_model_spec(list(dummies)), train)
+    model = M.fit_persisted(M.size_model_spec(), train)
     return M.checked(model.transform(data), "label")
 
 
@@ -127,3 +124,26 @@ def batch_score(spark, sf):
                                       & F.col("porte_empresa").isNotNull()))
     scored = M.score(M.load_model(path), held)
     return scored.select("cnpj_basico", (F.col("prediction").isin(0, 1) & F.col("probability_1").between(0, 1)).alias("scored"))
+
+
+@register("forest_metrics", f"""
+SELECT count(*) AS test_rows, count(*) FILTER (WHERE target = 1) AS positives, count(*) FILTER (WHERE target = 0) AS negatives, true AS metrics_ok
+FROM ({_TRAIN_A}) t WHERE NOT coalesce(('0x' || substr(md5(cnpj_basico), 1, 8))::BIGINT % 100 < 80, true)""",
+          "ML8 AGG16 accuracy, precision, recall, F1 of a forest on its test share")
+def forest_metrics(spark, sf):
+    data = M.training_set_simples(silver.companies(spark, sf), silver.simples(spark, sf))
+    train, test = M.split(data)
+    m = M.binary_metrics(M.train_simples(train).transform(test))
+    n = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")
+    exact = lambda c, num, den: F.abs(F.col(c) - F.coalesce(F.try_divide(num.cast("double"), den.cast("double")), F.lit(0.0))) < 1e-12
+    ok = (exact("accuracy", F.col("tp") + F.col("tn"), n) & exact("precision", F.col("tp"), F.col("tp") + F.col("fp"))
+          & exact("recall", F.col("tp"), F.col("tp") + F.col("fn")) & exact("f1", 2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")))
+    return m.select(n.alias("test_rows"), (F.col("tp") + F.col("fn")).alias("positives"), (F.col("fp") + F.col("tn")).alias("negatives"), ok.alias("metrics_ok"))
+
+
+@register("batch_scores", None, "ML10 class and probability of every held-out company")
+def batch_scores(spark, sf):
+    companies = silver.companies(spark, sf)
+    train, _ = M.split(M.training_set_simples(companies, silver.simples(spark, sf)))
+    _, held = M.split(companies.where(F.col("natureza_juridica").isNotNull() & F.col("capital_social").isNotNull() & F.col("porte_empresa").isNotNull()))
+    return M.score(M.train_simples(train), held)
