@@ -34,7 +34,8 @@ def register(name: str, sql: str | None = None, covers: str = ""):
 def load_all() -> None:
     """Import the query modules (they register on import)."""
     from regiflow.plans import (  # noqa: F401
-        q_control, q_entities, q_flows, q_formats, q_integrity, q_ml, q_months, q_quality, q_records, q_warehouse,
+        q_checks, q_control, q_entities, q_flows, q_formats, q_integrity, q_ml, q_months, q_quality, q_records,
+        q_warehouse,
     )
 
 
