@@ -95,13 +95,38 @@ def unpack(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<u8").ravel()
 
 
+SHORT = _U(24)      # low bits that short keys do without
+
+
+def short(keys: np.ndarray) -> np.ndarray:
+    """Keys without their low bits, for uses where two keys may be taken for one."""
+    return keys >> SHORT << SHORT
+
+
+def pack_short(keys: np.ndarray) -> bytes:
+    """Sorted short keys as differences by byte plane, in as few planes as the largest one needs."""
+    x = (keys >> SHORT).astype("<u8")
+    step = np.diff(x, prepend=x[:1])
+    wide = max(1, (int(step.max(initial=0)).bit_length() + 7) // 8)
+    planes = np.ascontiguousarray(step.view(np.uint8).reshape(-1, 8)[:, :wide].T).tobytes()
+    return bytes([wide]) + (x[:1].tobytes() if len(x) else bytes(8)) + planes
+
+
+def unpack_short(data: bytes) -> np.ndarray:
+    wide, first = data[0], np.frombuffer(data, "<u8", 1, 1)
+    planes = np.frombuffer(data, np.uint8, offset=9).reshape(wide, -1)
+    step = np.zeros((planes.shape[1], 8), np.uint8)
+    step[:, :wide] = planes.T
+    return (np.cumsum(step.view("<u8").ravel(), dtype=_U) + first).astype(_U) << SHORT
+
+
 def cuts(keys: np.ndarray, n: int) -> np.ndarray:
     """Where each of n equal key ranges begins in the sorted keys (n + 1 places)."""
     edges = (np.arange(1, n, dtype=object) * (1 << 64)) // n
     return np.concatenate(([0], np.searchsorted(keys, edges.astype(np.uint64)), [len(keys)]))
 
 
-def sent_rows(block: int, keys: np.ndarray, n: int, extra: np.ndarray | None = None) -> pa.Table:
+def sent_rows(block: int, keys: np.ndarray, n: int, extra: np.ndarray | None = None, pack: Callable = pack) -> pa.Table:
     """One row per key range that has keys; ``extra``: an array alongside the keys."""
     at = cuts(keys, n)
     full = np.flatnonzero(np.diff(at))
@@ -112,7 +137,7 @@ def sent_rows(block: int, keys: np.ndarray, n: int, extra: np.ndarray | None = N
                           pa.binary())})
 
 
-def received(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def received(table: pa.Table, unpack: Callable = unpack) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(blocks, keys of all rows, where each row's keys begin)."""
     keys = [unpack(x) for x in table["keys"].to_pylist()]
     return (table["block"].to_numpy(), np.concatenate(keys),

@@ -235,11 +235,12 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str
 
     def emit(key, table):
         grams, _ = shingles(table[B.TEXT], words)
-        keys, count = np.unique(grams, return_counts=True)
-        return B.sent_rows(B.key_of(key), keys, n_ranges, np.minimum(count, 255).astype(np.uint8))
+        # 40 bits of a hash: two n-grams taken for one have their frequencies added, which changes the order, not the links
+        keys, count = np.unique(B.short(grams), return_counts=True)
+        return B.sent_rows(B.key_of(key), keys, n_ranges, np.minimum(count, 255).astype(np.uint8), B.pack_short)
 
     def frequency(table):
-        _, keys, at = B.received(table)
+        _, keys, at = B.received(table, B.unpack_short)
         count = np.frombuffer(b"".join(table["extra"].to_pylist()), np.uint8).astype(np.int64)
         _, inverse = np.unique(keys, return_inverse=True)
         total = np.minimum(np.bincount(inverse, count), 255).astype(np.uint8)[inverse]
@@ -247,7 +248,7 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str
 
     def prefixes(key, left, right):
         grams, at = shingles(left[B.TEXT], words)
-        keys, inverse = np.unique(grams, return_inverse=True)
+        keys, inverse = np.unique(B.short(grams), return_inverse=True)
         place, df = B.cuts(keys, n_ranges), np.zeros(len(keys), np.uint8)
         for r, x in zip(right["range"].to_pylist(), right["reply"].to_pylist()):
             df[place[r]:place[r + 1]] = np.frombuffer(x, np.uint8)
