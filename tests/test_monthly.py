@@ -89,3 +89,17 @@ def test_bad_archives_do_not_stop_the_month(spark, tmp_path):
     assert again["Empresas1.zip"] == "loaded" and "Empresas0.zip" not in again
     assert spark.read.parquet(f"{work}/warehouse/empresas").count() == 90
     assert os.path.isdir(f"{work}/rejects/empresas")
+
+
+def test_named_files_and_force(spark, tmp_path):
+    raw, work = str(tmp_path / "raw"), str(tmp_path / "work")
+    comp = csv_lines(spark, SF_SMALL)
+    write_zip(f"{raw}/2025-06/Empresas0.zip", {"a.csv": comp[:30]})
+    write_zip(f"{raw}/2025-06/Empresas1.zip", {"a.csv": comp[30:50]})
+    first = run_month(spark, raw, work, "2025-06", only=["Empresas1.zip"])
+    assert [(r["file_name"], r["rows"]) for r in first.collect()] == [("Empresas1.zip", 20)]
+    write_zip(f"{raw}/2025-06/Empresas1.zip", {"a.csv": comp[30:45]})            # replaced by its publisher
+    assert run_month(spark, raw, work, "2025-06", only=["Empresas1.zip"]).count() == 0
+    again = run_month(spark, raw, work, "2025-06", only=["Empresas1.zip"], force=True)
+    assert [(r["file_name"], r["rows"]) for r in again.collect()] == [("Empresas1.zip", 15)]
+    assert spark.read.parquet(f"{work}/warehouse/empresas").count() == 15          # its rows are replaced, the other file waits
