@@ -55,6 +55,11 @@ def _matrix(column) -> np.ndarray:
     return a.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(a), -1)
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows over their largest absolute component: squares of very large or small ones stay finite and above zero."""
+    return x / np.abs(x).max(axis=1, keepdims=True)
+
+
 def _signs(x: np.ndarray, plane: np.ndarray, tables: int) -> np.ndarray:
     """The bucket number of each vector in each table."""
     bits = plane.shape[1] // tables
@@ -75,18 +80,18 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, recall: float
     classes = rows.where("sig is not null").groupBy("sig", F.size("v").alias("dim")).agg(
         F.count("*").alias("copies"), F.min("vec_id").alias("least_id"), F.first("v").alias("v"))
     classes = saved_table(classes)
-    dims = [r[0] for r in classes.select("dim").distinct().limit(65).collect()]      # a table has one dimension, as a rule
-    if len(dims) > 64:
-        raise ValueError("vectors of more than 64 different lengths")
     bits, tables = layout(classes.count(), threshold, recall)
-    plane = {d: planes(d, bits, tables) for d in dims}
 
     def hashed(batches):
+        plane: dict[int, np.ndarray] = {}
         for b in batches:
             dim = b.column("dim").to_numpy()
             for d in np.unique(dim):
                 own = b.filter(pa.array(dim == d))
-                h = _signs(_matrix(own.column("v")), plane[int(d)], tables)
+                if int(d) not in plane:                          # follow from (length, seed), so any task makes the same
+                    plane.clear() if len(plane) >= 64 else None
+                    plane[int(d)] = planes(int(d), bits, tables)
+                h = _signs(_scaled(_matrix(own.column("v"))), plane[int(d)], tables)
                 yield pa.RecordBatch.from_arrays([own.column("sig"), own.column("dim"), own.column("copies"), own.column("v"),
                                                   pa.array(list(h), pa.list_(pa.int64()))], ["sig", "dim", "copies", "v", "h"])
 
@@ -101,7 +106,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, recall: float
     def compare(key, table):
         dim, t, b, p, q = (k.as_py() for k in key)
         own, h, copies = table["own"].to_numpy(), _matrix(table["h"]).astype(np.int64), table["copies"].to_numpy()
-        x = _matrix(table["v"])
+        x = _scaled(_matrix(table["v"]))
         norm = np.sqrt(np.einsum("ij,ij->i", x, x))
         links, parent = np.zeros(len(x), np.int64), np.arange(len(x))
         for i in range(0, len(x), 512):

@@ -187,3 +187,38 @@ def test_anchors_spread_over_key_ranges(spark):
     keys = np.unique(Anchors(column, LENGTH, GRAM).key)
     share = np.diff(B.cuts(keys, 16)) / len(keys)
     assert len(keys) > 2000 and share.max() < 3 / 16
+
+
+def test_short_keys_come_back():
+    import numpy as np
+    from regiflow.llm import blocks as B
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 2, 1000):
+        keys = np.unique(B.short(rng.integers(0, 2 ** 64, n, np.uint64)))
+        for part in (keys, keys[n // 3:], keys[:1]):
+            assert (B.unpack_short(B.pack_short(part)) == part).all()
+
+
+def test_vectors_of_many_lengths_and_sizes(spark):
+    """No limit on the number of lengths; vectors whose squares overflow or vanish still link."""
+    rows = [(2 * d + k, [float(i + 1) for i in range(d)]) for d in range(1, 91) for k in range(2)]
+    rows += [(1000, [1e200, 2e200]), (1001, [2e200, 4e200]), (1002, [1e-200, 2e-200]), (1003, [3e-200, -1e-200]), (1004, [1e-320, 2e-320])]
+    got = {r.vec_id: r for r in neardup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert all(got[2 * d + 1].component_id == got[2 * d].component_id for d in range(1, 91))
+    assert got[1000].component_id == got[1001].component_id == got[1002].component_id == got[4].component_id
+    assert got[1003].component_id != got[1000].component_id and got[1000].n_links >= 4
+
+
+def test_recall_of_the_registered_setting(spark):
+    import numpy as np
+    rng = np.random.default_rng(11)
+    base = rng.standard_normal((1500, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    side = rng.standard_normal((1500, 64))
+    side -= (side * base).sum(1, keepdims=True) * base
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    c = 0.951
+    rows = [(i, base[i].tolist()) for i in range(1500)] + [(5000 + i, (c * base[i] + np.sqrt(1 - c * c) * side[i]).tolist()) for i in range(1500)]
+    got = {r.vec_id: r.component_id for r in neardup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    found = sum(got[5000 + i] == got[i] for i in range(1500)) / 1500
+    assert found >= 0.98, found
