@@ -5,11 +5,16 @@ Cutoffs come from a fixed grid and are chosen per stratum (language) on labelled
 documents: for every stratum, rule and grid value the good labelled documents
 that the cutoff would reject are counted, and the exact binomial tail
 P(Bin(n, risk) <= rejected) is the p-value of "rejects more than ``risk`` of the
-good documents".  A cutoff is admitted if its p-value is at most
-``confidence_error`` divided by the number of tests made (Bonferroni over strata,
-rules and grid), and the smallest admitted cutoff is used.  So with probability
-1 - ``confidence_error`` no rule of any stratum rejects more than ``risk`` of the
-good documents.  Without enough labels a rule stays off.
+good documents".  The grid is tested as a fixed sequence from the loosest cutoff to
+the strictest: what a stricter cutoff rejects includes what a looser one does, so
+the p-values rise along it and no correction is due for the grid.  A cutoff is
+admitted if its p-value is at most ``error`` divided by the number of sequences
+(Bonferroni over strata, the pooled one included, and rules), and the strictest
+admitted cutoff is used.  A stratum with too few labels to admit any takes the
+cutoff admitted for all labelled documents together; ``pooled_rules`` lists the rules
+for which it does.  With probability 1 - ``error`` no rule rejects more than ``risk`` of
+the good documents of its own, or the pooled, stratum; all rules together reject at
+most the sum.  If the pool has too few labels as well, the rule is off.
 
 The base rules reject documents of fewer than 50 words and documents with over
 half of their words in repeated three-word windows.
@@ -82,33 +87,46 @@ def tail(k: Column | str, n: Column | str, risk: float) -> Column:
                   a.s + exp(a.l + ln(({n} - i + 1) / i * {risk}D / (1 - {risk}D))) as s)), a -> a.s) end""")
 
 
+SEQUENCES = (len(STRATA) + 2) * len(RULES)      # tests that are corrected for: declared strata, "other", the pool
+POOL = "*"
+LABELS = 1 << 20        # ids of labelled documents that are broadcast, at most
+
+
 def cutoffs(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
             risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """(stratum, a cutoff per rule, null: off): one row per stratum that has good labelled documents."""
+    """(stratum, a cutoff per rule, null: none): a row per stratum that has good labelled documents, and the pool's."""
     good = labels.where("quality is not null").groupBy(F.col("doc_id").alias("_id")).agg(
         F.min("quality").alias("q"), F.max(F.coalesce("toxic", F.lit(0))).alias("t")).where("q = 1 and t = 0").select("_id")
-    rated = features(docs.select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").alias("text"), stratum(lang).alias("stratum")), "text")
-    held = rated.select("_id", "stratum", "base_failed", *RULES).join(good, "_id")
+    # only labelled texts are rated here; few ids are broadcast, more are joined
+    good = F.broadcast(good) if good.count() <= LABELS else good
+    labelled = docs.select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").alias("text"), stratum(lang).alias("stratum")).join(good, "_id")
+    held = features(labelled, "text").select("stratum", "base_failed", *RULES)
     rejected = [F.sum((~F.col("base_failed") & (F.col(r) > c)).cast("long")).alias(f"{r}_{c}") for r in RULES for c in GRID]
-    counts = held.groupBy("stratum").agg(F.sum((~F.col("base_failed")).cast("long")).alias("n"), *rejected)   # a row per stratum
-    allowed = error / ((len(STRATA) + 1) * len(RULES) * len(GRID))
+    counts = held.rollup("stratum").agg(F.sum((~F.col("base_failed")).cast("long")).alias("n"), *rejected)   # a row per stratum, one for all
+    allowed = error / SEQUENCES
     best = [F.least(*[F.when(tail(f"{r}_{c}", "n", risk) <= allowed, F.lit(c)) for c in GRID]).alias(f"{r}_cutoff") for r in RULES]
-    return counts.select(F.col("stratum").alias("_stratum"), *best)
+    return counts.select(F.coalesce("stratum", F.lit(POOL)).alias("_stratum"), *best)
 
 
 def judge(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
           risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """Every document with its base columns, rates, cutoffs and ``kept``.
+    """Every document with its base columns, rates, cutoffs, ``pooled_rules`` and ``kept``.
 
-    The cutoffs are broadcast: at most one row per declared stratum and one for all others.
+    The cutoffs are broadcast: one row per declared stratum and one for all others.
     """
-    limits = F.broadcast(cutoffs(docs, labels, doc_id, text, lang, risk, error))
-    own = {"kept", "_stratum", *(f"{r}_cutoff" for r in RULES)}
+    names = [f"{r}_cutoff" for r in RULES]
+    found = cutoffs(docs, labels, doc_id, text, lang, risk, error).agg(
+        F.map_from_entries(F.collect_list(F.struct("_stratum", F.struct(*names)))).alias("m"))
+    limits = found.select("m", F.explode(F.array(*map(F.lit, (*STRATA, "other")))).alias("_stratum"))
+    mine, pool = F.try_element_at("m", F.col("_stratum")), F.try_element_at("m", F.lit(POOL))
+    pooled = F.filter(F.array(*[F.when(mine[c].isNull() & pool[c].isNotNull(), F.lit(r)) for r, c in zip(RULES, names)]), lambda x: x.isNotNull())
+    limits = F.broadcast(limits.select("_stratum", *[F.coalesce(mine[c], pool[c]).alias(c) for c in names], pooled.alias("pooled_rules")))
+    own = {"kept", "pooled_rules", "_stratum", *names}
     docs = docs.select(*[f"`{c}`" for c in docs.columns if c.lower() not in own])
-    rated = features(docs, text)
+    rated = features(docs, text).join(limits, stratum(lang) == F.col("_stratum"))
     # one least() and no conjunction: a filter on ``kept`` then stays above the rates it needs
     passes = F.least((~F.col("base_failed")).cast("int"), *[F.coalesce((F.col(r) <= F.col(f"{r}_cutoff")).cast("int"), F.lit(1)) for r in RULES]) == 1
-    return rated.join(limits, stratum(lang) == F.col("_stratum"), "left").withColumn("kept", passes).drop("_stratum")
+    return rated.withColumn("kept", passes).drop("_stratum")
 
 
 def verdicts(judged: DataFrame) -> DataFrame:
@@ -117,15 +135,14 @@ def verdicts(judged: DataFrame) -> DataFrame:
 
 def oracle() -> str:
     """The same verdicts in DuckDB SQL; the binomial tail by gamma functions."""
-    m = (len(STRATA) + 1) * len(RULES) * len(GRID)
     counted = ", ".join(f"sum(({r} > {c})::int) as {r}_{c}" for r in RULES for c in GRID)
     p = lambda k: (f"case when {k} >= {RISK} * n then 1.0 else list_sum(list_transform(range(0, ({k} + 1)::bigint), lambda i: "
                    f"exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({RISK}) + (n - i) * ln(1 - {RISK})))) end")
-    best = ", ".join("least(" + ", ".join(f"case when {p(f'{r}_{c}')} <= {ERROR / m!r} then {c} end" for c in GRID) + f") as {r}_cutoff" for r in RULES)
+    best = ", ".join("least(" + ", ".join(f"case when {p(f'{r}_{c}')} <= {ERROR / SEQUENCES!r} then {c} end" for c in GRID) + f") as {r}_cutoff" for r in RULES)
     rates = {"symbol_rate": ("n_symbols", "word_chars"), "dup_line_rate": ("n_dup_lines", "n_lines"), "repeat_rate": ("n_repeat_words", "n_words"),
              "capital_rate": ("n_capitals", "word_chars"), "mark_rate": ("n_marks", "word_chars")}
     rate = ", ".join(f"1000 * {a} // greatest({b}, 1) as {r}" for r, (a, b) in rates.items())
-    passes = " and ".join(f"coalesce({r} <= {r}_cutoff, true)" for r in RULES)
+    passes = " and ".join(f"coalesce({r} <= coalesce(k.{r}_cutoff, pool.{r}_cutoff), true)" for r in RULES)
     return rf"""
 with t as (select doc_id, coalesce(text, '') as t, case when lang in {STRATA!r} then lang else 'other' end as stratum from documents),
 w as (select *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as w,
@@ -141,7 +158,8 @@ b as materialized (select doc_id, stratum, len(w)::bigint as n_words, length(arr
       from w left join rep using (doc_id)),
 r as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed, {rate} from b),
 good as (select doc_id from labels where quality is not null group by doc_id having min(quality) = 1 and max(coalesce(toxic, 0)) = 0),
-n as materialized (select stratum, count(*) as n, {counted} from r join good using (doc_id) where not base_failed group by stratum),
-k as materialized (select stratum, {best} from n)
+n as materialized (select coalesce(stratum, '{POOL}') as stratum, count(*) as n, {counted} from r join good using (doc_id) where not base_failed
+      group by rollup (stratum)),
+k as materialized (select stratum, {best} from n where n > 0)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and {passes} as kept
-from r left join k using (stratum)"""
+from r left join k using (stratum) left join k pool on pool.stratum = '{POOL}'"""

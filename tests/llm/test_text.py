@@ -140,11 +140,16 @@ def test_cutoffs_keep_good_documents(spark):
     r = random.Random(6)
     prose = lambda: " ".join("".join(r.choice("aeioustnr") for _ in range(5)) for _ in range(60))
     rows = [(i, prose() + (" | # $ " * 40 if i % 5 == 0 else ""), "en") for i in range(1500)] + [(i, prose(), "de") for i in range(2000, 2100)]
+    rows += [(3000, prose().replace(" ", "# $"), "de")]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    labels = spark.createDataFrame([(i, int(i % 5 != 0 or i >= 2000), 0) for i, _, _ in rows], "doc_id long, quality int, toxic int")
+    labels = spark.createDataFrame([(i, int(i % 5 != 0 or i >= 2000), 0) for i, _, _ in rows if i < 3000], "doc_id long, quality int, toxic int")
     j = {x.doc_id: x for x in quality.judge(df, labels).collect()}
     assert all(j[i].kept == (i % 5 != 0) for i in range(1500))
-    assert j[1].symbol_rate_cutoff == 20 and j[2000].symbol_rate_cutoff is None and j[2000].kept
+    assert j[1].symbol_rate_cutoff == 20 and "symbol_rate" not in j[1].pooled_rules
+    # too few labels in German: the cutoff of the pool, marked so; unlabelled junk goes there too
+    assert j[2000].symbol_rate_cutoff == 20 and "symbol_rate" in j[2000].pooled_rules and j[2000].kept and not j[3000].kept
+    few = {x.doc_id: x for x in quality.judge(df, labels.limit(200)).collect()}       # too few in the pool as well: the rules are off
+    assert few[3000].kept and few[3000].symbol_rate_cutoff is None and few[3000].pooled_rules == []
 
 
 def test_quality_uses_no_python(spark):
