@@ -198,20 +198,19 @@ class Encoder:
         """(ids of all texts, where each text's begin)."""
         self.known.age()
         cut = [[] if not t else t.split() if not any(c in t for c in _OTHER_SPACE) else [t] for t in texts]
-        index: dict[str, int] = {}
-        number = [[index.setdefault(p, len(index)) for p in pieces] for pieces in cut]
+        coded = pa.array(list(chain.from_iterable(cut)), pa.large_string()).dictionary_encode()
+        index, seq = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
         new = self.known.missing(index)
         self.known.update(zip(new, self.encode_pieces(new)))
         table = [self.known[p] for p in index]
         size = np.fromiter(map(len, table), np.int64, len(table)) // 4
         flat = np.frombuffer(b"".join(table), "<u4")
         begin = np.cumsum(size) - size
-        seq = np.fromiter(chain.from_iterable(number), np.int64, sum(map(len, number)))
         n = size[seq] if len(seq) else seq
         ends = np.cumsum(n)
         total = int(ends[-1]) if len(ends) else 0
         ids = flat[np.arange(total) - np.repeat(ends - n - begin[seq], n)] if total else np.zeros(0, np.uint32)
-        per_text = np.concatenate(([0], np.cumsum([len(x) for x in number])))
+        per_text = np.concatenate(([0], np.cumsum([len(x) for x in cut])))
         return ids, np.concatenate(([0], ends))[per_text]
 
     def decode(self, ids: np.ndarray) -> str:

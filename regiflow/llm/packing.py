@@ -86,18 +86,20 @@ def tokenise(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = EN
         for batch in batches:
             for part in parts_of(batch, "_text"):
                 flat, at = _ENCODERS[path].encode(part.column("_text").to_pylist())
-                which, cols = [], [[], [], [], [], []]
-                for i, (a, b) in enumerate(zip(at, at[1:])):
-                    own = np.append(flat[a:b], np.uint32(end)).astype("<u4")
-                    for k, s in enumerate(range(0, len(own), capacity)):
-                        cut = own[s:s + capacity]
-                        which.append(i)
-                        for c, v in zip(cols, (k, s, len(cut), zlib.crc32(cut.tobytes()), cut.view(np.int32))):
-                            c.append(v)
-                arrays = [nullable(part.column("_row")).take(pa.array(which, pa.int64())), pa.array(cols[0], pa.int32()),
-                          *[pa.array(c, pa.int64()) for c in cols[1:4]]]
+                whole = np.insert(flat.astype("<u4"), at[1:], end) if len(at) > 1 else flat.astype("<u4")
+                at = at + np.arange(len(at))                       # each document has its end token now
+                n = np.diff(at)
+                pieces = -(-n // capacity)
+                which = np.repeat(np.arange(len(n)), pieces)
+                number = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                start = number * capacity
+                length = np.minimum(capacity, n[which] - start)
+                begin, raw = at[which] + start, memoryview(whole.tobytes())
+                crc = [zlib.crc32(raw[4 * a:4 * b]) for a, b in zip(begin.tolist(), (begin + length).tolist())]
+                arrays = [nullable(part.column("_row")).take(pa.array(which, pa.int64())), pa.array(number, pa.int32()),
+                          pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
                 if ids:
-                    arrays.append(pa.array(cols[4], pa.list_(pa.int32())))
+                    arrays.append(pa.ListArray.from_arrays(pa.array(np.append(begin, len(whole)), pa.int32()), pa.array(whole.view(np.int32))))
                 yield pa.RecordBatch.from_arrays(arrays, ["_row", *new])
 
     out = source.mapInArrow(run, f"_row {source.schema['_row'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long"
