@@ -98,13 +98,14 @@ def ingest_archives(spark: SparkSession, folder: str, entity: str, out_path: str
     batches = [0]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        good, bad = split_quarantine(parsed(batch.persist(), entity).drop("member"))
+        records = parsed(batch, entity).drop("member").persist()          # archives are inflated and parsed once for both tables
+        good, bad = split_quarantine(records)
         try:
             for df, path in ((normalize(good, entity), out_path), (bad, f"{out_path}_quarantine")):
                 (df.withColumn("year_month", F.lit(year_month)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy("year_month", "source_file").parquet(path))
         finally:
-            batch.unpersist()
+            records.unpersist()
         batches[0] += 1
 
     q = (archive_stream(spark, folder).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

@@ -226,3 +226,20 @@ def test_written_archives_are_archives(spark, tmp_path):
     back = archives.parsed(archives.archive_lines(spark, files), "Empresas")
     assert back.where(F.col("_corrupt_record").isNull()).count() == 5000
     assert back.select("source_file").distinct().count() == 3 and back.first()["razao_social"] == "PKé PK"
+
+
+def test_archive_rows_are_cut_once_however_the_bytes_come():
+    data = b"PKPaPKKPPK" * 50 + b"P"
+    for size in (1, 2, 3, 7, 1000):
+        cut = archives._Cut()
+        rows = [r for i in range(0, len(data), size) for r in cut.feed(data[i:i + size])]
+        assert [*rows, cut.close()] == data.split(b"PK")
+
+
+def test_a_batch_of_lines_is_deflated_at_once(monkeypatch):
+    import pyarrow as pa
+    calls, feed = [], archives._Zip.feed
+    monkeypatch.setattr(archives._Zip, "feed", lambda self, plain: calls.append(len(plain)) or feed(self, plain))
+    names, lines = ["a.zip"] * 3 + ["b.zip"] * 2, ["1", "é", "", "4", "5"]
+    out = list(archives._packed([pa.RecordBatch.from_arrays([pa.array(names), pa.array(lines)], ["source_file", "line"])] * 1))
+    assert calls == [5, 4] and {r["source_file"] for b in out for r in b.to_pylist()} == {"a.zip", "b.zip"}
