@@ -17,6 +17,7 @@ from regiflow.sinks.layout import write_keyed
 from regiflow.sources.footers import footer_statistics
 
 DEEP_OFFSET, DEEP_LIMIT = 700, 50
+MONTHS, FILE_ROWS = 3, 500_000        # months of the processed files; rows of one of a file's pieces, about
 _ORDER = "cnpj_basico NULLS LAST, razao_social NULLS LAST, natureza_juridica NULLS LAST, capital_social NULLS LAST, porte_empresa NULLS LAST"
 _COMP = f"({O.companies_sql()})"
 
@@ -53,7 +54,10 @@ def footer_row_counts(spark, sf):
     folder = R.shared_folder(spark, "processed")
     df = R.records(spark, sf, "Socios").withColumn("year_month", F.concat(F.lit("2025-0"), F.col("_k") % 3 + 1)).withColumn(
         "source_file", F.concat(F.lit("Socios"), F.pmod("_k", F.lit(R.PARTS)), F.lit(".parquet"))).drop("_k")
-    df.repartition("year_month", "source_file").write.partitionBy("year_month", "source_file").parquet(folder)
+    # a processed file may hold a share of all rows: it is written in pieces by as many tasks, so a task's rows stay bounded
+    pieces = 1 + df.count() // (MONTHS * R.PARTS * FILE_ROWS)
+    piece = F.pmod(F.xxhash64(*df.columns), F.lit(pieces))
+    df.repartition(2 * MONTHS * R.PARTS * pieces, "year_month", "source_file", piece).write.partitionBy("year_month", "source_file").parquet(folder)
     return footer_statistics(spark, folder).select("year_month", "source_file", "row_count", (F.col("size_bytes") > 0).alias("has_bytes"))
 
 

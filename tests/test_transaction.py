@@ -107,3 +107,16 @@ def test_counts_come_from_footers(spark, tmp_path):
     assert stats.agg(F.sum("files")).first()[0] >= 21 and stats.where("size_bytes <= 0").count() == 0
     with pytest.raises(ValueError):
         footer_counts(spark, folder, ("month",))
+
+
+def test_processed_files_are_written_in_pieces(spark, monkeypatch):
+    from regiflow.plans import q_warehouse
+    from regiflow.plans import records as R
+    from regiflow.sources.footers import footer_statistics
+    made, own = [], R.shared_folder
+    monkeypatch.setattr(R, "shared_folder", lambda s, name: made.append(own(s, name)) or made[-1])
+    monkeypatch.setattr(q_warehouse, "FILE_ROWS", 20, raising=False)
+    rows = {(r.year_month, r.source_file): r.row_count for r in q_warehouse.footer_row_counts(spark, SF_SMALL).collect()}
+    files = {(r.year_month, r.source_file): r.files for r in footer_statistics(spark, made[0]).collect()}
+    assert sum(rows.values()) == R.records(spark, SF_SMALL, "Socios").count() and rows.keys() == files.keys()
+    assert max(files.values()) > 5
