@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from regiflow.llm.blocks import nullable
 
-REMEMBERED = 800_000       # encoded pieces, and merged words, of a generation kept in a worker
+REMEMBERED = 500_000       # encoded pieces, and merged words, of a generation kept in a worker
 NONE, GONE = 65_535, 65_536    # no token; taken up by a merge
 _OTHER_SPACE = "\x1c\x1d\x1e\x1f"     # split() cuts at these, the splitting rule does not
 
@@ -177,6 +177,19 @@ class Memory(dict):
             self.clear()
 
 
+def _cut(texts: list[str | None]) -> tuple[pa.Array, np.ndarray]:
+    """(the white-space pieces of all texts, where each text's begin).  Arrow cuts at what ``str.split``
+    cuts at; a text with characters of ``_OTHER_SPACE`` is one piece."""
+    if any(c in t for t in texts if t for c in _OTHER_SPACE):
+        cut = [[] if not t else t.split() if not any(c in t for c in _OTHER_SPACE) else [t] for t in texts]
+        return pa.array(list(chain.from_iterable(cut)), pa.large_string()), np.concatenate(([0], np.cumsum([len(x) for x in cut], dtype=np.int64)))
+    cut = pc.utf8_split_whitespace(pa.array([t or "" for t in texts], pa.large_string()))
+    words, at = cut.flatten(), np.append(0, np.cumsum(pc.list_value_length(cut).to_numpy(), dtype=np.int64))
+    full = pc.greater(pc.binary_length(words), 0)            # white space at a text's ends leaves an empty piece
+    kept = np.append(0, np.cumsum(full.to_numpy(zero_copy_only=False), dtype=np.int64))
+    return words.filter(full), kept[at]
+
+
 class Encoder:
     """Texts to ids through the distinct white-space pieces of a batch."""
 
@@ -197,12 +210,12 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, where each text's begin)."""
         self.known.age()
-        cut = [[] if not t else t.split() if not any(c in t for c in _OTHER_SPACE) else [t] for t in texts]
-        coded = pa.array(list(chain.from_iterable(cut)), pa.large_string()).dictionary_encode()
-        index, seq = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        words, per_text = _cut(texts)
+        coded = words.dictionary_encode()
+        index, seq = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy().astype(np.int64)
         new = self.known.missing(index)
         self.known.update(zip(new, self.encode_pieces(new)))
-        table = [self.known[p] for p in index]
+        table = list(map(self.known.__getitem__, index))
         size = np.fromiter(map(len, table), np.int64, len(table)) // 4
         flat = np.frombuffer(b"".join(table), "<u4")
         begin = np.cumsum(size) - size
@@ -210,7 +223,6 @@ class Encoder:
         ends = np.cumsum(n)
         total = int(ends[-1]) if len(ends) else 0
         ids = flat[np.arange(total) - np.repeat(ends - n - begin[seq], n)] if total else np.zeros(0, np.uint32)
-        per_text = np.concatenate(([0], np.cumsum([len(x) for x in cut])))
         return ids, np.concatenate(([0], ends))[per_text]
 
     def decode(self, ids: np.ndarray) -> str:
@@ -228,7 +240,7 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def parts_of(batch: pa.RecordBatch, column: str, size: int = 2 << 20):
+def parts_of(batch: pa.RecordBatch, column: str, size: int = 6 << 20):
     """Slices of a batch of about ``size`` bytes of text."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     at, i = np.concatenate(([0], np.cumsum(lengths))), 0

@@ -338,3 +338,13 @@ def test_sequences(spark):
     placed = packing.pack(df, tokenizer_path(), capacity=50)
     got = packing.sequences(pieces, placed, ["doc_id"]).collect()
     assert sum(len(g.ids) for g in got) == placed.agg(F.sum("length")).first()[0] and max(len(g.ids) for g in got) <= 50
+
+
+def test_pieces_are_cut_as_split_does():
+    import sys
+    odd = "".join(f"a{chr(i)}" for i in range(sys.maxunicode + 1) if chr(i).isspace() and chr(i) not in bpe._OTHER_SPACE)
+    texts = [None, "", " ", " a  b\n", "x", odd, "é　 ü ", "tail\t"]
+    for more in ([], ["p\x1cq r", ""]):
+        words, at = bpe._cut(texts + more)
+        found = [words.slice(int(a), int(b - a)).to_pylist() for a, b in zip(at, at[1:])]
+        assert found == [(t or "").split() if "\x1c" not in (t or "") else [t] for t in texts + more]
