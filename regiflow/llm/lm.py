@@ -209,23 +209,43 @@ def ngram_keys(token: np.ndarray, begin: np.ndarray, order: int) -> np.ndarray:
     return (context & ~_U((1 << bits) - 1)) | (B.mix(token) >> _U(64 - bits))
 
 
-def _unigrams(table: pa.Table, n_ranges: int, train: str, text: str, block: int) -> pa.Table:
+HELD = 1 << 19        # distinct words that a task of ``totals`` gathers before it sends them
+
+
+def _unigrams(table: pa.Table, train: str, text: str) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct words of the training rows, sorted, their counts)."""
     token, begin = tokens(table[text])
     keep = np.repeat(table[train].to_numpy(zero_copy_only=False).astype(bool), np.diff(begin))
-    keys, count = np.unique(ngram_keys(token, begin, 1)[keep], return_counts=True)
-    return B.sent_rows(block, keys, n_ranges, count.astype(np.int64))
+    return np.unique(ngram_keys(token, begin, 1)[keep], return_counts=True)
+
+
+def _added(keys: np.ndarray, count: np.ndarray, more: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    both, inverse = np.unique(np.concatenate((keys, more)), return_inverse=True)
+    out = np.zeros(len(both), np.int64)
+    np.add.at(out, inverse, np.concatenate((count, n)))
+    return both, out
+
+
+def _codes(*codes: np.ndarray) -> bytes:
+    """16-bit codes by byte plane, compressed."""
+    return B.squeeze(np.stack([x.astype("<u2").view(np.uint8).reshape(-1, 2).T for x in codes]).tobytes())
 
 
 def totals(docs: DataFrame, n_ranges: int) -> tuple[int, int]:
     """(N, V): training tokens and distinct ones, of all rows with ``_train``."""
     def emit(batches):
+        keys, n = np.zeros(0, _U), np.zeros(0, np.int64)
         for b in batches:
-            t = pa.Table.from_batches([b])
-            yield from _unigrams(t, n_ranges, "_train", "_text", 0).to_batches()
+            keys, n = _added(keys, n, *_unigrams(pa.Table.from_batches([b]), "_train", "_text"))
+            if len(keys) > HELD:
+                yield from B.sent_rows(0, keys, n_ranges, n, B.pack_steps).to_batches()
+                keys, n = keys[:0], n[:0]
+        if len(keys):
+            yield from B.sent_rows(0, keys, n_ranges, n, B.pack_steps).to_batches()
 
     def count(table):
-        _, keys, _ = B.received(table)
-        n = np.frombuffer(b"".join(table["extra"].to_pylist()), np.int64)
+        _, keys, _ = B.received(table, B.unpack_steps)
+        n = B.counts_of(table, np.int64)
         return pa.table({"n": pa.array([int(n.sum())], pa.int64()), "v": pa.array([len(np.unique(keys))], pa.int64())})
 
     got = B.per_range(docs.select("_text", "_train").mapInArrow(emit, B.SENT), count, "n long, v long").agg(F.sum("n"), F.sum("v")).first()
@@ -237,8 +257,9 @@ def score(docs: DataFrame, held_out, order: int = ORDER, text: str = "text") ->
     ``base_score`` and ``score``; the model learns from rows whose ``held_out`` is not true."""
     marked = docs.withColumn("_held", F.coalesce(held_out, F.lit(False)))
     n_blocks, n_ranges = B.sizes(docs, text)
+    n_blocks = max(B.MIN_PARTS, n_blocks // 2)        # what a larger block repeats is sent once
     n, v = totals(docs.select(F.col(f"`{text}`").alias("_text"), (~F.coalesce(held_out, F.lit(False))).alias("_train")), n_ranges)
-    blocked = B.blocks(marked, n_blocks, text)
+    blocked = B.packed_blocks(marked, n_blocks, text)
 
     def trained(table):
         return ~pa.concat_arrays(table[B.ROW].chunks).field("_held").to_numpy(zero_copy_only=False).astype(bool)
@@ -250,23 +271,23 @@ def score(docs: DataFrame, held_out, order: int = ORDER, text: str = "text") ->
         for k in range(1, order + 1):
             keys, inverse = np.unique(ngram_keys(token, begin, k), return_inverse=True)
             count = np.bincount(inverse[learn], minlength=len(keys)).astype(np.int32)
-            rows = B.sent_rows(B.key_of(key), keys, n_ranges, count)
+            rows = B.sent_rows(B.key_of(key), keys, n_ranges, count, B.pack_steps)
             out.append(rows.set_column(0, "range", pa.array(rows["range"].to_numpy() + (k - 1) * n_ranges, pa.int32())))
         return pa.concat_tables(out)
 
     def answer(table):
-        _, keys, at = B.received(table)
-        count = np.frombuffer(b"".join(table["extra"].to_pylist()), np.int32)
+        _, keys, at = B.received(table, B.unpack_steps)
+        count = B.counts_of(table)
         distinct, inverse = np.unique(keys, return_inverse=True)
         total = np.bincount(inverse, count, len(distinct)).astype(np.int64)
         seen = total > 0
         k = 1 + table["range"][0].as_py() // n_ranges
         if k == 1:
             mine = WordLevel(distinct[seen], total[seen]).query(keys)
-            return B.reply_rows(table, [B.pack(mine[a:b]) for a, b in zip(at, at[1:])])
+            return B.reply_rows(table, [B.squeeze(B.pack(mine[a:b])) for a, b in zip(at, at[1:])])
         level = TrieLevel(distinct[seen], total[seen], word_bits(k))
         alpha, gamma = level.query(keys)
-        return B.reply_rows(table, [alpha[a:b].tobytes() + gamma[a:b].tobytes() for a, b in zip(at, at[1:])])
+        return B.reply_rows(table, [_codes(alpha[a:b], gamma[a:b]) for a, b in zip(at, at[1:])])
 
     def apply(key, left, right):
         token, begin = tokens(left[B.TEXT])
@@ -279,7 +300,7 @@ def score(docs: DataFrame, held_out, order: int = ORDER, text: str = "text") ->
             if k == 1:
                 c = np.zeros(len(keys), np.int64)
                 for a, x in got:
-                    y = B.unpack(x).astype(np.int64)
+                    y = B.unpack(B.loosen(x)).astype(np.int64)
                     c[a:a + len(y)] = y
                 count = c[inverse]
                 p = (count + 1) / (n + 1 * (v + 1))
@@ -287,7 +308,8 @@ def score(docs: DataFrame, held_out, order: int = ORDER, text: str = "text") ->
             else:
                 codes = np.zeros((2, len(keys)), np.uint16)
                 for a, x in got:
-                    y = np.frombuffer(x, np.uint16).reshape(2, -1)
+                    y = np.frombuffer(B.loosen(x), np.uint8).reshape(2, 2, -1).astype(np.uint16)
+                    y = y[:, 0] | y[:, 1] << 8
                     codes[:, a:a + y.shape[1]] = y
                 alpha, gamma = VALUE[codes][:, inverse]
                 p = alpha + gamma * p

@@ -241,7 +241,7 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str
 
     def frequency(table):
         _, keys, at = B.received(table, B.unpack_short)
-        count = np.frombuffer(b"".join(table["extra"].to_pylist()), np.uint8).astype(np.int64)
+        count = B.counts_of(table, np.uint8).astype(np.int64)
         _, inverse = np.unique(keys, return_inverse=True)
         total = np.minimum(np.bincount(inverse, count), 255).astype(np.uint8)[inverse]
         return B.reply_rows(table, [total[a:b].tobytes() for a, b in zip(at, at[1:])])

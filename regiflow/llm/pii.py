@@ -149,9 +149,9 @@ def disclosure(n_te, n_t, n_e, n: int) -> np.ndarray:
 
 def _totals(table: pa.Table) -> pa.Table:
     """Answer: for each block, the documents of each of its keys in all blocks."""
-    _, keys, at = B.received(table)
+    _, keys, at = B.received(table, B.unpack_steps)
     distinct, inverse = np.unique(keys, return_inverse=True)
-    count = np.frombuffer(b"".join(table["extra"].to_pylist()), np.int32)
+    count = B.counts_of(table)
     total = np.bincount(inverse, count, len(distinct)).astype(np.int64)[inverse]
     return B.reply_rows(table, [total[a:b].tobytes() for a, b in zip(at, at[1:])])
 
@@ -206,11 +206,11 @@ def find(docs: DataFrame, text: str = "text", support: int = SUPPORT, generalise
     points, end exclusive), in order of start, then kind; the text only if asked for."""
     n_blocks, n_ranges = B.sizes(docs, text)
     n = docs.count()
-    blocked = B.blocks(docs, n_blocks, text)
+    blocked = B.packed_blocks(docs, n_blocks, text)
 
     def emit(key, table):
         block = _Block(table[B.TEXT])
-        return B.sent_rows(B.key_of(key), block.keys, n_ranges, block.count.astype(np.int32))
+        return B.sent_rows(B.key_of(key), block.keys, n_ranges, block.count.astype(np.int32), B.pack_steps)
 
     def pair(key, left, right):
         block = _Block(left[B.TEXT])
@@ -224,7 +224,7 @@ def find(docs: DataFrame, text: str = "text", support: int = SUPPORT, generalise
         if not len(terms):
             return B.reply_rows(left, [None] * len(left))
         replies = []
-        for keys in map(B.unpack, left["keys"].to_pylist()):
+        for keys in map(B.unpack_steps, left["keys"].to_pylist()):
             place = np.minimum(np.searchsorted(terms, keys), len(terms) - 1)
             mine = np.where(terms[place] == keys, action[place], 0).astype(np.uint8)
             replies.append(mine.tobytes() if mine.any() else None)
