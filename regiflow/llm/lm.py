@@ -14,8 +14,8 @@ the running sum of their counts, both Elias-Fano coded, the others:
 
 A query finds its context, takes the pointers' range and searches the successor
 of its word relative to that context.  Blocks of documents send their distinct
-n-grams with their training counts once (``blocks``); the same exchange carries
-what is learnt and what is asked.
+n-grams with their training counts once (``blocks``), each context once with its
+successors; the same exchange carries what is learnt and what is asked.
 
 An n-gram is known by 64 bits: of two words 36 of its context and 28 of its word, of
 more words, which have more contexts and fewer successors, 40 and 24 (of 10**9
@@ -226,9 +226,32 @@ def _added(keys: np.ndarray, count: np.ndarray, more: np.ndarray, n: np.ndarray)
     return both, out
 
 
-def _codes(*codes: np.ndarray) -> bytes:
-    """16-bit codes by byte plane, compressed."""
-    return B.squeeze(np.stack([x.astype("<u2").view(np.uint8).reshape(-1, 2).T for x in codes]).tobytes())
+def _opens(keys: np.ndarray, bits: int) -> np.ndarray:
+    """True at the first of each context's sorted n-grams."""
+    context = keys >> _U(bits)
+    return np.append(np.ones(min(1, len(keys)), bool), context[1:] != context[:-1])
+
+
+def pack_ngrams(keys: np.ndarray, bits: int) -> bytes:
+    """Sorted n-grams, all bits kept: each context once, how many successors it has, and these."""
+    first = np.flatnonzero(_opens(keys, bits))
+    return B.joined(B.pack_steps(keys[first] >> _U(bits)), B.pack_values(np.diff(np.append(first, len(keys))) - 1),
+                    B.pack_listed(keys & _U((1 << bits) - 1)))
+
+
+def unpack_ngrams(data: bytes, bits: int) -> np.ndarray:
+    context, more, word = B.parted(data)
+    return np.repeat(B.unpack_steps(context), B.unpack_values(more).astype(np.int64) + 1) << _U(bits) | B.unpack_listed(word)
+
+
+def pack_codes(keys: np.ndarray, bits: int, alpha: np.ndarray, gamma: np.ndarray) -> bytes:
+    """The reply to ``keys``: the codes of the n-grams, and those of their contexts once each."""
+    return B.joined(B.pack_listed(alpha), B.pack_listed(gamma[_opens(keys, bits)]))
+
+
+def unpack_codes(data: bytes, keys: np.ndarray, bits: int) -> np.ndarray:
+    alpha, gamma = map(B.unpack_listed, B.parted(data))
+    return np.stack((alpha, gamma[np.cumsum(_opens(keys, bits)) - 1])).astype(np.uint16)
 
 
 def totals(docs: DataFrame, n_ranges: int) -> tuple[int, int]:
@@ -258,6 +281,7 @@ def score(docs: DataFrame, held_out, order: int = ORDER, text: str = "text") ->
     marked = docs.withColumn("_held", F.coalesce(held_out, F.lit(False)))
     n_blocks, n_ranges = B.sizes(docs, text)
     n_blocks = max(B.MIN_PARTS, n_blocks // 2)        # what a larger block repeats is sent once
+    n_ranges = max(B.MIN_PARTS, n_ranges // 4)        # what a block sends to a larger range packs better
     n, v = totals(docs.select(F.col(f"`{text}`").alias("_text"), (~F.coalesce(held_out, F.lit(False))).alias("_train")), n_ranges)
     blocked = B.packed_blocks(marked, n_blocks, text)
 
@@ -271,23 +295,23 @@ def score(docs: DataFrame, held_out, order: int = ORDER, text: str = "text") ->
         for k in range(1, order + 1):
             keys, inverse = np.unique(ngram_keys(token, begin, k), return_inverse=True)
             count = np.bincount(inverse[learn], minlength=len(keys)).astype(np.int32)
-            rows = B.sent_rows(B.key_of(key), keys, n_ranges, count, B.pack_steps)
+            rows = B.sent_rows(B.key_of(key), keys, n_ranges, count, B.pack_steps if k == 1 else lambda x: pack_ngrams(x, word_bits(k)))
             out.append(rows.set_column(0, "range", pa.array(rows["range"].to_numpy() + (k - 1) * n_ranges, pa.int32())))
         return pa.concat_tables(out)
 
     def answer(table):
-        _, keys, at = B.received(table, B.unpack_steps)
+        k = 1 + table["range"][0].as_py() // n_ranges
+        _, keys, at = B.received(table, B.unpack_steps if k == 1 else lambda x: unpack_ngrams(x, word_bits(k)))
         count = B.counts_of(table)
         distinct, inverse = np.unique(keys, return_inverse=True)
         total = np.bincount(inverse, count, len(distinct)).astype(np.int64)
         seen = total > 0
-        k = 1 + table["range"][0].as_py() // n_ranges
         if k == 1:
             mine = WordLevel(distinct[seen], total[seen]).query(keys)
             return B.reply_rows(table, [B.squeeze(B.pack(mine[a:b])) for a, b in zip(at, at[1:])])
         level = TrieLevel(distinct[seen], total[seen], word_bits(k))
         alpha, gamma = level.query(keys)
-        return B.reply_rows(table, [_codes(alpha[a:b], gamma[a:b]) for a, b in zip(at, at[1:])])
+        return B.reply_rows(table, [pack_codes(keys[a:b], word_bits(k), alpha[a:b], gamma[a:b]) for a, b in zip(at, at[1:])])
 
     def apply(key, left, right):
         token, begin = tokens(left[B.TEXT])
@@ -296,21 +320,18 @@ def score(docs: DataFrame, held_out, order: int = ORDER, text: str = "text") ->
         for k in range(1, order + 1):
             keys, inverse = np.unique(ngram_keys(token, begin, k), return_inverse=True)
             edge = B.cuts(keys, n_ranges)
-            got = [(edge[r - (k - 1) * n_ranges], x) for r, x in replies.items() if (k - 1) * n_ranges <= r < k * n_ranges]
+            got = [(edge[i], edge[i + 1], x) for i, x in ((r - (k - 1) * n_ranges, x) for r, x in replies.items()) if 0 <= i < n_ranges]
             if k == 1:
                 c = np.zeros(len(keys), np.int64)
-                for a, x in got:
-                    y = B.unpack(B.loosen(x)).astype(np.int64)
-                    c[a:a + len(y)] = y
+                for a, b, x in got:
+                    c[a:b] = B.unpack(B.loosen(x)).astype(np.int64)
                 count = c[inverse]
                 p = (count + 1) / (n + 1 * (v + 1))
                 base = np.log10(p)
             else:
                 codes = np.zeros((2, len(keys)), np.uint16)
-                for a, x in got:
-                    y = np.frombuffer(B.loosen(x), np.uint8).reshape(2, 2, -1).astype(np.uint16)
-                    y = y[:, 0] | y[:, 1] << 8
-                    codes[:, a:a + y.shape[1]] = y
+                for a, b, x in got:
+                    codes[:, a:b] = unpack_codes(x, keys[a:b], word_bits(k))
                 alpha, gamma = VALUE[codes][:, inverse]
                 p = alpha + gamma * p
         sums = lambda x: pa.array(np.add.reduceat(x, begin[:-1]))

@@ -45,3 +45,36 @@ def test_words_of_many_batches_are_gathered(spark):
         assert lm.totals(docs, 64) == (15, 3)        # three words and an end, three ends; a, b and the end
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+@pytest.mark.parametrize("n", [1, 2, 5000])
+@pytest.mark.parametrize("bits", [lm.WORD_BITS, lm.LONG_WORD_BITS])
+def test_ngrams_and_codes_come_back(n, bits):
+    rng = np.random.default_rng(n)
+    edge = np.array([0, (1 << 64) - 1], np.uint64)[:n]
+    context, word = rng.integers(0, 1 << (64 - bits), n // 2 + 1, np.uint64), rng.integers(0, 1 << bits, n // 3 + 1, np.uint64)
+    keys = np.unique(np.append(edge, rng.choice(context, n) << np.uint64(bits) | rng.choice(word, n)))
+    assert lm.unpack_ngrams(lm.pack_ngrams(keys, bits), bits).tolist() == keys.tolist()
+    alpha, by_context = rng.integers(0, 65536, len(keys)).astype(np.uint16), rng.integers(0, 65536, len(keys)).astype(np.uint16)
+    gamma = by_context[np.unique(keys >> np.uint64(bits), return_inverse=True)[1]]
+    back = lm.unpack_codes(lm.pack_codes(keys, bits, alpha, gamma), keys, bits)
+    assert back[0].tolist() == alpha.tolist() and back[1].tolist() == gamma.tolist()
+
+
+def test_ngrams_take_less_room():
+    rng = np.random.default_rng(7)
+    words = rng.integers(0, (1 << 64) - 1, 20_000, np.uint64)[np.minimum(rng.zipf(1.3, 300_000), 20_000) - 1]
+    for order, room in ((2, 4.5), (3, 5.3)):                  # 6 and 5.7 bytes a key as steps
+        keys = np.unique(lm.ngram_keys(words, np.array([0, len(words)]), order))
+        keys = keys[keys < np.uint64(1 << 62)]
+        size = len(lm.pack_ngrams(keys, lm.word_bits(order)))
+        assert size < room * len(keys) and size < 0.93 * len(B.pack_steps(keys))
+
+
+def test_freed_memory_goes_back_after_a_task(monkeypatch):
+    given = []
+    monkeypatch.setattr(B, "give_back", lambda result=None: given.append(1) or result)
+    run = B.tidy(lambda batches: (b for b in batches))
+    batches = run(iter([1, 2]))
+    assert next(batches) == 1 and not given
+    assert list(batches) == [2] and given == [1]
