@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiflow.llm.blocks import nullable
+from regiflow.llm.blocks import nullable, tidy
 
 REMEMBERED = 500_000       # encoded pieces, and merged words, of a generation kept in a worker
 NONE, GONE = 65_535, 65_536    # no token; taken up by a merge
@@ -240,7 +240,7 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def parts_of(batch: pa.RecordBatch, column: str, size: int = 6 << 20):
+def parts_of(batch: pa.RecordBatch, column: str, size: int = 3 << 20):
     """Slices of a batch of about ``size`` bytes of text."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     at, i = np.concatenate(([0], np.cumsum(lengths))), 0
@@ -271,7 +271,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", decoded: bool = False
                 yield pa.RecordBatch.from_arrays(cols, ["_row", *new])
 
     row = source.schema["_row"].dataType.simpleString()
-    out = source.mapInArrow(run, f"_row {row}, ids array<int>" + ", decoded string" * decoded)
+    out = source.mapInArrow(tidy(run), f"_row {row}, ids array<int>" + ", decoded string" * decoded)
     return out.select(*[F.col("_row")[c].alias(c) for c in keep], *new)
 
 
@@ -286,7 +286,7 @@ def decode(coded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
             text = [e.decode(np.array(x or [], np.int64)) for x in batch.column("_ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([nullable(batch.column("_row")), pa.array(text, pa.string())], ["_row", "decoded"])
 
-    out = source.mapInArrow(run, f"_row {source.schema['_row'].dataType.simpleString()}, decoded string")
+    out = source.mapInArrow(tidy(run), f"_row {source.schema['_row'].dataType.simpleString()}, decoded string")
     return out.select(*[F.col("_row")[c].alias(c) for c in keep], "decoded")
 
 
@@ -307,4 +307,4 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
                     pa.array([hashlib.sha256(e.decode(x).encode()).hexdigest() for x in spans])],
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

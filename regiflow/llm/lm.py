@@ -281,7 +281,7 @@ def score(docs: DataFrame, held_out, order: int = ORDER, text: str = "text") ->
     marked = docs.withColumn("_held", F.coalesce(held_out, F.lit(False)))
     n_blocks, n_ranges = B.sizes(docs, text)
     n_blocks = max(B.MIN_PARTS, n_blocks // 2)        # what a larger block repeats is sent once
-    n_ranges = max(B.MIN_PARTS, n_ranges // 4)        # what a block sends to a larger range packs better
+    n_ranges = max(B.MIN_PARTS, n_ranges // 8)        # what a block sends to a larger range packs better
     n, v = totals(docs.select(F.col(f"`{text}`").alias("_text"), (~F.coalesce(held_out, F.lit(False))).alias("_train")), n_ranges)
     blocked = B.packed_blocks(marked, n_blocks, text)
 

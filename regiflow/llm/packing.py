@@ -22,18 +22,20 @@ from __future__ import annotations
 import bisect
 import zlib
 from collections import defaultdict
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from regiflow.llm.blocks import nullable
+from regiflow.llm.blocks import nullable, tidy
 from regiflow.llm.bpe import REMEMBERED, Encoder, Memory, parts_of
 from regiflow.llm.graph import saved_table
 
 CAPACITY, END = 4096, 1
 SALTS = 256
+AT_ONCE = 20_000      # pieces that the library encodes in one call
 
 
 class LibraryEncoder(Encoder):
@@ -46,6 +48,10 @@ class LibraryEncoder(Encoder):
         self.library.no_padding()
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """At most ``AT_ONCE`` pieces at a time: the library's results take many times the ids' room."""
+        return list(chain.from_iterable(self._encode_some(pieces[k:k + AT_ONCE]) for k in range(0, len(pieces), AT_ONCE)))
+
+    def _encode_some(self, pieces: list[str]) -> list[bytes]:
         """Pieces without white space inside go 50 to a text, told apart by the tokens' offsets."""
         out: list = [None] * len(pieces)
         plain = [i for i, p in enumerate(pieces) if len(p.split()) == 1]
@@ -102,7 +108,7 @@ def tokenise(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = EN
                     arrays.append(pa.ListArray.from_arrays(pa.array(np.append(begin, len(whole)), pa.int32()), pa.array(whole.view(np.int32))))
                 yield pa.RecordBatch.from_arrays(arrays, ["_row", *new])
 
-    out = source.mapInArrow(run, f"_row {source.schema['_row'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long"
+    out = source.mapInArrow(tidy(run), f"_row {source.schema['_row'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long"
                             + ", ids array<int>" * ids)
     return out.select(*[F.col("_row")[c].alias(c) for c in keep], *new)
 
@@ -210,7 +216,7 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, t
             yield pa.RecordBatch.from_arrays([nullable(b.column("_row")), pa.array(seq, pa.int64()), pa.array(offset, pa.int64())],
                                              ["_row", "sequence_id", "offset"])
 
-    out = ranked.mapInArrow(locate, f"_row {ranked.schema['_row'].dataType.simpleString()}, sequence_id long, offset long")
+    out = ranked.mapInArrow(tidy(locate), f"_row {ranked.schema['_row'].dataType.simpleString()}, sequence_id long, offset long")
     return out.select(*[F.col("_row")[c].alias(c) for c in rest], "sequence_id", "offset")
 
 

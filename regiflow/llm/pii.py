@@ -201,9 +201,10 @@ def _actions(p: np.ndarray, n: int, support: int, generalise: float, remove: flo
 
 
 def find(docs: DataFrame, text: str = "text", support: int = SUPPORT, generalise: float = GENERALISE,
-         remove: float = REMOVE, with_text: bool = False) -> DataFrame:
+         remove: float = REMOVE, with_text: bool = False, replaced: bool = False) -> DataFrame:
     """Every document's other columns with ``spans`` (array of kind, start, end, action; code
-    points, end exclusive), in order of start, then kind; the text only if asked for."""
+    points, end exclusive), in order of start, then kind; the text only if asked for, with the
+    spans ``replaced`` if that is asked for too, in the same task, which then needs one worker."""
     n_blocks, n_ranges = B.sizes(docs, text)
     n = docs.count()
     blocked = B.packed_blocks(docs, n_blocks, text)
@@ -242,40 +243,35 @@ def find(docs: DataFrame, text: str = "text", support: int = SUPPORT, generalise
                 found += [(words[j][0], len(KINDS) - 1, words[j][1], ACTIONS[mine[j]]) for j in np.flatnonzero(term & (mine > 0))]
             spans.append([{"kind": KINDS[k], "start": s, "end": e, "action": a} for s, k, e, a in sorted(found)])
         cols = {B.ROW: B.nullable(left[B.ROW]), "spans": pa.array(spans, _SPAN)}
-        return pa.table(cols | ({B.TEXT: left[B.TEXT]} if with_text else {}))
+        if replaced:
+            cols[B.TEXT] = pa.array([_clean(t, s) for t, s in zip(left[B.TEXT].to_pylist(), spans)], pa.string())
+        elif with_text:
+            cols[B.TEXT] = left[B.TEXT]
+        return pa.table(cols)
 
     sent = B.per_block(blocked, emit)
     pairs = B.with_answers(blocked, B.per_range(sent, _totals), pair, "range int, pairs binary")
-    told = sent.groupBy("range").cogroup(pairs.groupBy("range")).applyInArrow(tell, B.REPLY)
+    told = sent.groupBy("range").cogroup(pairs.groupBy("range")).applyInArrow(lambda key, left, right: B.give_back(tell(key, left, right)), B.REPLY)
     out = B.with_answers(blocked, told, apply, f"{B.ROW} {blocked.schema[B.ROW].dataType.simpleString()}, "
                          "spans array<struct<kind:string,start:int,end:int,action:string>>" + f", {B.TEXT} string" * with_text)
     names = [c for c in docs.columns if c != text and c.lower() != "spans"]
     return out.select(*[F.col(B.ROW)[c].alias(c) for c in names], *([F.col(B.TEXT).alias(text)] * with_text), "spans")
 
 
+def _clean(t: str | None, spans) -> str | None:
+    out, at = [], 0
+    for s in spans if t else []:
+        if s["start"] >= at:
+            out += [t[at:s["start"]], "" if s["action"] == "remove" else f"[{s['kind'].upper()}]"]
+        at = max(at, s["end"])
+    return "".join([*out, t[at:]]) if t and out else t
+
+
 def sanitise(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """``docs`` with personal data replaced: base spans and generalised terms by their kind in
     brackets, removed terms by nothing; overlapping spans are replaced as one, by the first's kind."""
-    found = find(docs.drop("spans"), text, with_text=True, **options)
-    keep = [c for c in docs.columns if c != text and c.lower() != "spans"]
-    source = found.select(F.struct(*[F.col(f"`{c}`") for c in keep], F.lit(0).alias("_none")).alias(B.ROW), F.col(f"`{text}`").alias(B.TEXT), "spans")
-    kind = source.schema[B.ROW].dataType.simpleString()
-
-    def clean(t: str | None, spans) -> str | None:
-        out, at = [], 0
-        for s in spans if t else []:
-            if s["start"] >= at:
-                out += [t[at:s["start"]], "" if s["action"] == "remove" else f"[{s['kind'].upper()}]"]
-            at = max(at, s["end"])
-        return "".join([*out, t[at:]]) if t and out else t
-
-    def run(batches):
-        for b in batches:
-            texts = [clean(t, s) for t, s in zip(b.column(B.TEXT).to_pylist(), b.column("spans").to_pylist())]
-            yield pa.RecordBatch.from_arrays([B.nullable(b.column(B.ROW)), pa.array(texts, pa.string())], [B.ROW, B.TEXT])
-
-    out = source.mapInArrow(run, f"{B.ROW} {kind}, {B.TEXT} string")
-    return out.select(*[F.col(B.TEXT).alias(text) if c == text else F.col(B.ROW)[c].alias(c) for c in docs.columns if c == text or c in keep])
+    found = find(docs.drop("spans"), text, with_text=True, replaced=True, **options)
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns if c == text or c.lower() != "spans"])
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 
 from regiflow.llm import blocks as B
-from regiflow.llm import lm
+from regiflow.llm import lm, pii
 
 
 @pytest.mark.parametrize("n", [1, 2, 300])
@@ -78,3 +78,13 @@ def test_freed_memory_goes_back_after_a_task(monkeypatch):
     batches = run(iter([1, 2]))
     assert next(batches) == 1 and not given
     assert list(batches) == [2] and given == [1]
+
+
+def test_replacing_personal_data_takes_no_second_worker(spark, capsys):
+    docs = spark.createDataFrame([(i, f"write to a{i}@b.org, or not") for i in range(9)] + [(9, None)], "doc_id long, text string")
+    nodes = []
+    for df in (pii.find(docs, with_text=True), pii.sanitise(docs)):
+        df.explain()
+        nodes.append(capsys.readouterr().out.count("InArrow"))
+    assert nodes[0] == nodes[1] > 0
+    assert {r.doc_id: r.text for r in pii.sanitise(docs).collect()} == {**{i: "write to [EMAIL], or not" for i in range(9)}, 9: None}
