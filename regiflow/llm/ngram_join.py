@@ -12,9 +12,12 @@ the overlap still possible there is too small for the lengths in it, or when the
 subtree holds only sets that are connected with the query already.
 
 Copies (equal sets) are one class from the start.  Groups of classes are first
-joined as stars around their smallest member; only groups that are still in
-several components are then joined in full, in units of bounded size, so a large
-group of near copies costs its size, not its square.
+joined as stars around their smallest member.  Groups too large for one trie that
+are still in several components then ask with a few more members at a time, as
+long as that connects them; what has asked every other member leaves its group.
+Only what is left after that is joined in full, in units of bounded size.  A unit
+returns the links that connect its components, fewer than it has members, so a
+large group of near copies costs its size, not its square.
 
 Defined cases: null and empty texts have no n-grams and link with nothing;
 documents with fewer words than ``words`` have one n-gram, their whole sequence;
@@ -35,6 +38,8 @@ from regiflow.llm import blocks as B
 from regiflow.llm.graph import components, saved, saved_table
 
 UNIT_SETS, UNIT_GRAMS = 256, 100_000     # members of one trie
+HUBS = 16                                # members of a large group that ask all others in one turn, about
+GAIN = 0.8                               # another turn if the last one left at most this share of the comparisons
 SIG = "decimal(38,0)"
 
 
@@ -196,19 +201,61 @@ def _star_links(pairs: DataFrame, bodies: DataFrame, words: int, percent: int) -
     return _with_bodies(members.union(hubs), bodies).groupBy("hub", "unit").applyInArrow(join, LINKS)
 
 
-def _full_links(members: DataFrame, bodies: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links between classes of different components inside each group ``members(g, sig, comp, n)``.
+def connecting(pairs: list[tuple[int, int]], comp: np.ndarray) -> list[tuple[int, int]]:
+    """Those of the links that connect components not connected by the ones before them."""
+    up = list(range(int(comp.max()) + 1)) if len(comp) else []
 
-    The members of a group's largest component need not be compared with each other:
-    they are cut into parts, and only the others meet every part.
-    """
-    by_comp = members.groupBy("g", "comp").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
+    def root(c):
+        while up[c] != c:
+            up[c] = c = up[up[c]]
+        return c
+
+    out = []
+    for a, b in pairs:
+        one, other = root(int(comp[a])), root(int(comp[b]))
+        if one != other:
+            up[one] = other
+            out.append((a, b))
+    return out
+
+
+def _several(members: DataFrame, joined: DataFrame) -> DataFrame:
+    """``members(g, sig, n)`` of the groups in several components: with ``comp``, the group's size ``c``,
+    its largest component ``main``, and into how many parts that and the rest are cut."""
+    labelled = members.join(joined, "sig", "left").select("g", "sig", "n", F.coalesce("comp", "sig").alias("comp"))
+    by_comp = labelled.groupBy("g", "comp").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
     need = lambda c, s: F.greatest(F.ceil(c / UNIT_SETS), F.ceil(s / UNIT_GRAMS))
     group = by_comp.groupBy("g").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.max(F.struct("c", "comp", "s")).alias("m"),
                                      F.sum("c").alias("c"), F.sum("s").alias("s"), F.count("*").alias("comps")).where("comps > 1").select(
-        "g", "main", need(F.col("c") - F.col("m.c"), F.col("s") - F.col("m.s")).alias("rest_parts"),
+        "g", "main", "c", need(F.col("c"), F.col("s")).alias("parts"),
+        need(F.col("c") - F.col("m.c"), F.col("s") - F.col("m.s")).alias("rest_parts"),
         need(F.col("m.c"), F.col("m.s")).alias("main_parts"))
-    x = members.join(group, "g").withColumn("is_main", F.col("comp") == F.col("main"))
+    return labelled.join(group, "g")
+
+
+def _hub_links(members: DataFrame, bodies: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links of the members marked ``is_hub`` with all others of their group: each unit has all hubs."""
+    x = members.select("g", "sig", "comp", "is_hub", F.explode(F.when(F.col("is_hub"), F.expr("sequence(0L, parts - 1)")).otherwise(
+        F.array(F.pmod(F.xxhash64("sig"), F.col("parts"))))).alias("unit"))
+
+    def join(key, table):
+        _, comp = np.unique(np.array(table["comp"].to_pylist(), object), return_inverse=True)
+        asking = np.flatnonzero(table["is_hub"].to_numpy()).tolist()
+        if not asking or comp.max() == 0:
+            return _linked(table["sig"], [])
+        return _linked(table["sig"], connecting(trie_join(_sets(table, words), asking, percent, comp), comp))
+
+    return (_with_bodies(x, bodies).select("sig", "comp", "is_hub", "body", "g", "unit")
+            .groupBy("g", "unit").applyInArrow(join, LINKS))
+
+
+def _full_links(members: DataFrame, bodies: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links that connect different components inside each group of ``_several``.
+
+    The members of a group's largest component need not be compared with each other:
+    they are cut into parts, and only the others meet every part.
+    """
+    x = members.withColumn("is_main", F.col("comp") == F.col("main"))
     own = F.pmod(F.xxhash64("sig"), F.when(F.col("is_main"), F.col("main_parts")).otherwise(F.col("rest_parts")))
     x = x.withColumn("own", own).select("g", "sig", "comp", F.explode(F.when(
         F.col("is_main"), F.expr("transform(sequence(0L, rest_parts - 1), i -> struct(i as u, rest_parts + own as v))")).otherwise(
@@ -221,12 +268,36 @@ def _full_links(members: DataFrame, bodies: DataFrame, words: int, percent: int)
             return _linked(table["sig"], [])
         main = np.bincount(comp).argmax()      # two members of it need no comparison, so the others ask
         asking = np.flatnonzero(comp != main).tolist()
-        return _linked(table["sig"], trie_join(_sets(table, words), asking, percent, comp))
+        return _linked(table["sig"], connecting(trie_join(_sets(table, words), asking, percent, comp), comp))
 
     return (_with_bodies(x, bodies).select("sig", "comp", "body", "g", "unit.u", "unit.v")
             .groupBy("g", "u", "v").applyInArrow(join, LINKS))
 
 
+def _joined(links: DataFrame) -> DataFrame:
+    return saved(components(links).withColumnRenamed("node", "sig").withColumnRenamed("component", "comp"))
+
+
+def _connected(members: DataFrame, bodies: DataFrame, words: int, percent: int) -> DataFrame:
+    """(sig, comp) of every class with a link; ``members(g, hub, sig, n)``: the groups that may link."""
+    joined = _joined(_star_links(members.where("sig <> hub").select("hub", "sig", "n").distinct(), bodies, words, percent))
+    members, before, turn = members.where("sig <> hub").select("g", "sig", "n"), None, 0
+    while True:
+        members = saved(_several(members, joined))
+        large = (F.col("rest_parts") > 1) & (F.col("c") > UNIT_SETS)
+        units = members.where(large).select("g", "rest_parts", "main_parts").distinct().agg(
+            F.sum((F.col("rest_parts") * (F.col("rest_parts") + F.col("main_parts"))).cast("double"))).first()[0]
+        if not units or before is not None and units > GAIN * before:
+            break
+        before, turn = units, turn + 1
+        asked = members.withColumn("is_hub", large & (F.pmod(F.xxhash64(F.lit(turn), "sig"), F.col("c")) < HUBS))
+        joined = _joined(joined.select(F.col("sig").alias("a"), F.col("comp").alias("b")).union(
+            _hub_links(asked.where(large), bodies, words, percent)))
+        members = asked.where("not is_hub").select("g", "sig", "n")
+    more = saved(_full_links(members, bodies, words, percent))
+    return joined if more.isEmpty() else _joined(joined.select(F.col("sig").alias("a"), F.col("comp").alias("b")).union(more))
+
+
 def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row; documents link at Jaccard similarity >= percent / 100."""
     docs = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
@@ -282,14 +353,7 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str
     group = group.groupBy("c", "hub", "x", "y").agg(F.min("token").alias("token"))
     members = saved(at.join(group.select("token", "hub"), "token").select(F.col("token").alias("g"), "hub", "sig", "n"))
 
-    stars = members.where("sig <> hub").select("hub", "sig", "n").distinct()
-    links = saved(_star_links(stars, bodies, words, percent))
-    joined = saved(components(links).withColumnRenamed("node", "sig").withColumnRenamed("component", "comp"))
-    labelled = members.join(joined, "sig", "left").select("g", "sig", "n", F.coalesce("comp", "sig").alias("comp"))
-    more = saved(_full_links(labelled, bodies, words, percent))
-    if not more.isEmpty():
-        joined = saved(components(links.union(more)).withColumnRenamed("node", "sig").withColumnRenamed("component", "comp"))
-
+    joined = _connected(members, bodies, words, percent)
     classes = found.where("sig is not null").groupBy("sig").agg(F.min(F.col(B.ROW)["doc_id"]).alias("least_id"))
     classes = classes.join(joined, "sig", "left").select("sig", "least_id", F.coalesce("comp", "sig").alias("comp"))
     least = classes.groupBy("comp").agg(F.min("least_id").alias("component_id"))

@@ -1,7 +1,9 @@
 """Operators 1, 2, 5 and 8 against brute force, with awkward rows and empty tables."""
 
 import hashlib
+import zlib
 from collections import Counter
+from decimal import Decimal
 
 import numpy as np
 import pytest
@@ -48,6 +50,68 @@ def test_trie_join_finds_every_pair():
                        and 100 * len(np.intersect1d(sets[a], sets[b])) >= percent * len(np.union1d(sets[a], sets[b]))}
 
 
+def test_large_groups_of_near_copies(spark, monkeypatch):
+    """Members that only some others link to: all are found, with fewer links than rows compared."""
+    r = np.random.default_rng(3)
+    base, rows = [f"w{i}" for i in range(200)], []
+    for i in range(150):
+        w = list(base)
+        for j in r.choice(200, 1 + i % 5, replace=False):
+            w[j] = f"own{i}x{j}"
+        rows.append((i, " ".join(w)))
+    sets = [shingles(t, 5) for _, t in rows]
+    groups = Sets(range(len(rows)))
+    linked = [(a, b) for a in groups.up for b in range(a) if 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b])]
+    for a, b in linked:
+        groups.join(a, b)
+    made, full = [], ngram_join._full_links
+
+    def counted(*args):
+        made.append((full(*args).count(), args[0].count()))
+        return full(*args)
+
+    monkeypatch.setattr(ngram_join, "_full_links", counted)
+    monkeypatch.setattr(ngram_join, "UNIT_SETS", 16)
+    monkeypatch.setattr(ngram_join, "HUBS", 2)
+    found = ngram_join.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80)
+    assert {x.doc_id: x.component_id for x in found.collect()} == {i: groups.root(i) for i in groups.up}
+    (links, compared), = made
+    assert len({groups.root(i) for i in groups.up}) > 1 and len(linked) > 3000
+    assert links < compared
+
+
+def test_full_join_of_near_copies_makes_fewer_links_than_members(spark):
+    rows = []
+    for i in range(60):                                      # every two of them link
+        w = [f"w{k}" for k in range(200)]
+        w[3 * i] = w[3 * i + 1] = f"own{i}"
+        rows.append((7, Decimal(i), 196, zlib.compress(" ".join(w).encode())))
+    df = spark.createDataFrame(rows, f"g long, sig {ngram_join.SIG}, n long, body binary")
+    none = spark.createDataFrame([], f"sig {ngram_join.SIG}, comp {ngram_join.SIG}")
+    members = ngram_join._several(df.select("g", "sig", "n"), none)
+    links = ngram_join._full_links(members, df.select("sig", "body"), 5, 80).collect()
+    few = ngram_join._hub_links(members.withColumn("is_hub", members["sig"] == 5), df.select("sig", "body"), 5, 80).collect()
+    for found, n in ((links, 58 + 59), (few, 59)):           # the full join has two units: the rest, and the rest with one that is "main"
+        one = Sets(range(60))
+        for x in found:
+            one.join(int(x.a), int(x.b))
+        assert len(found) == n and {one.root(i) for i in range(60)} == {0}
+
+
+def test_connecting_links_are_a_forest():
+    r = np.random.default_rng(4)
+    comp = r.integers(0, 40, 90)
+    comp[r.integers(0, 90)] = 39
+    pairs = [(int(a), int(b)) for a, b in r.integers(0, 90, (400, 2)) if comp[a] != comp[b]]
+    few, every, some = ngram_join.connecting(pairs, comp), Sets(range(40)), Sets(range(40))
+    for a, b in pairs:
+        every.join(int(comp[a]), int(comp[b]))
+    for a, b in few:
+        some.join(int(comp[a]), int(comp[b]))
+    assert [every.root(c) for c in range(40)] == [some.root(c) for c in range(40)]
+    assert len(few) == 40 - len({every.root(c) for c in range(40)}) and ngram_join.connecting([], comp[:0]) == []
+
+
 def test_components(spark):
     r = np.random.default_rng(2)
     pairs = [(int(a), int(b)) for a, b in r.integers(0, 300, (200, 2))] + [(i, i + 1) for i in range(1000, 1060)] + [(5000, i) for i in range(4000, 4100)]
