@@ -22,6 +22,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
+from collections.abc import Callable
 from itertools import chain
 
 import numpy as np
@@ -171,6 +172,18 @@ class Memory(dict):
                     out.append(k)
         return out
 
+    def values_of(self, keys: list, make: Callable[[list], list]) -> list:
+        """The value of each distinct key; ``make`` gives those of the keys not known."""
+        out = list(map(self.get, keys))
+        lacking = [i for i, x in enumerate(out) if x is None]
+        for i in lacking:
+            if keys[i] in self.old:
+                out[i] = self[keys[i]] = self.old.pop(keys[i])
+        lacking = [i for i in lacking if out[i] is None]
+        for i, x in zip(lacking, make([keys[i] for i in lacking])):
+            out[i] = self[keys[i]] = x
+        return out
+
     def age(self) -> None:
         if len(self) > self.size:
             self.old = dict(self)
@@ -213,9 +226,7 @@ class Encoder:
         words, per_text = _cut(texts)
         coded = words.dictionary_encode()
         index, seq = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy().astype(np.int64)
-        new = self.known.missing(index)
-        self.known.update(zip(new, self.encode_pieces(new)))
-        table = list(map(self.known.__getitem__, index))
+        table = self.known.values_of(index, self.encode_pieces)
         size = np.fromiter(map(len, table), np.int64, len(table)) // 4
         flat = np.frombuffer(b"".join(table), "<u4")
         begin = np.cumsum(size) - size

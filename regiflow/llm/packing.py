@@ -46,30 +46,70 @@ class LibraryEncoder(Encoder):
         self.library, self.known = Tokenizer.from_file(path), Memory(REMEMBERED)
         self.library.no_truncation()
         self.library.no_padding()
+        vocabulary, end = self.library.get_vocab(with_added_tokens=True), getattr(self.library.model, "end_of_word_suffix", None) or ""
+        self.letters = np.zeros(max(vocabulary.values()) + 1, np.int64)       # of each token, without the mark of a word's end
+        for token, i in vocabulary.items():
+            self.letters[i] = len(token.removesuffix(end))
+        same = self.library.normalizer.normalize_str if self.library.normalizer else str
+        self.even = all(len(same(chr(c)).encode()) == len(chr(c).encode()) for c in chain(range(0x21, 0x7F), range(0xA1, 0x100)))
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
         """At most ``AT_ONCE`` pieces at a time: the library's results take many times the ids' room."""
         return list(chain.from_iterable(self._encode_some(pieces[k:k + AT_ONCE]) for k in range(0, len(pieces), AT_ONCE)))
 
     def _encode_some(self, pieces: list[str]) -> list[bytes]:
-        """Pieces without white space inside go 50 to a text, told apart by the tokens' offsets."""
+        """Pieces without white space inside go 50 to a text."""
         out: list = [None] * len(pieces)
         plain = [i for i, p in enumerate(pieces) if len(p.split()) == 1]
-        texts = [" ".join([pieces[i] for i in plain[k:k + 50]]) for k in range(0, len(plain), 50)]
-        coded, base, starts, ids = self.library.encode_batch(texts, add_special_tokens=False), 0, [], []
-        for text, x in zip(texts, coded):
+        latin = [i for i in plain if pieces[i].isascii() or max(pieces[i]) < "\u0100"] if self.even else []
+        rest = set(latin)
+        left = self._by_letters(pieces, latin, out) + [i for i in plain if i not in rest]
+        self._by_offsets(pieces, left, out)
+        for i, x in enumerate(out):
+            if x is None:
+                out[i] = np.array(self.library.encode(pieces[i], add_special_tokens=False).ids, "<u4").tobytes()
+        return out
+
+    @staticmethod
+    def _texts(pieces: list[str], which: list[int]) -> list[str]:
+        return [" ".join([pieces[i] for i in which[k:k + 50]]) for k in range(0, len(which), 50)]
+
+    def _by_letters(self, pieces: list[str], which: list[int], out: list) -> list[int]:
+        """Pieces told apart by the letters of their tokens, one for each byte; those of texts where
+        the letters are not as many as the bytes, or no token ends with a piece, are given back."""
+        if not which:
+            return []
+        ids = [x.ids for x in self.library.encode_batch_fast(self._texts(pieces, which), add_special_tokens=False)]
+        flat = np.fromiter(chain.from_iterable(ids), np.int64, sum(map(len, ids)))
+        spelt = np.append(0, np.cumsum(self.letters[flat]))
+        size = np.fromiter((len(pieces[i].encode()) for i in which), np.int64, len(which))
+        text = np.arange(len(which)) // 50
+        first_token = np.append(0, np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))))
+        begin = np.cumsum(size) - size
+        end = begin + size - begin[text * 50] + spelt[first_token[text]]             # in letters of all texts
+        cuts = np.searchsorted(spelt, end)
+        met = spelt[np.minimum(cuts, len(flat))] == end
+        wrong = np.bincount(text, ~met) > 0
+        wrong |= spelt[first_token[1:]] != end[np.minimum(np.arange(1, len(ids) + 1) * 50, len(which)) - 1]
+        starts = np.where(np.arange(len(which)) % 50 == 0, first_token[text], np.append(0, cuts[:-1]))
+        data, wrong = flat.astype("<u4").tobytes(), wrong[text]
+        for i, a, b, bad in zip(which, starts.tolist(), cuts.tolist(), wrong.tolist()):
+            if not bad:
+                out[i] = data[4 * a:4 * b]
+        return [i for i, bad in zip(which, wrong.tolist()) if bad]
+
+    def _by_offsets(self, pieces: list[str], which: list[int], out: list) -> None:
+        """Pieces told apart by the places of their tokens in the text."""
+        texts, base, starts, ids = self._texts(pieces, which), 0, [], []
+        for text, x in zip(texts, self.library.encode_batch(texts, add_special_tokens=False)):
             starts += [base + o[0] for o in x.offsets]
             ids += x.ids
             base += len(text) + 1
         data = np.array(ids, "<u4").tobytes()
-        ends = np.cumsum([len(pieces[i]) + 1 for i in plain])
+        ends = np.cumsum([len(pieces[i]) + 1 for i in which])
         cuts = np.searchsorted(np.array(starts, np.int64), ends).tolist()
-        for i, a, b in zip(plain, [0, *cuts], cuts):
+        for i, a, b in zip(which, [0, *cuts], cuts):
             out[i] = data[4 * a:4 * b]
-        for i, x in enumerate(out):
-            if x is None:
-                out[i] = np.array(self.library.encode(pieces[i], add_special_tokens=False).ids, "<u4").tobytes()
-        return out
 
 
 _ENCODERS: dict[str, LibraryEncoder] = {}

@@ -5,7 +5,8 @@ import pyarrow as pa
 import pytest
 
 from regiflow.llm import blocks as B
-from regiflow.llm import lm, pii
+from regiflow.llm import lm, packing, pii
+from regiflow.llm.queries import tokenizer_path
 
 
 @pytest.mark.parametrize("n", [1, 2, 300])
@@ -88,3 +89,27 @@ def test_replacing_personal_data_takes_no_second_worker(spark, capsys):
         nodes.append(capsys.readouterr().out.count("InArrow"))
     assert nodes[0] == nodes[1] > 0
     assert {r.doc_id: r.text for r in pii.sanitise(docs).collect()} == {**{i: "write to [EMAIL], or not" for i in range(9)}, 9: None}
+
+
+def test_pieces_told_apart_by_letters_are_those_of_the_library(monkeypatch):
+    """Few pieces need offsets; those whose letters change in number, or that hold marks of the file, are as the library has them."""
+    r, some = np.random.default_rng(5), list("abcXYZ.,'-019é ÿß<|>/w")
+    plain = sorted({"".join(r.choice(some, r.integers(1, 9))).replace(" ", "") or "a" for _ in range(3000)} - {"</w>", "a</w>"})
+    odd = ["</w>", "a</w>", "<|endoftext|>", "x<|endoftext|>y", "\u0130\u1e9e", "\u1e9e\u0130", "\U0001f600", "\u5b57", "a\u0301", "a\x1cb", " a"]
+    e, by_offsets, asked = packing.LibraryEncoder(tokenizer_path()), packing.LibraryEncoder._by_offsets, []
+    monkeypatch.setattr(packing.LibraryEncoder, "_by_offsets", lambda self, pieces, which, out: (asked.extend(which), by_offsets(self, pieces, which, out)))
+    both = [x for k in range(0, len(plain), 300) for x in (*plain[k:k + 300], *odd)]
+    expected = [np.array(e.library.encode(p, add_special_tokens=False).ids, "<u4").tobytes() for p in both]
+    assert e.encode_pieces(both) == expected
+    assert len(asked) < 0.3 * len(both) and e.encode_pieces([]) == []
+    e.letters[:] = 0                                           # a file whose tokens do not spell the text
+    assert e.encode_pieces(both) == expected
+
+
+def test_values_remembered_are_made_once():
+    known, made = packing.Memory(3), []
+    make = lambda keys: [made.append(k) or k.encode() for k in keys]
+    for keys in (["a", "b", "c", "d"], ["a", "e"], [], ["e", "b"]):
+        known.age()
+        assert known.values_of(keys, make) == [k.encode() for k in keys]
+    assert made == ["a", "b", "c", "d", "e"] and "a" in known and "c" in known.old
