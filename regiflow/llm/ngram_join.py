@@ -291,8 +291,9 @@ def _connected(members: DataFrame, bodies: DataFrame, words: int, percent: int)
             break
         before, turn = units, turn + 1
         asked = members.withColumn("is_hub", large & (F.pmod(F.xxhash64(F.lit(turn), "sig"), F.col("c")) < HUBS))
-        joined = _joined(joined.select(F.col("sig").alias("a"), F.col("comp").alias("b")).union(
-            _hub_links(asked.where(large), bodies, words, percent)))
+        more = saved(_hub_links(asked.where(large), bodies, words, percent))
+        if not more.isEmpty():
+            joined = _joined(joined.select(F.col("sig").alias("a"), F.col("comp").alias("b")).union(more))
         members = asked.where("not is_hub").select("g", "sig", "n")
     more = saved(_full_links(members, bodies, words, percent))
     return joined if more.isEmpty() else _joined(joined.select(F.col("sig").alias("a"), F.col("comp").alias("b")).union(more))
