@@ -1,6 +1,7 @@
 """Operators 1, 2, 5 and 8 against brute force, with awkward rows and empty tables."""
 
 import hashlib
+import random
 import zlib
 from collections import Counter
 from decimal import Decimal
@@ -8,7 +9,7 @@ from decimal import Decimal
 import numpy as np
 import pytest
 
-from regiflow.llm import neardup, ngram_join, substring, suffix_dedup
+from regiflow.llm import graph, neardup, ngram_join, substring, suffix_dedup
 from regiflow.llm.graph import components
 from tests.llm.data import LOWER, Sets, frame, words
 
@@ -124,6 +125,29 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_few_links_take_few_tasks_and_many_the_same_result(spark, monkeypatch):
+    rng, sc = random.Random(5), spark.sparkContext
+    links = spark.createDataFrame([(i, i + rng.choice([1, 7, 40])) for i in range(0, 400, 3)] + [(5, None), (9, 9)], "a long, b long")
+    got, tasks = [], []
+    before = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for few in (graph.FEW, 0):
+            monkeypatch.setattr(graph, "FEW", few)
+            sc.setJobGroup(f"components-{few}", "components")
+            got.append(sorted(map(tuple, components(links).collect())))
+            tracker = sc.statusTracker()
+            stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(f"components-{few}") for s in tracker.getJobInfo(j).stageIds]
+            tasks.append(sum(s.numCompletedTasks for s in stages if s))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.shuffle.partitions", before[0])
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before[1])
+    assert got[0] == got[1] and len(got[0]) > 100
+    assert 0 < 3 * tasks[0] < tasks[1]
+
+
 def test_substring_windows(spark):
     width, df = 35, frame(spark)
     rows = [(r, words(r.text)) for r in df.collect()]

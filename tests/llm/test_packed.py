@@ -113,3 +113,20 @@ def test_values_remembered_are_made_once():
         known.age()
         assert known.values_of(keys, make) == [k.encode() for k in keys]
     assert made == ["a", "b", "c", "d", "e"] and "a" in known and "c" in known.old
+
+
+def test_tables_of_powers_stay_small_and_hashes_the_same(monkeypatch):
+    data = np.random.default_rng(3).integers(97, 123, 900_000).astype(np.uint8)
+    data[::6] = 32
+    at = np.arange(0, len(data) + 1, 9_000)
+
+    def hashed(chunk):
+        monkeypatch.setattr(B, "CHUNK", chunk)
+        monkeypatch.setattr(B, "_POWERS", {})
+        words, first = B.word_hashes(data, at)
+        out = words, first, *B.window_hashes(words, first, 5)
+        return out, sum(x.nbytes for pair in B._POWERS.values() for x in pair)
+
+    (now, room), (before, _) = hashed(B.CHUNK), hashed(1 << 20)
+    assert all(np.array_equal(a, b) for a, b in zip(now, before))
+    assert room <= 10 << 20
